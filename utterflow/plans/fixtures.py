@@ -69,7 +69,11 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def utt(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One utterance per document, with corpus-style columns."""
-    d = documents(spark, sf_dir)
+    return derive_utt(documents(spark, sf_dir))
+
+
+def derive_utt(d: DataFrame) -> DataFrame:
+    """The ``utt`` columns from a documents frame (batch or streaming)."""
     doc_id = F.col("doc_id")
     split = _split_of(doc_id)
     t = collapse_whitespace("text")
@@ -173,5 +177,6 @@ def metric_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def result_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     u = utt(spark, sf_dir)
-    return u.select("utt_id", F.concat(F.lit('{"results":{"transcripts":[{"transcript":"'),
-                                       F.col("text"), F.lit('"}]}}')).alias("doc"))
+    doc = F.to_json(F.struct(F.struct(F.array(F.struct(F.col("text").alias("transcript")))
+                                      .alias("transcripts")).alias("results")))
+    return u.select("utt_id", doc.alias("doc"))
