@@ -735,23 +735,23 @@ def score_batches(spark, sf):
 @query("stream_prepare")
 def stream_prepare(spark, sf):
     from ..streaming.stream import prepare_stream
-    src = f"{sf.rstrip('/')}/documents.parquet"
-    schema = spark.read.parquet(src).schema
+    src = sf.rstrip("/")
+    schema = fx.read_table(spark, sf, "documents").schema
 
     def transform(docs: DataFrame) -> DataFrame:
         u = fx.derive_utt(docs)
         return u.where(mix.audio_length_ok(F.col("n_samples"))).select("utt_id", "split", "n_samples")
 
     base = _scratch(spark, "stream-prepare")
-    return prepare_stream(spark, src, schema, transform, f"{base}/out", f"{base}/checkpoint")
+    return prepare_stream(spark, src, schema, transform, f"{base}/out", f"{base}/checkpoint",
+                          glob="documents.parquet")
 
 
 @query("stream_wer")
 def stream_wer(spark, sf):
     from ..streaming.stream import running_wer
-    src = f"{sf.rstrip('/')}/documents.parquet"
-    schema = spark.read.parquet(src).schema
-    docs = spark.readStream.schema(schema).parquet(src)
+    schema = fx.read_table(spark, sf, "documents").schema
+    docs = spark.readStream.schema(schema).option("pathGlobFilter", "documents.parquet").parquet(sf.rstrip("/"))
     u = fx.derive_utt(docs)
     pairs = u.select("split", "utt_id", F.col("raw").alias("ref"),
                      fx.hypothesis(F.col("utt_id"), F.col("text")).alias("hyp"))

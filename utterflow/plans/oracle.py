@@ -275,8 +275,8 @@ def oracle_sql() -> dict[str, str]:
         FROM (SELECT *, bool_and(coalesce(labels[1] = 2, false)) OVER (PARTITION BY batch) AS allb FROM batched)""",
                           bos_stream)
     q["decode_labels"] = _with("""SELECT utt_id, array_to_string(list_transform(list_filter(labels, lambda x: x >= 3),
-        lambda x: CASE WHEN x = 3 THEN ' ' ELSE (SELECT list(char ORDER BY id) FROM vocab)[x - 3] END), '') AS text
-        FROM labelled""", _VOCAB)
+        lambda x: CASE WHEN x = 3 THEN ' ' ELSE vl[x - 3] END), '') AS text
+        FROM labelled, (SELECT list(char ORDER BY id) AS vl FROM vocab) v""", _VOCAB)
     alphabet = C.arrays._ctc_alphabet().replace("'", "''")
     q["ctc_greedy"] = f"""WITH f AS (
           SELECT CAST(floor(vec_id / 50) AS BIGINT) AS utt, vec_id AS frame,

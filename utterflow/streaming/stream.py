@@ -19,9 +19,11 @@ from ..operators import score
 
 def prepare_stream(spark: SparkSession, source: str, schema: T.StructType,
                    transform: Callable[[DataFrame], DataFrame], out_path: str, checkpoint: str,
-                   max_files_per_trigger: int | None = None) -> DataFrame:
+                   max_files_per_trigger: int | None = None, glob: str | None = None) -> DataFrame:
     """readStream parquet -> stateless map/filter -> parquet sink; returns the sink as a batch read."""
     r = spark.readStream.schema(schema)
+    if glob:
+        r = r.option("pathGlobFilter", glob)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = transform(r.parquet(source))
