@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -33,15 +33,37 @@ def global_position(df: DataFrame, order_cols: Sequence[str], shard_col: str = "
     ranked = df.withColumn("_local", local)
 
     counts = df.groupBy(*block).agg(F.count(F.lit(1)).alias("_n"))
-    w = (Window.partitionBy(*part) if part else Window.partitionBy(F.lit(0)))
-    w = w.orderBy(*lead, shard_col).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    offsets = counts.select(*block, (F.sum("_n").over(w) - F.col("_n")).alias("_off"))
+    offsets = _block_offsets(counts, part, lead, shard_col)
 
     return (ranked.join(offsets, on=block, how="inner")
             .withColumn(name, (F.col("_off") + F.col("_local")).cast("bigint"))
             .drop("_off", "_local"))
 
 
+def _cumulative(df: DataFrame, part: list[str], order_by: list[str], value: str) -> Column:
+    w = Window.partitionBy(*part) if part else Window.partitionBy()
+    w = w.orderBy(*order_by).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return F.sum(value).over(w) - F.col(value)
+
+
+def _block_offsets(counts: DataFrame, part: list[str], lead: list[str], shard_col: str) -> DataFrame:
+    """Rows before each block, in two levels so no window spans all blocks.
+
+    Level 1: prefix sums over shards inside each (partition, leading key),
+    e.g. inside one source. Level 2: prefix sums over the per-source totals
+    (one row per source). Only level 2 can be unpartitioned, and its table
+    holds one row per leading key.
+    """
+    if not lead:
+        return counts.select(*part, shard_col, _cumulative(counts, part, [shard_col], "_n").alias("_off"))
+    within = counts.select(*part, *lead, shard_col,
+                           _cumulative(counts, [*part, *lead], [shard_col], "_n").alias("_o1"))
+    totals = counts.groupBy(*part, *lead).agg(F.sum("_n").alias("_t"))
+    before = totals.select(*part, *lead, _cumulative(totals, part, lead, "_t").alias("_o2"))
+    return (within.join(before, on=[*part, *lead], how="inner")
+            .select(*part, *lead, shard_col, (F.col("_o1") + F.col("_o2")).alias("_off")))
+
+
 def sample_budget(df: DataFrame, steps: int, batch_size: int, pos_col: str = "pos") -> DataFrame:
     """O3: keep the first steps * batch * accumulation rows of the ordered stream.
 

@@ -124,8 +124,8 @@ def read_path_list(spark: SparkSession, path: str) -> DataFrame:
 
 def read_sidecars(spark: SparkSession, root: str, glob: str = "*.txt") -> DataFrame:
     """One text file per audio file, whole content (trailing newline kept)."""
-    df = (spark.read.option("wholetext", "true").option("recursiveFileLookup", "true")
-          .option("pathGlobFilter", glob).text(root))
+    df = (spark.read.option("recursiveFileLookup", "true")
+          .option("pathGlobFilter", glob).text(root, wholetext=True))
     return df.select(stem(F.col("_metadata.file_name")).alias("stem"),
                      F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
 
