@@ -29,15 +29,18 @@ def global_position(df: DataFrame, order_cols: Sequence[str], shard_col: str = "
     *lead, last = list(order_cols)
     part = list(partition_cols)
     block = [*part, *lead, shard_col]
-    local = F.row_number().over(Window.partitionBy(*block).orderBy(last)) - 1
-    ranked = df.withColumn("_local", local)
-
-    counts = df.groupBy(*block).agg(F.count(F.lit(1)).alias("_n"))
+    w = Window.partitionBy(*block)
+    ranked = (df.withColumn("_local", F.row_number().over(w.orderBy(last)) - 1)
+              .withColumn("_bn", F.count(F.lit(1)).over(w)))
+    # block sizes come from the windowed rows themselves: they are already
+    # partitioned by block, so this adds no shuffle of the data and the input
+    # is evaluated once (the exchange under the window is reused)
+    counts = ranked.groupBy(*block).agg(F.max("_bn").alias("_n"))
     offsets = _block_offsets(counts, part, lead, shard_col)
 
     return (ranked.join(offsets, on=block, how="inner")
             .withColumn(name, (F.col("_off") + F.col("_local")).cast("bigint"))
-            .drop("_off", "_local"))
+            .drop("_off", "_local", "_bn"))
 
 
 def _cumulative(df: DataFrame, part: list[str], order_by: list[str], value: str) -> Column:

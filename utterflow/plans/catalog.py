@@ -631,6 +631,10 @@ def derive_lengths(spark, sf):
 def _train_stream(spark, sf, bos: bool = False) -> DataFrame:
     """Training-stream order: F1 before anything expensive, R1, F2, O1, R3."""
     u = fx.utt(spark, sf).where(mix.audio_length_ok(F.col("n_samples")))
+    # every character becomes at least one id, so length(text) < 448 is necessary
+    # for size(labels) < 448: a cheap pre-filter before encoding; F2 itself runs below
+    extra = 1 if bos else 0
+    u = u.where(F.length("text") + extra < mix.MAX_LABEL_LENGTH)
     vocab = arrays.build_char_vocab(fx.utt(spark, sf).where(F.col("split") == "train"), "text")
     lab = arrays.encode_labels(u, vocab, "text", "labels")
     if bos:
@@ -739,7 +743,7 @@ def stream_prepare(spark, sf):
     schema = fx.read_table(spark, sf, "documents").schema
 
     def transform(docs: DataFrame) -> DataFrame:
-        u = fx.derive_utt(docs)
+        u = fx.derive_utt(docs.repartition(score.shuffle_partitions(spark), "doc_id"))
         return u.where(mix.audio_length_ok(F.col("n_samples"))).select("utt_id", "split", "n_samples")
 
     base = _scratch(spark, "stream-prepare")
@@ -752,7 +756,7 @@ def stream_wer(spark, sf):
     from ..streaming.stream import running_wer
     schema = fx.read_table(spark, sf, "documents").schema
     docs = spark.readStream.schema(schema).option("pathGlobFilter", "documents.parquet").parquet(sf.rstrip("/"))
-    u = fx.derive_utt(docs)
+    u = fx.derive_utt(docs.repartition(score.shuffle_partitions(spark), "doc_id"))
     pairs = u.select("split", "utt_id", F.col("raw").alias("ref"),
                      fx.hypothesis(F.col("utt_id"), F.col("text")).alias("hyp"))
     base = _scratch(spark, "stream-wer")
