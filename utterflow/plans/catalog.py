@@ -148,6 +148,67 @@ def src_indexed_csv(spark, sf):
     return readers.read_indexed_csv(spark, out, ["Path", "Canonical", "Transcript"])
 
 
+def _wav_headers(u: DataFrame) -> Column:
+    """Canonical 44-byte PCM header (16-bit; 1 or 2 channels) as binary, built in Spark."""
+    ch = (F.col("utt_id") % 2 + 1).cast("bigint")
+    rate = F.col("sampling_rate").cast("bigint")
+    data = F.col("n_samples") * ch * 2
+    hexs = F.concat(F.hex(F.lit("RIFF")), _le(data + 36, 4), F.hex(F.lit("WAVEfmt ")), _le(F.lit(16), 4),
+                    _le(F.lit(1), 2), _le(ch, 2), _le(rate, 4), _le(rate * ch * 2, 4), _le(ch * 2, 2),
+                    _le(F.lit(16), 2), F.hex(F.lit("data")), _le(data, 4))
+    return F.unhex(hexs)
+
+
+def _le(n: Column, nbytes: int) -> Column:
+    """Little-endian bytes of an integer column, built from its hex digits."""
+    h = F.lpad(F.hex(n), 2 * nbytes, "0")
+    return F.concat(*[F.substring(h, 2 * (nbytes - 1 - i) + 1, 2) for i in range(nbytes)])
+
+
+@query("src_tar_shards")
+def src_tar_shards(spark, sf):
+    """Header-only WAV members written as tar.gz shards (one per corpus shard),
+    read back through the tarshards DataSource (one task per shard), profiled by X17."""
+    from ..sources import tarshards
+    u = fx.utt(spark, sf)
+    out = _scratch(spark, "tarshards")
+    members = u.select(F.concat(F.col("split"), F.lit("-"), F.col("shard")).alias("shard"),
+                       paths.basename("path").alias("member"), _wav_headers(u).alias("content"))
+    sinks.write_tar_shards(members, out).write.format("noop").mode("overwrite").save()
+    tarshards.register(spark)
+    df = spark.read.format("tarshards").option("path", f"{sinks._posix_root(out)}/*.tar.gz").load()
+    prof = df.select("member", "size", *wav.wav_profile("content"))
+    return prof.select("member", "size", "n_samples", "sampling_rate")
+
+
+@query("src_sidecar_text")
+def src_sidecar_text(spark, sf):
+    """One <stem>.txt per utterance written by the executors, read back whole."""
+    u = fx.utt(spark, sf)
+    out = _scratch(spark, "sidecars")
+    files = u.select(F.concat(F.col("split"), F.lit("/"), paths.stem("path"), F.lit(".txt")).alias("relpath"),
+                     F.encode(F.concat(F.col("text"), F.lit("\n")), "UTF-8").alias("content"))
+    sinks.write_files(files, out).write.format("noop").mode("overwrite").save()
+    return readers.read_sidecars(spark, out).select("stem", "text")
+
+
+@query("src_audiofolder")
+def src_audiofolder(spark, sf):
+    """S3: audio files per split folder plus per-split metadata, joined by file name."""
+    u = fx.utt(spark, sf)
+    base = _scratch(spark, "audiofolder")
+    wavs = u.select(F.concat(F.col("split"), F.lit("/"), paths.basename("path")).alias("relpath"),
+                    _wav_headers(u).alias("content"))
+    sinks.write_files(wavs, f"{base}/audio").write.format("noop").mode("overwrite").save()
+    sinks.write_metadata_csv(_metadata_rows(u), f"{base}/meta")
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in ("file_name", "transcription", "speaker")]
+                          + [T.StructField("split", T.StringType())])
+    meta_root = f"{base}/meta"
+    af = readers.read_audiofolder(spark, f"{base}/audio", metadata_root=meta_root)
+    del schema
+    return af.select("split", "file_name", "transcription", "speaker", "length")
+
+
 @query("src_list_files")
 def src_list_files(spark, sf):
     return readers.list_files(spark, sf, "*.parquet").select("name", "length")
@@ -518,24 +579,12 @@ def norm_words(spark, sf):
     return u.select("utt_id", F.array_join(w, " ").alias("words"), F.size(w).alias("n_words"))
 
 
-def _le(n: Column, nbytes: int) -> Column:
-    """Little-endian bytes of an integer column, built from its hex digits."""
-    h = F.lpad(F.hex(n), 2 * nbytes, "0")
-    return F.concat(*[F.substring(h, 2 * (nbytes - 1 - i) + 1, 2) for i in range(nbytes)])
-
-
 @query("wav_header_profile")
 def wav_header_profile(spark, sf):
     """A canonical 44-byte PCM header per utterance (16-bit; channels 1 or 2)
     is built as binary in Spark, then parsed back by ``wav.wav_profile``."""
     u = _u(spark, sf)
-    ch = (F.col("utt_id") % 2 + 1).cast("bigint")
-    rate = F.col("sampling_rate").cast("bigint")
-    data = F.col("n_samples") * ch * 2
-    hexs = F.concat(F.hex(F.lit("RIFF")), _le(data + 36, 4), F.hex(F.lit("WAVEfmt ")), _le(F.lit(16), 4),
-                    _le(F.lit(1), 2), _le(ch, 2), _le(rate, 4), _le(rate * ch * 2, 4), _le(ch * 2, 2),
-                    _le(F.lit(16), 2), F.hex(F.lit("data")), _le(data, 4))
-    content = u.select("utt_id", F.unhex(hexs).alias("content"))
+    content = u.select("utt_id", _wav_headers(u).alias("content"))
     return content.select("utt_id", *wav.wav_profile("content"))
 
 

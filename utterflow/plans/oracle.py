@@ -292,6 +292,11 @@ def oracle_sql() -> dict[str, str]:
     q["map_batches"] = _with("""SELECT utt_id, CAST(length(text) AS BIGINT) AS n_chars_py,
         CAST(len(list_filter(string_split(text, ''), lambda c: c <> lower(c))) AS BIGINT) AS n_upper FROM utt""")
     q["score_batches"] = _with("SELECT utt_id, hyp AS pred FROM utt")
+    q["src_tar_shards"] = _with(f"SELECT {_basename('path')} AS member, CAST(44 AS BIGINT) AS size, n_samples, "
+                                "CAST(sampling_rate AS BIGINT) AS sampling_rate FROM utt")
+    q["src_sidecar_text"] = _with(f"SELECT {_stem('path')} AS stem, text || chr(10) AS text FROM utt")
+    q["src_audiofolder"] = _with(f"""SELECT split, {_basename('path')} AS file_name, {_clean_transcript('raw')} AS transcription,
+        source AS speaker, CAST(44 AS BIGINT) AS length FROM utt""")
     q["stream_prepare"] = _with("SELECT utt_id, split, n_samples FROM utt WHERE n_samples > 0 AND n_samples < 480000")
     del ws
     return q

@@ -130,10 +130,14 @@ def read_sidecars(spark: SparkSession, root: str, glob: str = "*.txt") -> DataFr
                      F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
 
 
-def read_audiofolder(spark: SparkSession, root: str, audio_glob: str = "*.wav") -> DataFrame:
-    """S3: audio files joined to each split folder's metadata.csv by file name.
-
-    The split comes from the first folder under ``root``; contents are not read.
+def read_audiofolder(spark: SparkSession, root: str, audio_glob: str = "*.wav",
+                     metadata_root: str | None = None) -> DataFrame:
+    """S3: audio files joined to their split's metadata by (split, file_name).
+
+    The split is the first folder under ``root``. Metadata is either a
+    ``<split>/metadata.csv`` beside the audio, or (``metadata_root``) the
+    ``split=<name>/`` folders written by ``sinks.write_metadata_csv``.
+    Audio contents are never read.
     """
     from .sinks import read_metadata_csv
     root = root.rstrip("/")
@@ -141,8 +145,11 @@ def read_audiofolder(spark: SparkSession, root: str, audio_glob: str = "*.wav")
     rel = F.substring(F.col("path"), F.length(F.lit(_uri(root))) + 2, 1 << 30)
     files = files.select("path", "length", F.get(F.split(rel, "/", 2), 0).alias("split"),
                          F.get(F.split(rel, "/", 2), 1).alias("file_name"))
-    meta = read_metadata_csv(spark, f"{root}/*/metadata.csv").withColumn(
-        "split", F.regexp_extract(F.col("_metadata.file_path"), r"/([^/]+)/metadata\.csv$", 1))
+    if metadata_root is None:
+        meta = read_metadata_csv(spark, f"{root}/*/metadata.csv").withColumn(
+            "split", F.regexp_extract(F.col("_metadata.file_path"), r"/([^/]+)/metadata\.csv$", 1))
+    else:
+        meta = read_metadata_csv(spark, metadata_root)
     return files.join(meta, ["split", "file_name"], "inner")
 
 

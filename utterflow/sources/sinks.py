@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # CSV settings that keep " " and "" apart through a write/read round trip:
@@ -50,3 +51,76 @@ def materialize(df: DataFrame, path: str, schema: T.StructType | None = None) ->
     schema = schema or df.schema
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(schema).parquet(path)
+
+
+def _posix_root(root: str) -> str:
+    if root.startswith("file:"):
+        return "/" + root[len("file:"):].lstrip("/")
+    if "://" in root:
+        raise NotImplementedError(f"file writers need a POSIX path (local or shared mount): {root}")
+    return root
+
+
+def write_files(df: DataFrame, root: str, relpath: str = "relpath", content: str = "content") -> DataFrame:
+    """One file per row at root/<relpath> (e.g. sidecar texts, audio files).
+
+    Executors write their own rows (Arrow batches, no driver round trip) and
+    return (n_files, n_bytes) per batch; the write happens when the returned
+    frame is evaluated. Needs a POSIX path (local disk or shared mount).
+    """
+    base = _posix_root(root)
+
+    def run(batches):
+        import os
+        import pandas as pd
+        for b in batches:
+            n = size = 0
+            for rel, data in zip(b[relpath], b[content]):
+                path = os.path.join(base, rel)
+                os.makedirs(os.path.dirname(path), exist_ok=True)
+                with open(path, "wb") as f:
+                    f.write(bytes(data))
+                n += 1
+                size += len(data)
+            yield pd.DataFrame({"n_files": pd.Series([n], dtype="int64"),
+                                "n_bytes": pd.Series([size], dtype="int64")})
+
+    return df.select(relpath, content).mapInPandas(run, "n_files long, n_bytes long")
+
+
+def write_tar_shards(df: DataFrame, root: str, shard: str = "shard", member: str = "member",
+                     content: str = "content", n_partitions: int | None = None) -> DataFrame:
+    """tar.gz shards: rows are hash-partitioned by shard, and each task streams
+    the members of the shards it holds into root/<shard>.tar.gz. Returns
+    (shard, n_members) rows; the write happens when that frame is evaluated."""
+    base = _posix_root(root)
+    n = n_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    parts = df.select(F.col(shard).cast("string").alias("_shard"), F.col(member).alias("_member"),
+                      F.col(content).alias("_content")).repartition(n, "_shard")
+
+    def run(batches):
+        import io
+        import os
+        import tarfile
+        import pandas as pd
+        os.makedirs(base, exist_ok=True)
+        open_tars, counts = {}, {}
+        try:
+            for b in batches:
+                for s, m, data in zip(b["_shard"], b["_member"], b["_content"]):
+                    tf = open_tars.get(s)
+                    if tf is None:
+                        tf = open_tars[s] = tarfile.open(os.path.join(base, f"{s}.tar.gz"), "w:gz")
+                    info = tarfile.TarInfo(m)
+                    payload = bytes(data)
+                    info.size = len(payload)
+                    tf.addfile(info, io.BytesIO(payload))
+                    counts[s] = counts.get(s, 0) + 1
+        finally:
+            for tf in open_tars.values():
+                tf.close()
+        if counts:
+            yield pd.DataFrame({"shard": pd.Series(list(counts), dtype="object"),
+                                "n_members": pd.Series(list(counts.values()), dtype="int64")})
+
+    return parts.mapInPandas(run, "shard string, n_members long")
