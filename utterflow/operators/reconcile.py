@@ -97,8 +97,8 @@ def shard_transcripts(members: DataFrame, transcripts: DataFrame, member_path: s
     m = members.withColumn(key, stem(F.col(member_path)))
     matched = m.join(transcripts, key, "inner")
     per_split = matched.groupBy("split").agg(F.count(F.lit(1)).alias("n_matched"))
-    total = m.agg(F.count(F.lit(1)).alias("n_members")).withColumn("_one", F.lit(1))
-    counts = (per_split.withColumn("_one", F.lit(1)).join(total, "_one").drop("_one")
+    n_members = m.count()       # one number to the driver; no join against a 1-row table
+    counts = (per_split.withColumn("n_members", F.lit(n_members).cast("bigint"))
               .withColumn("n_unmatched", F.col("n_members") - F.col("n_matched")))
     return matched, counts
 

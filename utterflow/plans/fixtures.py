@@ -55,16 +55,26 @@ def _class_code(doc_id: Column) -> Column:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The documents scan, hash-spread on doc_id before any text work.
-
-    Test files hold one row group (one scan task); regex and array work over
-    whole texts must not run in one task. Column pruning passes through the
-    repartition, so only the columns a query uses are exchanged, and later
-    windows / aggregations keyed on doc_id (= utt_id) reuse this partitioning.
+    """The documents scan, spread over the cluster only when it is too narrow.
+
+    Parquet scans are split by bytes (spark.sql.files.maxPartitionBytes), so a
+    large table already arrives in thousands of tasks and is not shuffled. A
+    table that yields fewer input splits than the cluster has cores (the test
+    files are one small file each) is hash-partitioned on doc_id first, so
+    regex and edit-distance work over whole texts does not run in one task;
+    column pruning passes through that repartition.
     """
     d = read_table(spark, sf_dir, "documents")
-    n = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    return d.repartition(n, "doc_id")
+    return spread_if_narrow(d, "doc_id")
+
+
+def spread_if_narrow(df: DataFrame, key: str) -> DataFrame:
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    n = max(cores, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
+    return df.repartition(n, key)
 
 
 def utt(spark: SparkSession, sf_dir: str) -> DataFrame:
