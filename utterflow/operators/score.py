@@ -18,6 +18,10 @@ from ..functions.editdistance import word_edit_distance
 from ..functions.text import ids_to_string, normalize_words
 
 
+# Session setting choosing the edit-distance implementation: bitparallel | native.
+METHOD_CONF = "spark.utterflow.editDistance"
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
@@ -35,19 +39,21 @@ def spread(df: DataFrame, key: str) -> DataFrame:
 
 def word_edits(pairs: DataFrame, ref: str = "ref", hyp: str = "hyp",
                keys: Sequence[str] = ("split", "utt_id"), spread_key: str | None = None,
-               pair_key: str = "utt_id", method: str = "bitparallel") -> DataFrame:
+               pair_key: str = "utt_id", method: str | None = None) -> DataFrame:
     """A1: keys + ref_words, hyp_words, edits (substitutions + deletions + insertions).
 
     Both sides are normalized (X16). An empty reference counts every
     hypothesis word as an insertion. ``pair_key`` identifies a pair; pass
     ``spread_key`` when the input is not yet hash-partitioned on it.
 
+    The method defaults to the session setting spark.utterflow.editDistance.
     method="bitparallel": word arrays go to an Arrow-batched pandas UDF running
       the bit-vector edit distance (O(n*m/64) per pair; measured 10x faster
       than the JVM path on the benchmark tables).
     method="native": everything in the JVM: per-pair dense word ids (window
       over exploded words), one character per id, built-in ``levenshtein``.
     """
+    method = method or pairs.sparkSession.conf.get(METHOD_CONF, "bitparallel")
     base = pairs.select(*keys, F.col(ref).alias("_ref"), F.col(hyp).alias("_hyp"))
     if spread_key:
         base = spread(base, spread_key)

@@ -72,14 +72,17 @@ def write_files(df: DataFrame, root: str, relpath: str = "relpath", content: str
 
     def run(batches):
         import os
+        import uuid
         import pandas as pd
         for b in batches:
             n = size = 0
             for rel, data in zip(b[relpath], b[content]):
                 path = os.path.join(base, rel)
                 os.makedirs(os.path.dirname(path), exist_ok=True)
-                with open(path, "wb") as f:
-                    f.write(bytes(data))
+                tmp = f"{path}.tmp-{uuid.uuid4().hex}"
+                with open(tmp, "wb") as f:          # retried or speculative tasks never
+                    f.write(bytes(data))            # expose a half-written file
+                os.replace(tmp, path)
                 n += 1
                 size += len(data)
             yield pd.DataFrame({"n_files": pd.Series([n], dtype="int64"),
@@ -102,15 +105,17 @@ def write_tar_shards(df: DataFrame, root: str, shard: str = "shard", member: str
         import io
         import os
         import tarfile
+        import uuid
         import pandas as pd
         os.makedirs(base, exist_ok=True)
-        open_tars, counts = {}, {}
+        open_tars, counts, tmp_names = {}, {}, {}
         try:
             for b in batches:
                 for s, m, data in zip(b["_shard"], b["_member"], b["_content"]):
                     tf = open_tars.get(s)
                     if tf is None:
-                        tf = open_tars[s] = tarfile.open(os.path.join(base, f"{s}.tar.gz"), "w:gz")
+                        tmp_names[s] = os.path.join(base, f".{s}.tar.gz.tmp-{uuid.uuid4().hex}")
+                        tf = open_tars[s] = tarfile.open(tmp_names[s], "w:gz")
                     info = tarfile.TarInfo(m)
                     payload = bytes(data)
                     info.size = len(payload)
@@ -119,6 +124,8 @@ def write_tar_shards(df: DataFrame, root: str, shard: str = "shard", member: str
         finally:
             for tf in open_tars.values():
                 tf.close()
+        for s, tmp in tmp_names.items():     # publish each shard atomically once complete
+            os.replace(tmp, os.path.join(base, f"{s}.tar.gz"))
         if counts:
             yield pd.DataFrame({"shard": pd.Series(list(counts), dtype="object"),
                                 "n_members": pd.Series(list(counts.values()), dtype="int64")})
