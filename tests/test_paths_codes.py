@@ -8,7 +8,8 @@ def one(spark, col, value):
 
 
 def test_stem_edge_rows(spark):
-    cases = {"a.b.wav": "a.b", ".wav": ".wav", "x": "x", "a.": "a", "..wav": "..wav", "d/e/f.txt": "f"}
+    cases = {"a.b.wav": "a.b", ".wav": ".wav", "x": "x", "a.": "a", "..wav": "..wav", "d/e/f.txt": "f",
+             "a..b": "a.", "...a.b": "...a", ".a.b": ".a", "a.b.": "a.b"}
     for k, v in cases.items():
         assert one(spark, paths.stem(F.col("x")), k) == v, k
 

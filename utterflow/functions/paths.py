@@ -24,8 +24,9 @@ def basename(col: Column | str) -> Column:
 
 
 def stem(col: Column | str) -> Column:
-    """Basename minus its last extension; a leading-dot name keeps its dot."""
-    return F.regexp_replace(basename(col), r"(?<=[^.])\.[^.]*\z", "")
+    """Basename minus its last extension, like Python's os.path.splitext:
+    the extension starts at the last dot, unless only dots precede it."""
+    return F.regexp_replace(basename(col), r"^(\.*[^.].*)\.[^.]*\z", "$1")
 
 
 def swap_extension(col: Column | str, old: str = ".wav", new: str = "") -> Column:

@@ -68,7 +68,7 @@ def _basename(x: str) -> str:
 
 
 def _stem(x: str) -> str:
-    return f"regexp_replace({_basename(x)}, '([^.])\\.[^.]*$', '\\1')"
+    return f"regexp_replace({_basename(x)}, '^(\\.*[^.].*)\\.[^.]*$', '\\1')"
 
 
 def _clean_transcript(x: str) -> str:
@@ -98,8 +98,8 @@ def _positions(partition: str = "") -> str:
 
 _VOCAB = """vocab AS (
   SELECT c AS char, CAST(row_number() OVER (ORDER BY count(*) DESC, c) + 3 AS INTEGER) AS id
-  FROM (SELECT unnest(string_split(text, '')) AS c FROM utt WHERE split = 'train') WHERE c <> ' '
-  GROUP BY c),
+  FROM (SELECT unnest(list_distinct(string_split(text, ''))) AS c FROM utt WHERE split = 'train')
+  WHERE c <> ' ' AND c <> '' GROUP BY c),
 labelled AS (
   SELECT u.*, coalesce(e.labels, []) AS labels
   FROM utt u LEFT JOIN (
