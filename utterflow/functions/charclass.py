@@ -37,6 +37,12 @@ def whitespace_class() -> str:
     return _klass([c for c in range(sys.maxunicode + 1) if chr(c).isspace()])
 
 
+@lru_cache(maxsize=None)
+def whitespace_chars() -> str:
+    """The same 29 code points as a literal string (for set-based trimming)."""
+    return "".join(chr(c) for c in range(sys.maxunicode + 1) if chr(c).isspace())
+
+
 @lru_cache(maxsize=None)
 def punctuation_class() -> str:
     """Every code point of Unicode general category P* (as Python sees it)."""

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .charclass import jvm_punctuation_class, punctuation_class, whitespace_class
+from .charclass import jvm_punctuation_class, punctuation_class, whitespace_chars, whitespace_class
 
 # Fixed values that must equal the reference's behaviour.
 UNK_TOKEN = "<unk>"
@@ -24,9 +24,8 @@ def _c(col: Column | str) -> Column:
 
 def collapse_whitespace(col: Column | str) -> Column:
     """Every run of Unicode whitespace becomes one space; both ends stripped."""
-    ws = whitespace_class()
-    x = F.regexp_replace(_c(col), ws + "+", " ")
-    return F.regexp_replace(x, r"^ | \z", "")
+    x = F.regexp_replace(_c(col), whitespace_class() + "++", " ")
+    return F.btrim(x, F.lit(" "))
 
 
 def split_words(col: Column | str) -> Column:
@@ -41,11 +40,10 @@ def normalize_words(col: Column | str, punct: str | None = None) -> Column:
     one space; strip whitespace at both ends; delete Unicode punctuation; split
     on " " and drop empty words. A lone tab or newline stays inside a word.
     """
-    ws = whitespace_class()
     x = F.lower(_c(col))
     x = F.regexp_replace(x, NON_WORD_PATTERN, "")
-    x = F.regexp_replace(x, ws + "{2,}", " ")
-    x = F.regexp_replace(x, "^" + ws + "+|" + ws + r"+\z", "")
+    x = F.regexp_replace(x, whitespace_class() + "{2,}+", " ")
+    x = strip_whitespace(x)
     x = F.regexp_replace(x, punct or _session_punct(), "")
     return split_words(x)
 
@@ -63,14 +61,18 @@ def clean_unk(col: Column | str) -> Column:
 
 def clean_transcript(col: Column | str) -> Column:
     """Seven ordered steps (not idempotent by design, like the reference)."""
-    ws = whitespace_class()
     x = F.regexp_replace(_c(col), " ?- ?", " ")
     x = F.regexp_replace(x, "\n+", " ")
     x = F.regexp_replace(x, "\r+", " ")
     x = F.regexp_replace(x, " +", " ")
     x = F.replace(x, F.lit("\\"), F.lit(""))
     x = F.replace(x, F.lit(BOM), F.lit(""))
-    return F.regexp_replace(x, "^" + ws + "+|" + ws + r"+\z", "")
+    return strip_whitespace(x)
+
+
+def strip_whitespace(col: Column | str) -> Column:
+    """Python's str.strip(): drop Unicode whitespace at both ends (set trim, ends only)."""
+    return F.btrim(_c(col), F.lit(whitespace_chars()))
 
 
 def clean_tsv_text(col: Column | str) -> Column:

@@ -29,6 +29,9 @@ def build_session(master: str | None = None, app: str = "utterflow",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # whole transcripts are long: small Arrow batches bound Python-worker
+        # memory and keep the JVM and Python sides of a task overlapping
+        "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
         "spark.driver.memory": os.environ.get("UTTERFLOW_DRIVER_MEMORY", "16g"),
     }
     if shuffle_partitions:
