@@ -30,4 +30,6 @@ def test_score_batches_equals_row_at_a_time(spark):
 def test_map_batches_batch_size(spark):
     df = spark.range(100).repartition(1)
     out = batch.map_batches(df, lambda pdf: pdf.assign(n=len(pdf)), "id long, n long", batch_size=30)
-    assert max(r.n for r in out.collect()) == 30
+    sizes = sorted(r.n for r in out.collect())
+    assert sizes.count(30) == 90 and sizes.count(10) == 10
+    assert sorted(r.id for r in out.collect()) == list(range(100))

@@ -19,15 +19,30 @@ def map_batches(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], schem
                 batch_size: int | None = None) -> DataFrame:
     """``map(fn, batched=True, batch_size=n)`` as ``mapInPandas``.
 
-    ``batch_size`` bounds the Arrow batch handed to ``fn`` (session setting
-    spark.sql.execution.arrow.maxRecordsPerBatch).
+    Arrow batches arriving in a task are re-cut into batches of exactly
+    ``batch_size`` rows (the last one of a partition may be shorter), so
+    ``fn`` sees the batch size it was written for without changing any
+    session setting. Parallelism is the number of partitions.
     """
-    if batch_size:
-        df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(batch_size))
-
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        if not batch_size:
+            for b in batches:
+                yield fn(b)
+            return
+        pending: list[pd.DataFrame] = []
+        held = 0
         for b in batches:
-            yield fn(b)
+            pending.append(b)
+            held += len(b)
+            if held < batch_size:
+                continue
+            buf = pd.concat(pending, ignore_index=True)
+            cut = (len(buf) // batch_size) * batch_size
+            for i in range(0, cut, batch_size):
+                yield fn(buf.iloc[i:i + batch_size].reset_index(drop=True))
+            pending, held = ([buf.iloc[cut:].reset_index(drop=True)], len(buf) - cut) if cut < len(buf) else ([], 0)
+        if held:
+            yield fn(pd.concat(pending, ignore_index=True))
 
     return df.mapInPandas(run, schema)
 

@@ -56,8 +56,8 @@ def _ints(col: Column | str) -> Column:
 
 @query("src_load_split")
 def src_load_split(spark, sf):
-    docs = readers.load_split(spark, f"{sf.rstrip('/')}/documents.parquet",
-                              columns=["doc_id", "source", "n_chars"], where=F.col("lang") == "en")
+    registry = readers.CorpusRegistry().register("documents", f"{sf.rstrip('/')}/documents.parquet", "lang")
+    docs = registry.load(spark, "documents", config="en", columns=["doc_id", "source", "n_chars"])
     u = docs.withColumn("split", fx._split_of(F.col("doc_id")))
     return u.where(F.col("split") == "test").select(F.col("doc_id").alias("utt_id"), "source", "n_chars")
 

@@ -30,6 +30,31 @@ def load_split(spark: SparkSession, path: str, split: str | None = None,
     return df.select(*columns) if columns else df
 
 
+class CorpusRegistry:
+    """Named corpora: name -> (parquet path, optional config column).
+
+    ``load(spark, name, config, split)`` reads one corpus, keeps one config
+    (e.g. a language) with a filter pushed into the scan and one split.
+    """
+
+    def __init__(self, entries: dict[str, tuple[str, str | None]] | None = None):
+        self.entries = dict(entries or {})
+
+    def register(self, name: str, path: str, config_column: str | None = None) -> "CorpusRegistry":
+        self.entries[name] = (path, config_column)
+        return self
+
+    def load(self, spark: SparkSession, name: str, config: str | None = None, split: str | None = None,
+             columns: list[str] | None = None) -> DataFrame:
+        path, config_column = self.entries[name]
+        where = None
+        if config is not None:
+            if config_column is None:
+                raise ValueError(f"corpus {name!r} has no config column")
+            where = F.col(config_column) == config
+        return load_split(spark, path, split, columns, where)
+
+
 def list_files(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
     """Recursive listing (path, name, length); file contents are never read."""
     df = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
