@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.paths import basename, stem
+from ..functions.paths import stem
 from ..functions.text import clean_transcript
 
 # Fixed values that must equal the reference's behaviour.

@@ -12,7 +12,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -201,11 +201,7 @@ def src_audiofolder(spark, sf):
                     _wav_headers(u).alias("content"))
     sinks.write_files(wavs, f"{base}/audio").write.format("noop").mode("overwrite").save()
     sinks.write_metadata_csv(_metadata_rows(u), f"{base}/meta")
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in ("file_name", "transcription", "speaker")]
-                          + [T.StructField("split", T.StringType())])
-    meta_root = f"{base}/meta"
-    af = readers.read_audiofolder(spark, f"{base}/audio", metadata_root=meta_root)
-    del schema
+    af = readers.read_audiofolder(spark, f"{base}/audio", metadata_root=f"{base}/meta")
     return af.select("split", "file_name", "transcription", "speaker", "length")
 
 

@@ -125,7 +125,6 @@ _METRICS = """metrics AS (
 
 
 def oracle_sql() -> dict[str, str]:
-    ws = whitespace_class()
     q: dict[str, str] = {}
     q["src_load_split"] = """SELECT doc_id AS utt_id, source, n_chars FROM documents
         WHERE lang = 'en' AND doc_id % 10 = 9"""
@@ -298,5 +297,4 @@ def oracle_sql() -> dict[str, str]:
     q["src_audiofolder"] = _with(f"""SELECT split, {_basename('path')} AS file_name, {_clean_transcript('raw')} AS transcription,
         source AS speaker, CAST(44 AS BIGINT) AS length FROM utt""")
     q["stream_prepare"] = _with("SELECT utt_id, split, n_samples FROM utt WHERE n_samples > 0 AND n_samples < 480000")
-    del ws
     return q
