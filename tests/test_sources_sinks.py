@@ -126,3 +126,19 @@ def test_tar_shards_and_transcript_join(spark, tmpdir_fresh):
     assert matched.count() == 11
     c = counts.first()
     assert (c.n_members, c.n_matched, c.n_unmatched) == (12, 11, 1)
+
+
+def test_whole_file_json_readers(spark, tmpdir_fresh):
+    d = os.path.join(tmpdir_fresh, "json")
+    os.makedirs(d)
+    open(os.path.join(d, "train.json"), "w").write('{"1": {"wav": "a.wav"},\n "2": {"wav": "b.wav"}}')
+    open(os.path.join(d, "records.json"), "w").write('[{"wav": "a.wav", "text": "x"},\n {"wav": "b.wav", "text": null}]')
+    open(os.path.join(d, "lit.txt"), "w").write("[{'file': 'a', 'text': 'it\\'s', 'speaker_name': None}]")
+    keyed = readers.read_keyed_json(spark, os.path.join(d, "train.json"))
+    assert sorted(r.wav for r in keyed.collect()) == ["a.wav", "b.wav"]
+    schema = T.StructType([T.StructField("wav", T.StringType()), T.StructField("text", T.StringType())])
+    rec = readers.read_json_records(spark, os.path.join(d, "records.json"), schema)
+    assert sorted((r.wav, r.text) for r in rec.collect()) == [("a.wav", "x"), ("b.wav", None)]
+    lschema = T.StructType([T.StructField(c, T.StringType()) for c in ("file", "text", "speaker_name")])
+    lit = readers.read_literal_records(spark, os.path.join(d, "lit.txt"), lschema)
+    assert [(r.file, r.text, r.speaker_name) for r in lit.collect()] == [("a", "it's", None)]

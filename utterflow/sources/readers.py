@@ -142,6 +142,28 @@ def parse_literal_records(df: DataFrame, schema: T.StructType, col: str = "value
     return a.select(*keep, F.inline("_a"))
 
 
+def _whole_files(spark: SparkSession, path: str) -> DataFrame:
+    """One row per file (value = whole content, plus the file name): a
+    whole-file JSON document is parsed inside the task that reads it."""
+    df = spark.read.text(path, wholetext=True)
+    return df.select(F.col("_metadata.file_name").alias("source_file"), "value")
+
+
+def read_keyed_json(spark: SparkSession, path: str) -> DataFrame:
+    """S8 over files: each file is one {"id": {"wav": ...}} object."""
+    return explode_keyed_json(_whole_files(spark, path), keep=("source_file",))
+
+
+def read_json_records(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """S9 over files: each file is one JSON array of records."""
+    return parse_json_records(_whole_files(spark, path), schema, keep=("source_file",))
+
+
+def read_literal_records(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """S10 over files: each file is one Python-literal list of records."""
+    return parse_literal_records(_whole_files(spark, path), schema, keep=("source_file",))
+
+
 def read_path_list(spark: SparkSession, path: str) -> DataFrame:
     """S11: 'speaker<TAB>file' lines -> 'speaker/file'."""
     return spark.read.text(path).select(F.translate(F.col("value"), "\t", "/").alias("path"))
