@@ -18,8 +18,6 @@ IGNORE_INDEX = -100            # label padding the loss ignores
 FRAMES_30S = 3000              # log-Mel frames in 30 s
 HOP = 160                      # samples per frame at 16 kHz
 CTC_BLANK = 0
-# Private-use block used to carry ids through ``translate`` (BMP, 6400 code points).
-_PUA_BASE, _PUA_SIZE = 0xE000, 0x1900
 
 
 def build_char_vocab(texts: DataFrame, text_col: str = "text") -> DataFrame:
@@ -43,30 +41,23 @@ def encode_labels(df: DataFrame, vocab: DataFrame, text_col: str = "text", out:
     """Per character id; space -> delimiter id; unknown character -> unk id.
 
     The vocabulary (bounded by the number of distinct characters) is pulled
-    to the driver once. If it fits the private-use block, each text is
-    encoded with a single ``translate`` (hash lookup per character) and the
-    code points are read back as ids; larger vocabularies use an exploded
-    broadcast join and regroup by ``key``.
+    to the driver once. When all its characters are in the Basic
+    Multilingual Plane, it becomes an int lookup array indexed by code point
+    (at most 65,536 entries), and each character costs one array access.
+    Other vocabularies use an exploded broadcast join and regroup by ``key``.
     """
     rows = vocab.select("char", "id").collect()
-    chars_in_vocab = {r["char"] for r in rows}
-    pua_free = not any(len(c) == 1 and _PUA_BASE <= ord(c) < _PUA_BASE + _PUA_SIZE for c in chars_in_vocab)
-    spare = next((c for c in ("\uffff", "\ufffe", "\ufdd0", "\ufdd1") if c not in chars_in_vocab), None)
-    if pua_free and spare and len(rows) + FIRST_CHAR_ID <= _PUA_SIZE \
-            and all(len(c) == 1 and ord(c) < 0x10000 for c in chars_in_vocab):
-        src = " " + "".join(r["char"] for r in rows)
-        dst = chr(_PUA_BASE + DELIM_ID) + "".join(chr(_PUA_BASE + r["id"]) for r in rows)
-        top = _PUA_BASE + FIRST_CHAR_ID + len(rows)
-        # characters already in the private-use block are unknown: move them out first
-        t = F.regexp_replace(F.col(text_col), "[\\x{e000}-\\x{f8ff}]", spare)
-        enc = F.translate(t, src, dst)
-
-        def to_id(c: Column) -> Column:
-            cp = F.ascii(c)
-            return F.when((cp >= _PUA_BASE) & (cp < top), cp - _PUA_BASE).otherwise(F.lit(UNK_ID)).cast("int")
-
-        chars = F.when(enc == "", F.array().cast("array<string>")).otherwise(F.split(enc, ""))
-        return df.withColumn(out, F.transform(chars, to_id))
+    chars = {r["char"]: int(r["id"]) for r in rows}
+    if all(len(c) == 1 and ord(c) < 0xD800 for c in chars):
+        size = max([ord(" ")] + [ord(c) for c in chars]) + 1
+        lut = [UNK_ID] * size
+        for c, i in chars.items():
+            lut[ord(c)] = i
+        lut[ord(" ")] = DELIM_ID
+        table = F.array(*[F.lit(v) for v in lut])
+        pieces = F.when(F.col(text_col) == "", F.array().cast("array<string>")).otherwise(F.split(F.col(text_col), ""))
+        ids = F.transform(pieces, lambda c: F.coalesce(F.get(table, F.ascii(c)), F.lit(UNK_ID)).cast("int"))
+        return df.withColumn(out, ids)
     return _encode_by_join(df, vocab, text_col, out, key)
 
 
