@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators import score
@@ -37,16 +38,25 @@ def running_wer(spark: SparkSession, pairs_stream: DataFrame, out_path: str, che
                 group_col: str = "split") -> DataFrame:
     """WER per split maintained while (reference, hypothesis) pairs arrive.
 
-    State is one (edits, words, pairs) row per split. Each micro-batch's
-    complete result overwrites a small parquet table in the shared folder.
+    State is one (edits, words, pairs) row per split. Each micro-batch writes
+    its complete result to its own ``epoch=<n>`` folder (a retried batch
+    rewrites the same folder), so a reader never sees a half-replaced table;
+    ``latest_wer`` returns the newest epoch.
     """
     edits = score.word_edits(pairs_stream, keys=(group_col, "utt_id"))
     agg = score.corpus_wer(edits, [group_col])
 
     def sink(batch: DataFrame, epoch: int) -> None:
-        batch.write.mode("overwrite").parquet(out_path)
+        batch.write.mode("overwrite").parquet(f"{out_path.rstrip('/')}/epoch={epoch}")
 
     q = (agg.writeStream.outputMode("complete").foreachBatch(sink)
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
-    return spark.read.parquet(out_path)
+    return latest_wer(spark, out_path)
+
+
+def latest_wer(spark: SparkSession, out_path: str) -> DataFrame:
+    """The newest complete result written by ``running_wer`` (one row per split)."""
+    df = spark.read.parquet(out_path)
+    newest = df.agg(F.max("epoch").alias("epoch"))
+    return df.join(F.broadcast(newest), "epoch", "left_semi").drop("epoch")
