@@ -360,7 +360,7 @@ def filter_excluded_sources(spark, sf):
 def mix_optional_group(spark, sf):
     u = fx.utt(spark, sf).select("utt_id", "source", "lang")
     base = [u.where(F.col("lang") == "en").withColumn("grp", F.lit("base")),
-            u.where(F.col("lang") == "fr").withColumn("grp", F.lit("base"))]
+            u.where(F.col("lang").isin("fr", "es")).withColumn("grp", F.lit("base"))]
     optional = [u.where(F.col("lang") == "de").withColumn("grp", F.lit("youtube"))]
     return mix.mix_optional(base, optional, include=True).select("utt_id", "grp")
 

@@ -163,7 +163,7 @@ def oracle_sql() -> dict[str, str]:
     ex = ", ".join(f"'{s}'" for s in C.EXCLUDED_SOURCES)
     q["filter_excluded_sources"] = _with(f"SELECT source, utt_id FROM utt WHERE source NOT IN ({ex})")
     q["mix_optional_group"] = _with("""SELECT utt_id, CASE WHEN lang = 'de' THEN 'youtube' ELSE 'base' END AS grp
-        FROM utt WHERE lang IN ('en', 'fr', 'de')""")
+        FROM utt""")
     exp = " UNION ALL ".join(f"SELECT '{s}' AS split, {n} AS expected" for s, n in C.EXPECTED_COUNTS)
     q["dq_row_counts"] = _with(f"""SELECT coalesce(a.split, e.split) AS split, CAST(coalesce(a.actual, 0) AS BIGINT) AS actual,
         CAST(e.expected AS BIGINT) AS expected, coalesce(a.actual, 0) = e.expected AS ok
