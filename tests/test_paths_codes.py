@@ -26,7 +26,7 @@ def test_unflatten_flatten_prefix(spark):
     assert one(spark, paths.flatten(F.col("x")), "a/b/c.wav") == "a_b_c.wav"
     assert one(spark, paths.id_prefix(F.col("x")), "abcdefghijklmnopq") == "abcdefghijklmn"
     assert one(spark, paths.id_prefix(F.col("x")), "short") == "short"
-    assert one(spark, paths.strip_prefix(F.col("x"), "vietmed/"), "vietmed/train/a.ogg") == "train/a.ogg"
+    assert one(spark, paths.strip_prefix(F.col("x"), "corpus/"), "corpus/train/a.ogg") == "train/a.ogg"
     assert one(spark, paths.swap_extension(F.col("x"), ".wav", ".txt"), "a.wav.wav") == "a.txt.txt"
 
 

@@ -504,7 +504,7 @@ def path_compose(spark, sf):
 @query("path_strip_prefix")
 def path_strip_prefix(spark, sf):
     u = _u(spark, sf)
-    return u.select("utt_id", paths.strip_prefix(F.concat(F.lit("vietmed/"), F.col("path")), "vietmed/")
+    return u.select("utt_id", paths.strip_prefix(F.concat(F.lit("corpus/"), F.col("path")), "corpus/")
                     .alias("file_name"))
 
 
