@@ -29,8 +29,8 @@ def collapse_whitespace(col: Column | str) -> Column:
 
 
 def split_words(col: Column | str) -> Column:
-    """Split on single spaces and drop empty words."""
-    return F.filter(F.split(_c(col), " "), lambda w: w != F.lit(""))
+    """Split on single spaces and drop empty words (built-in, code-generated)."""
+    return F.array_remove(F.split(_c(col), " "), "")
 
 
 def normalize_words(col: Column | str, punct: str | None = None) -> Column:
