@@ -21,6 +21,15 @@ def test_global_position_equals_row_number(spark):
     assert plan.count("SinglePartition") <= 1
 
 
+def test_global_position_keeps_null_keys(spark):
+    df = spark.createDataFrame([(None, 1, 0), (None, 2, 0), (1, 1, None), (1, 2, 0), (2, 1, 0)],
+                               "source_ord int, row_ord long, shard long")
+    got = sorted(((r.pos, r.source_ord, r.row_ord) for r in
+                  order.global_position(df, ["source_ord", "row_ord"], "shard").collect()), key=lambda t: t[0])
+    # nulls sort first (Spark's ascending default): the two null-source rows, then source 1, then 2
+    assert got == [(0, None, 1), (1, None, 2), (2, 1, 1), (3, 1, 2), (4, 2, 1)]
+
+
 def test_split_position_restarts(spark):
     u = fx.utt(spark, SF_SMALL).select("utt_id", "split", "source_ord", "row_ord", "shard")
     p = order.global_position(u, ["source_ord", "row_ord"], "shard", ["split"])

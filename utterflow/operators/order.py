@@ -38,9 +38,16 @@ def global_position(df: DataFrame, order_cols: Sequence[str], shard_col: str = "
     counts = ranked.groupBy(*block).agg(F.max("_bn").alias("_n"))
     offsets = _block_offsets(counts, part, lead, shard_col)
 
-    return (ranked.join(offsets, on=block, how="inner")
-            .withColumn(name, (F.col("_off") + F.col("_local")).cast("bigint"))
-            .drop("_off", "_local", "_bn"))
+    return _join_null_safe(ranked, offsets, block).withColumn(
+        name, (F.col("_off") + F.col("_local")).cast("bigint")).drop("_off", "_local", "_bn")
+
+
+def _join_null_safe(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Inner join on ``keys`` where null equals null (a null key is a group too)."""
+    r = right.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
+                     *[c for c in right.columns if c not in keys])
+    cond = [left[k].eqNullSafe(r[f"_k{i}"]) for i, k in enumerate(keys)]
+    return left.join(r, cond, "inner").drop(*[f"_k{i}" for i in range(len(keys))])
 
 
 def _cumulative(df: DataFrame, part: list[str], order_by: list[str], value: str) -> Column:
@@ -63,7 +70,7 @@ def _block_offsets(counts: DataFrame, part: list[str], lead: list[str], shard_co
                            _cumulative(counts, [*part, *lead], [shard_col], "_n").alias("_o1"))
     totals = counts.groupBy(*part, *lead).agg(F.sum("_n").alias("_t"))
     before = totals.select(*part, *lead, _cumulative(totals, part, lead, "_t").alias("_o2"))
-    return (within.join(before, on=[*part, *lead], how="inner")
+    return (_join_null_safe(within, before, [*part, *lead])
             .select(*part, *lead, shard_col, (F.col("_o1") + F.col("_o2")).alias("_off")))
 
 
