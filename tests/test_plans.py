@@ -38,3 +38,27 @@ def test_head_tail_uses_group_limit(spark):
     df.collect()
     assert "WindowGroupLimit" in df._jdf.queryExecution().executedPlan().toString() or \
         "WindowGroupLimit" in df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def final_plan(df):
+    df.write.format("noop").mode("overwrite").save()
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+def test_small_lookups_become_broadcast_at_run_time(spark):
+    """No hand-written hint; AQE measures the lookup side and broadcasts it."""
+    for key in ("join_split_assign", "join_strict_lookup", "join_shard_transcripts"):
+        p = final_plan(C.QUERIES[key](spark, SF_SMALL))
+        assert "BroadcastHashJoin" in p, key
+
+
+def test_positions_shuffle_rows_once(spark):
+    """Rows cross one block exchange; block counts travel as partial aggregates."""
+    p = final_plan(C.QUERIES["global_position"](spark, SF_SMALL)).splitlines()
+    row_level = 0
+    for i, line in enumerate(p):
+        if "Exchange hashpartitioning(source_ord" in line and "shard" in line:
+            child = next(x for x in p[i + 1:] if "AQEShuffleRead" not in x and "ShuffleQueryStage" not in x)
+            if "partial_count" not in child:
+                row_level += 1
+    assert row_level == 1

@@ -29,17 +29,15 @@ def global_position(df: DataFrame, order_cols: Sequence[str], shard_col: str = "
     *lead, last = list(order_cols)
     part = list(partition_cols)
     block = [*part, *lead, shard_col]
-    w = Window.partitionBy(*block)
-    ranked = (df.withColumn("_local", F.row_number().over(w.orderBy(last)) - 1)
-              .withColumn("_bn", F.count(F.lit(1)).over(w)))
-    # block sizes come from the windowed rows themselves: they are already
-    # partitioned by block, so this adds no shuffle of the data and the input
-    # is evaluated once (the exchange under the window is reused)
-    counts = ranked.groupBy(*block).agg(F.max("_bn").alias("_n"))
+    ranked = df.withColumn("_local", F.row_number().over(Window.partitionBy(*block).orderBy(last)) - 1)
+    # block sizes by partial aggregation: each map task sends one row per block
+    # it saw, so this branch re-reads only the block columns and shuffles a
+    # table the size of the block count, never the rows themselves
+    counts = df.groupBy(*block).agg(F.count(F.lit(1)).alias("_n"))
     offsets = _block_offsets(counts, part, lead, shard_col)
 
     return _join_null_safe(ranked, offsets, block).withColumn(
-        name, (F.col("_off") + F.col("_local")).cast("bigint")).drop("_off", "_local", "_bn")
+        name, (F.col("_off") + F.col("_local")).cast("bigint")).drop("_off", "_local")
 
 
 def _join_null_safe(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
