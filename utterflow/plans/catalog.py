@@ -788,7 +788,7 @@ def stream_prepare(spark, sf):
     schema = fx.read_table(spark, sf, "documents").schema
 
     def transform(docs: DataFrame) -> DataFrame:
-        u = fx.derive_utt(docs.repartition(score.shuffle_partitions(spark), "doc_id"))
+        u = fx.derive_utt(docs.repartition(2 * spark.sparkContext.defaultParallelism, "doc_id"))
         return u.where(mix.audio_length_ok(F.col("n_samples"))).select("utt_id", "split", "n_samples")
 
     base = _scratch(spark, "stream-prepare")
@@ -801,7 +801,7 @@ def stream_wer(spark, sf):
     from ..streaming.stream import running_wer
     schema = fx.read_table(spark, sf, "documents").schema
     docs = spark.readStream.schema(schema).option("pathGlobFilter", "documents.parquet").parquet(sf.rstrip("/"))
-    u = fx.derive_utt(docs.repartition(score.shuffle_partitions(spark), "doc_id"))
+    u = fx.derive_utt(docs.repartition(2 * spark.sparkContext.defaultParallelism, "doc_id"))
     pairs = u.select("split", "utt_id", F.col("raw").alias("ref"),
                      fx.hypothesis(F.col("utt_id"), F.col("text")).alias("hyp"))
     base = _scratch(spark, "stream-wer")

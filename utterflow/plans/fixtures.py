@@ -69,12 +69,12 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def spread_if_narrow(df: DataFrame, key: str) -> DataFrame:
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
+    """Hash-spread ``df`` over 2x the cluster's cores when its scan has fewer
+    splits than cores; leave wide inputs alone (no shuffle)."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= cores:
         return df
-    n = max(cores, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
-    return df.repartition(n, key)
+    return df.repartition(2 * cores, key)
 
 
 def utt(spark: SparkSession, sf_dir: str) -> DataFrame:

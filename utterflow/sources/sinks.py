@@ -95,11 +95,13 @@ def write_tar_shards(df: DataFrame, root: str, shard: str = "shard", member: str
                      content: str = "content", n_partitions: int | None = None) -> DataFrame:
     """tar.gz shards: rows are hash-partitioned by shard, and each task streams
     the members of the shards it holds into root/<shard>.tar.gz. Returns
-    (shard, n_members) rows; the write happens when that frame is evaluated."""
+    (shard, n_members) rows; the write happens when that frame is evaluated.
+    All members of a shard land in one task, so each shard file is written once."""
     base = _posix_root(root)
-    n = n_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
     parts = df.select(F.col(shard).cast("string").alias("_shard"), F.col(member).alias("_member"),
-                      F.col(content).alias("_content")).repartition(n, "_shard")
+                      F.col(content).alias("_content"))
+    # without an explicit count AQE sizes the writer tasks (a task may write several shards)
+    parts = parts.repartition(n_partitions, "_shard") if n_partitions else parts.repartition("_shard")
 
     def run(batches):
         import io

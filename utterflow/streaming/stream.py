@@ -35,13 +35,15 @@ def prepare_stream(spark: SparkSession, source: str, schema: T.StructType,
 
 
 def running_wer(spark: SparkSession, pairs_stream: DataFrame, out_path: str, checkpoint: str,
-                group_col: str = "split") -> DataFrame:
+                group_col: str = "split", state_partitions: int = 4) -> DataFrame:
     """WER per split maintained while (reference, hypothesis) pairs arrive.
 
     State is one (edits, words, pairs) row per split. Each micro-batch writes
     its complete result to its own ``epoch=<n>`` folder (a retried batch
     rewrites the same folder), so a reader never sees a half-replaced table;
-    ``latest_wer`` returns the newest epoch.
+    ``latest_wer`` returns the newest epoch. The state holds one row per
+    split, so it lives in ``state_partitions`` partitions (recorded in the
+    checkpoint at the first start) instead of the session's shuffle width.
     """
     edits = score.word_edits(pairs_stream, keys=(group_col, "utt_id"))
     agg = score.corpus_wer(edits, [group_col])
@@ -49,8 +51,14 @@ def running_wer(spark: SparkSession, pairs_stream: DataFrame, out_path: str, che
     def sink(batch: DataFrame, epoch: int) -> None:
         batch.write.mode("overwrite").parquet(f"{out_path.rstrip('/')}/epoch={epoch}")
 
-    q = (agg.writeStream.outputMode("complete").foreachBatch(sink)
-         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    key = "spark.sql.shuffle.partitions"
+    previous = spark.conf.get(key)
+    spark.conf.set(key, str(state_partitions))
+    try:
+        q = (agg.writeStream.outputMode("complete").foreachBatch(sink)
+             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    finally:
+        spark.conf.set(key, previous)
     q.awaitTermination()
     return latest_wer(spark, out_path)
 
