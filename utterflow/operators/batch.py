@@ -1,8 +1,13 @@
-"""User-function surfaces (U2, U5, U6): batched maps and pluggable predictors.
-
-Native expressions come first everywhere; these exist for functions Spark
-cannot see into (a model, an opaque per-batch transform). Rows reach Python
-in Arrow batches; parallelism is the number of partitions.
+"""User-function surfaces (U1-U6): row maps, filters, batched maps, pluggable predictors.
+
+U1 (``map(fn)`` row transforms) and U3 (``filter(fn, input_columns=...)``)
+are native Column expressions throughout: ``functions/*`` for maps and
+``operators.mix.audio_length_ok`` / ``label_length_ok`` for predicates, so
+Catalyst can push and prune them. U4 (a generator-backed source builder) is
+the tar-shard DataSource in ``sources/tarshards.py``. The functions below
+exist for code Spark cannot see into (a model, an opaque per-batch
+transform): rows reach Python in Arrow batches; parallelism is the number
+of partitions.
 """
 
 from __future__ import annotations

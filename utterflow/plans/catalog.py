@@ -352,7 +352,7 @@ def dq_blank_transcripts(spark, sf):
 
 @query("filter_excluded_sources")
 def filter_excluded_sources(spark, sf):
-    ex = spark.createDataFrame([(s,) for s in EXCLUDED_SOURCES], "source string")
+    ex = readers.from_columns(spark, {"source": list(EXCLUDED_SOURCES)}, "source string")
     return mix.exclude_sources(fx.utt(spark, sf).select("utt_id", "source"), ex)
 
 

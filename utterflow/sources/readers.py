@@ -30,6 +30,15 @@ def load_split(spark: SparkSession, path: str, split: str | None = None,
     return df.select(*columns) if columns else df
 
 
+def from_columns(spark: SparkSession, columns: dict[str, list], schema: T.StructType | str) -> DataFrame:
+    """A dataset from in-memory columns (small, driver-held inputs only,
+    e.g. a list of excluded corpora). Large generated inputs belong in a
+    partitioned source such as ``sources.tarshards`` so no driver holds them."""
+    names = list(columns)
+    rows = list(zip(*[columns[n] for n in names])) if names else []
+    return spark.createDataFrame(rows, schema)
+
+
 class CorpusRegistry:
     """Named corpora: name -> (parquet path, optional config column).
 
