@@ -142,3 +142,19 @@ def test_whole_file_json_readers(spark, tmpdir_fresh):
     lschema = T.StructType([T.StructField(c, T.StringType()) for c in ("file", "text", "speaker_name")])
     lit = readers.read_literal_records(spark, os.path.join(d, "lit.txt"), lschema)
     assert [(r.file, r.text, r.speaker_name) for r in lit.collect()] == [("a", "it's", None)]
+
+
+def test_file_and_shard_writers_publish_atomically(spark, tmpdir_fresh):
+    df = spark.createDataFrame([(f"s{i % 3}", f"m{i}.wav", f"x{i}".encode()) for i in range(30)],
+                               "shard string, member string, content binary")
+    out = os.path.join(tmpdir_fresh, "tars")
+    counts = {r.shard: r.n_members for r in sinks.write_tar_shards(df, out).collect()}
+    assert counts == {"s0": 10, "s1": 10, "s2": 10}
+    assert sorted(os.listdir(out)) == ["s0.tar.gz", "s1.tar.gz", "s2.tar.gz"]      # no temp files left
+    with tarfile.open(os.path.join(out, "s1.tar.gz")) as tf:
+        assert sorted(m.name for m in tf.getmembers()) == sorted(f"m{i}.wav" for i in range(1, 30, 3))
+    files = df.select(F.concat("shard", F.lit("/"), "member").alias("relpath"), "content")
+    fout = os.path.join(tmpdir_fresh, "files")
+    assert sum(r.n_files for r in sinks.write_files(files, fout).collect()) == 30
+    written = sorted(os.path.join(d, f) for d in os.listdir(fout) for f in os.listdir(os.path.join(fout, d)))
+    assert len(written) == 30 and not any(".tmp-" in w for w in written)
