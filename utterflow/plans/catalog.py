@@ -783,13 +783,21 @@ def score_batches(spark, sf):
 
 @query("stream_prepare")
 def stream_prepare(spark, sf):
+    """Corpus rows stream in; unify (P4), audio length (F1), labels from a
+    static vocabulary (R1), label length (F2); appended to a parquet sink."""
     from ..streaming.stream import prepare_stream
     src = sf.rstrip("/")
     schema = fx.read_table(spark, sf, "documents").schema
+    vocab = arrays.build_char_vocab(fx.utt(spark, sf).where(F.col("split") == "train"), "text")
 
     def transform(docs: DataFrame) -> DataFrame:
         u = fx.derive_utt(docs.repartition(2 * spark.sparkContext.defaultParallelism, "doc_id"))
-        return u.where(mix.audio_length_ok(F.col("n_samples"))).select("utt_id", "split", "n_samples")
+        u = u.select("utt_id", "split", F.struct(F.col("path"), F.col("n_samples"), F.col("sampling_rate")).alias("audio"),
+                     F.col("text").alias("transcription"))
+        canonical = mix.unify(u, 0).where(mix.audio_length_ok(F.col("audio.n_samples")))
+        lab = arrays.encode_labels(canonical, vocab, "transcription", "labels")
+        return lab.where(mix.label_length_ok(F.col("labels"))).select(
+            "utt_id", "split", F.col("audio.n_samples").alias("n_samples"), F.size("labels").alias("label_length"))
 
     base = _scratch(spark, "stream-prepare")
     return prepare_stream(spark, src, schema, transform, f"{base}/out", f"{base}/checkpoint",

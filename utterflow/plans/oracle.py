@@ -296,5 +296,6 @@ def oracle_sql() -> dict[str, str]:
     q["src_sidecar_text"] = _with(f"SELECT {_stem('path')} AS stem, text || chr(10) AS text FROM utt")
     q["src_audiofolder"] = _with(f"""SELECT split, {_basename('path')} AS file_name, {_clean_transcript('raw')} AS transcription,
         source AS speaker, CAST(44 AS BIGINT) AS length FROM utt""")
-    q["stream_prepare"] = _with("SELECT utt_id, split, n_samples FROM utt WHERE n_samples > 0 AND n_samples < 480000")
+    q["stream_prepare"] = _with("""SELECT utt_id, split, n_samples, CAST(length(text) AS INTEGER) AS label_length FROM utt
+        WHERE n_samples > 0 AND n_samples < 480000 AND length(text) < 448""")
     return q
