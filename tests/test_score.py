@@ -15,7 +15,7 @@ def pairs_df(spark, rows):
 
 
 EDGE = [("a b c d", "a x c", 2), ("a b", "a b", 0), ("", "x y", 2), ("w", "", 1), ("", "", 0),
-        ("Xin chào, BẠN!", "xin chao ban", 2)]
+        ("Xin chào, BẠN!", "xin chao ban", 2), (None, "x y", 2), ("a b", None, 2)]
 
 
 @pytest.mark.parametrize("method", ["bitparallel", "native"])

@@ -42,8 +42,8 @@ def word_edits(pairs: DataFrame, ref: str = "ref", hyp: str = "hyp",
                pair_key: str = "utt_id", method: str | None = None) -> DataFrame:
     """A1: keys + ref_words, hyp_words, edits (substitutions + deletions + insertions).
 
-    Both sides are normalized (X16). An empty reference counts every
-    hypothesis word as an insertion. ``pair_key`` identifies a pair; pass
+    Both sides are normalized (X16). An empty (or null) reference counts
+    every hypothesis word as an insertion. ``pair_key`` identifies a pair; pass
     ``spread_key`` when the input is not yet hash-partitioned on it.
 
     The method defaults to the session setting spark.utterflow.editDistance.
@@ -57,7 +57,9 @@ def word_edits(pairs: DataFrame, ref: str = "ref", hyp: str = "hyp",
     base = pairs.select(*keys, F.col(ref).alias("_ref"), F.col(hyp).alias("_hyp"))
     if spread_key:
         base = spread(base, spread_key)
-    words = base.select(*keys, normalize_words("_ref").alias("_rw"), normalize_words("_hyp").alias("_hw"))
+    empty = F.array().cast("array<string>")          # a null transcript scores as an empty one
+    words = base.select(*keys, F.coalesce(normalize_words("_ref"), empty).alias("_rw"),
+                        F.coalesce(normalize_words("_hyp"), empty).alias("_hw"))
     if method == "bitparallel":
         return words.select(*keys, F.size("_rw").cast("bigint").alias("ref_words"),
                             F.size("_hw").cast("bigint").alias("hyp_words"),
