@@ -98,14 +98,3 @@ def _codepoint_hex(k: Column) -> Column:
 def ids_to_string(ids: Column) -> Column:
     """int array -> string with one character per id (one decode per row)."""
     return F.decode(F.unhex(F.array_join(F.transform(ids, _codepoint_hex), "")), "UTF-32")
-
-
-def word_ids(words: Column, vocab: Column) -> Column:
-    """1-based position of each word in the pair's distinct-word list."""
-    return F.transform(words, lambda w: F.array_position(vocab, w).cast("int"))
-
-
-def pair_vocab(ref: Column, hyp: Column) -> Column:
-    """Distinct words of a (reference, hypothesis) pair; project it as its own
-    column so it is computed once per row, not once per word."""
-    return F.array_distinct(F.concat(ref, hyp))

@@ -1,10 +1,11 @@
 """Word error rate: per-pair edit distance, corpus WER, gates.
 
-All scoring is built-in JVM expressions: the normalizer is a regex chain, the
-word-level edit distance is Spark's ``levenshtein`` over strings that carry
-one character per word (see ``functions.text.encode_word_pair``), and corpus
-WER is an integer sum/sum ratio computed with partial + final hash
-aggregation, so only one small row per (map task, split) crosses the shuffle.
+The normalizer is a chain of built-in regex/trim expressions (JVM, code
+generated). The word-level edit distance is either a bit-parallel dynamic
+program in an Arrow-batched pandas UDF (default) or, all in the JVM, Spark's
+``levenshtein`` over strings carrying one character per word. Corpus WER is
+an integer sum/sum ratio with partial + final hash aggregation, so only one
+small row per (map task, split) crosses the shuffle.
 """
 
 from __future__ import annotations
