@@ -30,6 +30,13 @@ def test_global_position_keeps_null_keys(spark):
     assert got == [(0, None, 1), (1, None, 2), (2, 1, 1), (3, 1, 2), (4, 2, 1)]
 
 
+def test_global_position_derives_range_shards(spark):
+    df = spark.range(1000).select((F.col("id") % 3).alias("src"), (999 - F.col("id")).alias("row_ord"))
+    p = order.global_position(df, ["src", "row_ord"], rows_per_shard=64)
+    got = sorted((r.src, r.row_ord, r.pos) for r in p.collect())
+    assert [g[2] for g in got] == list(range(1000))
+
+
 def test_split_position_restarts(spark):
     u = fx.utt(spark, SF_SMALL).select("utt_id", "split", "source_ord", "row_ord", "shard")
     p = order.global_position(u, ["source_ord", "row_ord"], "shard", ["split"])

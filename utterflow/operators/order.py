@@ -20,13 +20,18 @@ from pyspark.sql import functions as F
 
 
 def global_position(df: DataFrame, order_cols: Sequence[str], shard_col: str = "shard",
-                    partition_cols: Sequence[str] = (), name: str = "pos") -> DataFrame:
+                    partition_cols: Sequence[str] = (), name: str = "pos",
+                    rows_per_shard: int | None = None) -> DataFrame:
     """O1/O2: 0-based stable position in (order_cols) order, restarting per partition_cols.
 
     ``shard_col`` must be a range of the last order column within the leading
-    ones (e.g. shard = row_ord div 250 inside a source).
+    ones (e.g. shard = row_ord div 250 inside a source). With
+    ``rows_per_shard`` the shard is derived that way (a stored, repeatable
+    range, never the partition id); real corpora use file-sized shards.
     """
     *lead, last = list(order_cols)
+    if rows_per_shard is not None:
+        df = df.withColumn(shard_col, F.floor(F.col(last) / F.lit(rows_per_shard)).cast("bigint"))
     part = list(partition_cols)
     block = [*part, *lead, shard_col]
     ranked = df.withColumn("_local", F.row_number().over(Window.partitionBy(*block).orderBy(last)) - 1)
