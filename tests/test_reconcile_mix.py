@@ -63,3 +63,21 @@ def test_jsonl_basename_and_unify(spark):
     c = spark.createDataFrame([(1, "x", "y")], "audio int, transcription string, other string")
     assert mix.unify(c, 1).columns == ["audio", "transcription"]
     assert mix.unify(c, 0).columns == ["audio", "transcription", "other"]
+
+
+def test_corpus_registry_pushes_config_filter(spark):
+    from conftest import SF_SMALL
+    reg = readers.CorpusRegistry().register("docs", f"{SF_SMALL}/documents.parquet", "lang")
+    df = reg.load(spark, "docs", config="fr", columns=["doc_id", "lang"])
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(lang,fr)" in plan and {r.lang for r in df.collect()} == {"fr"}
+    try:
+        readers.CorpusRegistry().register("x", f"{SF_SMALL}/documents.parquet").load(spark, "x", config="fr")
+        raise AssertionError("expected an error for a corpus without a config column")
+    except ValueError:
+        pass
+
+
+def test_from_columns(spark):
+    df = readers.from_columns(spark, {"source": ["a", "b"], "n": [1, 2]}, "source string, n int")
+    assert rows(df) == [("a", 1), ("b", 2)]
