@@ -62,11 +62,15 @@ def jvm_punctuation_class(spark) -> str:
     tables and Python's disagree. The JVM side is asked once per session with
     one ``replaceAll`` over a string of all code points.
     """
-    key = spark.sparkContext.applicationId
+    try:
+        key = spark.sparkContext.applicationId
+        jvm = spark.sparkContext._jvm
+    except Exception:             # no driver JVM handle (e.g. Spark Connect): exact but slower class
+        return punctuation_class()
     if key in _JVM_PUNCT_CACHE:
         return _JVM_PUNCT_CACHE[key]
     every = "".join(chr(c) for c in range(sys.maxunicode + 1) if not 0xD800 <= c <= 0xDFFF)
-    pattern = spark.sparkContext._jvm.java.util.regex.Pattern.compile("[^\\p{P}]")
+    pattern = jvm.java.util.regex.Pattern.compile("[^\\p{P}]")
     java_p = {ord(ch) for ch in pattern.matcher(every).replaceAll("")}
     py_p = {c for c in range(sys.maxunicode + 1) if unicodedata.category(chr(c)).startswith("P")}
     extra = sorted(py_p - java_p)

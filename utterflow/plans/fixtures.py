@@ -71,10 +71,12 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def spread_if_narrow(df: DataFrame, key: str) -> DataFrame:
     """Hash-spread ``df`` over 2x the cluster's cores when its scan has fewer
     splits than cores; leave wide inputs alone (no shuffle)."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        narrow = df.rdd.getNumPartitions() < cores
+    except Exception:             # no RDD access (e.g. Spark Connect): leave the scan as it is
         return df
-    return df.repartition(2 * cores, key)
+    return df.repartition(2 * cores, key) if narrow else df
 
 
 def utt(spark: SparkSession, sf_dir: str) -> DataFrame:
