@@ -60,8 +60,12 @@ def ship_package(spark: SparkSession) -> None:
     pickled by reference, so workers must import it. The package is zipped
     once per SparkContext and distributed with ``addPyFile``.
     """
-    sc = spark.sparkContext
-    if sc.applicationId in _SHIPPED:
+    try:
+        sc = spark.sparkContext
+        app = sc.applicationId
+    except Exception:             # e.g. Spark Connect: ship through artifacts instead
+        sc, app = None, f"session-{id(spark)}"
+    if app in _SHIPPED:
         return
     import zipfile
     pkg = os.path.dirname(os.path.abspath(__file__))
@@ -72,8 +76,11 @@ def ship_package(spark: SparkSession) -> None:
                 if f.endswith(".py"):
                     full = os.path.join(root, f)
                     z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
-    sc.addPyFile(out)
-    _SHIPPED.add(sc.applicationId)
+    if sc is not None:
+        sc.addPyFile(out)
+    else:
+        spark.addArtifacts(out, pyfile=True)
+    _SHIPPED.add(app)
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
@@ -82,12 +89,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as
     is. Only when it is unset (local tests) a fresh scratch folder is made.
     """
-    sc = spark.sparkContext
-    d = spark.conf.get(CHECKPOINT_KEY, None) or sc.getConf().get(CHECKPOINT_KEY, None)
+    d = spark.conf.get(CHECKPOINT_KEY, None)
+    try:
+        sc = spark.sparkContext
+    except Exception:             # e.g. Spark Connect: the server owns the context
+        sc = None
+    if not d and sc is not None:
+        d = sc.getConf().get(CHECKPOINT_KEY, None)
     if not d:
         d = tempfile.mkdtemp(prefix="utterflow-ckpt-")
         spark.conf.set(CHECKPOINT_KEY, d)
-    if sc.getCheckpointDir() is None:
+    if sc is not None and sc.getCheckpointDir() is None:
         sc.setCheckpointDir(d)
     return d
 
