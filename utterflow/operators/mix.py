@@ -101,9 +101,10 @@ def mix_optional(base: Sequence[DataFrame], optional: Sequence[DataFrame], inclu
 def exclude_sources(df: DataFrame, excluded: DataFrame, key: str = "source") -> DataFrame:
     """drop corpora listed in an exclusion table (left anti join).
 
-    The exclusion list is a handful of corpus names, so it is broadcast.
+    No hint: Spark broadcasts the list when its measured size is below the
+    broadcast threshold (a handful of names always is) and shuffles otherwise.
     """
-    return df.join(F.broadcast(excluded), on=key, how="left_anti")
+    return df.join(excluded.select(key).distinct(), on=key, how="left_anti")
 
 
 def corpus_mix(df: DataFrame, source: str = "source") -> DataFrame:

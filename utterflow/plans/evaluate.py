@@ -34,7 +34,7 @@ def evaluate(truths: DataFrame, predictions: DataFrame, keys: Sequence[str] = ("
     wer = score.wer_gate(score.corpus_wer(edits, [k_[0]]))
     check = score.pred_truth_match(truths, predictions, k_, k_[0])
     bad = wer.where(F.col("status") != "ok").select(k_[0])
-    suspicious = pairs.join(F.broadcast(bad), k_[0], "left_semi")   # one row per split: bounded
+    suspicious = pairs.join(bad, k_[0], "left_semi")      # one row per split: AQE broadcasts it
     samples = order.head_tail(suspicious, [k_[0]], order_col, k).select(
         k_[0], "end", "rank_in_end", *k_[1:], F.col("ref").alias("reference"), F.col("hyp").alias("prediction"))
     return EvalReport(wer=wer, check=check, samples=samples)
