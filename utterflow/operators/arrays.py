@@ -130,11 +130,14 @@ def ctc_greedy(frames: DataFrame, utt: str = "utt", frame: str = "frame", scores
     best = F.array_position(F.col(scores), F.array_max(F.col(scores))) - 1
     per = frames.select(utt, F.struct(F.col(frame).alias("f"), best.cast("int").alias("c")).alias("_fc"))
     g = per.groupBy(utt).agg(F.sort_array(F.collect_list("_fc")).alias("_s"))
-    cls = F.transform("_s", lambda x: x["c"])
+    # project the class sequence as a column, so the collapse lambda reads it
+    # (O(1) per frame) instead of rebuilding it for every frame
+    g = g.select(utt, F.size("_s").alias("n_frames"), F.transform("_s", lambda x: x["c"]).alias("_c"))
+    cls = F.col("_c")
     collapsed = F.filter(cls, lambda x, i: (i == 0) | (x != F.get(cls, i - 1)))
     kept = F.filter(collapsed, lambda x: x != CTC_BLANK)
     text = F.array_join(F.transform(kept, lambda x: F.substring(F.lit(alphabet), x, 1)), "")
-    return g.select(utt, F.size("_s").alias("n_frames"), text.alias("text"))
+    return g.select(utt, "n_frames", text.alias("text"))
 
 
 def _ctc_alphabet() -> str:
