@@ -6,10 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import line_dedup
 from .bpe import op2_byte_bpe
+from .line_dedup import op5_line_dedup
+from .simhash import op3_simhash_near_dedup
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_byte_bpe": op2_byte_bpe,
+    "op3_simhash_near_dedup": op3_simhash_near_dedup,
+    "op5_line_dedup": op5_line_dedup,
 }
 
-LLM_ORACLE_SQL: dict[str, str] = {}
+LLM_ORACLE_SQL: dict[str, str] = {
+    "op5_line_dedup": line_dedup.ORACLE,
+}
