@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 
 from .common import documents, small_batches
 
-CACHED_PIECES = 400_000       # memo sizes only bound memory; results do not depend on them
+CACHED_PIECES = 250_000       # memo sizes only bound memory; results do not depend on them
 CACHED_PIECE_CHARS = 64
 
 
@@ -110,7 +110,7 @@ class ByteBpe:
                 before, a = undo_a, self._split(a)[1]
             else:
                 before, b = undo_b, self._split(b)[0]
-        if len(self.fits) >= 4 * CACHED_PIECES:
+        if len(self.fits) >= 2 * CACHED_PIECES:
             self.fits.clear()
         self.fits[key] = ok
         return ok

@@ -10,10 +10,12 @@ from . import line_dedup
 from .bpe import op2_byte_bpe
 from .line_dedup import op5_line_dedup
 from .simhash import op3_simhash_near_dedup
+from .toxicity import op4_toxicity
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_byte_bpe": op2_byte_bpe,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
+    "op4_toxicity": op4_toxicity,
     "op5_line_dedup": op5_line_dedup,
 }
 
