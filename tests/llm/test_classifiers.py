@@ -1,0 +1,85 @@
+import zlib
+
+import numpy as np
+
+from utterflow.llm import labelled, quality, toxicity
+from utterflow.llm.queries import LLM_QUERIES
+
+SF = "/root/testdata/sf0.01"
+
+
+def test_hold_out_split(spark):
+    rows = [(i,) for i in range(200)] + [(None,)]
+    got = spark.createDataFrame(rows, "doc_id long").select("doc_id", labelled.held_out("doc_id").alias("h")).collect()
+    for r in got:
+        assert r.h == (r.doc_id is not None and zlib.crc32(str(r.doc_id).encode()) % 5 == 0)
+
+
+def test_boosting_and_isotonic():
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(3000, 4))
+    y = ((x[:, 0] > 0.3) ^ (x[:, 1] > 0)).astype(float)
+    raw = toxicity.boost(x[:2000], y[:2000])(x[2000:])
+    assert ((raw > 0) == (y[2000:] > 0)).mean() > 0.95
+    at, p = toxicity.isotonic(raw, y[2000:])
+    assert (np.diff(p) >= 0).all() and (np.diff(at) >= 0).all() and 0 <= p.min() <= p.max() <= 1
+    assert toxicity.boost(x[:10], np.ones(10)).trees == []
+
+
+def test_toxicity_held_out(spark):
+    labels = spark.read.parquet(f"{SF}/labels.parquet").select("doc_id", "toxic")
+    out = LLM_QUERIES["op4_toxicity"](spark, SF)
+    assert out.columns == ["doc_id", "held_out", "score", "predicted"]
+    rows = out.join(labels, "doc_id").where("held_out").collect()
+    toxic, clean = [r.score for r in rows if r.toxic], [r.score for r in rows if not r.toxic]
+    auc = np.mean([(t > c) + 0.5 * (t == c) for t in toxic for c in clean])
+    assert auc > 0.85 and np.mean([r.predicted == r.toxic for r in rows]) > 0.95
+    assert all(0 <= r.score <= 1 for r in rows) and out.count() == 1000
+
+
+def test_toxicity_odd_input(spark):
+    schema = "doc_id long, text string, score string, held_out int, lang string"
+    rows = [(1, None, "", 1, ""), (2, "", None, None, None), (2, "", None, None, None), (None, "you F00L!!", "", 0, ""),
+            (3, "x " * 60_000, "", 0, "")]
+    df = spark.createDataFrame(rows, schema)
+    labels = spark.createDataFrame([(1, None), (2, 1), (2, 0), (None, 1), (3, 0), (77, 1)], "doc_id long, toxic int")
+    got = toxicity.score(df, toxicity.fit(df, labels)).collect()
+    assert len(got) == 5 and all(0 <= r.score <= 1 for r in got)
+    none = spark.createDataFrame([], schema)
+    assert toxicity.score(none, toxicity.fit(none, labels)).count() == 0
+    assert toxicity.score(df, toxicity.fit(df, labels.limit(0))).count() == 5
+
+
+def test_ordinal_regression_orders_three_grades():
+    rng = np.random.default_rng(0)
+    rows, y = [], []
+    for _ in range(900):
+        z = rng.normal()
+        rows.append((np.array([5, 9], np.int32), np.array([z, 0.3 * rng.normal()], np.float32)))
+        y.append(0.0 if z < -0.7 else 2.0 if z > 0.9 else 1.0)
+    m = quality.fit_ordinal(rows, np.array(y), steps=400)
+    assert (np.diff(m.cuts) > 0).all()
+    margin = np.array([m.margin(*r) for r in rows])
+    grade, tail = m.judge(margin, 2.0)
+    assert np.abs(grade - y).mean() < 0.25 and ((tail >= 0.5) == (np.array(y) == 2)).mean() > 0.9
+    assert (m.tails(margin)[:, 0] >= m.tails(margin)[:, 1]).all()
+
+
+def test_quality_held_out(spark):
+    labels = spark.read.parquet(f"{SF}/labels.parquet").select("doc_id", "quality")
+    rows = LLM_QUERIES["op6_quality_classifier"](spark, SF).join(labels, "doc_id").where("held_out").collect()
+    good = [r for r in rows if r.quality == 1]
+    assert sum(r.keep for r in good) >= 0.98 * len(good)
+    assert np.mean([r.keep == (r.quality == 1) for r in rows]) > 0.93
+
+
+def test_quality_odd_input(spark):
+    schema = "doc_id long, text string, keep string, c0 int, expected_grade int"
+    rows = [(1, None, "", 1, 1), (2, "", None, None, None), (2, "", None, None, None), (None, "word", "", 0, 0), (3, "!! " * 50_000, "", 0, 0)]
+    df = spark.createDataFrame(rows, schema)
+    labels = spark.createDataFrame([(1, 1), (2, None), (3, 0), (None, 1)], "doc_id long, quality int")
+    got = quality.judged(df, quality.fit(df, labels), carry=["doc_id", "text"]).collect()
+    assert len(got) == 5 and got[0].asDict().keys() >= {"doc_id", "text", "keep"}
+    unrated = quality.judged(df, quality.fit(df, labels.limit(0))).collect()
+    assert all(r.keep and r.expected_grade is None for r in unrated)
+    assert quality.judged(spark.createDataFrame([], schema), quality.fit(df, labels)).count() == 0

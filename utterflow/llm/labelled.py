@@ -19,7 +19,8 @@ def training_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: s
 
     Rows are taken by a hash of their id, so the sample does not depend on how
     the table is laid out. Null labels don't count; of several labels of one id
-    the largest does. The sampled ids are broadcast: their number is bounded by
+    the largest does. Of equal texts with equal labels one stays, so copies do
+    not weigh more than other texts. The sampled ids are broadcast: their number is bounded by
     ``max_rows`` whatever the table's size.
     """
     rated = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & ~held_out(id_col)) \
@@ -29,4 +30,5 @@ def training_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: s
         .where(F.pmod("_u", F.lit(n)) < max_rows)
     return docs.select(F.col(id_col).alias("_doc"), F.coalesce(text_col, F.lit("")).alias("text")) \
         .join(F.broadcast(few), F.col("_doc") == F.col("_id")) \
-        .select("text", "y", F.pmod(F.xxhash64("_id", F.lit("fold")), F.lit(2)).cast("int").alias("fold"))
+        .select("text", "y", F.pmod(F.xxhash64("_id", F.lit("fold")), F.lit(2)).cast("int").alias("fold")) \
+        .dropDuplicates(["text", "y"])

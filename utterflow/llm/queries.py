@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from . import line_dedup
 from .bpe import op2_byte_bpe
 from .line_dedup import op5_line_dedup
+from .pii import op9_pii
+from .quality import op6_quality_classifier
 from .simhash import op3_simhash_near_dedup
 from .toxicity import op4_toxicity
 
@@ -17,6 +19,8 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op4_toxicity": op4_toxicity,
     "op5_line_dedup": op5_line_dedup,
+    "op6_quality_classifier": op6_quality_classifier,
+    "op9_pii": op9_pii,
 }
 
 LLM_ORACLE_SQL: dict[str, str] = {
