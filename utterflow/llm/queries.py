@@ -9,12 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from . import line_dedup
 from .bpe import op2_byte_bpe
 from .line_dedup import op5_line_dedup
+from .packing import op1_best_fit_packing
 from .pii import op9_pii
 from .quality import op6_quality_classifier
 from .simhash import op3_simhash_near_dedup
 from .toxicity import op4_toxicity
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_best_fit_packing": op1_best_fit_packing,
     "op2_byte_bpe": op2_byte_bpe,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op4_toxicity": op4_toxicity,
