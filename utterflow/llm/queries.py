@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import line_dedup, warc
+from . import line_dedup, topk_search, warc
 from .bpe import op2_byte_bpe
 from .line_dedup import op5_line_dedup
 from .packing import op1_best_fit_packing
 from .pii import op9_pii
 from .quality import op6_quality_classifier
 from .simhash import op3_simhash_near_dedup
+from .topk_search import op7_exact_topk
 from .toxicity import op4_toxicity
 from .warc import op8_warc
 
@@ -23,11 +24,13 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_toxicity": op4_toxicity,
     "op5_line_dedup": op5_line_dedup,
     "op6_quality_classifier": op6_quality_classifier,
+    "op7_exact_topk": op7_exact_topk,
     "op8_warc": op8_warc,
     "op9_pii": op9_pii,
 }
 
 LLM_ORACLE_SQL: dict[str, str] = {
     "op5_line_dedup": line_dedup.ORACLE,
+    "op7_exact_topk": topk_search.ORACLE,
     "op8_warc": warc.ORACLE,
 }
