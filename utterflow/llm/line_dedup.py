@@ -26,6 +26,10 @@ def _text(c: str):
     return F.coalesce(F.col(c), F.lit(""))
 
 
+def _hash_range(h: str):
+    return F.shiftrightunsigned(h, 64 - (HASH_RANGES.bit_length() - 1))
+
+
 def line_occurrences(df: DataFrame, id_col: str, text_col: str, min_chars: int) -> DataFrame:
     """(id, rev, pos, h1, h2) of every line whose key has at least ``min_chars`` code points.
 
@@ -53,14 +57,17 @@ def keep_bitmaps(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     id count for nothing and lose nothing.
     """
     occ = line_occurrences(df, id_col, text_col, min_chars) \
-        .withColumn("hash_range", F.shiftrightunsigned("h1", 64 - (HASH_RANGES.bit_length() - 1))) \
+        .withColumn("hash_range", _hash_range("h1")) \
         .withColumn("slice", F.pmod(F.hash("id"), F.lit(DOC_SLICES)))
     order = ["hash_range", "slice", "h1", "h2", "id"]
     sorted_occ = occ.repartition("hash_range", "slice").sortWithinPartitions(*order, "rev", "pos")
     marked = sorted_occ.withColumn("nth", F.row_number().over(W.partitionBy(*order).orderBy("rev", "pos")))
     repeated = marked.where("nth = 1").groupBy("h1", "h2") \
         .agg(F.count("*").alias("n_docs"), F.max("id").alias("last")).where(F.col("n_docs") >= min_docs)
-    dropped = marked.join(repeated.select("h1", "h2", "last"), ["h1", "h2"]).where("id < last") \
+    # the hash range as a third key gives the small side an exchange of its own, without which
+    # a line with many occurrences could not be split by the skew join
+    last = repeated.select("h1", "h2", "last", _hash_range("h1").alias("hash_range"))
+    dropped = marked.join(last, ["hash_range", "h1", "h2"]).where("id < last") \
         .select("id", "rev", F.expr("pos div 64").cast("int").alias("word"), (F.col("pos") % 64).alias("bit")).distinct()
     words = dropped.groupBy("id", "rev", "word").agg(F.expr("bit_or(shiftleft(1L, bit))").alias("drop"))
     return words.groupBy("id", "rev").agg(
