@@ -1,0 +1,110 @@
+import numpy as np
+import pytest
+
+from utterflow.llm import embedding_dedup as D
+from utterflow.llm.queries import LLM_QUERIES
+
+SCHEMA = "vec_id long, embedding array<float>"
+
+
+def slow(rows, t=0.9):
+    """n_links, component per row position, by all pairs."""
+    x = [None if i is None or not v or any(c is None or not np.isfinite(c) for c in v) or not any(v)
+         else np.array(v, np.float32).astype(np.float64) for i, v in rows]
+    links, root = [0] * len(rows), list(range(len(rows)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+    for i in range(len(rows)):
+        for j in range(i):
+            if x[i] is not None and x[j] is not None and len(x[i]) == len(x[j]) and \
+                    x[i] @ x[j] / (np.linalg.norm(x[i]) * np.linalg.norm(x[j])) >= t:
+                links[i] += 1
+                links[j] += 1
+                root[find(i)] = find(j)
+    low = {}
+    for i in range(len(rows)):
+        if rows[i][0] is not None:
+            low[find(i)] = min(low.get(find(i), rows[i][0]), rows[i][0])
+    return sorted(((rows[i][0] if rows[i][0] is not None else -1), links[i], low.get(find(i), -1)) for i in range(len(rows)))
+
+
+def run(spark, rows, **kw):
+    got = D.near_duplicates(spark.createDataFrame(rows, SCHEMA), **kw).collect()
+    assert all(r.kept == (r.vec_id == r.component_id) for r in got)
+    return sorted((r.vec_id if r.vec_id is not None else -1, r.n_links, r.component_id if r.component_id is not None else -1) for r in got)
+
+
+def clustered(rng, n, dim, spread):
+    c = rng.normal(size=(max(2, n // 12), dim))
+    x = c[rng.integers(len(c), size=n)] + spread * rng.normal(size=(n, dim))
+    return x * rng.uniform(0.1, 9, size=(n, 1))
+
+
+@pytest.mark.parametrize("dim,spread,t", [(2, 0.4, 0.9), (8, 0.3, 0.9), (32, 0.25, 0.95), (8, 0.6, 0.7)])
+def test_dual_traversal_equals_all_pairs(dim, spread, t):
+    rng = np.random.default_rng(dim)
+    x = clustered(rng, 900, dim, spread).astype(np.float32)
+    eps = np.sqrt(2 - 2 * t)
+    u = D.unit(x)
+    want = (u @ u.T >= t)
+    np.fill_diagonal(want, False)
+    n = rng.integers(1, 4, 900)
+
+    def block(rows):
+        return {"ids": rows, "n": n[rows], "x": x[rows], "tree": D.CoverTree(u[rows], eps)}
+    halves = block(np.arange(450)), block(np.arange(450, 900))
+    counts, root = np.zeros(900, int), np.arange(900)
+    for a, b, same in ((0, 0, True), (1, 1, True), (0, 1, False)):
+        for p, q, w in zip(*D.join_blocks(halves[a], halves[b], t, same)):
+            if q is None:
+                counts[p] += w
+            else:
+                assert w == 0
+                D.absorb(root, np.array([p]), np.array([q]))
+    assert (counts == want @ n).all()
+    truth = np.arange(900)
+    i, j = np.nonzero(want)
+    D.absorb(truth, i, j)
+    assert (truth == root).all()
+
+
+def test_tree_covers_and_nests():
+    u = D.unit(clustered(np.random.default_rng(1), 500, 6, 0.3))
+    tree = D.CoverTree(u, 0.5)
+    assert sorted(tree.order) == list(range(500))
+    for level, (start, end, radius) in enumerate(tree.levels[:-1]):
+        assert start[0] == 0 and (start[1:] == end[:-1]).all() and end[-1] == 500 and (radius <= 0.5 / 2 ** level + 1e-9).all()
+        for a, b, r in zip(start, end, radius):
+            p = tree.order[a:b]
+            assert np.sqrt(np.maximum(0, 2 - 2 * u[p] @ u[p[0]])).max() <= r + 1e-6
+
+
+def test_blocks_cells_copies_and_dense_groups(spark, monkeypatch):
+    rng = np.random.default_rng(7)
+    x = clustered(rng, 500, 6, 0.2)
+    x[100:160] = x[100]                                     # copies
+    x[200:300] = x[200] + 0.01 * rng.normal(size=(100, 6))  # a dense group
+    rows = [(int(1000 - i), [float(np.float32(c)) for c in v]) for i, v in enumerate(x)]
+    monkeypatch.setattr(D, "BLOCK", 60)
+    assert run(spark, rows) == slow(rows)
+
+
+def test_odd_vectors(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [(1, [1.0, 0.0]), (2, [0.0, 0.0]), (3, None), (4, [nan, 1.0]), (5, [inf, 0.0]), (6, [None, 1.0]), (7, []),
+            (8, [2.0, -0.0]), (9, [3.0]), (10, [-3.0]), (11, [4.0]), (None, [1.0, 0.0]), (12, [1.0, 0.1]), (12, [1.0, 0.1]),
+            (13, [3e38, 3e37]), (14, [1e-40, 1e-41])]
+    assert run(spark, rows) == slow(rows)
+    assert run(spark, []) == []
+    extra = spark.createDataFrame([(1, [1.0], 2, "a", 0)], SCHEMA + ", n_links int, x string, node int")
+    assert D.near_duplicates(extra).columns == ["vec_id", "n_links", "component_id", "kept"]
+
+
+def test_query_equals_all_pairs(spark):
+    SF_SMALL = "/root/testdata/sf0.001"
+    rows = [tuple(r) for r in spark.read.parquet(f"{SF_SMALL}/embeddings.parquet").select("vec_id", "embedding").collect()]
+    got = sorted((r.vec_id, r.n_links, r.component_id) for r in LLM_QUERIES["op10_embedding_near_dedup"](spark, SF_SMALL).collect())
+    assert got == slow(rows)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from . import line_dedup, topk_search, warc
 from .bpe import op2_byte_bpe
+from .embedding_dedup import op10_embedding_near_dedup
 from .line_dedup import op5_line_dedup
 from .packing import op1_best_fit_packing
 from .pii import op9_pii
@@ -27,6 +28,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_exact_topk": op7_exact_topk,
     "op8_warc": op8_warc,
     "op9_pii": op9_pii,
+    "op10_embedding_near_dedup": op10_embedding_near_dedup,
 }
 
 LLM_ORACLE_SQL: dict[str, str] = {
