@@ -76,24 +76,37 @@ def keep_bitmaps(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         .withColumnRenamed("id", id_col)
 
 
-def apply_bitmaps(df: DataFrame, bitmaps: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """All columns of ``df`` with the text reduced to the lines kept, as struct column ``_lines``
-    (text, n_lines, n_dropped); rows with nothing to drop keep their text as it is (null: empty)."""
+def apply_bitmaps(df: DataFrame, bitmaps: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                  out: str = "_lines") -> DataFrame:
+    """All columns of ``df`` and struct ``out`` (text reduced to the lines kept, n_lines, n_dropped).
+
+    Rows with nothing to drop keep their text as it is (null: empty). ``out``
+    must be no column of ``df``; ``free_name`` finds one.
+    """
+    if out in df.columns:
+        raise ValueError(f"column {out!r} exists already")
     full = F.expr("""flatten(transform(keep, (x, i) -> concat(
         array_repeat(-1L, x.word - coalesce(get(keep, i - 1).word, -1) - 1), array(x.bits))))""")
-    maps = bitmaps.select(F.col(id_col).alias("_id"), F.col("rev").alias("_rev"),
-                          F.col("n_dropped").alias("_dropped"), full.alias("_keep"))
-    text = _text(text_col)
-    here = df.withColumn("_hash", F.xxhash64(text))
-    lines = F.split(text, "\n")
-    kept = F.filter(lines, lambda line, i: F.getbit(
-        F.coalesce(F.get(F.col("_keep"), F.expr("cast(0 as int)") + F.floor(i / 64).cast("int")), F.lit(-1).cast("long")),
-        i % 64) == 1)
-    return here.join(maps, (F.col(id_col) == F.col("_id")) & (F.col("_hash") == F.col("_rev")), "left").select(
-        *df.columns, F.struct(
-            F.when(F.col("_keep").isNull(), text).otherwise(F.array_join(kept, "\n")).alias("text"),
-            (F.char_length(text) - F.char_length(F.translate(text, "\n", "")) + 1).cast("long").alias("n_lines"),
-            F.coalesce("_dropped", F.lit(0)).cast("long").alias("n_dropped")).alias("_lines"))
+    maps = bitmaps.select(F.col(id_col).alias("m_id"), F.col("rev").alias("m_rev"),
+                          F.col("n_dropped").alias("m_dropped"), full.alias("m_keep"))
+    inner = {c: f"d_{i}" for i, c in enumerate(df.columns)}
+    text = _text(inner[text_col])
+    here = df.toDF(*inner.values()).withColumn("h_text", F.xxhash64(text))
+    kept = F.filter(F.split(text, "\n"), lambda line, i: F.getbit(
+        F.coalesce(F.get(F.col("m_keep"), F.floor(i / 64).cast("int")), F.lit(-1).cast("long")), i % 64) == 1)
+    lines = F.struct(
+        F.when(F.col("m_keep").isNull(), text).otherwise(F.array_join(kept, "\n")).alias("text"),
+        (F.char_length(text) - F.char_length(F.translate(text, "\n", "")) + 1).cast("long").alias("n_lines"),
+        F.coalesce("m_dropped", F.lit(0)).cast("long").alias("n_dropped"))
+    return here.join(maps, (F.col(inner[id_col]) == F.col("m_id")) & (F.col("h_text") == F.col("m_rev")), "left") \
+        .select(*(F.col(n).alias(c) for c, n in inner.items()), lines.alias(out))
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores before it until no column of ``df`` has it."""
+    while name.lower() in {c.lower() for c in df.columns}:
+        name = f"_{name}"
+    return name
 
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

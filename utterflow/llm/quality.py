@@ -171,6 +171,7 @@ def judged(docs: DataFrame, model: OrdinalModel, id_col: str = "doc_id", text_co
     """
     carry = [c for c in carry or [] if c != id_col]
     inner = [f"c{i}" for i in range(len(carry))]
+    text_at = 1 + carry.index(text_col) if text_col in carry else -1
     schema = T.StructType([T.StructField("id", docs.schema[id_col].dataType)]
                           + [T.StructField(n, docs.schema[c].dataType) for n, c in zip(inner, carry)]
                           + [T.StructField("held_out", T.BooleanType()), T.StructField("expected_grade", T.DoubleType()),
@@ -179,14 +180,15 @@ def judged(docs: DataFrame, model: OrdinalModel, id_col: str = "doc_id", text_co
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         buckets = _Buckets()
         for b in small_batches(batches):
-            *rest, text = b.columns
-            margin = np.array([model.margin(*hashed(t or "", buckets)) for t in text.to_pylist()])
+            margin = np.array([model.margin(*hashed(t or "", buckets)) for t in b.column(text_at % b.num_columns).to_pylist()])
             grade, tail = model.judge(margin, min_grade)
             yield pa.RecordBatch.from_arrays(
-                [*rest, pa.array(grade, pa.float64(), from_pandas=True), pa.array(tail, pa.float64())], schema.names)
+                [*b.columns[:len(schema) - 2], pa.array(grade, pa.float64(), from_pandas=True), pa.array(tail, pa.float64())],
+                schema.names)
 
+    text = [] if text_at > 0 else [F.col(text_col).alias("text")]
     return docs.select(F.col(id_col).alias("id"), *(F.col(c).alias(n) for n, c in zip(inner, carry)),
-                       held_out(id_col).alias("held_out"), F.col(text_col).alias("text")) \
+                       held_out(id_col).alias("held_out"), *text) \
         .mapInArrow(run, schema) \
         .select(F.col("id").alias(id_col), *(F.col(n).alias(c) for n, c in zip(inner, carry)),
                 "held_out", "expected_grade", "tail_probability",
