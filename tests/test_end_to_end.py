@@ -54,9 +54,8 @@ def test_convert(spark):
 
 def test_evaluate_with_a_predictor(spark):
     """U5 through the evaluation plan: predictions from a user model, then the report."""
-    from utterflow.operators import batch
     u = fx.utt(spark, SF_SMALL).select("split", "utt_id", "text", F.col("raw").alias("sentence"))
-    pred = evaluate.predict(u, batch.make_rule_predictor, ["utt_id", "text"], batch_size=16)
+    pred = evaluate.predict(u, fx.make_rule_predictor, ["utt_id", "text"], batch_size=16)
     r = evaluate.evaluate(u.select("split", "utt_id", "sentence"), pred.select("split", "utt_id", "pred"))
     got = {x.split: x.edits for x in r.wer.collect()}
     want = {x.split: x.edits for x in C.QUERIES["wer_by_split"](spark, SF_SMALL).collect()}

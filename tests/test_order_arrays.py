@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from utterflow.operators import arrays, mix, order
+from utterflow.plans import catalog as C
 from utterflow.plans import fixtures as fx
 
 
@@ -85,13 +86,15 @@ def test_ctc_greedy_collapse_then_blank(spark):
     cls = [1, 1, 0, 1, 2, 2]
     rows = [(7, i, [1.0 if k == c else 0.0 for k in range(4)]) for i, c in enumerate(cls)]
     df = spark.createDataFrame(rows, "utt long, frame long, scores array<float>")
-    assert arrays.ctc_greedy(df).first().text == "aab"
+    assert arrays.ctc_greedy(df, "abc").first().text == "aab"
+    with pytest.raises(Exception, match="outside the alphabet"):
+        arrays.ctc_greedy(df, "a").collect()
 
 
 def test_frame_mask_and_rank_slices(spark):
-    df = spark.createDataFrame([(160,), (161,), (479999,)], "n long")
+    df = spark.createDataFrame([(0,), (160,), (161,), (479999,), (600000,)], "n long")
     got = [(len(r.m), sum(r.m)) for r in df.select(arrays.frame_mask(F.col("n")).alias("m")).collect()]
-    assert got == [(3000, 1), (3000, 2), (3000, 3000)]
+    assert got == [(3000, 0), (3000, 1), (3000, 2), (3000, 3000), (3000, 3000)]
     pos = spark.range(32).withColumnRenamed("id", "pos")
     r = {x.pos: x.rank for x in arrays.rank_slices(pos, 16, 2).collect()}
     assert all(r[i] == 0 for i in range(8)) and all(r[i] == 1 for i in range(8, 16)) and r[16] == 0
@@ -99,19 +102,54 @@ def test_frame_mask_and_rank_slices(spark):
         arrays.rank_slices(pos, 5, 2)
 
 
-def test_encode_decode_round_trip_and_join_path(spark):
+def test_encode_decode_round_trip(spark):
     u = fx.utt(spark, SF_SMALL)
-    vocab = arrays.build_char_vocab(u.where(F.col("split") == "train"), "text")
-    chars = [r["char"] for r in vocab.orderBy("id").select("char").collect()]
-    fast = arrays.encode_labels(u, vocab, "text", "labels")
-    slow = arrays._encode_by_join(u, vocab, "text", "labels", "utt_id")
-    a = {r.utt_id: r.labels for r in fast.select("utt_id", "labels").collect()}
-    b = {r.utt_id: r.labels for r in slow.select("utt_id", "labels").collect()}
-    assert a == b
-    dec = fast.select("utt_id", "split", "text", arrays.decode_labels(F.col("labels"), chars).alias("d"))
-    for r in dec.where(F.col("split") == "train").collect():
-        assert r.d == r.text
-    assert all(len(a[k]) == len(t) for k, t in ((r.utt_id, r.text) for r in u.select("utt_id", "text").collect()))
+    vocab = arrays.char_ids(u.where(F.col("split") == "train"), "text")
+    lab = arrays.encode_labels(u, vocab, "text", "labels")
+    dec = lab.select("utt_id", "split", "text", "labels", arrays.decode_labels(F.col("labels"), vocab).alias("d")).collect()
+    assert all(r.d == r.text for r in dec if r.split == "train")
+    assert all(len(r.labels) == len(r.text) for r in dec)
+
+
+def test_encoding_does_not_depend_on_what_else_the_vocabulary_holds(spark):
+    """Null, empty, emoji and full-width texts; with and without characters beyond the basic plane in the vocabulary."""
+    texts = ["ab a", "", None, "a\U0001F600b", "\uFF21\uFEFFb", "\U0001F601"]
+    df = spark.createDataFrame([(i % 3, t) for i, t in enumerate(texts)], "utt_id long, text string")    # ids repeat
+    plain = {"a": 4, "b": 5}
+    wide = {**plain, "\U0001F600": 6, "\uFF21": 7}
+    for vocab in (plain, wide):
+        got = {r.text: r.labels for r in arrays.encode_labels(df, vocab).collect()}
+        want = {t: [arrays.DELIM_ID if c == " " else vocab.get(c, arrays.UNK_ID) for c in t or ""] for t in texts}
+        assert got == want
+        counts = df.select("text", arrays.label_count(F.col("text")).alias("n")).collect()
+        assert all(r.n == len(want[r.text]) for r in counts)
+    frame = spark.createDataFrame(list(wide.items()), "char string, id int")
+    assert arrays.encode_labels(df, frame).collect() == arrays.encode_labels(df, wide).collect()
+
+
+def test_decoding_an_unknown_id_fails(spark):
+    df = spark.createDataFrame([([4, 3, 5, 0, 1, 2, -100],), ([6],)], "labels array<int>")
+    text = arrays.decode_labels(F.col("labels"), {"a": 4, "b": 5}).alias("t")
+    assert df.limit(1).select(text).first().t == "a b"
+    with pytest.raises(Exception, match="outside the vocabulary"):
+        df.select(text).collect()
+
+
+def test_bos_counts_only_where_it_is_put(spark, monkeypatch):
+    """447 characters of a source without BOS pass F2, of a source with BOS they don't."""
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    rows = [(3, "x" * 447, "en", "src1", 447), (4, "x" * 447, "en", "src2", 447), (5, "x" * 446, "en", "src2", 446)]
+    monkeypatch.setattr(fx, "documents", lambda s, d: spark.createDataFrame(rows, schema))
+    got = {r.utt_id: r.labels for r in C.QUERIES["trim_bos"](spark, SF_SMALL).collect()}
+    assert set(got) == {3, 5}
+
+
+def test_hot_source_positions(spark):
+    """One source holds nine tenths of the rows; blocks and groups of blocks split it."""
+    df = spark.range(20_000).select(F.when(F.col("id") % 10 == 0, F.lit(2)).otherwise(F.lit(1)).alias("src"),
+                                    (F.col("id") * 7919 % 20_000).alias("row_ord"))
+    got = order.global_position(df, ["src", "row_ord"], rows_per_shard=5).collect()
+    assert [r.pos for r in sorted(got, key=lambda r: (r.src, r.row_ord))] == list(range(20_000))
 
 
 def test_length_filters(spark):

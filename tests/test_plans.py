@@ -53,12 +53,35 @@ def test_small_lookups_become_broadcast_at_run_time(spark):
 
 
 def test_positions_shuffle_rows_once(spark):
-    """Rows cross one block exchange; block counts travel as partial aggregates."""
-    p = final_plan(C.QUERIES["global_position"](spark, SF_SMALL)).splitlines()
+    """Rows cross one block exchange; block counts travel as partial aggregates. No text is read."""
+    full = final_plan(C.QUERIES["global_position"](spark, SF_SMALL))
+    p = full.splitlines()
     row_level = 0
     for i, line in enumerate(p):
-        if "Exchange hashpartitioning(source_ord" in line and "shard" in line and "ReusedExchange" not in line:
+        if "Exchange hashpartitioning(source_ord" in line and "block" in line and "ReusedExchange" not in line:
             child = next(x for x in p[i + 1:] if "AQEShuffleRead" not in x and "ShuffleQueryStage" not in x)
             if "partial_count" not in child:
                 row_level += 1
-    assert row_level == 1
+    assert row_level == 1 and "text" not in full and "doc_id, 16" not in full
+
+
+def test_training_batches_scan_and_encode_text_once(spark, monkeypatch):
+    """Encoding and F2 run in one job over one scan; positions read the written rows, all scans but one without labels."""
+    plans = []
+    real = C.sinks.materialize
+    monkeypatch.setattr(C.sinks, "materialize", lambda df, *a: (plans.append(plan(df)), real(df, *a))[1])
+    after = final_plan(C.QUERIES["pad_labels"](spark, SF_SMALL))
+    assert len(plans) == 1 and plans[0].count("FileScan") == 1 and plans[0].count("split(") == 1
+    assert "documents.parquet" not in after and "split(" not in after
+    scans = [x for x in after.splitlines() if "FileScan" in x]
+    assert sum("labels:array" in x for x in scans) == 1
+
+
+def test_vocabulary_is_built_once(spark, monkeypatch):
+    calls = []
+    real = C.arrays.ids_of
+    monkeypatch.setattr(C.arrays, "ids_of", lambda v: (calls.append(1), real(v))[1])
+    for key in ("decode_labels", "wer_from_ids"):
+        calls.clear()
+        C.QUERIES[key](spark, SF_SMALL)
+        assert len(calls) == 1, key

@@ -39,6 +39,32 @@ def test_strict_lookup_reports_missing(spark):
     assert rows(reconcile.strict_lookup(rec, lk, "wav", "file_name")) == [("a.wav", "data/train/a.wav"), ("z.wav", None)]
 
 
+def test_strict_lookup_never_fans_out(spark):
+    rec = spark.createDataFrame([("a.wav",), ("b.wav",)], "wav string")
+    lk = spark.createDataFrame([("a.wav", "train/a", 0), ("a.wav", "test/a", 2), ("a.wav", "val/a", 1), ("b.wav", "train/b", 0)],
+                               "wav string, file_name string, list int")
+    assert rows(reconcile.strict_lookup(rec, lk, "wav", "file_name", order="list")) == [("a.wav", "test/a"), ("b.wav", "train/b")]
+    try:
+        reconcile.strict_lookup(rec, lk, "wav", "file_name").collect()
+        raise AssertionError("a repeated key without an order must fail")
+    except Exception as e:
+        assert "listed twice" in str(e)
+
+
+def test_row_count_gate_unexpected_split(spark):
+    from utterflow.operators import score
+    df = spark.createDataFrame([("train",), ("odd",)], "split string")
+    expected = spark.createDataFrame([("train", 1), ("dev", 2)], "split string, expected long")
+    assert {r.split: (r.actual, r.expected, r.ok) for r in score.row_count_gate(df, expected).collect()} == {
+        "train": (1, 1, True), "odd": (1, None, False), "dev": (0, 2, False)}
+
+
+def test_corpus_mix_tells_null_source_from_total(spark):
+    df = spark.createDataFrame([("a",), (None,), (None,)], "source string")
+    got = sorted((r.source or "", r.n_rows, r.is_total) for r in mix.corpus_mix(df).collect())
+    assert got == [("", 2, False), ("", 3, True), ("a", 1, False)]
+
+
 def test_corpus_mix_and_exclusions(spark):
     df = spark.createDataFrame([("s1",), ("s1",), ("s2",), ("s3",)], "source string")
     got = {r.source: (r.n_rows, r.is_total) for r in mix.corpus_mix(df).collect()}

@@ -85,4 +85,4 @@ def test_pred_truth_match_and_row_gate(spark):
     assert got == {"a": (1, 0, 1, False), "b": (0, 1, 1, False)}
     exp = spark.createDataFrame([("a", 2), ("c", 1)], "split string, expected long")
     g = {r.split: (r.actual, r.expected, r.ok) for r in score.row_count_gate(t, exp).collect()}
-    assert g == {"a": (2, 2, True), "b": (1, None, None), "c": (0, 1, False)}
+    assert g == {"a": (2, 2, True), "b": (1, None, False), "c": (0, 1, False)}

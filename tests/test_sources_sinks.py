@@ -3,6 +3,7 @@ import os
 import struct
 import tarfile
 
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,6 +20,58 @@ def test_tsv_last_wins(spark):
     assert got == {"a": "y", "b": "z"}
 
 
+def test_malformed_input_fails_instead_of_vanishing(spark, tmpdir_fresh):
+    schema = T.StructType([T.StructField("wav", T.StringType()), T.StructField("text", T.StringType())])
+    one = lambda v: spark.createDataFrame([(v,)], "value string")
+    with pytest.raises(Exception):
+        readers.parse_json_records(one('[{"wav": "a", "text": "b"}, {"wav": "c", "te'), schema).collect()
+    with pytest.raises(Exception):
+        readers.parse_literal_records(one("[{'wav': 'a', 'text': 'b'}, {'wav': 'c', 'te"), schema).collect()
+    with pytest.raises(Exception):
+        readers.explode_keyed_json(one('{"1": {"wav": "a.wav"}, "2": {"w')).collect()
+    with pytest.raises(Exception):
+        readers.parse_jsonl_manifest(one('{"key": "a", "text": ')).collect()
+    assert readers.parse_jsonl_manifest(one("  ")).count() == 0
+    with pytest.raises(Exception, match="without a tab"):
+        readers.parse_tsv_transcripts(spark.createDataFrame([(1, "no tab")], "line_no long, line string")).collect()
+    out = os.path.join(tmpdir_fresh, "corpus")
+    spark.range(3).write.parquet(out)
+    with pytest.raises(ValueError, match="no split column"):
+        readers.load_split(spark, out, "test")
+    with pytest.raises(Exception, match="already exists"):
+        sinks.publish(spark.range(3), out, split=None)
+
+
+def test_literals_inside_strings_stay(spark):
+    schema = T.StructType([T.StructField("text", T.StringType()), T.StructField("ok", T.BooleanType())])
+    doc = "[{'text': 'say [None, ok', 'ok': True}, {'text': 'x, None, y', 'ok': None}, {'text': \"it's: False, \\\"True\", 'ok': False}, {'text': None}]"
+    got = [tuple(r) for r in readers.parse_literal_records(spark.createDataFrame([(doc,)], "value string"), schema).collect()]
+    assert got == [("say [None, ok", True), ("x, None, y", None), ('it\'s: False, "True', False), (None, None)]
+
+
+def test_pipe_manifest_keeps_quoted_line_breaks(spark, tmpdir_fresh):
+    p = os.path.join(tmpdir_fresh, "pipe.txt")
+    open(p, "w").write('a.wav|"two\nlines"|z\nb.wav|plain|z\n')
+    assert sorted(tuple(r) for r in readers.read_pipe_manifest(spark, p, n_fields=3).collect()) == [("a.wav", "two\nlines"), ("b.wav", "plain")]
+
+
+def test_tsv_files_in_line_order(spark, tmpdir_fresh):
+    d = os.path.join(tmpdir_fresh, "tsv")
+    os.makedirs(d)
+    open(os.path.join(d, "a.tsv"), "w").write("".join(f"id{i % 5}\tText {i}\textra\n" for i in range(50)))
+    open(os.path.join(d, "b.tsv"), "w").write("id3\tLAST")
+    got = {r.id: r.text for r in readers.read_tsv_transcripts(spark, d).collect()}
+    assert got == {"id0": "text 45", "id1": "text 46", "id2": "text 47", "id3": "last", "id4": "text 49"}
+
+
+def test_split_filter_prunes_partitions(spark, tmpdir_fresh):
+    out = os.path.join(tmpdir_fresh, "corpus")
+    spark.range(30).withColumn("split", F.when(F.col("id") < 20, "train").otherwise("test")).write.partitionBy("split").parquet(out)
+    df = readers.load_split(spark, out, "test", ["id"])
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert df.count() == 10 and "PartitionFilters: [isnotnull(split" in plan and "train" not in plan
+
+
 def test_literal_records_none_kept(spark):
     df = spark.createDataFrame([("[{'file':'a','text':None}, {'file':'b','text':'it\\'s'}]",)], "value string")
     schema = T.StructType([T.StructField("file", T.StringType()), T.StructField("text", T.StringType())])
@@ -122,10 +175,17 @@ def test_tar_shards_and_transcript_join(spark, tmpdir_fresh):
     assert len(rows) == 12 and sum(r.size for r in rows) == sum(len(WAV) + m for _ in range(3) for m in range(4))
     keys = [f"s{s}_m{m}" for s in range(3) for m in range(4) if (s, m) != (2, 3)]
     tr = spark.createDataFrame([("train", k, "t " + k) for k in keys], "split string, key string, transcription string")
-    matched, counts = reconcile.shard_transcripts(df.select(F.col("member").alias("path")), tr)
-    assert matched.count() == 11
-    c = counts.first()
-    assert (c.n_members, c.n_matched, c.n_unmatched) == (12, 11, 1)
+    members = df.select(F.col("shard").alias("archive"), F.col("member").alias("path"))
+    tr = tr.union(spark.createDataFrame([("dev", "s0_m0", "in a train shard"), ("dev", "s2_m1", "d")], tr.schema))
+    archives = spark.createDataFrame([("train", f"train-{s}.tar.gz") for s in range(2)]
+                                     + [("dev", "train-2.tar.gz"), ("test", "train-2.tar.gz")], "split string, archive string")
+    matched = reconcile.shard_transcripts(members, tr, archives)
+    got = sorted((r.split, r.key) for r in matched.collect())
+    assert got == [("dev", "s2_m1")] + [("train", f"s{s}_m{m}") for s in range(2) for m in range(4)]
+    counts = {r.split: (r.n_members, r.n_matched, r.n_unmatched) for r in reconcile.shard_counts(members, tr, archives).collect()}
+    assert counts == {"train": (8, 8, 0), "dev": (4, 1, 3), "test": (4, 0, 4)}
+    twice = reconcile.shard_counts(members.union(members), tr.union(tr), archives)
+    assert {r.split: (r.n_members, r.n_matched, r.n_unmatched) for r in twice.collect()} == counts
 
 
 def test_whole_file_json_readers(spark, tmpdir_fresh):

@@ -4,6 +4,8 @@ from pyspark.sql import types as T
 from conftest import SF_SMALL
 from utterflow.operators import batch
 from utterflow.plans import catalog as C
+from utterflow.plans import fixtures as fx
+from utterflow.streaming import stream
 
 
 def _sorted(df):
@@ -24,8 +26,8 @@ def test_stream_prepare_equals_batch(spark):
 
 def test_score_batches_equals_row_at_a_time(spark):
     u = spark.createDataFrame([(i, " ".join(f"w{j}" for j in range(i % 13))) for i in range(60)], "utt_id long, text string")
-    a = u.select("utt_id", batch.score_batches(batch.make_rule_predictor, ["utt_id", "text"], T.StringType(), 16).alias("p"))
-    b = u.select("utt_id", batch.score_batches(batch.make_rule_predictor, ["utt_id", "text"], T.StringType(), 1).alias("p"))
+    a = u.select("utt_id", batch.score_batches(fx.make_rule_predictor, ["utt_id", "text"], T.StringType(), 16).alias("p"))
+    b = u.select("utt_id", batch.score_batches(fx.make_rule_predictor, ["utt_id", "text"], T.StringType(), 1).alias("p"))
     assert _sorted(a) == _sorted(b)
 
 
@@ -35,3 +37,42 @@ def test_map_batches_batch_size(spark):
     sizes = sorted(r.n for r in out.collect())
     assert sizes.count(30) == 90 and sizes.count(10) == 10
     assert sorted(r.id for r in out.collect()) == list(range(100))
+
+
+def test_running_wer_over_two_batches_and_a_restart(spark, tmpdir_fresh):
+    """Files arrive in two batches, then one more after a restart from the checkpoint."""
+    src, out, cp = (f"{tmpdir_fresh}/{n}" for n in ("in", "out", "cp"))
+    rows = [("s" if i % 3 else "t", i, "a b c d", "a x c" if i % 2 else "a b c d e") for i in range(12)]
+    schema = "split string, utt_id long, ref string, hyp string"
+    width = spark.conf.get("spark.sql.shuffle.partitions")
+
+    def arrive(part):
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(src)
+
+    def run():
+        own = stream.stream_session(spark)
+        return _sorted(stream.running_wer(own.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(src), out, cp))
+
+    def batch_result(part):
+        from utterflow.operators import score
+        return _sorted(score.corpus_wer(score.word_edits(spark.createDataFrame(part, schema)), ["split"]))
+
+    arrive(rows[:5])
+    arrive(rows[5:8])
+    assert run() == batch_result(rows[:8])
+    arrive(rows[8:])
+    assert run() == batch_result(rows)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == width
+
+
+def test_stream_plans_do_not_shuffle_text(spark, monkeypatch):
+    """Neither registered stream repartitions its documents."""
+    seen = []
+    real_wer, real_prepare = stream.running_wer, stream.prepare_stream
+    monkeypatch.setattr(stream, "running_wer", lambda p, *a: (seen.append(p), real_wer(p, *a))[1])
+    monkeypatch.setattr(stream, "prepare_stream", lambda s, src, schema, f, *a, **k: (
+        seen.append(f(s.readStream.schema(schema).parquet(src))), real_prepare(s, src, schema, f, *a, **k))[1])
+    for key in ("stream_wer", "stream_prepare"):
+        C.QUERIES[key](spark, SF_SMALL)
+    plans = [df._jdf.queryExecution().logical().toString() for df in seen]
+    assert len(plans) == 2 and not any("Repartition" in p for p in plans)

@@ -21,6 +21,13 @@ def edit_distance(a: Sequence, b: Sequence) -> int:
     """Minimum substitutions + deletions + insertions turning ``a`` into ``b``."""
     if len(a) < len(b):
         a, b = b, a          # bit vectors over the longer side, loop over the shorter
+    start, end = 0, len(b)
+    while start < end and a[start] == b[start]:
+        start += 1
+    cut = len(a) - len(b)    # a common end lies at the same distance from both ends
+    while end > start and a[end - 1 + cut] == b[end - 1]:
+        end -= 1
+    a, b = a[start:end + cut], b[start:end]
     m = len(a)
     if m == 0:
         return len(b)
@@ -62,9 +69,17 @@ def reference_distance(a: Sequence, b: Sequence) -> int:
 
 @F.pandas_udf(T.LongType())
 def _edits_udf(ref: pd.Series, hyp: pd.Series) -> pd.Series:
-    return pd.Series([edit_distance(list(r), list(h)) for r, h in zip(ref, hyp)], dtype="int64")
+    return pd.Series([0 if r is None else edit_distance(r.split(" "), h.split(" ")) for r, h in zip(ref, hyp)], dtype="int64")
 
 
 def word_edit_distance(ref_words: Column, hyp_words: Column) -> Column:
-    """Column of edit distances between two array<string> columns."""
-    return _edits_udf(ref_words, hyp_words)
+    """Column of edit distances between two array<string> columns of words without blanks.
+
+    Equal and empty sides are settled in the JVM and not sent to Python; the
+    others travel as one string a side, which Arrow moves faster than arrays.
+    """
+    ref, hyp = F.array_join(ref_words, " "), F.array_join(hyp_words, " ")
+    n, m = F.size(ref_words), F.size(hyp_words)
+    settled = (n == 0) | (m == 0) | (ref == hyp)
+    edits = _edits_udf(F.when(~settled, ref), F.when(~settled, hyp))
+    return F.when(ref == hyp, F.lit(0)).when((n == 0) | (m == 0), F.greatest(n, m)).otherwise(edits).cast("bigint")

@@ -36,55 +36,62 @@ def build_char_vocab(texts: DataFrame, text_col: str = "text") -> DataFrame:
     return counts.withColumn("id", (rank + F.lit(FIRST_CHAR_ID - 1)).cast("int"))
 
 
-def encode_labels(df: DataFrame, vocab: DataFrame, text_col: str = "text", out: str = "labels",
-                  key: str = "utt_id") -> DataFrame:
-    """Per character id; space -> delimiter id; unknown character -> unk id.
-
-    The vocabulary (bounded by the number of distinct characters) is pulled
-    to the driver once. When all its characters are in the Basic
-    Multilingual Plane, it becomes an int lookup array indexed by code point
-    (at most 65,536 entries), and each character costs one array access.
-    Other vocabularies use an exploded broadcast join and regroup by ``key``.
+def char_ids(texts: DataFrame, text_col: str = "text") -> dict[str, int]:
+    """The vocabulary of ``build_char_vocab`` as {char: id}, one job; bounded by the code-point space.
+    Build it once per query and hand it to ``encode_labels`` and ``decode_labels``."""
+    return ids_of(build_char_vocab(texts, text_col))
+
+
+def ids_of(vocab: DataFrame) -> dict[str, int]:
+    return {r["char"]: int(r["id"]) for r in vocab.select("char", "id").collect()}
+
+
+def encode_labels(df: DataFrame, vocab: DataFrame | dict[str, int], text_col: str = "text",
+                  out: str = "labels") -> DataFrame:
+    """Per character id; space -> delimiter id; unknown character -> unk id; null text -> no ids.
+
+    Characters of the Basic Multilingual Plane are looked up in an int array
+    indexed by code point (at most 65,536 entries), the few others in a
+    literal map: one array access per character, whatever the vocabulary.
     """
-    rows = vocab.select("char", "id").collect()
-    chars = {r["char"]: int(r["id"]) for r in rows}
-    if all(len(c) == 1 and ord(c) < 0xD800 for c in chars):
-        size = max([ord(" ")] + [ord(c) for c in chars]) + 1
-        lut = [UNK_ID] * size
-        for c, i in chars.items():
-            lut[ord(c)] = i
-        lut[ord(" ")] = DELIM_ID
-        table = F.array(*[F.lit(v) for v in lut])
-        pieces = F.when(F.col(text_col) == "", F.array().cast("array<string>")).otherwise(F.split(F.col(text_col), ""))
-        ids = F.transform(pieces, lambda c: F.coalesce(F.get(table, F.ascii(c)), F.lit(UNK_ID)).cast("int"))
-        return df.withColumn(out, ids)
-    return _encode_by_join(df, vocab, text_col, out, key)
-
-
-def _encode_by_join(df: DataFrame, vocab: DataFrame, text_col: str, out: str, key: str) -> DataFrame:
-    toks = df.select(key, F.posexplode_outer(F.split(F.col(text_col), "")).alias("_p", "char"))
-    v = F.broadcast(vocab.select("char", F.col("id").alias("_id")))
-    j = toks.join(v, "char", "left")
-    cid = (F.when(F.col("char") == " ", F.lit(DELIM_ID))
-           .when(F.col("_id").isNotNull(), F.col("_id")).otherwise(F.lit(UNK_ID)))
-    packed = F.when(F.col("char").isNotNull() & (F.col("char") != ""),
-                    F.shiftleft(F.col("_p").cast("bigint"), 32) + cid)
-    g = j.groupBy(key).agg(F.sort_array(F.collect_list(packed)).alias("_k"))
-    ids = g.select(key, F.transform("_k", lambda x: x.bitwiseAND(F.lit(0xFFFFFFFF)).cast("int")).alias(out))
-    return df.join(ids, key, "left")
-
-
-def decode_labels(labels: Column, vocab_chars: list[str]) -> Column:
+    chars = vocab if isinstance(vocab, dict) else ids_of(vocab)
+    chars = {**chars, " ": DELIM_ID}
+    plane = {ord(c): i for c, i in chars.items() if ord(c) <= 0xFFFF}
+    lut = [UNK_ID] * (max(plane) + 1)
+    for c, i in plane.items():
+        lut[c] = i
+    table = F.array(*[F.lit(v) for v in lut])
+    beyond = [F.lit(v) for c, i in sorted(chars.items()) if ord(c) > 0xFFFF for v in (ord(c), i)]
+    pieces = F.when(F.coalesce(F.col(text_col), F.lit("")) == "", F.array().cast("array<string>")) \
+        .otherwise(F.split(F.col(text_col), ""))
+
+    def lookup(c: Column) -> Column:
+        code = F.ascii(c)
+        found = [F.get(table, code)] + ([F.try_element_at(F.create_map(*beyond), code)] if beyond else [])
+        return F.coalesce(*found, F.lit(UNK_ID)).cast("int")
+
+    return df.withColumn(out, F.transform(pieces, lookup))
+
+
+def label_count(text: Column, bos: Column | bool = False) -> Column:
+    """Number of ids ``encode_labels`` gives a text, with a leading BOS where ``bos``: F2 without encoding."""
+    extra = F.when(bos, 1).otherwise(0) if isinstance(bos, Column) else F.lit(int(bos))
+    return F.char_length(F.coalesce(text, F.lit(""))) + extra
+
+
+def decode_labels(labels: Column, vocab: dict[str, int]) -> Column:
     """Ids -> text; pad/unk/bos and -100 are skipped, the delimiter becomes a space.
 
-    ``vocab_chars[i]`` is the character of id FIRST_CHAR_ID + i (bounded by the
-    character set), looked up by position: O(1) per id.
+    The characters are looked up by position: O(1) per id. An id outside the
+    vocabulary is an error, not a missing character.
     """
-    table = F.array(*[F.lit(c) for c in vocab_chars]) if vocab_chars else F.array().cast("array<string>")
+    chars = [c for c, _ in sorted(vocab.items(), key=lambda x: x[1])]
+    table = F.array(*[F.lit(c) for c in chars]) if chars else F.array().cast("array<string>")
     kept = F.filter(labels, lambda x: x >= DELIM_ID)
-    chars = F.transform(kept, lambda x: F.when(x == DELIM_ID, F.lit(" "))
-                        .otherwise(F.get(table, x - F.lit(FIRST_CHAR_ID))))
-    return F.array_join(chars, "")
+    text = F.transform(kept, lambda x: F.when(x == DELIM_ID, F.lit(" ")).when(
+        x < FIRST_CHAR_ID + len(chars), F.get(table, x - F.lit(FIRST_CHAR_ID)))
+        .otherwise(F.raise_error(F.concat(F.lit("label id outside the vocabulary: "), x.cast("string"))).cast("string")))
+    return F.array_join(text, "")
 
 
 def label_lengths(df: DataFrame, labels: str = "labels", n_samples: str = "n_samples") -> DataFrame:
@@ -119,14 +126,14 @@ def unmask(labels: Column, pad_id: int = PAD_ID) -> Column:
     return F.transform(labels, lambda x: F.when(x == IGNORE_INDEX, F.lit(pad_id)).otherwise(x))
 
 
-def ctc_greedy(frames: DataFrame, utt: str = "utt", frame: str = "frame", scores: str = "scores",
-               alphabet: str | None = None) -> DataFrame:
+def ctc_greedy(frames: DataFrame, alphabet: str, utt: str = "utt", frame: str = "frame",
+               scores: str = "scores") -> DataFrame:
     """CTC greedy decode: argmax per frame (first max), collapse consecutive
     repeats, then drop blanks (so ``a _ a`` keeps both a's); ids -> characters.
 
+    ``alphabet`` holds the symbols of classes 1..; a class beyond it is an error.
     One shuffle: frames are grouped per utterance (bounded by its length).
     """
-    alphabet = alphabet or _ctc_alphabet()
     best = F.array_position(F.col(scores), F.array_max(F.col(scores))) - 1
     per = frames.select(utt, F.struct(F.col(frame).alias("f"), best.cast("int").alias("c")).alias("_fc"))
     g = per.groupBy(utt).agg(F.sort_array(F.collect_list("_fc")).alias("_s"))
@@ -136,19 +143,15 @@ def ctc_greedy(frames: DataFrame, utt: str = "utt", frame: str = "frame", scores
     cls = F.col("_c")
     collapsed = F.filter(cls, lambda x, i: (i == 0) | (x != F.get(cls, i - 1)))
     kept = F.filter(collapsed, lambda x: x != CTC_BLANK)
-    text = F.array_join(F.transform(kept, lambda x: F.substring(F.lit(alphabet), x, 1)), "")
+    text = F.array_join(F.transform(kept, lambda x: F.when(
+        x <= len(alphabet), F.substring(F.lit(alphabet), x, 1))
+        .otherwise(F.raise_error(F.concat(F.lit("class outside the alphabet: "), x.cast("string"))).cast("string"))), "")
     return g.select(utt, "n_frames", text.alias("text"))
 
 
-def _ctc_alphabet() -> str:
-    """Output symbols for classes 1..: lower-case letters, digits, upper-case letters, punctuation."""
-    import string
-    return string.ascii_lowercase + string.digits + string.ascii_uppercase + "!#$%&*+-/<=>?@^_~"
-
-
 def frame_mask(n_samples: Column, total: int = FRAMES_30S, hop: int = HOP) -> Column:
-    """1 for the ceil(n/hop) real frames, 0 for the padding up to ``total``."""
-    k = F.ceil(n_samples / F.lit(hop)).cast("int")
+    """1 for the ceil(n/hop) real frames, 0 for the padding up to ``total``; longer audio is cut to ``total``."""
+    k = F.least(F.ceil(n_samples / F.lit(hop)), F.lit(total)).cast("int")
     return F.concat(F.array_repeat(F.lit(1), k), F.array_repeat(F.lit(0), F.lit(total) - k))
 
 

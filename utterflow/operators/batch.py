@@ -63,22 +63,3 @@ def score_batches(make_predict_fn: Callable, inputs: list[Column | str], return_
     from pyspark.ml.functions import predict_batch_udf
     udf = predict_batch_udf(make_predict_fn, return_type=return_type, batch_size=batch_size)
     return udf(*[F.col(c) if isinstance(c, str) else c for c in inputs])
-
-
-def make_rule_predictor():
-    """Deterministic stand-in model for tests: every 11th word wrong, every 7th dropped.
-
-    Inputs: (utt_id, text) arrays. Mirrors ``plans.fixtures.hypothesis``.
-    """
-    import numpy as np
-
-    def predict(ids, texts):
-        out = []
-        for uid, text in zip(ids, texts):
-            words = [w for w in str(text).split(" ") if w != ""]
-            kept = [("zzz" if (i + int(uid)) % 11 == 0 else w)
-                    for i, w in enumerate(words) if (i + int(uid)) % 7 != 0]
-            out.append(" ".join(kept))
-        return np.array(out, dtype=object)
-
-    return predict

@@ -108,6 +108,6 @@ def exclude_sources(df: DataFrame, excluded: DataFrame, key: str = "source") ->
 
 
 def corpus_mix(df: DataFrame, source: str = "source") -> DataFrame:
-    """A5: rows per source plus the grand total (rollup; total row has source null)."""
-    return (df.rollup(source).agg(F.count(F.lit(1)).alias("n_rows"))
-            .withColumn("is_total", F.col(source).isNull()))
+    """A5: rows per source plus the grand total (rollup; ``is_total`` tells the total row,
+    whose source is null, from rows without a source)."""
+    return df.rollup(source).agg(F.count(F.lit(1)).alias("n_rows"), (F.grouping(source) == 1).alias("is_total"))

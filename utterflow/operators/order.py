@@ -1,14 +1,15 @@
-"""Positional operators (O1-O7) without any unpartitioned window over the data.
+"""Positional operators (O1-O7) without any window over a whole corpus.
 
 A global position over an ordered corpus is computed as
   position = (rows in all earlier blocks) + (row number inside the block)
 where a block is (partition keys, leading order keys, shard) and ``shard`` is
 a stored, range-based column (``row_ord div rows_per_shard``). The row number
 is a window partitioned by the block, so each block is one bounded sort; the
-block offsets come from a per-block count table (one row per block) whose
-prefix sums are tiny. The join back to the data is on the block key the
-window already hash-partitioned by, so the big side is not shuffled again;
-AQE turns it into a broadcast join when the measured count table is small.
+block offsets come from one table of block sizes, pre-aggregated per map task:
+one row per block, so rows / ROWS_PER_SHARD of them and one per leading key.
+The join back to the data is on the block key the window already
+hash-partitioned by, so the big side is not shuffled again; AQE turns it into
+a broadcast join when the measured table is small.
 """
 
 from __future__ import annotations
@@ -18,6 +19,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+ROWS_PER_SHARD = 100_000         # rows in a block: one sort
+SHARDS_PER_GROUP = 1_024         # blocks in a group: one window over block sizes
+
 
 def global_position(df: DataFrame, order_cols: Sequence[str], shard_col: str = "shard",
                     partition_cols: Sequence[str] = (), name: str = "pos",
@@ -25,7 +29,7 @@ def global_position(df: DataFrame, order_cols: Sequence[str], shard_col: str = "
     """O1/O2: 0-based stable position in (order_cols) order, restarting per partition_cols.
 
     ``shard_col`` must be a range of the last order column within the leading
-    ones (e.g. shard = row_ord div 250 inside a source). With
+    ones (e.g. shard = row_ord div ROWS_PER_SHARD inside a source). With
     ``rows_per_shard`` the shard is derived that way (a stored, repeatable
     range, never the partition id); real corpora use file-sized shards.
     """
@@ -62,18 +66,18 @@ def _cumulative(df: DataFrame, part: list[str], order_by: list[str], value: str)
 def _block_offsets(counts: DataFrame, part: list[str], lead: list[str], shard_col: str) -> DataFrame:
     """Rows before each block, in two levels so no window spans all blocks.
 
-    Level 1: prefix sums over shards inside each (partition, leading key),
-    e.g. inside one source. Level 2: prefix sums over the per-source totals
-    (one row per source). Only level 2 can be unpartitioned, and its table
-    holds one row per leading key.
+    Level 1: prefix sums over the shards of a group, SHARDS_PER_GROUP
+    consecutive shards of one source, so a source's block list is split however
+    long it is. Level 2: prefix sums over the groups' totals (one row per
+    source and group), derived from the same counts. Leading keys should be
+    few: every one is a row of level 2.
     """
-    if not lead:
-        return counts.select(*part, shard_col, _cumulative(counts, part, [shard_col], "_n").alias("_off"))
-    within = counts.select(*part, *lead, shard_col,
-                           _cumulative(counts, [*part, *lead], [shard_col], "_n").alias("_o1"))
-    totals = counts.groupBy(*part, *lead).agg(F.sum("_n").alias("_t"))
-    before = totals.select(*part, *lead, _cumulative(totals, part, lead, "_t").alias("_o2"))
-    return (_join_null_safe(within, before, [*part, *lead])
+    sized = counts.withColumn("_grp", F.floor(F.col(shard_col) / F.lit(SHARDS_PER_GROUP)))
+    group = [*part, *lead, "_grp"]
+    within = sized.select(*group, shard_col, _cumulative(sized, group, [shard_col], "_n").alias("_o1"))
+    totals = sized.groupBy(*group).agg(F.sum("_n").alias("_t"))
+    before = totals.select(*group, _cumulative(totals, part, [*lead, "_grp"], "_t").alias("_o2"))
+    return (_join_null_safe(within, before, group)
             .select(*part, *lead, shard_col, (F.col("_o1") + F.col("_o2")).alias("_off")))
 
 

@@ -72,12 +72,22 @@ def assign_split(ids: DataFrame, lists: DataFrame, key: str = "path", split: str
 
 
 def strict_lookup(records: DataFrame, lookup: DataFrame, key: str, value: str,
-                  strict: bool = False) -> DataFrame:
+                  strict: bool = False, order: str | None = None) -> DataFrame:
     """Look every record's key up; a miss fails the job when ``strict``.
 
-    Non-strict mode keeps the row with a null value so misses can be counted.
+    A key that is listed several times takes the value with the largest
+    ``order`` (merged lists: the last one wins); without an order a repeated
+    key is an error. Either way the lookup is one row per key before the join,
+    by partial aggregation, so records never fan out. Non-strict mode keeps
+    the row with a null value so misses can be counted.
     """
-    j = records.join(lookup.select(key, value), key, "left")
+    if order is not None:
+        one = lookup.groupBy(key).agg(F.max_by(value, order).alias(value))
+    else:
+        one = lookup.groupBy(key).agg(F.min(value).alias(value), F.count(F.lit(1)).alias("_n")).select(
+            key, F.when(F.col("_n") > 1, F.raise_error(F.concat(F.lit("key listed twice: "), F.col(key).cast("string"))))
+            .otherwise(F.col(value)).alias(value))
+    j = records.join(one, key, "left")
     if strict:
         j = j.withColumn(value, F.when(F.col(value).isNull(),
                                        F.raise_error(F.concat(F.lit("missing key: "), F.col(key).cast("string"))))
@@ -85,22 +95,32 @@ def strict_lookup(records: DataFrame, lookup: DataFrame, key: str, value: str,
     return j
 
 
-def shard_transcripts(members: DataFrame, transcripts: DataFrame, member_path: str = "path",
-                      key: str = "key") -> tuple[DataFrame, DataFrame]:
-    """Archive members joined to split-tagged transcripts by stem.
+def shard_transcripts(members: DataFrame, transcripts: DataFrame, archives: DataFrame, member_path: str = "path",
+                      archive: str = "archive", key: str = "key") -> DataFrame:
+    """Every split's archive members joined to that split's transcripts by stem.
 
-    ``transcripts`` has (split, key, transcription). Returns (matched rows,
-    per-split counts). Two transcript tables over the same audio give two
-    splits of the same member; members without a transcript in a split are
-    skipped there, and counted: n_unmatched = n_members - n_matched.
+    ``members`` has (archive, path), ``archives`` (split, archive) says which
+    archives a split reads, ``transcripts`` has (split, key, transcription). An
+    id of one split found in another split's archive does not match. Members
+    without a transcript are left out here and counted by ``shard_counts``.
     """
-    m = members.withColumn(key, stem(F.col(member_path)))
-    matched = m.join(transcripts, key, "inner")
-    per_split = matched.groupBy("split").agg(F.count(F.lit(1)).alias("n_matched"))
-    n_members = m.count()       # one number to the driver; no join against a 1-row table
-    counts = (per_split.withColumn("n_members", F.lit(n_members).cast("bigint"))
-              .withColumn("n_unmatched", F.col("n_members") - F.col("n_matched")))
-    return matched, counts
+    return _split_members(members, archives, member_path, archive, key).join(transcripts, ["split", key], "inner")
+
+
+def shard_counts(members: DataFrame, transcripts: DataFrame, archives: DataFrame, member_path: str = "path",
+                 archive: str = "archive", key: str = "key") -> DataFrame:
+    """Per split of ``archives``: distinct members, those with a transcript, and the rest (0 where none match)."""
+    m = _split_members(members, archives, member_path, archive, key).select("split", member_path, key).distinct()
+    known = transcripts.select("split", key).distinct().withColumn("_t", F.lit(1))
+    per = m.join(known, ["split", key], "left").groupBy("split").agg(
+        F.count(F.lit(1)).alias("n_members"), F.count("_t").alias("n_matched"))
+    return archives.select("split").distinct().join(per, "split", "left").select(
+        "split", F.coalesce("n_members", F.lit(0)).alias("n_members"), F.coalesce("n_matched", F.lit(0)).alias("n_matched"),
+        (F.coalesce("n_members", F.lit(0)) - F.coalesce("n_matched", F.lit(0))).alias("n_unmatched"))
+
+
+def _split_members(members: DataFrame, archives: DataFrame, member_path: str, archive: str, key: str) -> DataFrame:
+    return members.withColumn(key, stem(F.col(member_path))).join(archives.select("split", archive).distinct(), archive)
 
 
 def orphans(files: DataFrame, transcribed: DataFrame, key: str = "path") -> DataFrame:

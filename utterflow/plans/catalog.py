@@ -26,13 +26,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 # Fixed parameters of the registered queries (shared with plans/oracle.py).
 EXCLUDED_SOURCES = ("src3", "src7")
-EXPECTED_COUNTS = (("train", 800), ("validation", 100), ("test", 99))
+EXPECTED_COUNTS = (("train", 800), ("validation", 99), ("dev", 5))   # "test" comes unexpected
 BUDGET_STEPS, BUDGET_BATCH = 40, 4
 BATCH_SIZE = 8
 RANK_BATCH, RANK_N = 16, 2
 RETAIN_LIMIT = 3
 THIN_EVERY = 200
 STEP_EVERY = 50
+EVENTS_PER_BLOCK = 10_000_000
 PUBLISH_ROWS_PER_FILE = 100
 
 
@@ -54,12 +55,18 @@ def _ints(col: Column | str) -> Column:
 
 # ---------------------------------------------------------------- sources
 
+def _partitioned(spark, sf, columns: list[str]) -> str:
+    """The corpus written as a table with one folder per split."""
+    out = _scratch(spark, "corpus")
+    u = fx.utt(spark, sf).select("split", *columns)
+    u.write.partitionBy("split").parquet(out)
+    return out
+
+
 @query("src_load_split")
 def src_load_split(spark, sf):
-    registry = readers.CorpusRegistry().register("documents", f"{sf.rstrip('/')}/documents.parquet", "lang")
-    docs = registry.load(spark, "documents", config="en", columns=["doc_id", "source", "n_chars"])
-    u = docs.withColumn("split", fx._split_of(F.col("doc_id")))
-    return u.where(F.col("split") == "test").select(F.col("doc_id").alias("utt_id"), "source", "n_chars")
+    registry = readers.CorpusRegistry().register("corpus", _partitioned(spark, sf, ["utt_id", "source", "lang", "n_chars"]), "lang")
+    return registry.load(spark, "corpus", config="en", split="test", columns=["utt_id", "source", "n_chars"])
 
 
 @query("src_tsv_transcripts")
@@ -67,6 +74,15 @@ def src_tsv_transcripts(spark, sf):
     return readers.parse_tsv_transcripts(fx.tsv_lines(spark, sf))
 
 
+@query("src_tsv_file")
+def src_tsv_file(spark, sf):
+    """S6 over files written in line order."""
+    out = _scratch(spark, "tsv")
+    lines = fx.tsv_lines(spark, sf)
+    lines.repartitionByRange("line_no").sortWithinPartitions("line_no").select("line").write.text(out)
+    return readers.read_tsv_transcripts(spark, out)
+
+
 @query("src_jsonl_manifest")
 def src_jsonl_manifest(spark, sf):
     u = fx.utt(spark, sf)
@@ -176,7 +192,7 @@ def src_tar_shards(spark, sf):
                        paths.basename("path").alias("member"), _wav_headers(u).alias("content"))
     sinks.write_tar_shards(members, out).write.format("noop").mode("overwrite").save()
     tarshards.register(spark)
-    df = spark.read.format("tarshards").option("path", f"{sinks._posix_root(out)}/*.tar.gz").load()
+    df = spark.read.format("tarshards").option("path", f"{out}/*.tar.gz").load()
     prof = df.select("member", "size", *wav.wav_profile("content"))
     return prof.select("member", "size", "n_samples", "sampling_rate")
 
@@ -207,7 +223,13 @@ def src_audiofolder(spark, sf):
 
 @query("src_list_files")
 def src_list_files(spark, sf):
-    return readers.list_files(spark, sf, "*.parquet").select("name", "length")
+    """A tree with one text file per document, listed without reading it."""
+    u = fx.utt(spark, sf)
+    out = _scratch(spark, "tree")
+    files = u.select(F.concat(F.col("split"), F.lit("/"), F.col("source"), F.lit("/"), paths.stem("path"), F.lit(".txt")).alias("relpath"),
+                     F.encode("text", "UTF-8").alias("content"))
+    sinks.write_files(files, out).write.format("noop").mode("overwrite").save()
+    return readers.list_files(spark, out, "*.txt").select("name", "length")
 
 
 # ---------------------------------------------------------------- sinks
@@ -316,10 +338,12 @@ def filter_audio_length(spark, sf):
     return u.where(mix.audio_length_ok(F.col("n_samples"))).select("utt_id", "n_samples")
 
 
+def _vocab(spark, sf) -> dict[str, int]:
+    return arrays.char_ids(fx.utt(spark, sf).where(F.col("split") == "train"), "text")
+
+
 def _labelled(spark, sf) -> DataFrame:
-    u = fx.utt(spark, sf)
-    vocab = arrays.build_char_vocab(u.where(F.col("split") == "train"), "text")
-    return arrays.encode_labels(u, vocab, "text", "labels")
+    return arrays.encode_labels(fx.utt(spark, sf), _vocab(spark, sf), "text", "labels")
 
 
 @query("filter_label_length")
@@ -342,7 +366,7 @@ def filter_language(spark, sf):
 
 @query("filter_split")
 def filter_split(spark, sf):
-    return fx.utt(spark, sf).where(F.col("split") == "validation").select("utt_id", "path")
+    return readers.load_split(spark, _partitioned(spark, sf, ["utt_id", "path"]), "validation", ["utt_id", "path"])
 
 
 @query("dq_blank_transcripts")
@@ -410,31 +434,21 @@ def join_split_assign(spark, sf):
 @query("join_strict_lookup")
 def join_strict_lookup(spark, sf):
     rec = fx.utt(spark, sf).select("utt_id", paths.basename("path").alias("wav"))
-    lookup = fx.listed(spark, sf).select(paths.basename("path").alias("wav"),
-                                         F.concat(F.lit("data/"), F.col("path")).alias("file_name"))
-    return reconcile.strict_lookup(rec, lookup, "wav", "file_name")
+    return reconcile.strict_lookup(rec, fx.lookup_lists(spark, sf), "wav", "file_name", order="list")
 
 
 def _shard_inputs(spark, sf):
-    u = fx.utt(spark, sf)
-    t = lambda split, langs: u.where(F.col("lang").isin(*langs)).select(
-        F.lit(split).alias("split"), paths.stem("path").alias("key"), F.lower("text").alias("transcription"))
-    transcripts = t("train_raw", ["en", "fr"]).unionByName(t("train_refined", ["en", "es"]))
-    return fx.files(spark, sf), transcripts
+    return fx.archive_members(spark, sf), fx.split_transcripts(spark, sf), fx.archives(spark)
 
 
 @query("join_shard_transcripts")
 def join_shard_transcripts(spark, sf):
-    members, transcripts = _shard_inputs(spark, sf)
-    matched, _ = reconcile.shard_transcripts(members, transcripts)
-    return matched.select("split", "key", "path")
+    return reconcile.shard_transcripts(*_shard_inputs(spark, sf)).select("split", "key", "path")
 
 
 @query("join_shard_unmatched")
 def join_shard_unmatched(spark, sf):
-    members, transcripts = _shard_inputs(spark, sf)
-    _, counts = reconcile.shard_transcripts(members, transcripts)
-    return counts.select("split", "n_members", "n_matched", "n_unmatched")
+    return reconcile.shard_counts(*_shard_inputs(spark, sf))
 
 
 @query("join_orphans")
@@ -603,19 +617,27 @@ def wer_by_split(spark, sf):
 
 @query("wer_gate")
 def wer_gate(spark, sf):
-    return score.wer_gate(wer_by_split(spark, sf))
+    return score.wer_gate(score.corpus_wer(score.word_edits(fx.gate_pairs(spark, sf)), ["split"]))
+
+
+@query("wer_gate_samples")
+def wer_gate_samples(spark, sf):
+    """the first and last five pairs of suspicious splits."""
+    return score.gate_samples(fx.gate_pairs(spark, sf), wer_gate(spark, sf))
 
 
 @query("corpus_mix")
 def corpus_mix(spark, sf):
-    return mix.corpus_mix(fx.utt(spark, sf).select("source"))
+    known = F.when(F.col("source") != "src3", F.col("source"))          # some rows have no source
+    return mix.corpus_mix(fx.read_table(spark, sf, "documents").select(known.alias("source")))
 
 
 # ---------------------------------------------------------------- ordering
 
 def _positions(spark, sf, partition=()) -> DataFrame:
-    u = fx.utt(spark, sf).select("utt_id", "split", "source_ord", "row_ord", "shard")
-    return order.global_position(u, ["source_ord", "row_ord"], "shard", partition)
+    # narrow columns only: the scan is not spread, and the text is not read
+    u = fx.derive_utt(fx.read_table(spark, sf, "documents")).select("utt_id", "split", "source_ord", "row_ord")
+    return order.global_position(u, ["source_ord", "row_ord"], "block", partition, rows_per_shard=order.ROWS_PER_SHARD)
 
 
 @query("global_position")
@@ -640,8 +662,8 @@ def head_tail_sample(spark, sf):
 
 
 def _metrics(spark, sf) -> DataFrame:
-    m = fx.metric_log(spark, sf).withColumn("shard", F.floor(F.col("event_id") / F.lit(fx.ROWS_PER_SHARD)))
-    p = order.global_position(m, ["event_id"], "shard", ["run"])
+    # blocks of a run by wide ranges of its order: a usual run is one block, a huge one many
+    p = order.global_position(fx.metric_log(spark, sf), ["event_id"], "block", ["run"], rows_per_shard=EVENTS_PER_BLOCK)
     return p.select("run", ((F.col("pos") + 1) * STEP_EVERY).alias("step"), F.col("wer_milli").alias("wer"))
 
 
@@ -674,21 +696,15 @@ def derive_lengths(spark, sf):
 
 
 def _train_stream(spark, sf, bos: bool = False) -> DataFrame:
-    """Training-stream order: F1 before anything expensive, R1, F2, O1, R3."""
+    """Training-stream order: F1, F2 by character count, R1 once, then O1 and R3 on the written rows."""
+    has_bos = F.lit(bos) & (F.col("source_ord") % 2 == 0)
     u = fx.utt(spark, sf).where(mix.audio_length_ok(F.col("n_samples")))
-    # every character becomes at least one id, so length(text) < 448 is necessary
-    # for size(labels) < 448: a cheap pre-filter before encoding; F2 itself runs below
-    extra = 1 if bos else 0
-    u = u.where(F.length("text") + extra < mix.MAX_LABEL_LENGTH)
-    vocab = arrays.build_char_vocab(fx.utt(spark, sf).where(F.col("split") == "train"), "text")
-    lab = arrays.encode_labels(u, vocab, "text", "labels")
-    if bos:
-        lab = lab.withColumn("labels", F.when(F.col("source_ord") % 2 == 0,
-                                              F.concat(F.array(F.lit(arrays.BOS_ID)), F.col("labels")))
-                             .otherwise(F.col("labels")))
-    lab = lab.where(mix.label_length_ok(F.col("labels")))
-    pos = order.global_position(lab.select("utt_id", "source_ord", "row_ord", "shard", "labels", "n_samples"),
-                                ["source_ord", "row_ord"], "shard")
+    u = u.where(arrays.label_count(F.col("text"), has_bos) < mix.MAX_LABEL_LENGTH)
+    lab = arrays.encode_labels(u, _vocab(spark, sf), "text", "labels")
+    lab = lab.withColumn("labels", F.when(has_bos, F.concat(F.array(F.lit(arrays.BOS_ID)), F.col("labels")))
+                         .otherwise(F.col("labels")))
+    rows = sinks.materialize(lab.select("utt_id", "source_ord", "row_ord", "labels", "n_samples"), _scratch(spark, "train-stream"))
+    pos = order.global_position(rows, ["source_ord", "row_ord"], "block", rows_per_shard=order.ROWS_PER_SHARD)
     return arrays.assign_batches(pos, BATCH_SIZE)
 
 
@@ -717,23 +733,20 @@ def unmask_labels(spark, sf):
 
 @query("decode_labels")
 def decode_labels(spark, sf):
-    u = fx.utt(spark, sf)
-    vocab = arrays.build_char_vocab(u.where(F.col("split") == "train"), "text")
-    chars = [r["char"] for r in vocab.orderBy("id").select("char").collect()]
-    lab = arrays.encode_labels(u, vocab, "text", "labels")
-    return lab.select("utt_id", arrays.decode_labels(F.col("labels"), chars).alias("text"))
+    vocab = _vocab(spark, sf)
+    lab = arrays.encode_labels(fx.utt(spark, sf), vocab, "text", "labels")
+    return lab.select("utt_id", arrays.decode_labels(F.col("labels"), vocab).alias("text"))
 
 
 @query("ctc_greedy")
 def ctc_greedy(spark, sf):
-    return arrays.ctc_greedy(fx.frames(spark, sf))
+    return arrays.ctc_greedy(fx.frames(spark, sf), fx.CTC_ALPHABET)
 
 
 @query("frame_mask")
 def frame_mask(spark, sf):
-    u = fx.utt(spark, sf).where(mix.audio_length_ok(F.col("n_samples")))
-    m = arrays.frame_mask(F.col("n_samples"))
-    return u.select("utt_id", F.size(m).alias("n_frames"),
+    m = arrays.frame_mask(F.col("n_samples"))               # audio over 30 s included
+    return fx.utt(spark, sf).select("utt_id", F.size(m).alias("n_frames"),
                     F.aggregate(m, F.lit(0), lambda a, x: a + x).alias("n_real"))
 
 
@@ -745,15 +758,13 @@ def rank_slices(spark, sf):
 @query("wer_from_ids")
 def wer_from_ids(spark, sf):
     """A4: label ids (padded with -100) and predicted ids -> unmask, decode, corpus WER."""
-    u = fx.utt(spark, sf)
-    vocab = arrays.build_char_vocab(u.where(F.col("split") == "train"), "text")
-    chars = [r["char"] for r in vocab.orderBy("id").select("char").collect()]
-    both = u.select("split", "utt_id", "text", fx.hypothesis(F.col("utt_id"), F.col("text")).alias("hyp"))
+    vocab = _vocab(spark, sf)
+    both = fx.utt(spark, sf).select("split", "utt_id", "text", fx.hypothesis(F.col("utt_id"), F.col("text")).alias("hyp"))
     lab = arrays.encode_labels(both, vocab, "text", "labels")
     lab = arrays.encode_labels(lab, vocab, "hyp", "pred_ids")
     dec = lab.select("split", "utt_id",
-                     arrays.decode_labels(arrays.unmask(F.col("labels")), chars).alias("ref"),
-                     arrays.decode_labels(F.col("pred_ids"), chars).alias("hyp"))
+                     arrays.decode_labels(arrays.unmask(F.col("labels")), vocab).alias("ref"),
+                     arrays.decode_labels(F.col("pred_ids"), vocab).alias("hyp"))
     return score.corpus_wer(score.word_edits(dec), ["split"])
 
 
@@ -775,7 +786,15 @@ def map_batches(spark, sf):
 @query("score_batches")
 def score_batches(spark, sf):
     u = fx.utt(spark, sf).select("utt_id", "text")
-    pred = batch.score_batches(batch.make_rule_predictor, ["utt_id", "text"], T.StringType(), batch_size=32)
+    pred = batch.score_batches(fx.make_rule_predictor, ["utt_id", "text"], T.StringType(), batch_size=32)
+    return u.select("utt_id", pred.alias("pred"))
+
+
+@query("score_rows")
+def score_rows(spark, sf):
+    """The same predictor, one row a call."""
+    u = fx.utt(spark, sf).select("utt_id", "text")
+    pred = batch.score_batches(fx.make_rule_predictor, ["utt_id", "text"], T.StringType(), batch_size=1)
     return u.select("utt_id", pred.alias("pred"))
 
 
@@ -788,11 +807,10 @@ def stream_prepare(spark, sf):
     from ..streaming.stream import prepare_stream
     src = sf.rstrip("/")
     schema = fx.read_table(spark, sf, "documents").schema
-    vocab = arrays.build_char_vocab(fx.utt(spark, sf).where(F.col("split") == "train"), "text")
+    vocab = _vocab(spark, sf)
 
     def transform(docs: DataFrame) -> DataFrame:
-        u = fx.derive_utt(docs.repartition(2 * spark.sparkContext.defaultParallelism, "doc_id"))
-        u = u.select("utt_id", "split", F.struct(F.col("path"), F.col("n_samples"), F.col("sampling_rate")).alias("audio"),
+        u = fx.derive_utt(docs).select("utt_id", "split", F.struct(F.col("path"), F.col("n_samples"), F.col("sampling_rate")).alias("audio"),
                      F.col("text").alias("transcription"))
         canonical = mix.unify(u, 0).where(mix.audio_length_ok(F.col("audio.n_samples")))
         lab = arrays.encode_labels(canonical, vocab, "transcription", "labels")
@@ -806,11 +824,11 @@ def stream_prepare(spark, sf):
 
 @query("stream_wer")
 def stream_wer(spark, sf):
-    from ..streaming.stream import running_wer
+    from ..streaming.stream import running_wer, stream_session
+    own = stream_session(spark)
     schema = fx.read_table(spark, sf, "documents").schema
-    docs = spark.readStream.schema(schema).option("pathGlobFilter", "documents.parquet").parquet(sf.rstrip("/"))
-    u = fx.derive_utt(docs.repartition(2 * spark.sparkContext.defaultParallelism, "doc_id"))
-    pairs = u.select("split", "utt_id", F.col("raw").alias("ref"),
-                     fx.hypothesis(F.col("utt_id"), F.col("text")).alias("hyp"))
+    docs = own.readStream.schema(schema).option("pathGlobFilter", "documents.parquet").parquet(sf.rstrip("/"))
+    pairs = fx.derive_utt(docs).select("split", "utt_id", F.col("raw").alias("ref"),
+                                       fx.hypothesis(F.col("utt_id"), F.col("text")).alias("hyp"))
     base = _scratch(spark, "stream-wer")
-    return running_wer(spark, pairs, f"{base}/out", f"{base}/checkpoint")
+    return running_wer(pairs, f"{base}/out", f"{base}/checkpoint")

@@ -14,14 +14,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators import batch, order, score
+from ..operators import batch, score
 
 
 @dataclass
 class EvalReport:
     wer: DataFrame        # split, n_pairs, edits, ref_words, n_empty_ref, wer, status
     check: DataFrame      # split, truth_only, pred_only, matched, ok
-    samples: DataFrame    # split, end, rank_in_end, key..., reference, prediction (suspicious splits only)
+    samples: DataFrame    # split, end, rank_in_end, order key, reference, prediction (suspicious splits only)
 
 
 def evaluate(truths: DataFrame, predictions: DataFrame, keys: Sequence[str] = ("split", "utt_id"),
@@ -33,10 +33,7 @@ def evaluate(truths: DataFrame, predictions: DataFrame, keys: Sequence[str] = ("
     edits = score.word_edits(pairs, keys=k_, pair_key=k_[-1])
     wer = score.wer_gate(score.corpus_wer(edits, [k_[0]]))
     check = score.pred_truth_match(truths, predictions, k_, k_[0])
-    bad = wer.where(F.col("status") != "ok").select(k_[0])
-    suspicious = pairs.join(bad, k_[0], "left_semi")      # one row per split: AQE broadcasts it
-    samples = order.head_tail(suspicious, [k_[0]], order_col, k).select(
-        k_[0], "end", "rank_in_end", *k_[1:], F.col("ref").alias("reference"), F.col("hyp").alias("prediction"))
+    samples = score.gate_samples(pairs, wer, k, k_[0], order_col)
     return EvalReport(wer=wer, check=check, samples=samples)
 
 

@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.paths import basename, stem
 from ..functions.text import collapse_whitespace, split_words
 from ..sources.tables import read_table
 
@@ -21,6 +22,8 @@ ROWS_PER_SHARD = 250
 FRAMES_PER_UTT = 50
 BOM = "﻿"
 BACKSLASH = "\\"
+# Output symbols of CTC classes 1.. (class 0 is the blank).
+CTC_ALPHABET = "abcdefghijklmnopqrstuvwxyz0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ!"
 
 
 def _split_of(doc_id: Column) -> Column:
@@ -127,6 +130,11 @@ def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
                     hypothesis(F.col("utt_id"), F.col("text")).alias("hyp"))
 
 
+def gate_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``pairs`` whose validation split is predicted without an error, which the gate must find suspicious."""
+    return pairs(spark, sf_dir).withColumn("hyp", F.when(F.col("split") == "validation", F.col("ref")).otherwise(F.col("hyp")))
+
+
 def truths(spark: SparkSession, sf_dir: str) -> DataFrame:
     return utt(spark, sf_dir).select("split", "utt_id", F.col("raw").alias("sentence"))
 
@@ -149,12 +157,44 @@ def listed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def split_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(split, path) membership lists that overlap on purpose."""
+    """(split, path) membership lists that overlap on purpose, from one scan."""
+    u = utt(spark, sf_dir)
+    member = [("train", F.col("lang").isin("en", "de")), ("validation", F.col("lang").isin("fr", "de")),
+              ("test", (F.col("lang") == "es") | (F.col("n_chars") < 500))]
+    return u.select(F.explode(F.filter(F.array(*[F.when(c, F.lit(n)) for n, c in member]),
+                                       lambda x: x.isNotNull())).alias("split"), "path")
+
+
+def lookup_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(wav, file_name, list): two split lists that share the Spanish files; the later list wins."""
+    u = utt(spark, sf_dir)
+    lists = F.filter(F.array(F.when(F.col("lang") != "fr", F.lit("data/")), F.when(F.col("lang") == "es", F.lit("held/"))),
+                     lambda x: x.isNotNull())
+    return u.select(basename("path").alias("wav"), F.posexplode(lists).alias("list", "root"), "path") \
+        .select("wav", F.concat("root", "path").alias("file_name"), "list")
+
+
+#: which archives (sources) a split reads; nothing is in the archive of split "extra"
+ARCHIVES = tuple([(s, f"src{i}") for s in ("train_raw", "train_refined") for i in range(14)]
+                 + [("dev", f"src{i}") for i in range(14, 17)] + [("test", f"src{i}") for i in range(17, 20)]
+                 + [("extra", "none")])
+
+
+def archives(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame(list(ARCHIVES), "split string, archive string")
+
+
+def archive_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(archive, path): files that exist, in the archive of their source."""
+    return utt(spark, sf_dir).where(F.col("lang") != "de").select(F.col("source").alias("archive"), "path")
+
+
+def split_transcripts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(split, key, transcription): the dev and test tables name ids of all archives, train archives included."""
     u = utt(spark, sf_dir)
-    tr = u.where(F.col("lang").isin("en", "de")).select(F.lit("train").alias("split"), "path")
-    va = u.where(F.col("lang").isin("fr", "de")).select(F.lit("validation").alias("split"), "path")
-    te = u.where((F.col("lang") == "es") | (F.col("n_chars") < 500)).select(F.lit("test").alias("split"), "path")
-    return tr.unionByName(va).unionByName(te)
+    langs = [("train_raw", ("en", "fr")), ("train_refined", ("en", "es")), ("dev", ("en", "de")), ("test", ("fr", "es"))]
+    splits = F.filter(F.array(*[F.when(F.col("lang").isin(*x), F.lit(n)) for n, x in langs]), lambda x: x.isNotNull())
+    return u.select(F.explode(splits).alias("split"), stem("path").alias("key"), F.lower("text").alias("transcription"))
 
 
 def tsv_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -187,6 +227,25 @@ def metric_log(spark: SparkSession, sf_dir: str) -> DataFrame:
                      (F.floor(F.col("value") * 100).cast("bigint") % 1000).alias("wer_milli"))
 
 
+def make_rule_predictor():
+    """Deterministic stand-in model: every 11th word wrong, every 7th dropped.
+
+    Inputs: (utt_id, text) arrays. Mirrors ``hypothesis``.
+    """
+    import numpy as np
+
+    def predict(ids, texts):
+        out = []
+        for uid, text in zip(ids, texts):
+            words = [w for w in str(text).split(" ") if w != ""]
+            kept = [("zzz" if (i + int(uid)) % 11 == 0 else w)
+                    for i, w in enumerate(words) if (i + int(uid)) % 7 != 0]
+            out.append(" ".join(kept))
+        return np.array(out, dtype=object)
+
+    return predict
+
+
 def result_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     u = utt(spark, sf_dir)
     doc = F.to_json(F.struct(F.struct(F.array(F.struct(F.col("text").alias("transcript")))

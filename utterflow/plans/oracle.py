@@ -2,15 +2,15 @@
 
 The fixture tables of ``plans.fixtures`` are spelled here as CTEs over the
 pre-registered views. DuckDB lambdas index from 1, Spark's from 0.
-Keys without an entry (word edit distance over whole texts, the WER gate,
-stream WER, file listings) are checked by unit tests against an independent
-dynamic program instead: a word-level DP over whole texts is too slow as SQL.
+The word edit distance is the plain dynamic program over anti-diagonals (no
+cell depends on another one of its diagonal), a list reduction per pair over
+whole texts. Code tables and the CTC alphabet are spelled out here, so a wrong
+entry in the library shows.
 """
 
 from __future__ import annotations
 
 from ..functions.charclass import punctuation_class, whitespace_class
-from ..functions.codes import decode_sql
 from . import catalog as C
 
 SPLIT = "CASE WHEN doc_id % 10 < 8 THEN 'train' WHEN doc_id % 10 = 8 THEN 'validation' ELSE 'test' END"
@@ -53,6 +53,9 @@ utt AS (
   FROM _docs),
 files AS (SELECT path FROM utt WHERE lang <> 'de'),
 listed AS (SELECT path FROM utt WHERE lang <> 'fr'),
+lookup_lists AS (
+  SELECT regexp_extract(path, '[^/]*$', 0) AS wav, 'data/' || path AS file_name, 0 AS list FROM utt WHERE lang <> 'fr'
+  UNION ALL SELECT regexp_extract(path, '[^/]*$', 0), 'held/' || path, 1 FROM utt WHERE lang = 'es'),
 split_lists AS (
   SELECT 'train' AS split, path FROM utt WHERE lang IN ('en', 'de')
   UNION ALL SELECT 'validation', path FROM utt WHERE lang IN ('fr', 'de')
@@ -118,6 +121,54 @@ def _ints(x: str) -> str:
     return f"array_to_string(list_transform({x}, lambda v: CAST(v AS VARCHAR)), ',')"
 
 
+# Fixed values of the class code's positions (see functions/codes.py for the decoder under test).
+_DECODED = """
+  CASE substr(class, 2, 1) WHEN '0' THEN 'news' WHEN '1' THEN 'movies, drama (dialogue)' WHEN '2' THEN 'stories, audio book'
+    WHEN '3' THEN 'cultural issue' WHEN '4' THEN 'tourism, exploring' WHEN '5' THEN 'living viewpoints, living expats'
+    WHEN '6' THEN 'sports' WHEN '7' THEN 'security related' WHEN '8' THEN 'traffic' WHEN '9' THEN 'healthcare' END AS topic,
+  CASE substr(class, 3, 1) WHEN 'M' THEN 'male' WHEN 'F' THEN 'female' END AS gender,
+  CASE substr(class, 4, 1) WHEN '0' THEN 'northern dialect' WHEN '1' THEN 'central dialect'
+    WHEN '2' THEN 'highland central dialect' WHEN '3' THEN 'southern dialect'
+    WHEN '4' THEN 'minority ethnic group dialect' END AS dialect,
+  CASE substr(class, 5, 1) WHEN 'N' THEN 'neutral' WHEN 'J' THEN 'joyful' WHEN 'A' THEN 'angry' WHEN 'S' THEN 'sad'
+    WHEN 'T' THEN 'tired' WHEN 'D' THEN 'disgust' WHEN 'F' THEN 'fear' WHEN 'H' THEN 'happy' END AS emotion,
+  CASE substr(class, 6, 1) WHEN 'C' THEN 'children' WHEN 'Y' THEN 'young' WHEN 'M' THEN 'middle age' WHEN 'O' THEN 'old'
+    WHEN 'S' THEN 'very old' END AS age"""
+_ALPHABET = "abcdefghijklmnopqrstuvwxyz0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ!"
+
+
+def _edits(ref: str, hyp: str, rows: str = "utt", extra: str = "") -> str:
+    """CTE ``edits`` (split, utt_id, ref_words, hyp_words, edits) over rows with word lists ``ref`` and ``hyp``.
+
+    Diagonal k holds the cells (i, k - i) from i = max(0, k - m) to min(n, k);
+    ``a`` is the last diagonal and ``b`` the one before it; lists give null
+    outside their range, which ``least`` skips. Eight slices, together all
+    rows, let DuckDB work side by side.
+    """
+    cell = """least(s.a[i - greatest(0, x.k - 1 - m)] + 1, s.a[i - greatest(0, x.k - 1 - m) + 1] + 1,
+                    s.b[i - greatest(0, x.k - 2 - m)] + CASE WHEN r[i] = h[x.k - i] THEN 0 ELSE 1 END)"""
+    one = f"""SELECT split, utt_id, n, m,
+        list_reduce(list_transform(range(1, n + m + 1), lambda k: {{'k': k, 'a': []::INT[], 'b': []::INT[]}}),
+          lambda s, x: {{'k': x.k, 'b': s.a,
+            'a': list_transform(range(greatest(0, x.k - m), least(n, x.k) + 1), lambda i: {cell})::INT[]}},
+          {{'k': 0::BIGINT, 'a': [0]::INT[], 'b': []::INT[]}}).a[1] AS d
+      FROM words WHERE slice = """
+    slices = " UNION ALL ".join(one + str(i) for i in range(8))
+    return f"""{extra}words AS MATERIALIZED (
+      SELECT split, utt_id, utt_id % 8 AS slice, list_transform({ref}, lambda w: hash(w)) AS r,
+             list_transform({hyp}, lambda w: hash(w)) AS h, len({ref}) AS n, len({hyp}) AS m FROM {rows}),
+    edits AS (SELECT split, utt_id, CAST(n AS BIGINT) AS ref_words, CAST(m AS BIGINT) AS hyp_words,
+                     CAST(d AS BIGINT) AS edits FROM ({slices}))"""
+
+
+def _corpus(group: str = "") -> str:
+    g = f"{group}, " if group else ""
+    return f"""SELECT {g}count(*) AS n_pairs, CAST(sum(edits) AS BIGINT) AS edits, CAST(sum(ref_words) AS BIGINT) AS ref_words,
+        CAST(count(*) FILTER (ref_words = 0) AS BIGINT) AS n_empty_ref,
+        CASE WHEN sum(ref_words) <> 0 THEN CAST(sum(edits) * 100 AS DOUBLE) / CAST(sum(ref_words) AS DOUBLE) END AS wer
+        FROM edits""" + (f" GROUP BY {group}" if group else "")
+
+
 _METRICS = """metrics AS (
   SELECT user_id AS run, CAST(50 * row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS BIGINT) AS step,
          CAST(floor(value * 100) AS BIGINT) % 1000 AS wer
@@ -128,8 +179,10 @@ def oracle_sql() -> dict[str, str]:
     q: dict[str, str] = {}
     q["src_load_split"] = """SELECT doc_id AS utt_id, source, n_chars FROM documents
         WHERE lang = 'en' AND doc_id % 10 = 9"""
+    q["src_list_files"] = _with(f"SELECT {_stem('path')} || '.txt' AS name, octet_length(encode(text)) AS length FROM utt")
     q["src_tsv_transcripts"] = _with("SELECT source AS id, arg_max(lower(trim(text, chr(10))), utt_id) AS text "
                                      "FROM utt GROUP BY source")
+    q["src_tsv_file"] = q["src_tsv_transcripts"]
     q["src_jsonl_manifest"] = _with(f"SELECT {_basename('path')} AS file_name, text AS transcription FROM utt")
     q["src_keyed_json"] = _with("SELECT CAST(utt_id AS VARCHAR) AS id, path AS wav FROM utt")
     q["src_json_records"] = _with("SELECT path AS wav, raw AS text, class, n_samples AS duration FROM utt")
@@ -151,7 +204,7 @@ def oracle_sql() -> dict[str, str]:
     q["cast_audio_rate"] = _with("""SELECT utt_id, sampling_rate AS source_rate, 16000 AS sampling_rate,
         CAST((n_samples * 32000 + sampling_rate) // (2 * sampling_rate) AS BIGINT) AS n_samples_16k FROM utt""")
     q["proj_metadata"] = _with(f"""SELECT regexp_extract('data/' || path, '^[^/]*/(.*)$', 1) AS file_name,
-        {_clean_transcript('raw')} AS transcription, {decode_sql('class')}, 'data' AS set FROM utt""")
+        {_clean_transcript('raw')} AS transcription, {_DECODED}, 'data' AS set FROM utt""")
     q["filter_audio_length"] = _with("SELECT utt_id, n_samples FROM utt WHERE n_samples > 0 AND n_samples < 480000")
     q["filter_label_length"] = _with("SELECT utt_id, CAST(length(text) AS INTEGER) AS label_length FROM utt "
                                      "WHERE length(text) < 448")
@@ -166,7 +219,7 @@ def oracle_sql() -> dict[str, str]:
         FROM utt""")
     exp = " UNION ALL ".join(f"SELECT '{s}' AS split, {n} AS expected" for s, n in C.EXPECTED_COUNTS)
     q["dq_row_counts"] = _with(f"""SELECT coalesce(a.split, e.split) AS split, CAST(coalesce(a.actual, 0) AS BIGINT) AS actual,
-        CAST(e.expected AS BIGINT) AS expected, coalesce(a.actual, 0) = e.expected AS ok
+        CAST(e.expected AS BIGINT) AS expected, coalesce(a.actual, 0) IS NOT DISTINCT FROM e.expected AS ok
         FROM (SELECT split, count(*) AS actual FROM utt GROUP BY split) a FULL OUTER JOIN ({exp}) e ON a.split = e.split""")
     q["dq_pred_truth_match"] = _with("""SELECT split,
         CAST(sum(CASE WHEN lang = 'de' THEN 1 ELSE 0 END) AS BIGINT) AS truth_only,
@@ -186,16 +239,23 @@ def oracle_sql() -> dict[str, str]:
           CASE min(CASE s.split WHEN 'train' THEN 0 WHEN 'validation' THEN 1 WHEN 'test' THEN 2 END)
             WHEN 0 THEN 'train' WHEN 1 THEN 'validation' WHEN 2 THEN 'test' END, '') AS assigned
         FROM utt u LEFT JOIN split_lists s ON s.path = u.path GROUP BY u.path""")
-    q["join_strict_lookup"] = _with(f"""SELECT u.utt_id, {_basename('u.path')} AS wav, 'data/' || l.path AS file_name
-        FROM utt u LEFT JOIN listed l ON {_basename('l.path')} = {_basename('u.path')}""")
-    shard_t = f"""transcripts AS (
-        SELECT 'train_raw' AS split, {_stem('path')} AS key, lower(text) AS transcription FROM utt WHERE lang IN ('en', 'fr')
-        UNION ALL SELECT 'train_refined', {_stem('path')}, lower(text) FROM utt WHERE lang IN ('en', 'es'))"""
-    q["join_shard_transcripts"] = _with(f"""SELECT t.split, t.key, f.path FROM files f
-        JOIN transcripts t ON t.key = {_stem('f.path')}""", shard_t)
-    q["join_shard_unmatched"] = _with(f"""SELECT t.split, (SELECT count(*) FROM files) AS n_members,
-        count(*) AS n_matched, (SELECT count(*) FROM files) - count(*) AS n_unmatched
-        FROM files f JOIN transcripts t ON t.key = {_stem('f.path')} GROUP BY t.split""", shard_t)
+    q["join_strict_lookup"] = _with(f"""SELECT u.utt_id, {_basename('u.path')} AS wav, l.file_name FROM utt u
+        LEFT JOIN (SELECT wav, arg_max(file_name, list) AS file_name FROM lookup_lists GROUP BY wav) l
+        ON l.wav = {_basename('u.path')}""")
+    listed = ", ".join(f"('{x}', '{y}')" for x, y in C.fx.ARCHIVES)
+    shard_t = f"""archives(split, archive) AS (VALUES {listed}),
+        members AS (SELECT split, path, {_stem('path')} AS key FROM archives JOIN
+                    (SELECT source AS archive, path FROM utt WHERE lang <> 'de') USING (archive)),
+        transcripts AS (
+        SELECT 'train_raw' AS split, {_stem('path')} AS key FROM utt WHERE lang IN ('en', 'fr')
+        UNION ALL SELECT 'train_refined', {_stem('path')} FROM utt WHERE lang IN ('en', 'es')
+        UNION ALL SELECT 'dev', {_stem('path')} FROM utt WHERE lang IN ('en', 'de')
+        UNION ALL SELECT 'test', {_stem('path')} FROM utt WHERE lang IN ('fr', 'es'))"""
+    q["join_shard_transcripts"] = _with("SELECT split, key, path FROM members JOIN transcripts USING (split, key)", shard_t)
+    q["join_shard_unmatched"] = _with("""SELECT a.split, count(m.path) AS n_members, count(t.key) AS n_matched,
+        count(m.path) - count(t.key) AS n_unmatched
+        FROM (SELECT DISTINCT split FROM archives) a LEFT JOIN members m ON m.split = a.split
+        LEFT JOIN transcripts t ON t.split = m.split AND t.key = m.key GROUP BY a.split""", shard_t)
     q["join_orphans"] = _with("""SELECT split, path, text AS transcription FROM utt WHERE lang NOT IN ('fr', 'de')
         UNION ALL SELECT 'orphan', path, ' ' FROM utt WHERE lang = 'fr'""")
     q["union_splits"] = _with("""SELECT utt_id, path, text, CASE WHEN split = 'train' AND lang <> 'es' THEN source END AS speaker,
@@ -222,7 +282,7 @@ def oracle_sql() -> dict[str, str]:
               WHEN 3 THEN 'tuyến_' WHEN 4 THEN 'dong_' ELSE 'x' END || CAST(utt_id AS VARCHAR) || '_a' AS id FROM utt)""")
     q["clean_unk"] = _with("SELECT utt_id, replace(replace(raw, '<unk>', ''), '  ', ' ') AS transcription FROM utt")
     q["clean_transcript"] = _with(f"SELECT utt_id, {_clean_transcript('raw')} AS transcription FROM utt")
-    q["decode_class"] = _with(f"SELECT utt_id, {decode_sql('class')} FROM utt")
+    q["decode_class"] = _with(f"SELECT utt_id, {_DECODED} FROM utt")
     q["clean_tsv_text"] = _with("SELECT utt_id, lower(trim(chr(10) || raw, chr(10))) AS text FROM utt")
     q["json_transcript"] = _with("SELECT utt_id, text AS transcript FROM utt")
     q["norm_words"] = _with(f"""SELECT utt_id, array_to_string(w, ' ') AS words, CAST(len(w) AS INTEGER) AS n_words
@@ -230,8 +290,8 @@ def oracle_sql() -> dict[str, str]:
     q["wav_header_profile"] = _with("""SELECT utt_id, utt_id % 2 + 1 AS channels, CAST(sampling_rate AS BIGINT) AS sampling_rate,
         CAST(16 AS BIGINT) AS bits_per_sample, n_samples * (utt_id % 2 + 1) * 2 AS data_bytes, n_samples,
         n_samples / sampling_rate AS duration_s FROM utt""")
-    q["corpus_mix"] = _with("""SELECT source, count(*) AS n_rows, source IS NULL AS is_total FROM utt
-        GROUP BY ROLLUP (source)""")
+    q["corpus_mix"] = """SELECT source, count(*) AS n_rows, GROUPING(source) = 1 AS is_total
+        FROM (SELECT nullif(source, 'src3') AS source FROM documents) GROUP BY ROLLUP (source)"""
     q["global_position"] = _with(f"SELECT utt_id, {_positions()} AS pos FROM utt")
     q["split_position"] = _with(f"SELECT utt_id, split, {_positions('split')} AS pos FROM utt")
     q["sample_budget"] = _with(f"""SELECT utt_id, pos FROM (SELECT utt_id, {_positions()} AS pos FROM utt)
@@ -276,20 +336,19 @@ def oracle_sql() -> dict[str, str]:
     q["decode_labels"] = _with("""SELECT utt_id, array_to_string(list_transform(list_filter(labels, lambda x: x >= 3),
         lambda x: CASE WHEN x = 3 THEN ' ' ELSE vl[x - 3] END), '') AS text
         FROM labelled, (SELECT list(char ORDER BY id) AS vl FROM vocab) v""", _VOCAB)
-    alphabet = C.arrays._ctc_alphabet().replace("'", "''")
     q["ctc_greedy"] = f"""WITH f AS (
           SELECT CAST(floor(vec_id / 50) AS BIGINT) AS utt, vec_id AS frame,
                  CAST(list_position(embedding, list_max(embedding)) - 1 AS INTEGER) AS c FROM embeddings),
         g AS (SELECT utt, count(*) AS n_frames, list(c ORDER BY frame) AS cls FROM f GROUP BY utt)
         SELECT utt, CAST(n_frames AS INTEGER) AS n_frames, array_to_string(list_transform(list_filter(
             list_filter(cls, lambda x, i: i = 1 OR x <> cls[i - 1]), lambda x: x <> 0),
-            lambda x: substr('{alphabet}', x, 1)), '') AS text FROM g"""
-    q["frame_mask"] = _with("""SELECT utt_id, 3000 AS n_frames, CAST(ceil(n_samples / 160) AS INTEGER) AS n_real FROM utt
-        WHERE n_samples > 0 AND n_samples < 480000""")
+            lambda x: substr('{_ALPHABET}', x, 1)), '') AS text FROM g"""
+    q["frame_mask"] = _with("""SELECT utt_id, 3000 AS n_frames, CAST(least(ceil(n_samples / 160), 3000) AS INTEGER) AS n_real FROM utt""")
     q["rank_slices"] = _with(f"""SELECT utt_id, pos, CAST((pos % {C.RANK_BATCH}) // {C.RANK_BATCH // C.RANK_N} AS INTEGER) AS rank
         FROM (SELECT utt_id, {_positions()} AS pos FROM utt)""")
     q["map_batches"] = _with("""SELECT utt_id, CAST(length(text) AS BIGINT) AS n_chars_py,
         CAST(len(list_filter(string_split(text, ''), lambda c: c <> lower(c))) AS BIGINT) AS n_upper FROM utt""")
+    q["score_rows"] = _with("SELECT utt_id, hyp AS pred FROM utt")
     q["score_batches"] = _with("SELECT utt_id, hyp AS pred FROM utt")
     q["src_tar_shards"] = _with(f"SELECT {_basename('path')} AS member, CAST(44 AS BIGINT) AS size, n_samples, "
                                 "CAST(sampling_rate AS BIGINT) AS sampling_rate FROM utt")
@@ -298,4 +357,23 @@ def oracle_sql() -> dict[str, str]:
         source AS speaker, CAST(44 AS BIGINT) AS length FROM utt""")
     q["stream_prepare"] = _with("""SELECT utt_id, split, n_samples, CAST(length(text) AS INTEGER) AS label_length FROM utt
         WHERE n_samples > 0 AND n_samples < 480000 AND length(text) < 448""")
+    noisy = _edits(_norm_words("raw"), _norm_words("hyp"))
+    q["wer_pairs"] = _with("SELECT * FROM edits", noisy)
+    q["wer_corpus"] = _with(_corpus(), noisy)
+    q["wer_by_split"] = q["stream_wer"] = _with(_corpus("split"), noisy)
+    gated = "gp AS (SELECT split, utt_id, raw, CASE WHEN split = 'validation' THEN raw ELSE hyp END AS hyp FROM utt),\n"
+    gate = f"""gate AS (SELECT *, CASE WHEN wer > 0 AND wer < 100 THEN 'ok' ELSE 'suspicious' END AS status
+        FROM ({_corpus("split")}))"""
+    gate = _edits(_norm_words("raw"), _norm_words("hyp"), "gp", gated) + ",\n" + gate
+    q["wer_gate"] = _with("SELECT * FROM gate", gate)
+    ends = " UNION ALL ".join(f"""SELECT split, '{end}' AS "end", CAST(r AS INTEGER) AS rank_in_end, utt_id, raw AS reference, hyp AS prediction
+        FROM (SELECT *, row_number() OVER (PARTITION BY split ORDER BY utt_id {way}) AS r FROM gp JOIN gate USING (split)
+              WHERE status <> 'ok') WHERE r <= 5""" for end, way in (("head", "ASC"), ("tail", "DESC")))
+    q["wer_gate_samples"] = _with(ends, gate)
+    seen = "(SELECT list(char) FROM vocab)"
+    known = lambda x: f"array_to_string(list_filter(string_split({x}, ''), lambda c: c = ' ' OR list_contains(known, c)), '')"
+    from_ids = f"""{_VOCAB},
+    dec AS (SELECT split, utt_id, {known('text')} AS ref, {known('hyp')} AS pred FROM utt, (SELECT {seen} AS known)),
+    """
+    q["wer_from_ids"] = _with(_corpus("split"), _edits(_norm_words("ref"), _norm_words("pred"), "dec", from_ids))
     return q

@@ -14,26 +14,31 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import arrays, mix, order
+from ..sources import sinks
 
 
 def training_stream(corpora: Sequence[DataFrame], vocab: DataFrame, batch_size: int, n_ranks: int = 1,
                     steps: int | None = None, excluded: DataFrame | None = None, bos: bool = False,
-                    text: str = "transcription", n_samples: str = "n_samples") -> DataFrame:
+                    text: str = "transcription", n_samples: str = "n_samples",
+                    scratch: str | None = None) -> DataFrame:
     """Each corpus needs: source, source_ord, row_ord, shard, <text>, <n_samples>.
 
     ``shard`` is a range of ``row_ord`` inside a source (e.g. the input file),
-    so positions are computed per bounded block without a global sort.
+    so positions are computed per bounded block without a global sort. With a
+    ``scratch`` folder (shared storage) the encoded rows are written once and
+    positions read them back, so the texts are scanned and encoded once.
     """
     df = mix.concat_sources(list(corpora))
     if excluded is not None:
         df = mix.exclude_sources(df, excluded)
     df = df.where(mix.audio_length_ok(F.col(n_samples)))
-    # length(text) < max is necessary for size(labels) < max: prune before encoding
-    df = df.where(F.length(text) + (1 if bos else 0) < mix.MAX_LABEL_LENGTH)
+    # one id per character: F2 is decided without encoding, and only what stays is encoded
+    df = df.where(arrays.label_count(F.col(text), bos) < mix.MAX_LABEL_LENGTH)
     df = arrays.encode_labels(df, vocab, text, "labels")
     if bos:
         df = df.withColumn("labels", F.concat(F.array(F.lit(arrays.BOS_ID)), F.col("labels")))
-    df = df.where(mix.label_length_ok(F.col("labels")))
+    if scratch is not None:
+        df = sinks.materialize(df.drop(text), scratch)
     df = order.global_position(df, ["source_ord", "row_ord"], "shard")
     if steps is not None:
         df = order.sample_budget(df, steps, batch_size)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -87,7 +88,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as
-    is. Only when it is unset (local tests) a fresh scratch folder is made.
+    is. Only when it is unset in local mode (tests) a fresh scratch folder is
+    made; on a cluster that would be one machine's disk, so it is an error.
     """
     d = spark.conf.get(CHECKPOINT_KEY, None)
     try:
@@ -97,6 +99,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not d and sc is not None:
         d = sc.getConf().get(CHECKPOINT_KEY, None)
     if not d:
+        master = sc.master if sc is not None else ""
+        if not re.match(r"local(\[|$)", master):
+            raise RuntimeError(f"set {CHECKPOINT_KEY} to a folder that all nodes share (master: {master or 'remote'})")
         d = tempfile.mkdtemp(prefix="utterflow-ckpt-")
         spark.conf.set(CHECKPOINT_KEY, d)
     if sc is not None and sc.getCheckpointDir() is None:

@@ -20,10 +20,13 @@ def load_split(spark: SparkSession, path: str, split: str | None = None,
                columns: list[str] | None = None, where: Column | None = None) -> DataFrame:
     """A named corpus folder (parquet, ``split=`` partitions) and one split.
 
-    The split filter prunes partitions; ``where`` is pushed into the scan.
+    The split filter prunes partitions; ``where`` is pushed into the scan. A
+    corpus without splits can't be asked for one.
     """
     df = spark.read.parquet(path)
-    if split is not None and "split" in df.columns:
+    if split is not None:
+        if "split" not in df.columns:
+            raise ValueError(f"{path} has no split column, asked for split {split!r}")
         df = df.where(F.col("split") == split)
     if where is not None:
         df = df.where(where)
@@ -73,12 +76,16 @@ def list_files(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
 
 def read_pipe_manifest(spark: SparkSession, path: str, names: tuple[str, str] = ("file_name", "transcription"),
                        n_fields: int = 2) -> DataFrame:
-    """Headerless '|' manifest, first two fields used (quoted with '"')."""
+    """Headerless '|' manifest, first two fields used (quoted with '"').
+
+    A quoted field may hold line breaks, so a file is read by one task; ship
+    large manifests as several files.
+    """
     schema = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(max(n_fields, 2))])
     df = (spark.read.schema(schema).option("sep", "|").option("quote", '"').option("escape", '"')
           .option("mode", "PERMISSIVE").option("ignoreLeadingWhiteSpace", "false")
           .option("ignoreTrailingWhiteSpace", "false").option("emptyValue", "")
-          .option("nullValue", "\u0000\u0001").csv(path))
+          .option("nullValue", "\u0000\u0001").option("multiLine", "true").csv(path))
     return df.select(F.col("_c0").alias(names[0]), F.col("_c1").alias(names[1]))
 
 
@@ -94,22 +101,42 @@ def read_indexed_csv(spark: SparkSession, path: str, columns: list[str]) -> Data
 
 def parse_tsv_transcripts(lines: DataFrame, line: str = "line", line_no: str = "line_no") -> DataFrame:
     """S6/A6: 'id<TAB>text...' lines -> (id, text); text lowercased with only
-    newlines trimmed; extra fields ignored; for a repeated id the last line wins.
+    newlines trimmed; extra fields ignored; for a repeated id the last line wins
+    (largest ``line_no``). A line without a tab is an error.
 
     ``max_by`` is a partial aggregate, so a hot id never gathers its rows.
     """
     parts = F.split(F.col(line), "\t", 3)
-    rows = lines.select(F.get(parts, 0).alias("id"), clean_tsv_text(F.get(parts, 1)).alias("text"),
-                        F.col(line_no))
+    second = F.when(F.size(parts) > 1, F.get(parts, 1)).otherwise(
+        F.raise_error(F.concat(F.lit("line without a tab: "), F.substring(line, 1, 80))).cast("string"))
+    rows = lines.select(F.get(parts, 0).alias("id"), clean_tsv_text(second).alias("text"), F.col(line_no))
     return rows.groupBy("id").agg(F.max_by("text", line_no).alias("text"))
 
 
+def read_tsv_transcripts(spark: SparkSession, path: str) -> DataFrame:
+    """S6 over files: lines in file order, files in name order.
+
+    A file is one task, which numbers its lines as it splits them: the order is
+    that of the file whatever the cluster does.
+    """
+    files = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value")
+    # a final line break ends the last line and begins none
+    lines = files.select("file", F.posexplode(F.split(F.regexp_replace("value", "\n\\z", ""), "\n")).alias("n", "line"))
+    return parse_tsv_transcripts(lines.select(F.struct("file", "n").alias("line_no"), "line"))
+
+
 JSONL_SCHEMA = T.StructType([T.StructField("key", T.StringType()), T.StructField("text", T.StringType())])
 
 
+_STRICT = {"mode": "FAILFAST"}      # a malformed document fails the job instead of vanishing
+
+
 def parse_jsonl_manifest(df: DataFrame, col: str = "value") -> DataFrame:
-    """JSON lines {key, text, ...} -> (file_name = basename(key), transcription)."""
-    j = df.select(F.from_json(F.col(col), JSONL_SCHEMA).alias("_j"))
+    """JSON lines {key, text, ...} -> (file_name = basename(key), transcription).
+
+    Blank lines are skipped; a malformed line is an error.
+    """
+    j = df.where(F.trim(F.col(col)) != "").select(F.from_json(F.col(col), JSONL_SCHEMA, _STRICT).alias("_j"))
     return j.select(basename(F.col("_j.key")).alias("file_name"), F.col("_j.text").alias("transcription"))
 
 
@@ -121,32 +148,35 @@ KEYED_SCHEMA = T.MapType(T.StringType(), T.StructType([T.StructField("wav", T.St
 
 
 def explode_keyed_json(df: DataFrame, col: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
-    """{"id": {"wav": ...}, ...} -> one row (id, wav) per entry."""
-    m = df.select(*keep, F.from_json(F.col(col), KEYED_SCHEMA).alias("_m"))
+    """{"id": {"wav": ...}, ...} -> one row (id, wav) per entry; a malformed document is an error."""
+    m = df.select(*keep, F.from_json(F.col(col), KEYED_SCHEMA, _STRICT).alias("_m"))
     return m.select(*keep, F.explode("_m").alias("id", "_v")).select(*keep, "id", F.col("_v.wav").alias("wav"))
 
 
 def parse_json_records(df: DataFrame, schema: T.StructType, col: str = "value",
                        keep: tuple[str, ...] = ()) -> DataFrame:
-    """A JSON array of records -> one row per record (``inline``)."""
-    a = df.select(*keep, F.from_json(F.col(col), T.ArrayType(schema)).alias("_a"))
+    """A JSON array of records -> one row per record (``inline``); a malformed document is an error."""
+    a = df.select(*keep, F.from_json(F.col(col), T.ArrayType(schema), _STRICT).alias("_a"))
     return a.select(*keep, F.inline("_a"))
 
 
-_PY_LITERALS = r"(:\s*|\[\s*|,\s*)(None|True|False)(?=\s*[,}\]])"
+# a whole quoted string, or a bare literal outside of strings
+_PY_TOKENS = r"""('[^'\\]*+(?:\\.[^'\\]*+)*+'|"[^"\\]*+(?:\\.[^"\\]*+)*+")|\b(None|True|False)\b"""
 
 
 def parse_literal_records(df: DataFrame, schema: T.StructType, col: str = "value",
                           keep: tuple[str, ...] = ()) -> DataFrame:
     """Single-quoted Python-literal records -> rows.
 
-    Bare None/True/False in value position are mapped to JSON first; the JSON
-    reader then accepts single quotes and backslash-escaped quotes.
+    Bare None/True/False become JSON; quoted strings are matched first and
+    left alone, whatever they hold. The JSON reader accepts single quotes and
+    backslash-escaped quotes; a malformed document is an error.
     """
-    fixed = F.regexp_replace(F.col(col), _PY_LITERALS, "$1\u0000$2")
-    fixed = F.regexp_replace(F.regexp_replace(F.regexp_replace(
-        fixed, "\u0000None", "null"), "\u0000True", "true"), "\u0000False", "false")
-    opts = {"allowSingleQuotes": "true", "allowBackslashEscapingAnyCharacter": "true"}
+    fixed = F.regexp_replace(F.col(col), _PY_TOKENS, "$1\u0000$2")
+    for name, json in (("None", "null"), ("True", "true"), ("False", "false")):
+        fixed = F.replace(fixed, F.lit(f"\u0000{name}"), F.lit(json))
+    fixed = F.replace(fixed, F.lit("\u0000"), F.lit(""))
+    opts = {"allowSingleQuotes": "true", "allowBackslashEscapingAnyCharacter": "true", **_STRICT}
     a = df.select(*keep, F.from_json(fixed, T.ArrayType(schema), opts).alias("_a"))
     return a.select(*keep, F.inline("_a"))
 

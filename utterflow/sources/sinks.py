@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from . import storage
+
 # CSV settings that keep " " and "" apart through a write/read round trip:
 # Spark trims and turns "" into null by default.
 _CSV_WRITE = {"header": "true", "quoteAll": "true", "quote": '"', "escape": '"',
@@ -36,8 +39,11 @@ def read_metadata_csv(spark: SparkSession, path: str, schema: T.StructType | Non
 
 
 def publish(df: DataFrame, path: str, rows_per_file: int = 100_000, split: str | None = "split",
-            mode: str = "overwrite") -> None:
-    """K3: sharded columnar files, one folder per split, bounded rows per file."""
+            mode: str = "error") -> None:
+    """K3: sharded columnar files, one folder per split, bounded rows per file.
+
+    An existing target is an error unless ``mode`` says otherwise.
+    """
     w = df.write.mode(mode).option("maxRecordsPerFile", rows_per_file)
     if split:
         w = w.partitionBy(split)
@@ -53,51 +59,33 @@ def materialize(df: DataFrame, path: str, schema: T.StructType | None = None) ->
     return df.sparkSession.read.schema(schema).parquet(path)
 
 
-def _posix_root(root: str) -> str:
-    if root.startswith("file:"):
-        return "/" + root[len("file:"):].lstrip("/")
-    if "://" in root:
-        raise NotImplementedError(f"file writers need a POSIX path (local or shared mount): {root}")
-    return root
-
-
 def write_files(df: DataFrame, root: str, relpath: str = "relpath", content: str = "content") -> DataFrame:
     """One file per row at root/<relpath> (e.g. sidecar texts, audio files).
 
     Executors write their own rows (Arrow batches, no driver round trip) and
     return (n_files, n_bytes) per batch; the write happens when the returned
-    frame is evaluated. Needs a POSIX path (local disk or shared mount).
+    frame is evaluated. ``root`` is storage that all nodes share.
     """
-    base = _posix_root(root)
-
     def run(batches):
-        import os
-        import uuid
-        import pandas as pd
+        fs, base = storage.open_root(root)
         for b in batches:
             n = size = 0
-            for rel, data in zip(b[relpath], b[content]):
-                path = os.path.join(base, rel)
-                os.makedirs(os.path.dirname(path), exist_ok=True)
-                tmp = f"{path}.tmp-{uuid.uuid4().hex}"
-                with open(tmp, "wb") as f:          # retried or speculative tasks never
-                    f.write(bytes(data))            # expose a half-written file
-                os.replace(tmp, path)
+            for rel, data in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                storage.write_file(fs, f"{base}/{rel}", data)
                 n += 1
                 size += len(data)
-            yield pd.DataFrame({"n_files": pd.Series([n], dtype="int64"),
-                                "n_bytes": pd.Series([size], dtype="int64")})
+            yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64()), pa.array([size], pa.int64())], ["n_files", "n_bytes"])
 
-    return df.select(relpath, content).mapInPandas(run, "n_files long, n_bytes long")
+    return df.select(F.col(relpath), F.col(content)).mapInArrow(run, "n_files long, n_bytes long")
 
 
 def write_tar_shards(df: DataFrame, root: str, shard: str = "shard", member: str = "member",
                      content: str = "content", n_partitions: int | None = None) -> DataFrame:
-    """tar.gz shards: rows are hash-partitioned by shard, and each task streams
-    the members of the shards it holds into root/<shard>.tar.gz. Returns
+    """tar.gz shards: rows are hash-partitioned by shard and sorted by it, and each
+    task streams one shard after the other into root/<shard>.tar.gz. Returns
     (shard, n_members) rows; the write happens when that frame is evaluated.
-    All members of a shard land in one task, so each shard file is written once."""
-    base = _posix_root(root)
+    All members of a shard land in one task, so each shard file is written once
+    (shards are files of bounded size). ``root`` is storage that all nodes share."""
     parts = df.select(F.col(shard).cast("string").alias("_shard"), F.col(member).alias("_member"),
                       F.col(content).alias("_content"))
     # without an explicit count AQE sizes the writer tasks (a task may write several shards)
@@ -105,31 +93,30 @@ def write_tar_shards(df: DataFrame, root: str, shard: str = "shard", member: str
 
     def run(batches):
         import io
-        import os
         import tarfile
-        import uuid
-        import pandas as pd
-        os.makedirs(base, exist_ok=True)
-        open_tars, counts, tmp_names = {}, {}, {}
-        try:
-            for b in batches:
-                for s, m, data in zip(b["_shard"], b["_member"], b["_content"]):
-                    tf = open_tars.get(s)
-                    if tf is None:
-                        tmp_names[s] = os.path.join(base, f".{s}.tar.gz.tmp-{uuid.uuid4().hex}")
-                        tf = open_tars[s] = tarfile.open(tmp_names[s], "w:gz")
-                    info = tarfile.TarInfo(m)
-                    payload = bytes(data)
-                    info.size = len(payload)
-                    tf.addfile(info, io.BytesIO(payload))
-                    counts[s] = counts.get(s, 0) + 1
-        finally:
-            for tf in open_tars.values():
-                tf.close()
-        for s, tmp in tmp_names.items():     # publish each shard atomically once complete
-            os.replace(tmp, os.path.join(base, f"{s}.tar.gz"))
-        if counts:
-            yield pd.DataFrame({"shard": pd.Series(list(counts), dtype="object"),
-                                "n_members": pd.Series(list(counts.values()), dtype="int64")})
-
-    return parts.mapInPandas(run, "shard string, n_members long")
+        fs, base = storage.open_root(root)
+        fs.create_dir(base, recursive=True)
+        name, tmp, out, tar, n = None, None, None, None, 0
+
+        def finish():
+            tar.close()
+            out.close()
+            fs.move(tmp, f"{base}/{name}.tar.gz")
+            return pa.RecordBatch.from_arrays([pa.array([name], pa.string()), pa.array([n], pa.int64())], ["shard", "n_members"])
+
+        for b in batches:
+            for s, m, data in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                if tar is None or s != name:
+                    if tar is not None:
+                        yield finish()
+                    name, n, tmp = s, 0, storage.hidden_name(f"{base}/{s}.tar.gz")
+                    out = fs.open_output_stream(tmp, compression=None)
+                    tar = tarfile.open(fileobj=out, mode="w|gz")
+                info = tarfile.TarInfo(m)
+                info.size = len(data)
+                tar.addfile(info, io.BytesIO(data))
+                n += 1
+        if tar is not None:
+            yield finish()
+
+    return parts.sortWithinPartitions("_shard", "_member").mapInArrow(run, "shard string, n_members long")

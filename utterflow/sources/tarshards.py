@@ -2,7 +2,8 @@
 
 One input partition per shard file: compressed tar streams are not
 splittable, so a shard is the unit of parallelism (and of retry). Members are
-streamed (``r|*``), never extracted to disk.
+streamed (``r|*``) into Arrow batches, never extracted to disk. The path is a
+glob on any file system pyarrow knows; only names are listed on the driver.
 
     spark.dataSource.register(TarShardsDataSource)
     spark.read.format("tarshards").load("/data/shards/*.tar.gz")
@@ -10,12 +11,14 @@ streamed (``r|*``), never extracted to disk.
 
 from __future__ import annotations
 
-import glob
-import os
 import tarfile
 
+import pyarrow as pa
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from .storage import list_matching, open_root
+
+BATCH_ROWS, BATCH_BYTES = 1000, 8 * 1024 * 1024
 SCHEMA = "shard string, member string, size bigint, content binary"
 
 
@@ -44,20 +47,33 @@ class _TarShardsReader(DataSourceReader):
         pattern = options.get("path")
         if not pattern:
             raise ValueError("tarshards needs a path (glob of shard files)")
-        self.paths = sorted(p for p in glob.glob(pattern) if os.path.isfile(p))
+        self.pattern = pattern
         self.content = str(options.get("content", "true")).lower() == "true"
 
     def partitions(self):
-        return [_Shard(p) for p in self.paths]
+        return [_Shard(p) for p in list_matching(self.pattern)]
 
     def read(self, partition):
-        shard = os.path.basename(partition.path)
-        with tarfile.open(partition.path, mode="r|*") as tf:
+        root, _, shard = partition.path.rpartition("/")
+        fs, base = open_root(root)
+        rows, size = [], 0
+        with fs.open_input_stream(f"{base}/{shard}", compression=None) as f, tarfile.open(fileobj=f, mode="r|*") as tf:
             for m in tf:
                 if not m.isfile():
                     continue
                 data = tf.extractfile(m).read() if self.content else None
-                yield (shard, m.name, int(m.size), data)
+                rows.append((shard, m.name, int(m.size), data))
+                size += len(data or b"")
+                if len(rows) >= BATCH_ROWS or size >= BATCH_BYTES:
+                    yield _batch(rows)
+                    rows, size = [], 0
+        if rows:
+            yield _batch(rows)
+
+
+def _batch(rows) -> pa.RecordBatch:
+    kinds = (pa.string(), pa.string(), pa.int64(), pa.binary())
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], ["shard", "member", "size", "content"])
 
 
 def register(spark) -> None:

@@ -8,10 +8,10 @@ is a bounded job that resumes from its checkpoint after a failure.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators import score
@@ -34,16 +34,27 @@ def prepare_stream(spark: SparkSession, source: str, schema: T.StructType,
     return spark.read.parquet(out_path)
 
 
-def running_wer(spark: SparkSession, pairs_stream: DataFrame, out_path: str, checkpoint: str,
-                group_col: str = "split", state_partitions: int = 4) -> DataFrame:
+def stream_session(spark: SparkSession, state_partitions: int = 4) -> SparkSession:
+    """A session of the same application for a query with small state.
+
+    The state width is recorded in the checkpoint at the first start; setting
+    it on a session of its own leaves queries planned elsewhere alone.
+    """
+    own = spark.newSession()
+    for key in ("spark.sql.session.timeZone", "spark.sql.execution.arrow.maxRecordsPerBatch"):
+        own.conf.set(key, spark.conf.get(key))
+    own.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
+    return own
+
+
+def running_wer(pairs_stream: DataFrame, out_path: str, checkpoint: str, group_col: str = "split") -> DataFrame:
     """WER per split maintained while (reference, hypothesis) pairs arrive.
 
-    State is one (edits, words, pairs) row per split. Each micro-batch writes
-    its complete result to its own ``epoch=<n>`` folder (a retried batch
+    State is one (edits, words, pairs) row per split; read the stream in a
+    ``stream_session`` so that it lives in few partitions. Each micro-batch
+    writes its complete result to its own ``epoch=<n>`` folder (a retried batch
     rewrites the same folder), so a reader never sees a half-replaced table;
-    ``latest_wer`` returns the newest epoch. The state holds one row per
-    split, so it lives in ``state_partitions`` partitions (recorded in the
-    checkpoint at the first start) instead of the session's shuffle width.
+    ``latest_wer`` returns the newest epoch.
     """
     edits = score.word_edits(pairs_stream, keys=(group_col, "utt_id"))
     agg = score.corpus_wer(edits, [group_col])
@@ -51,20 +62,13 @@ def running_wer(spark: SparkSession, pairs_stream: DataFrame, out_path: str, che
     def sink(batch: DataFrame, epoch: int) -> None:
         batch.write.mode("overwrite").parquet(f"{out_path.rstrip('/')}/epoch={epoch}")
 
-    key = "spark.sql.shuffle.partitions"
-    previous = spark.conf.get(key)
-    spark.conf.set(key, str(state_partitions))
-    try:
-        q = (agg.writeStream.outputMode("complete").foreachBatch(sink)
-             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
-    finally:
-        spark.conf.set(key, previous)
+    q = (agg.writeStream.outputMode("complete").foreachBatch(sink)
+         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
-    return latest_wer(spark, out_path)
+    return latest_wer(pairs_stream.sparkSession, out_path)
 
 
 def latest_wer(spark: SparkSession, out_path: str) -> DataFrame:
-    """The newest complete result written by ``running_wer`` (one row per split)."""
-    df = spark.read.parquet(out_path)
-    newest = df.agg(F.max("epoch").alias("epoch"))
-    return df.join(F.broadcast(newest), "epoch", "left_semi").drop("epoch")
+    """The newest complete result written by ``running_wer`` (one row per split); older epochs are only listed."""
+    epochs = [int(m[1]) for m in (re.search(r"/epoch=(\d+)/", f) for f in spark.read.parquet(out_path).inputFiles()) if m]
+    return spark.read.parquet(f"{out_path.rstrip('/')}/epoch={max(epochs)}")
