@@ -28,6 +28,7 @@ from .common import written
 QUERY_BLOCK = 2048               # queries held together
 VECTOR_BLOCK = 8192              # vectors filtered together
 LEVELS = (1, 4, 16)              # numbers of segments, coarse to fine
+DENSE = 0.05                     # above this share of survivors a level is one matrix product, else pair by pair
 
 
 def segment_bounds(dim: int, n: int) -> list[tuple[int, int]]:
@@ -79,21 +80,27 @@ def search_block(q: Block, x: Block, best: list[list[tuple[float, int]]], k: int
             floor = np.partition(first, first.shape[1] - k, axis=1)[:, first.shape[1] - k]
         known = np.array([-best[i][k - 1][0] if len(best[i]) >= k else -np.inf for i in mine])
         floor = np.maximum(floor, known) - slack
-        # the coarsest level for all pairs by one product, the finer ones for survivors
-        coarse = 0.5 * (q.squares[mine][:, None] + x.squares[None, :]
-                        - (q.levels[0][mine] ** 2).sum(1)[:, None] - (x.levels[0] ** 2).sum(1)[None, :]) \
-            + q.levels[0][mine] @ x.levels[0].T
-        i, j = np.nonzero(coarse >= floor[:, None])
-        for level in range(1, len(LEVELS)):
-            keep = np.zeros(len(i), bool)
-            for a in range(0, len(i), 1 << 18):
-                s = slice(a, a + (1 << 18))
-                keep[s] = upper_bounds(q, mine[i[s]], x, j[s], level) >= floor[i[s]]
-            i, j = i[keep], j[keep]
-        score = np.empty(len(i))
-        for a in range(0, len(i), 1 << 18):
-            s = slice(a, a + (1 << 18))
-            score[s] = np.einsum("ij,ij->i", q.x[mine[i[s]]], x.x[j[s]])
+        i, j = None, None                # None: all pairs of the chunk
+        for level in range(len(LEVELS)):
+            if i is None or len(i) > DENSE * len(mine) * len(x.ids):
+                passed = q.levels[level][mine] @ x.levels[level].T
+                passed += 0.5 * (q.squares[mine] - (q.levels[level][mine] ** 2).sum(1))[:, None]
+                passed += 0.5 * (x.squares - (x.levels[level] ** 2).sum(1))[None, :]
+                passed = passed >= floor[:, None]
+                if i is None:
+                    i, j = np.nonzero(passed)
+                else:
+                    keep = passed[i, j]
+                    i, j = i[keep], j[keep]
+            else:
+                keep = np.concatenate([upper_bounds(q, mine[i[s]], x, j[s], level) >= floor[i[s]]
+                                       for s in _slices(len(i))] or [np.zeros(0, bool)])
+                i, j = i[keep], j[keep]
+        if len(i) > DENSE * len(mine) * len(x.ids):
+            score = (q.x[mine] @ x.x.T)[i, j]
+        else:
+            score = np.concatenate([np.einsum("ij,ij->i", q.x[mine[i[s]]], x.x[j[s]]) for s in _slices(len(i))]
+                                   or [np.zeros(0)])
         other = q.ids[mine[i]] != x.ids[j]
         i, j, score = i[other], j[other], score[other]
         by = np.lexsort((x.ids[j], -score, i))
@@ -107,6 +114,10 @@ def search_block(q: Block, x: Block, best: list[list[tuple[float, int]]], k: int
                 best[mine[row]] = sorted(best[mine[row]] + found)[:k]
 
 
+def _slices(n: int, step: int = 1 << 18):
+    return [slice(a, a + step) for a in range(0, n, step)]
+
+
 def valid(c: str):
     """Vectors without null or non-finite components (null vectors: false)."""
     bad = F.exists(c, lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == float("inf")))
@@ -166,8 +177,11 @@ def _top_k_of(rows: DataFrame, dim: int, n: int, nq: int, k: int) -> DataFrame:
         .select(F.col("block").alias("q_block"), F.col("ids").alias("q_ids"), F.col("x").alias("q_x"))
     vectors = written(packed_blocks(rows.select("id", "x"), VECTOR_BLOCK, n, dim), "vector-blocks")
     q_blocks, v_blocks = max(1, -(-nq // QUERY_BLOCK)), max(1, -(-n // VECTOR_BLOCK))
-    pairs = vectors.withColumn("q_block", F.explode(F.sequence(F.lit(0), F.lit(q_blocks - 1)))) \
-        .repartition(min(q_blocks * v_blocks, 10_000), "q_block", "block").join(asks, "q_block")
+    # both blocks of a pair meet under the pair's own key, so pairs spread over tasks however few query blocks there are
+    tasks = min(2 * q_blocks * v_blocks, 10_000)
+    every = lambda last: F.explode(F.sequence(F.lit(0), F.lit(last - 1)))
+    pairs = vectors.withColumn("q_block", every(q_blocks)).repartition(tasks, "q_block", "block") \
+        .join(asks.withColumn("block", every(v_blocks)).repartition(tasks, "q_block", "block"), ["q_block", "block"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, q, best = None, None, []
