@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from utterflow.operators import reconcile
-from utterflow.sources import readers, sinks, tarshards
+from utterflow.sources import readers, sinks, storage, tarshards
 
 WAV = (b"RIFF" + struct.pack("<I", 36) + b"WAVEfmt " + struct.pack("<IHHIIHH", 16, 1, 1, 16000, 32000, 2, 16)
        + b"data" + struct.pack("<I", 0))
@@ -218,3 +218,36 @@ def test_file_and_shard_writers_publish_atomically(spark, tmpdir_fresh):
     assert sum(r.n_files for r in sinks.write_files(files, fout).collect()) == 30
     written = sorted(os.path.join(d, f) for d in os.listdir(fout) for f in os.listdir(os.path.join(fout, d)))
     assert len(written) == 30 and not any(".tmp-" in w for w in written)
+
+
+def test_listing_and_hidden_names(tmpdir_fresh):
+    fs, base = storage.open_root(f"file://{tmpdir_fresh}/shards")
+    for name in ("a/x-1.tar.gz", "a/x-2.tar.gz", "a/y.txt", "a/deep/x-3.tar.gz"):
+        storage.write_file(fs, f"{base}/{name}", b"1")
+    fs.create_dir(f"{base}/empty")
+    open(storage.hidden_name(f"{base}/a/x-4.tar.gz"), "wb").close()          # a task died while writing
+    for root in (f"file://{tmpdir_fresh}/shards", f"{tmpdir_fresh}/shards"):
+        assert storage.list_matching(f"{root}/a/*.tar.gz") == [f"{root}/a/x-1.tar.gz", f"{root}/a/x-2.tar.gz"]
+        assert storage.list_matching(f"{root}/*/x-1.tar.gz") == [f"{root}/a/x-1.tar.gz"]
+        assert storage.list_matching(f"{root}/a/y.txt") == [f"{root}/a/y.txt"]
+        assert storage.list_matching(f"{root}/none/*.gz") == []
+
+
+def test_no_scratch_folder_of_one_machine_on_a_cluster(monkeypatch):
+    from utterflow import session
+
+    class Conf:
+        def get(self, *a):
+            return None
+
+    class Cluster:
+        conf = Conf()
+
+        class sparkContext:
+            master = "spark://host:7077"
+
+            @staticmethod
+            def getConf():
+                return Conf()
+    with pytest.raises(RuntimeError, match="all nodes share"):
+        session.ensure_checkpoint_dir(Cluster())
