@@ -324,3 +324,18 @@ def near_duplicates(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embed
 def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links, component and survival of every vector at cosine 0.9."""
     return near_duplicates(read_table(spark, sf_dir, "embeddings"))
+
+
+ORACLE = """
+WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+    AND len(list_filter(embedding, lambda c: c <> 0)) > 0),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b
+  ON a.vec_id <> b.vec_id AND len(a.x) = len(b.x) AND list_cosine_similarity(a.x, b.x) >= 0.9),
+reach(a, b) AS (SELECT vec_id, vec_id FROM v UNION SELECT r.a, l.b FROM reach r JOIN l ON l.a = r.b),
+c AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a),
+n AS (SELECT a, count(*) AS n_links FROM l GROUP BY a)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, coalesce(component_id, vec_id) AS component_id,
+  coalesce(component_id, vec_id) = vec_id AS kept
+FROM embeddings LEFT JOIN n ON n.a = vec_id LEFT JOIN c ON c.a = vec_id
+"""

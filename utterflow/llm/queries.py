@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import line_dedup, topk_search, warc
+from . import embedding_dedup, line_dedup, topk_search, warc
 from .bpe import op2_byte_bpe
 from .embedding_dedup import op10_embedding_near_dedup
 from .line_dedup import op5_line_dedup
@@ -35,4 +35,5 @@ LLM_ORACLE_SQL: dict[str, str] = {
     "op5_line_dedup": line_dedup.ORACLE,
     "op7_exact_topk": topk_search.ORACLE,
     "op8_warc": warc.ORACLE,
+    "op10_embedding_near_dedup": embedding_dedup.ORACLE,
 }
