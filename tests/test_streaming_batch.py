@@ -65,14 +65,15 @@ def test_running_wer_over_two_batches_and_a_restart(spark, tmpdir_fresh):
     assert spark.conf.get("spark.sql.shuffle.partitions") == width
 
 
-def test_stream_plans_do_not_shuffle_text(spark, monkeypatch):
-    """Neither registered stream repartitions its documents."""
+def test_wide_streams_do_not_shuffle_text(spark, monkeypatch, tmpdir_fresh):
+    """A stream is spread only where its files yield fewer splits than there are cores."""
     seen = []
     real_wer, real_prepare = stream.running_wer, stream.prepare_stream
     monkeypatch.setattr(stream, "running_wer", lambda p, *a: (seen.append(p), real_wer(p, *a))[1])
-    monkeypatch.setattr(stream, "prepare_stream", lambda s, src, schema, f, *a, **k: (
-        seen.append(f(s.readStream.schema(schema).parquet(src))), real_prepare(s, src, schema, f, *a, **k))[1])
+    monkeypatch.setattr(stream, "prepare_stream", lambda p, *a: (seen.append(p), real_prepare(p, *a))[1])
+    files = 4 * spark.sparkContext.defaultParallelism
+    spark.read.parquet(f"{SF_SMALL}/documents.parquet").repartition(files).write.parquet(f"{tmpdir_fresh}/documents.parquet")
     for key in ("stream_wer", "stream_prepare"):
-        C.QUERIES[key](spark, SF_SMALL)
-    plans = [df._jdf.queryExecution().logical().toString() for df in seen]
-    assert len(plans) == 2 and not any("Repartition" in p for p in plans)
+        assert _sorted(C.QUERIES[key](spark, tmpdir_fresh)) == _sorted(C.QUERIES[key](spark, SF_SMALL))
+    shuffled = ["Repartition" in df._jdf.queryExecution().logical().toString() for df in seen]
+    assert shuffled == [False, True, False, True]

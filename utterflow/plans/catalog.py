@@ -805,29 +805,22 @@ def stream_prepare(spark, sf):
     """Corpus rows stream in; unify (P4), audio length (F1), labels from a
     static vocabulary (R1), label length (F2); appended to a parquet sink."""
     from ..streaming.stream import prepare_stream
-    src = sf.rstrip("/")
-    schema = fx.read_table(spark, sf, "documents").schema
     vocab = _vocab(spark, sf)
-
-    def transform(docs: DataFrame) -> DataFrame:
-        u = fx.derive_utt(docs).select("utt_id", "split", F.struct(F.col("path"), F.col("n_samples"), F.col("sampling_rate")).alias("audio"),
-                     F.col("text").alias("transcription"))
-        canonical = mix.unify(u, 0).where(mix.audio_length_ok(F.col("audio.n_samples")))
-        lab = arrays.encode_labels(canonical, vocab, "transcription", "labels")
-        return lab.where(mix.label_length_ok(F.col("labels"))).select(
-            "utt_id", "split", F.col("audio.n_samples").alias("n_samples"), F.size("labels").alias("label_length"))
-
+    u = fx.derive_utt(fx.stream_documents(spark, sf)).select(
+        "utt_id", "split", F.struct(F.col("path"), F.col("n_samples"), F.col("sampling_rate")).alias("audio"),
+        F.col("text").alias("transcription"))
+    canonical = mix.unify(u, 0).where(mix.audio_length_ok(F.col("audio.n_samples")))
+    lab = arrays.encode_labels(canonical, vocab, "transcription", "labels")
+    rows = lab.where(mix.label_length_ok(F.col("labels"))).select(
+        "utt_id", "split", F.col("audio.n_samples").alias("n_samples"), F.size("labels").alias("label_length"))
     base = _scratch(spark, "stream-prepare")
-    return prepare_stream(spark, src, schema, transform, f"{base}/out", f"{base}/checkpoint",
-                          glob="documents.parquet")
+    return prepare_stream(rows, f"{base}/out", f"{base}/checkpoint")
 
 
 @query("stream_wer")
 def stream_wer(spark, sf):
     from ..streaming.stream import running_wer, stream_session
-    own = stream_session(spark)
-    schema = fx.read_table(spark, sf, "documents").schema
-    docs = own.readStream.schema(schema).option("pathGlobFilter", "documents.parquet").parquet(sf.rstrip("/"))
+    docs = fx.stream_documents(stream_session(spark), sf)
     pairs = fx.derive_utt(docs).select("split", "utt_id", F.col("raw").alias("ref"),
                                        fx.hypothesis(F.col("utt_id"), F.col("text")).alias("hyp"))
     base = _scratch(spark, "stream-wer")

@@ -71,17 +71,26 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spread_if_narrow(d, "doc_id")
 
 
-def spread_if_narrow(df: DataFrame, key: str) -> DataFrame:
-    """Hash-spread ``df`` over 2x the cluster's cores when its scan has fewer
-    splits than cores; leave wide inputs alone (no shuffle)."""
+def spread_if_narrow(df: DataFrame, key: str, scan: DataFrame | None = None) -> DataFrame:
+    """Hash-spread ``df`` over 2x the cluster's cores when its scan (``scan``, if that
+    is another frame) has fewer splits than cores; leave wide inputs alone (no shuffle)."""
     try:
         cores = df.sparkSession.sparkContext.defaultParallelism
-        narrow = df.rdd.getNumPartitions() < cores
+        narrow = (df if scan is None else scan).rdd.getNumPartitions() < cores
     except Exception:             # no RDD access (e.g. Spark Connect): leave the scan as it is
         return df
     return df.repartition(2 * cores, key) if narrow else df
 
 
+def stream_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents as a stream of files, spread like ``documents``: only where the files that are
+    there yield fewer splits than the cluster has cores; a wide stream is not shuffled."""
+    scan = read_table(spark, sf_dir, "documents")
+    # a glob, because a plain stream path must be a folder and the table may be one file
+    stream = spark.readStream.schema(scan.schema).parquet(f"{sf_dir.rstrip('/')}/{{documents.parquet}}")
+    return spread_if_narrow(stream, "doc_id", scan)
+
+
 def utt(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One utterance per document, with corpus-style columns."""
     return derive_utt(documents(spark, sf_dir))

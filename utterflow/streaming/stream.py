@@ -9,29 +9,19 @@ is a bounded job that resumes from its checkpoint after a failure.
 from __future__ import annotations
 
 import re
-from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
 
 from ..operators import score
 
 
-def prepare_stream(spark: SparkSession, source: str, schema: T.StructType,
-                   transform: Callable[[DataFrame], DataFrame], out_path: str, checkpoint: str,
-                   max_files_per_trigger: int | None = None, glob: str | None = None) -> DataFrame:
-    """readStream parquet -> stateless map/filter -> parquet sink; returns the sink as a batch read."""
-    r = spark.readStream.schema(schema)
-    if glob:
-        r = r.option("pathGlobFilter", glob)
-    if max_files_per_trigger:
-        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    stream = transform(r.parquet(source))
-    q = (stream.writeStream.format("parquet").option("path", out_path)
+def prepare_stream(rows: DataFrame, out_path: str, checkpoint: str) -> DataFrame:
+    """A stream of prepared rows (stateless maps and filters) -> parquet sink; returns the sink as a batch read."""
+    q = (rows.writeStream.format("parquet").option("path", out_path)
          .option("checkpointLocation", checkpoint).outputMode("append")
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    return spark.read.parquet(out_path)
+    return rows.sparkSession.read.parquet(out_path)
 
 
 def stream_session(spark: SparkSession, state_partitions: int = 4) -> SparkSession:
