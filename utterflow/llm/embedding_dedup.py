@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from ..sources.tables import read_table
 from .common import connected_components, written
 
-BLOCK = 8192                     # vectors in a block (on average)
+BLOCK = 16384                    # vectors in a block (on average): a block is shuffled once per other block
 PIVOTS = 256                     # bound on the pivots that cells are made from
 LEVELS = 4                       # radii eps, eps/2, ... and then the points
 SLACK = 1e-4                     # for single precision in bounds; links are verified in double precision
@@ -133,9 +133,9 @@ class Join:
         fa, fb = self.ua[sa].astype(np.float32), self.ub[sb].astype(np.float32)
         # cosines of all pairs of top nodes, first against a bound with the other tree's largest radius
         low = 1 - (ra + rb.max() + self.eps + SLACK) ** 2 / 2
-        for at in range(0, len(sa), 1024):
-            g = fa[at:at + 1024] @ fb.T
-            i, j = np.nonzero(g >= low[at:at + 1024, None].astype(np.float32))
+        for at in range(0, len(sa), 512):
+            g = fa[at:at + 512] @ fb.T
+            i, j = np.nonzero(g >= low[at:at + 512, None].astype(np.float32))
             i = i + at
             if self.same:
                 i, j = i[j >= i], j[j >= i]

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from ..sources.tables import read_table
 from .common import written
 
-QUERY_BLOCK = 2048               # queries held together
+QUERY_BLOCK = 16384              # queries held together: vectors are shuffled once per query block
 VECTOR_BLOCK = 8192              # vectors filtered together
 LEVELS = (1, 4, 16)              # numbers of segments, coarse to fine
 DENSE = 0.05                     # above this share of survivors a level is one matrix product, else pair by pair
