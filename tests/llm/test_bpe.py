@@ -37,6 +37,14 @@ def test_equals_tiktoken_on_random_texts(reference):
         assert bpe.decode(bpe.encode(t)) == t.encode()
 
 
+def test_very_long_texts(reference):
+    enc, _ = reference
+    bpe, rng = load_bpe(P.path(FILE), P.PATTERN), random.Random(8)
+    words = ["".join(rng.choice("etaoinsh ") for _ in range(rng.randint(1, 12))) for _ in range(3000)]
+    text = " ".join(rng.choice(words) for _ in range(900_000))
+    assert len(text) > 1 << 22 and bpe.encode(text) == packed(enc.encode_ordinary(text))
+
+
 def test_query_equals_tiktoken(spark, reference):
     SF_SMALL = "/root/testdata/sf0.001"
     enc, _ = reference

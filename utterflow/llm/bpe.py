@@ -16,6 +16,7 @@ import base64
 import struct
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import islice
 
 import ahocorasick
 import numpy as np
@@ -29,6 +30,7 @@ from .common import documents, small_batches
 
 CACHED_PIECES = 250_000       # memo sizes only bound memory; results do not depend on them
 CACHED_PIECE_CHARS = 64
+LONG_TEXT = 1 << 22           # code points above which pieces are encoded as they are found
 
 
 class _Memo(dict):
@@ -157,8 +159,15 @@ class ByteBpe:
         return ahead
 
     def encode(self, text: str) -> bytes:
-        """Ids of a whole text as little-endian unsigned 32-bit integers."""
-        return b"".join(map(self.memo.__getitem__, self.pieces.findall(text)))
+        """Ids of a whole text as little-endian unsigned 32-bit integers.
+
+        The pieces of a very long text are never all held at once.
+        """
+        ids = self.memo.__getitem__
+        if len(text) <= LONG_TEXT:
+            return b"".join(map(ids, self.pieces.findall(text)))
+        found = (m.group() for m in self.pieces.finditer(text))
+        return b"".join(iter(lambda: b"".join(map(ids, islice(found, LONG_TEXT >> 4))), b""))
 
     def decode(self, ids: bytes) -> bytes:
         return b"".join(map(self.token.__getitem__, np.frombuffer(ids, dtype="<u4").tolist()))
