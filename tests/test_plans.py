@@ -85,3 +85,26 @@ def test_vocabulary_is_built_once(spark, monkeypatch):
         calls.clear()
         C.QUERIES[key](spark, SF_SMALL)
         assert len(calls) == 1, key
+
+
+def test_hot_lookup_keys_can_be_split(spark):
+    """A third of the records share one key: the aggregated lookup has its own exchange, so the skew join splits them."""
+    from pyspark.sql import functions as F
+
+    from utterflow.operators import reconcile
+    rec = spark.range(60_000, numPartitions=8).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("wav"), F.col("id"))
+    lookup = spark.range(60_000).select(F.col("id").cast("string").alias("wav"), F.lit("f").alias("file_name")).union(
+        spark.createDataFrame([("hot", "h")], "wav string, file_name string"))
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "8k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8k"}
+    before = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        df = reconcile.strict_lookup(rec, lookup, "wav", "file_name")
+        p = final_plan(df)
+        assert df.where("file_name = 'h'").count() == 20_000 and "skew=true" in p
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)

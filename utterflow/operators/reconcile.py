@@ -21,6 +21,17 @@ ORPHAN_SPLIT = "orphan"
 ORPHAN_TEXT = " "                                   # never "", see SURVEY 1.2
 
 
+def join_reduced(rows: DataFrame, reduced: DataFrame, key: str) -> DataFrame:
+    """Left join with a lookup that was just aggregated by ``key``.
+
+    Such an aggregate is partitioned by its key already, and then AQE cannot
+    split the rows of a hot key; a second key that follows from the first gives
+    the lookup an exchange of its own, and the skew join works.
+    """
+    part = F.pmod(F.hash(key), F.lit(1 << 16))
+    return rows.withColumn("_part", part).join(reduced.withColumn("_part", part), [key, "_part"], "left").drop("_part")
+
+
 def sidecar_diff(audio: DataFrame, texts: DataFrame, key: str = "stem") -> DataFrame:
     """(kind, stem) for audio without a sidecar text and text without audio."""
     a = audio.select(key).distinct()
@@ -67,7 +78,7 @@ def assign_split(ids: DataFrame, lists: DataFrame, key: str = "path", split: str
         rank = F.when(F.col(split) == name, F.lit(i)).otherwise(rank)
     best = lists.groupBy(key).agg(F.min(rank).alias("_r"))
     names = F.array(*[F.lit(p) for p in priority])
-    j = ids.join(best, key, "left")
+    j = join_reduced(ids, best, key)
     return j.withColumn("assigned", F.coalesce(F.get(names, F.col("_r")), F.lit(""))).drop("_r")
 
 
@@ -87,7 +98,7 @@ def strict_lookup(records: DataFrame, lookup: DataFrame, key: str, value: str,
         one = lookup.groupBy(key).agg(F.min(value).alias(value), F.count(F.lit(1)).alias("_n")).select(
             key, F.when(F.col("_n") > 1, F.raise_error(F.concat(F.lit("key listed twice: "), F.col(key).cast("string"))))
             .otherwise(F.col(value)).alias(value))
-    j = records.join(one, key, "left")
+    j = join_reduced(records, one, key)
     if strict:
         j = j.withColumn(value, F.when(F.col(value).isNull(),
                                        F.raise_error(F.concat(F.lit("missing key: "), F.col(key).cast("string"))))
