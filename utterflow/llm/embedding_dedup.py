@@ -265,12 +265,15 @@ def linked_nodes(nodes: DataFrame, cosine: float, dim: int) -> DataFrame:
     tasks = min(first, int(spark.conf.get("spark.sql.shuffle.partitions")))
     blocks = written(dealt.repartition(tasks, "block").groupBy("block")
                      .applyInPandas(lambda pdf: build_block(pdf, cosine, kind), "block int, cell int, data binary"), "blocks")
-    pairs = spark.createDataFrame(near, "ca int, cb int") \
-        .join(blocks.select(F.col("block").alias("ba"), F.col("cell").alias("ca")), "ca") \
-        .join(blocks.select(F.col("block").alias("bb"), F.col("cell").alias("cb")), "cb") \
-        .where("ba <= bb").select("ba", "bb").repartition(min(first * (first + 1) // 2, 10_000), "ba", "bb")
-    both = pairs.join(blocks.select(F.col("block").alias("ba"), F.col("data").alias("a")), "ba") \
-        .join(blocks.select(F.col("block").alias("bb"), F.col("data").alias("b")), "bb").select("ba", "bb", "a", "b")
+    pairs = written(spark.createDataFrame(near, "ca int, cb int")
+                    .join(blocks.select(F.col("block").alias("ba"), F.col("cell").alias("ca")), "ca")
+                    .join(blocks.select(F.col("block").alias("bb"), F.col("cell").alias("cb")), "cb")
+                    .where("ba <= bb").select("ba", "bb"), "block-pairs")
+    # both blocks of a pair meet under the pair's own key, so pairs spread over tasks however few blocks there are
+    wide = min(first * (first + 1), 10_000)
+    one = pairs.join(blocks.select(F.col("block").alias("ba"), F.col("data").alias("a")), "ba")
+    other = pairs.join(blocks.select(F.col("block").alias("bb"), F.col("data").alias("b")), "bb")
+    both = one.repartition(wide, "ba", "bb").join(other.repartition(wide, "ba", "bb"), ["ba", "bb"]).select("ba", "bb", "a", "b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
