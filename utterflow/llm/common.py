@@ -48,15 +48,27 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "documents")
 
 
+def spread_key(c: str):
+    """A further join key that follows from ``c``. Aggregates that are joined on it as well get an
+    exchange of their own, and only with one can the skew join split the other side's hot keys."""
+    return F.pmod(F.hash(c), F.lit(1 << 16))
+
+
 def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """Components of an undirected graph given as rows (a, b) of longs.
 
     Alternating large-star and small-star steps: each round is a map-side
-    combined minimum per node joined back to the edges (a hub's edges are split
-    by the skew join), written to the shared folder. Rounds grow with the
-    logarithm of the longest chain. Returns (node, root) with root the smallest
+    combined minimum per node joined back to the edges, written to the shared
+    folder. The minima are shuffled by a key of their own for that join, so that
+    the skew join can split the edges of a hub. Rounds grow with the logarithm
+    of the longest chain. Returns (node, root) with root the smallest
     node of the component; isolated nodes and null ends don't appear.
     """
+    def with_low(e: DataFrame) -> DataFrame:
+        low = e.groupBy("a").agg(F.min("b").alias("m")) \
+            .select(F.col("a").alias("k"), F.least("a", "m").alias("m"), spread_key("a").alias("part"))
+        return e.withColumn("part", spread_key("a")).join(low, ["part"]).where("a = k")
+
     def mark(e: DataFrame):
         return e.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first()
 
@@ -67,12 +79,8 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         if not seen[0]:
             break
         both = e.union(e.select("b", "a").toDF("a", "b"))
-        low = both.groupBy("a").agg(F.min("b").alias("m")) \
-            .select(F.col("a").alias("k"), F.least("a", "m").alias("m"))
-        large = both.join(low, F.col("a") == F.col("k")).where("b > a") \
-            .select(F.col("b").alias("a"), F.col("m").alias("b")).where("a != b").distinct()
-        low = large.groupBy("a").agg(F.min("b").alias("m")).withColumnRenamed("a", "k")
-        small = large.join(low, F.col("a") == F.col("k"))
+        large = with_low(both).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a != b").distinct()
+        small = with_low(large)          # every b is smaller than its a
         e = written(small.select("a", F.col("m").alias("b"))
                     .union(small.select(F.col("b").alias("a"), F.col("m").alias("b")))
                     .where("a != b").distinct(), "edges")

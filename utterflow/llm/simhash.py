@@ -99,9 +99,11 @@ def simhash_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     roots = connected_components(near_pairs(nodes.select("fp"), max_bits))
     rooted = nodes.join(roots, F.col("fp") == F.col("node"), "left") \
         .select("fp", "first", F.coalesce("root", "fp").alias("root"))
-    smallest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    return docs.join(rooted.join(smallest, "root").select("fp", "component_id"), "fp") \
-        .select(F.col("id").alias(id_col), "fp", "component_id")
+    # written, so that each join below has two plain exchanges and AQE can split a component or a
+    # fingerprint that holds a large share of the rows
+    smallest = written(rooted.groupBy("root").agg(F.min("first").alias("component_id")), "components")
+    labels = written(rooted.join(smallest, "root").select("fp", "component_id"), "labels")
+    return docs.join(labels, "fp").select(F.col("id").alias(id_col), "fp", "component_id")
 
 
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
