@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..sources.tables import read_table
-from .common import shared_path, small_batches, written
+from .common import shared_path, small_batches, spread_key, written
 
 FRAME_BYTES = 256 * 1024         # uncompressed records in a frame before it is closed
 BUNDLE_BYTES = 64 * 1024 * 1024  # compressed bytes in a bundle before the next one is begun
@@ -130,16 +130,17 @@ def payload_digest(payload: bytes) -> str:
 
 
 def revisits(pages: DataFrame, min_payload: int = 0) -> DataFrame:
-    """(id, sha1, refers_to) of the pages whose payload a page with a larger id has, too.
+    """(sha1, id, refers_to) of the pages whose payload a page with a larger id has, too.
 
     Only ids and digests are shuffled; the largest id of a payload is found by
-    partial aggregation, so many copies of one payload meet in no task.
+    partial aggregation, and the join back splits a payload with many copies.
     """
     keyed = pages.where(F.col("id").isNotNull() & (F.octet_length("payload") >= min_payload)) \
         .select("id", F.sha1("payload").alias("sha1"))
     last = keyed.groupBy("sha1").agg(F.max("id").alias("refers_to"), F.min("id").alias("first")) \
-        .where("first < refers_to").select("sha1", "refers_to")
-    return keyed.join(last, "sha1").where("id < refers_to").distinct()
+        .where("first < refers_to").select("sha1", "refers_to", spread_key("sha1").alias("part"))
+    return keyed.withColumn("part", spread_key("sha1")).join(last, ["part", "sha1"]).where("id < refers_to") \
+        .select("sha1", "id", "refers_to").distinct()
 
 
 def write_archives(df: DataFrame, folder: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
