@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from utterflow.llm.common import documents, written
 from utterflow.llm.line_dedup import apply_bitmaps, free_name, keep_bitmaps
 from utterflow.llm.packing import pack
-from utterflow.llm.pii import disclosing_terms, sanitise
+from utterflow.llm.pii import disclosures, sanitise
 from utterflow.llm.quality import fit, judged
 from utterflow.llm.simhash import simhash_groups
 from utterflow.sources.tables import read_table
@@ -49,7 +49,7 @@ def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with personal data replaced by its kind and disclosing terms generalised or removed."""
-    return _counted(sanitise(docs, disclosing_terms(docs)))
+    return _counted(sanitise(docs, disclosures(docs)))
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -84,3 +84,17 @@ def test_nulls_repeats_empty_table_and_clashing_columns(spark):
     assert got == [(0, 1, "email:0:5"), (1, 0, ""), (2, 1, "email:0:5"), (2, 1, "email:0:5")]
     assert pii.sanitise(df, {}).columns == df.columns and pii.sanitise(df, {}).count() == 4
     assert pii.find(spark.createDataFrame([], schema), {}).count() == 0
+
+
+def test_support_does_not_grow_and_terms_meet_texts_on_executors(spark):
+    rows = [(i, f"zorblax u{i}@mail.org") for i in range(12)] + [(12, "zorblax u0@mail.org"), (12, "zorblax u0@mail.org"),
+                                                               (None, "Zorblax u@mail.org"), (13, None), (13, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string") \
+        .union(spark.range(1000, 200_000).selectExpr("id", "'plain words'"))
+    terms = pii.disclosures(df)
+    want = {r.term: r.disclosure for r in terms.collect()}
+    assert set(want) == {"zorblax"}
+    few = df.where("doc_id is null or doc_id < 1100")
+    for got, by_dict in ((pii.find(few, terms), pii.find(few, want)), (pii.sanitise(few, terms), pii.sanitise(few, want))):
+        assert sorted(map(str, got.collect())) == sorted(map(str, by_dict.collect()))
+    assert sum("term:0:7" in r.spans for r in pii.find(few, terms).collect()) == 15

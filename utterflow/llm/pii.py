@@ -10,7 +10,6 @@ their category, beyond a higher one removed.
 
 from __future__ import annotations
 
-import math
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -20,12 +19,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import documents, small_batches
+from .common import documents, small_batches, spread_key, written
 
 KINDS = ("email", "ip", "card", "phone")
 WINDOW = 8                       # words on either side of an entity that count as near
-MIN_SHARE = 1e-4                 # a term must be near a kind in so many of all documents ...
-MIN_DOCS = 10                    # ... and in so many documents at least
+MIN_DOCS = 10                    # a term must be near a kind in so many documents, however many there are
 GENERALISE, REMOVE = 0.8, 0.95   # disclosure thresholds
 COUNTED = 200_000                # entries of a task's counter before it is handed on
 
@@ -82,16 +80,21 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return out
 
 
-def near_terms(text: str, spans: list[tuple[str, int, int]]) -> list[tuple[str, str, int, int]]:
-    """(term, kind, start, end) of the words within WINDOW words of a span and outside all spans."""
-    if not spans:
-        return []
-    merged = merge(spans)
+def words_outside(text: str, merged: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
+    """(term, start, end) of the words outside the merged spans."""
     words = []
     last = 0
     for _, a, b in [*merged, ("", len(text), len(text))]:
         words += [(m[0].lower(), last + m.start(), last + m.end()) for m in _WORD.finditer(text[last:a])]
         last = b
+    return words
+
+
+def near_terms(text: str, spans: list[tuple[str, int, int]]) -> list[tuple[str, str, int, int]]:
+    """(term, kind, start, end) of the words within WINDOW words of a span and outside all spans."""
+    if not spans:
+        return []
+    words = words_outside(text, merge(spans))
     starts = [w[1] for w in words]
     from bisect import bisect_left
     found = {}
@@ -138,45 +141,76 @@ def _counting(df: DataFrame, text_col: str, names: list[str], count) -> DataFram
     return df.select(F.col(text_col)).mapInArrow(run, schema).groupBy("term").agg(*(F.sum(n).alias(n) for n in names))
 
 
-def disclosing_terms(df: DataFrame, text_col: str = "text") -> dict[str, float]:
-    """Disclosure (up to 1) of every term that reaches GENERALISE.
+def disclosures(df: DataFrame, text_col: str = "text") -> DataFrame:
+    """(term, disclosure up to 1) of every term that reaches GENERALISE, as a written table.
 
-    Counted over all documents of ``df``. What comes to the driver is bounded:
-    a document's entities have at most 2 * WINDOW near words each, so at most
-    (entities per document) * 2 * WINDOW / MIN_SHARE terms can reach the share.
+    Counted over all documents of ``df``; only their number and that of each
+    kind come to the driver.
     """
-    def near(text, counters):
-        counters[0][""] += 1
+    def count(text, counters):
         spans = base_spans(text)
+        counters[0].update({"", *(w[0] for w in words_outside(text, merge(spans)))})
         for k in {s[0] for s in spans}:
             counters[1 + KINDS.index(k)][""] += 1
         for term, k in {(t, k) for t, k, *_ in near_terms(text, spans)}:
             counters[1 + KINDS.index(k)][term] += 1
 
-    counts = _counting(df, text_col, ["n", *KINDS], near)
+    counts = written(_counting(df, text_col, ["n", *KINDS], count)
+                     .where((F.col("term") == "") | (F.greatest(*KINDS) >= MIN_DOCS)), "term-counts")
     total = counts.where("term = ''").first()
-    if total is None or not total["n"]:
-        return {}
-    n, least = total["n"], max(MIN_DOCS, MIN_SHARE * total["n"])
-    close = {r["term"]: [r[k] for k in KINDS] for r in
-             counts.where((F.col("term") != "") & (F.greatest(*KINDS) >= least)).collect()}
-    if not close:
-        return {}
-
-    def everywhere(text, counters):
-        counters[0].update(close.keys() & set(_WORD.findall(text.lower())))
-
-    seen = {r["term"]: r["n"] for r in _counting(df, text_col, ["n"], everywhere).collect()}
-    out = {}
-    for term, by_kind in close.items():
-        best = 0.0
-        for k, both in zip(KINDS, by_kind, strict=True):
-            if both >= least and total[k] < n:
-                ic = -math.log2(total[k] / n)
-                best = max(best, math.log2(both * n / (total[k] * max(both, seen.get(term, both)))) / ic)
-        if best >= GENERALISE:
-            out[term] = best
-    return out
+    n = total["n"] if total else 0
+    best = [F.lit(0.0)]
+    for k in KINDS:
+        if n and 0 < total[k] < n:
+            lift = F.col(k).cast("double") * n / (F.col("n").cast("double") * total[k])
+            best.append(F.when(F.col(k) >= MIN_DOCS, F.log2(lift) / -F.log2(F.lit(total[k] / n))).otherwise(0.0))
+    scored = counts.where("term != ''").select("term", F.greatest(*best, F.lit(0.0)).alias("disclosure"))
+    return written(scored.where(F.col("disclosure") >= GENERALISE), "disclosures")
+
+
+def disclosing_terms(df: DataFrame, text_col: str = "text") -> dict[str, float]:
+    """``disclosures`` as a dict, for tables whose terms fit in the driver."""
+    return {r["term"]: r["disclosure"] for r in disclosures(df, text_col).collect()}
+
+
+def with_terms(df: DataFrame, terms: DataFrame, text_col: str) -> DataFrame:
+    """All rows and columns of ``df`` and last ``told``: the disclosing (term, disclosure) near an
+    entity of the text, null where the text has no entity.
+
+    Only texts with an entity are shuffled, and their terms meet ``terms`` on the executors.
+    """
+    k = df.columns.index(text_col)
+    inner = T.StructType([*(T.StructField(f"c{i}", f.dataType) for i, f in enumerate(df.schema)),
+                          T.StructField("words", T.ArrayType(T.StringType()))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in small_batches(batches):
+            words = []
+            for t in b.column(k).to_pylist():
+                spans = base_spans(t or "")
+                words.append(list({w[0] for w in near_terms(t, spans)}) if spans else None)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(words, pa.list_(pa.string()))], inner.names)
+
+    # rows of one key have one text, copies under other ids have other keys
+    told = T.ArrayType(T.StructType([T.StructField("term", T.StringType()), T.StructField("disclosure", T.DoubleType())]))
+    plain = [f"c{i}" for i, f in enumerate(df.schema) if isinstance(f.dataType, T.StringType | T.NumericType)]
+    rows = df.toDF(*inner.names[:-1]).mapInArrow(run, inner)
+    held = rows.where(F.col("words").isNotNull()) \
+        .withColumn("key", F.concat(F.sha2(F.col(f"c{k}").cast("binary"), 256), F.hex(F.xxhash64(*plain))))
+    found = held.select("key", F.explode("words").alias("term")).join(terms, "term") \
+        .groupBy("key").agg(F.collect_set(F.struct("term", "disclosure")).alias("told"))
+    joined = held.drop("words").withColumn("part", spread_key("key")) \
+        .join(found.withColumn("part", spread_key("key")), ["part", "key"], "left") \
+        .select(*inner.names[:-1], F.coalesce("told", F.array().cast(told)).alias("told"))
+    bare = rows.where(F.col("words").isNull()).select(*inner.names[:-1], F.lit(None).cast(told).alias("told"))
+    return bare.union(joined)
+
+
+def _told(column: pa.Array, terms: dict[str, float] | None) -> list[dict[str, float] | None]:
+    """The terms of each row: ``terms`` if given, else the column's (null: nothing to look for)."""
+    if terms is not None:
+        return [terms] * len(column)
+    return [t if t is None else {w["term"]: w["disclosure"] for w in t} for t in column.to_pylist()]
 
 
 def all_spans(text: str, terms: dict[str, float]) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int]]]:
@@ -201,19 +235,23 @@ def sanitised(text: str, terms: dict[str, float]) -> str:
     return "".join(out) + text[last:]
 
 
-def find(df: DataFrame, terms: dict[str, float], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def find(df: DataFrame, terms: DataFrame | dict[str, float], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_email, n_ip, n_card, n_phone, base, spans) per row; spans as ``kind:start:end`` lists.
 
-    Whole texts; null counts as empty (no spans); repeated rows and null ids
-    stay, one output row each; other columns are not read.
+    ``terms`` as from ``disclosures`` or ``disclosing_terms``. Whole texts; null
+    counts as empty (no spans); repeated rows and null ids stay, one output row
+    each; other columns are not read.
     """
     schema = T.StructType([T.StructField(id_col, df.schema[id_col].dataType)]
                           + [T.StructField(f"n_{k}", T.LongType()) for k in KINDS]
                           + [T.StructField("base", T.StringType()), T.StructField("spans", T.StringType())])
+    given = terms if isinstance(terms, dict) else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in small_batches(batches):
-            found = [all_spans(t or "", terms) for t in b.column(1).to_pylist()]
+            told = _told(b.columns[-1], given)
+            found = [([], []) if w is None else all_spans(t or "", w)
+                     for t, w in zip(b.column(1).to_pylist(), told, strict=True)]
             kinds = [Counter(s[0] for s in base) for base, _ in found]
             base = [",".join(f"{k}:{i}:{j}" for k, i, j in s) for s, _ in found]
             every = [",".join(f"{k}:{i}:{j}" for k, i, j in s + e) for s, e in found]
@@ -221,26 +259,31 @@ def find(df: DataFrame, terms: dict[str, float], id_col: str = "doc_id", text_co
                 [b.column(0), *(pa.array([c[k] for c in kinds], pa.int64()) for k in KINDS),
                  pa.array(base, pa.string()), pa.array(every, pa.string())], schema.names)
 
-    return df.select(id_col, text_col).mapInArrow(run, schema)
+    rows = df.select(id_col, text_col)
+    return (rows if given is not None else with_terms(rows, terms, text_col)).mapInArrow(run, schema)
 
 
-def sanitise(df: DataFrame, terms: dict[str, float], text_col: str = "text") -> DataFrame:
-    """``df`` with sanitised texts (null stays null); all columns and rows stay."""
+def sanitise(df: DataFrame, terms: DataFrame | dict[str, float], text_col: str = "text") -> DataFrame:
+    """``df`` with sanitised texts (null stays null); all columns and rows stay. ``terms`` as in ``find``."""
     schema = df.schema
     k = df.columns.index(text_col)
     inner = T.StructType([T.StructField(f"c{i}", f.dataType) for i, f in enumerate(schema)])
+    given = terms if isinstance(terms, dict) else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in small_batches(batches):
-            cols = list(b.columns)
-            cols[k] = pa.array([None if t is None else sanitised(t, terms) for t in cols[k].to_pylist()], pa.string())
+            cols = list(b.columns)[:len(inner)]
+            told = _told(b.columns[-1], given)
+            cols[k] = pa.array([t if t is None or w is None else sanitised(t, w)
+                                for t, w in zip(cols[k].to_pylist(), told, strict=True)], pa.string())
             yield pa.RecordBatch.from_arrays(cols, inner.names)
 
-    return df.toDF(*inner.names).mapInArrow(run, inner).toDF(*df.columns)
+    rows = df.toDF(*inner.names) if given is not None else with_terms(df, terms, text_col)
+    return rows.mapInArrow(run, inner).toDF(*df.columns)
 
 
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every whole document, with the terms that reveal it."""
     docs = documents(spark, sf_dir)
-    return find(docs, disclosing_terms(docs)).select(
+    return find(docs, disclosures(docs)).select(
         "doc_id", *(f"n_{k}" for k in KINDS), F.sha2(F.col("base").cast("binary"), 256).alias("base_sha256"), "spans")
