@@ -98,3 +98,16 @@ def test_support_does_not_grow_and_terms_meet_texts_on_executors(spark):
     for got, by_dict in ((pii.find(few, terms), pii.find(few, want)), (pii.sanitise(few, terms), pii.sanitise(few, want))):
         assert sorted(map(str, got.collect())) == sorted(map(str, by_dict.collect()))
     assert sum("term:0:7" in r.spans for r in pii.find(few, terms).collect()) == 15
+
+
+def test_terms_count_and_are_marked_in_the_whole_document(spark):
+    far = " filler" * 30
+    rows = [(i, f"Zorblax{far} u{i}@mail.org{far} zorblax") for i in range(20)]
+    rows += [(100 + i, f"nobody{far}") for i in range(60)] + [(200, "zorblax without entity")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    terms = pii.disclosures(df)
+    assert {r.term for r in terms.collect()} == {"zorblax"}
+    spans = {r.doc_id: r.spans for r in pii.find(df, terms).collect()}
+    assert spans[3] == "email:218:229,term:0:7,term:440:447" and spans[100] == spans[200] == ""
+    clean = {r.doc_id: r.text for r in pii.sanitise(df, terms).collect()}
+    assert "zorblax" not in clean[3].lower() and clean[200] == "zorblax without entity"

@@ -2,10 +2,11 @@
 
 A term discloses a protected kind (email, ip, card, phone) to the degree
 PMI(kind; term) / IC(kind): pointwise mutual information over the information
-content of the kind, 1 where the kind always stands near the term. Document
-frequencies are counted over all documents. In documents with a protected
-entity, terms near it whose disclosure reaches a threshold are generalised to
-their category, beyond a higher one removed.
+content of the kind, 1 where every document with the term holds the kind.
+Co-occurrence is per whole document, and frequencies are counted over all
+documents. In documents with a protected entity, every occurrence of a term
+whose disclosure reaches a threshold is generalised to its category, beyond a
+higher one removed.
 """
 
 from __future__ import annotations
@@ -22,8 +23,7 @@ from pyspark.sql import types as T
 from .common import documents, small_batches, spread_key, written
 
 KINDS = ("email", "ip", "card", "phone")
-WINDOW = 8                       # words on either side of an entity that count as near
-MIN_DOCS = 10                    # a term must be near a kind in so many documents, however many there are
+MIN_DOCS = 10                    # a term must share so many documents with a kind, however many there are
 GENERALISE, REMOVE = 0.8, 0.95   # disclosure thresholds
 COUNTED = 200_000                # entries of a task's counter before it is handed on
 
@@ -90,21 +90,6 @@ def words_outside(text: str, merged: list[tuple[str, int, int]]) -> list[tuple[s
     return words
 
 
-def near_terms(text: str, spans: list[tuple[str, int, int]]) -> list[tuple[str, str, int, int]]:
-    """(term, kind, start, end) of the words within WINDOW words of a span and outside all spans."""
-    if not spans:
-        return []
-    words = words_outside(text, merge(spans))
-    starts = [w[1] for w in words]
-    from bisect import bisect_left
-    found = {}
-    for kind, a, b in spans:
-        lo, hi = bisect_left(starts, a), bisect_left(starts, b)
-        for w in words[max(0, lo - WINDOW):lo] + words[hi:hi + WINDOW]:
-            found[(w[0], kind, w[1], w[2])] = None
-    return list(found)
-
-
 def merge(spans: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
     """Spans in text order, overlapping ones joined under the first one's kind."""
     out: list[tuple[str, int, int]] = []
@@ -149,11 +134,10 @@ def disclosures(df: DataFrame, text_col: str = "text") -> DataFrame:
     """
     def count(text, counters):
         spans = base_spans(text)
-        counters[0].update({"", *(w[0] for w in words_outside(text, merge(spans)))})
+        terms = {"", *(w[0] for w in words_outside(text, merge(spans)))}
+        counters[0].update(terms)
         for k in {s[0] for s in spans}:
-            counters[1 + KINDS.index(k)][""] += 1
-        for term, k in {(t, k) for t, k, *_ in near_terms(text, spans)}:
-            counters[1 + KINDS.index(k)][term] += 1
+            counters[1 + KINDS.index(k)].update(terms)
 
     counts = written(_counting(df, text_col, ["n", *KINDS], count)
                      .where((F.col("term") == "") | (F.greatest(*KINDS) >= MIN_DOCS)), "term-counts")
@@ -174,8 +158,8 @@ def disclosing_terms(df: DataFrame, text_col: str = "text") -> dict[str, float]:
 
 
 def with_terms(df: DataFrame, terms: DataFrame, text_col: str) -> DataFrame:
-    """All rows and columns of ``df`` and last ``told``: the disclosing (term, disclosure) near an
-    entity of the text, null where the text has no entity.
+    """All rows and columns of ``df`` and last ``told``: the disclosing (term, disclosure) of the
+    text, null where the text has no entity.
 
     Only texts with an entity are shuffled, and their terms meet ``terms`` on the executors.
     """
@@ -188,7 +172,7 @@ def with_terms(df: DataFrame, terms: DataFrame, text_col: str) -> DataFrame:
             words = []
             for t in b.column(k).to_pylist():
                 spans = base_spans(t or "")
-                words.append(list({w[0] for w in near_terms(t, spans)}) if spans else None)
+                words.append(list({w[0] for w in words_outside(t, merge(spans))}) if spans else None)
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(words, pa.list_(pa.string()))], inner.names)
 
     # rows of one key have one text, copies under other ids have other keys
@@ -214,10 +198,10 @@ def _told(column: pa.Array, terms: dict[str, float] | None) -> list[dict[str, fl
 
 
 def all_spans(text: str, terms: dict[str, float]) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int]]]:
-    """(base spans, term spans): terms near an entity that disclose it, in text order."""
+    """(base spans, term spans): every occurrence of a disclosing term, in text order, if there is an entity."""
     base = base_spans(text)
-    extra = {(a, b) for t, _, a, b in near_terms(text, base) if t in terms} if terms else ()
-    return base, [("term", a, b) for a, b in sorted(extra)]
+    words = words_outside(text, merge(base)) if base and terms else []
+    return base, [("term", a, b) for t, a, b in words if t in terms]
 
 
 def sanitised(text: str, terms: dict[str, float]) -> str:
