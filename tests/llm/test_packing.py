@@ -76,3 +76,18 @@ def test_nulls_repeats_empty_table_and_clashing_columns(spark):
     got = pack(spark.createDataFrame(rows, schema)).collect()
     assert len(got) == 5 + 13 and sum(r.length for r in got) == 100_004
     assert pack(spark.createDataFrame([], schema)).count() == 0
+
+
+def test_copies_and_near_copies_never_share_a_bin(spark):
+    rng = random.Random(7)
+    words = ["".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(150)]
+    base = " ".join(words)
+    near = " ".join([*words[:149], "changed"])
+    blank = [(1, "same text", "a"), (2, "same  text\n", "b"), (3, "\tSame text", "c")]
+    docs = [*blank, (4, base, "d"), (5, near, "e"), (6, base.upper() + "\r\n", "f"), (7, "something else", "g")]
+    df = spark.createDataFrame(docs, "doc_id long, text string, source string")
+    for near_too, apart in ((False, [{1, 2, 3}, {4, 6}]), (True, [{1, 2, 3}, {4, 5, 6}])):
+        rows = pack(df, near=near_too).collect()
+        assert len(rows) == len(docs) and sum(r.length for r in rows) == sum(len(d[1]) for d in docs)
+        for ids in apart:
+            assert len({r.bin_id for r in rows if r.doc_id in ids}) == len(ids)

@@ -19,7 +19,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import documents
+from .common import documents, written
+from .simhash import fingerprints, with_roots
 
 CAPACITY = 8192                  # code points in a sequence
 SHARD_ROWS = 4096                # documents packed together (on average)
@@ -81,28 +82,52 @@ def pack_shard(pdf: pd.DataFrame, capacity: int, by: list[str]) -> pd.DataFrame:
     return pd.concat(out)
 
 
+def folded(text_col: str) -> Column:
+    """The text without case and with single spaces between words; null is empty."""
+    return F.trim(F.regexp_replace(F.lower(F.coalesce(F.col(text_col), F.lit(""))), r"\s+", " "))
+
+
 def copy_cluster(text_col: str) -> Column:
-    """Cluster of texts that are equal but for case and white space (a caller may have better ones)."""
-    return F.xxhash64(F.regexp_replace(F.trim(F.lower(F.coalesce(F.col(text_col), F.lit("")))), r"\s+", " "))
+    """Cluster of texts that are equal but for case and white space (``pack`` with ``near`` has near copies, too)."""
+    return F.xxhash64(folded(text_col))
+
+
+def near_clusters(narrow: DataFrame) -> DataFrame:
+    """(id, length, source, text) with ``cluster`` for the text: the SimHash component of the folded text.
+
+    Texts that are equal but for case and white space have one fingerprint, so
+    these clusters hold all exact copies. Texts are not shuffled.
+    """
+    rows = written(fingerprints(narrow.select(F.struct("id", "length", "source").alias("row"), folded("text").alias("text")),
+                                "row", "text"), "pack-fingerprints")
+    roots = written(with_roots(rows.select("fp").distinct()), "pack-clusters")
+    return rows.join(roots, "fp").select("id.id", "id.length", "id.source", F.col("root").alias("cluster"))
 
 
 def pack(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-         cluster: Column | None = None, capacity: int = CAPACITY, shard_rows: int = SHARD_ROWS) -> DataFrame:
+         cluster: Column | None = None, capacity: int = CAPACITY, shard_rows: int = SHARD_ROWS,
+         near: bool = False) -> DataFrame:
     """(id, piece, start, length, bin_id, bin_offset): every code point of every document in one place.
 
     A bin holds at most one piece of a source and one of a duplicate cluster
-    (``cluster``, by default texts equal but for case and white space); null
+    (``cluster``, by default texts equal but for case and white space, with
+    ``near`` the SimHash components, which hold near copies, too); null
     sources and clusters conflict with nothing. Null and empty texts are pieces
     of length 0. Repeated rows are packed each for itself; rows with a null id
     are dealt by their place in the input. Other columns are not read. Bins
     don't depend on how the table is laid out (but for null ids).
     """
+    if near and cluster is not None:
+        raise ValueError("near and cluster exclude each other")
     n = df.count()
     shards = max(1, -(-n // shard_rows))
     narrow = df.select(F.col(id_col).alias("id"),
                        F.char_length(F.coalesce(F.col(text_col), F.lit(""))).cast("long").alias("length"),
                        F.col(source_col).alias("source"),
-                       (copy_cluster(text_col) if cluster is None else cluster).alias("cluster"))
+                       *([F.col(text_col).alias("text")] if near else
+                         [(copy_cluster(text_col) if cluster is None else cluster).alias("cluster")]))
+    if near:
+        narrow = near_clusters(narrow)
     dealt = narrow.withColumn("shard", F.pmod(F.xxhash64(
         F.coalesce(F.col("id").cast("string"), F.concat(F.lit("row "), F.monotonically_increasing_id())),
         "length", "cluster"), F.lit(shards)))
@@ -118,5 +143,5 @@ def pack(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_c
 
 
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document's place in sequences of CAPACITY code points."""
-    return pack(documents(spark, sf_dir))
+    """Every document's place in sequences of CAPACITY code points; near copies are kept apart."""
+    return pack(documents(spark, sf_dir), near=True)

@@ -84,6 +84,13 @@ def near_pairs(fps: DataFrame, max_bits: int = 3) -> DataFrame:
         .where("up = 1 or a < b").select("a", "b")
 
 
+def with_roots(nodes: DataFrame, max_bits: int = 3) -> DataFrame:
+    """``nodes`` (one row per distinct ``fp``) and ``root``, the smallest fingerprint of the component."""
+    roots = connected_components(near_pairs(nodes.select("fp"), max_bits))
+    return nodes.join(roots, F.col("fp") == F.col("node"), "left") \
+        .select(*nodes.columns, F.coalesce("root", "fp").alias("root"))
+
+
 def simhash_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                    shingle: int = 3, max_bits: int = 3) -> DataFrame:
     """(id, fp, component_id) per row of ``df``.
@@ -96,9 +103,7 @@ def simhash_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """
     docs = written(fingerprints(df, id_col, text_col, shingle), "fingerprints")
     nodes = docs.groupBy("fp").agg(F.min("id").alias("first"))
-    roots = connected_components(near_pairs(nodes.select("fp"), max_bits))
-    rooted = nodes.join(roots, F.col("fp") == F.col("node"), "left") \
-        .select("fp", "first", F.coalesce("root", "fp").alias("root"))
+    rooted = with_roots(nodes, max_bits)
     # written, so that each join below has two plain exchanges and AQE can split a component or a
     # fingerprint that holds a large share of the rows
     smallest = written(rooted.groupBy("root").agg(F.min("first").alias("component_id")), "components")
