@@ -10,12 +10,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from utterflow.llm.common import documents, written
+from utterflow.llm.common import documents, row_key, written
 from utterflow.llm.line_dedup import apply_bitmaps, free_name, keep_bitmaps
 from utterflow.llm.packing import pack
 from utterflow.llm.pii import disclosures, sanitise
 from utterflow.llm.quality import fit, judged
-from utterflow.llm.simhash import simhash_groups
+from utterflow.llm.simhash import fingerprints, with_roots
 from utterflow.sources.tables import read_table
 
 
@@ -40,10 +40,15 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: the one with the smallest id, once (of several
-    rows with that id one). Rows without an id cannot be named by a group and stay."""
-    kept = simhash_groups(docs).where("doc_id = component_id").select("doc_id")
-    one = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
+    """One row of each group of near duplicates: the one with the smallest id, of several texts with that id
+    the one with the smallest key. Rows without an id cannot be named by a group and stay."""
+    key = free_name(docs, "key")
+    keyed = docs.withColumn(key, row_key(docs, "text"))
+    rows = written(fingerprints(keyed.select(F.struct("doc_id", key).alias("row"), "text"), "row", "text"), "fingerprints")
+    roots = written(with_roots(rows.select("fp").distinct()), "components")
+    kept = rows.where(F.col("id.doc_id").isNotNull()).join(roots, "fp") \
+        .groupBy("root").agg(F.min("id").alias("id")).select("id.doc_id", f"id.{key}")
+    one = keyed.join(kept, ["doc_id", key], "left_semi").dropDuplicates(["doc_id", key]).select(*docs.columns)
     return one.union(docs.where(F.col("doc_id").isNull()))
 
 

@@ -59,3 +59,13 @@ def test_odd_documents(spark):
     assert "a.b@c.org" not in "".join(r.text or "" for r in stages[3].collect())
     empty = run_stages(spark, spark.createDataFrame([], schema), SF)
     assert [s.count() for s in empty] == [0] * 5
+
+
+def test_every_group_keeps_one_document_when_ids_repeat(spark):
+    a, b, c = ("alpha beta gamma delta " * 9, "one two three four five " * 9, "red green blue white black " * 9)
+    rows = [(3, b), (7, a), (7, b), (8, c), (8, "quite another text here"), (8, c), (None, a)]
+    for order in (rows, rows[::-1]):
+        df = spark.createDataFrame(order, "doc_id long, text string").repartition(5)
+        got = corpus_pipeline.simhash_near_dedup(spark, df, SF).collect()
+        assert sorted((r.doc_id or 0, r.text) for r in got) == sorted(
+            [(3, b), (7, a), (8, c), (8, "quite another text here"), (0, a)])

@@ -8,6 +8,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import scratch_path
 from ..sources.tables import read_table
@@ -54,6 +55,13 @@ def spread_key(c: str):
     return F.pmod(F.hash(c), F.lit(1 << 16))
 
 
+def row_key(df: DataFrame, text_col: str):
+    """Key of a row by its text's SHA-256 and a hash of its text and number columns: rows of one key have one text."""
+    plain = [F.col(f"`{f.name}`") for f in df.schema if isinstance(f.dataType, T.StringType | T.NumericType)]
+    text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
+    return F.concat(F.sha2(text.cast("binary"), 256), F.hex(F.xxhash64(*plain)))
+
+
 def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """Components of an undirected graph given as rows (a, b) of longs.
 

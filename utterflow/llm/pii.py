@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import documents, small_batches, spread_key, written
+from .common import documents, row_key, small_batches, spread_key, written
 
 KINDS = ("email", "ip", "card", "phone")
 MIN_DOCS = 10                    # a term must share so many documents with a kind, however many there are
@@ -175,12 +175,9 @@ def with_terms(df: DataFrame, terms: DataFrame, text_col: str) -> DataFrame:
                 words.append(list({w[0] for w in words_outside(t, merge(spans))}) if spans else None)
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(words, pa.list_(pa.string()))], inner.names)
 
-    # rows of one key have one text, copies under other ids have other keys
     told = T.ArrayType(T.StructType([T.StructField("term", T.StringType()), T.StructField("disclosure", T.DoubleType())]))
-    plain = [f"c{i}" for i, f in enumerate(df.schema) if isinstance(f.dataType, T.StringType | T.NumericType)]
     rows = df.toDF(*inner.names[:-1]).mapInArrow(run, inner)
-    held = rows.where(F.col("words").isNotNull()) \
-        .withColumn("key", F.concat(F.sha2(F.col(f"c{k}").cast("binary"), 256), F.hex(F.xxhash64(*plain))))
+    held = rows.where(F.col("words").isNotNull()).withColumn("key", row_key(rows, f"c{k}"))
     found = held.select("key", F.explode("words").alias("term")).join(terms, "term") \
         .groupBy("key").agg(F.collect_set(F.struct("term", "disclosure")).alias("told"))
     joined = held.drop("words").withColumn("part", spread_key("key")) \
