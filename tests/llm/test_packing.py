@@ -91,3 +91,17 @@ def test_copies_and_near_copies_never_share_a_bin(spark):
         assert len(rows) == len(docs) and sum(r.length for r in rows) == sum(len(d[1]) for d in docs)
         for ids in apart:
             assert len({r.bin_id for r in rows if r.doc_id in ids}) == len(ids)
+
+
+def test_repeated_rows_are_dealt_to_all_shards(spark):
+    df = spark.range(2, 6002).selectExpr("id as doc_id", "concat('text ', id) as text", "'s' as source") \
+        .union(spark.range(5000).selectExpr("if(id < 4500, 1L, null)", "'copy'", "'s'"))
+    got = pack(df, shard_rows=500).collect()
+    assert len(got) == 11_000 and sum(r.doc_id == 1 for r in got) == 4500 and sum(r.doc_id is None for r in got) == 500
+    per_shard = {}
+    for r in got:
+        if r.doc_id == 1:
+            per_shard[r.bin_id >> 32] = per_shard.get(r.bin_id >> 32, 0) + 1
+    assert len(per_shard) == 22 and max(per_shard.values()) < 500
+    again = pack(df.repartition(7), shard_rows=500).collect()
+    assert sorted(map(str, got)) == sorted(map(str, again))

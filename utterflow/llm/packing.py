@@ -24,6 +24,7 @@ from .simhash import fingerprints, with_roots
 
 CAPACITY = 8192                  # code points in a sequence
 SHARD_ROWS = 4096                # documents packed together (on average)
+COPIES = 4096                    # equal rows numbered by one task at a time
 
 
 def best_fit(items: list[tuple[int, int, int]], capacity: int) -> list[tuple[int, int]]:
@@ -113,9 +114,9 @@ def pack(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_c
     (``cluster``, by default texts equal but for case and white space, with
     ``near`` the SimHash components, which hold near copies, too); null
     sources and clusters conflict with nothing. Null and empty texts are pieces
-    of length 0. Repeated rows are packed each for itself; rows with a null id
-    are dealt by their place in the input. Other columns are not read. Bins
-    don't depend on how the table is laid out (but for null ids).
+    of length 0. Repeated rows are packed each for itself and dealt to all
+    shards. Other columns are not read. Bins don't depend on how the table is
+    laid out.
     """
     if near and cluster is not None:
         raise ValueError("near and cluster exclude each other")
@@ -128,9 +129,15 @@ def pack(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_c
                          [(copy_cluster(text_col) if cluster is None else cluster).alias("cluster")]))
     if near:
         narrow = near_clusters(narrow)
-    dealt = narrow.withColumn("shard", F.pmod(F.xxhash64(
-        F.coalesce(F.col("id").cast("string"), F.concat(F.lit("row "), F.monotonically_increasing_id())),
-        "length", "cluster"), F.lit(shards)))
+    tasks = min(shards, max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    # equal rows are counted and numbered, so that copies of one row are dealt to all shards
+    same = ["id", "length", "source", "cluster"]
+    runs = narrow.groupBy(*same).agg(F.count("*").alias("n")) \
+        .withColumn("first", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1, F.lit(COPIES).cast("long")))) \
+        .repartition(tasks, *same, "first")
+    dealt = runs.withColumn("copy", F.explode(F.sequence("first", F.least(F.col("first") + COPIES, F.col("n")) - 1))) \
+        .select(*same, F.pmod(F.xxhash64(F.col("id").cast("string"), "length", "source", "cluster", "copy"),
+                              F.lit(shards)).alias("shard"))
     schema = T.StructType([T.StructField("id", df.schema[id_col].dataType)]
                           + [T.StructField(c, T.LongType()) for c in ("piece", "start", "length", "bin_id", "bin_offset")])
 
@@ -138,7 +145,6 @@ def pack(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_c
         out = pack_shard(pdf, capacity, ["id", "length", "source", "cluster"])
         return out.assign(bin_id=out["shard"] * (1 << 32) + out["bin"])[schema.names]
 
-    tasks = min(shards, max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
     return dealt.repartition(tasks, "shard").groupBy("shard").applyInPandas(run, schema).withColumnRenamed("id", id_col)
 
 
