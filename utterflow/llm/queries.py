@@ -11,6 +11,7 @@ from .bpe import op2_byte_bpe
 from .embedding_dedup import op10_embedding_near_dedup
 from .line_dedup import op5_line_dedup
 from .packing import op1_best_fit_packing
+from .periodic_runs import op13_periodic_runs
 from .pii import op9_pii
 from .quality import op6_quality_classifier
 from .simhash import op3_simhash_near_dedup
@@ -29,6 +30,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc": op8_warc,
     "op9_pii": op9_pii,
     "op10_embedding_near_dedup": op10_embedding_near_dedup,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 LLM_ORACLE_SQL: dict[str, str] = {
