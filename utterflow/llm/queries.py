@@ -18,6 +18,7 @@ from .simhash import op3_simhash_near_dedup
 from .topk_search import op7_exact_topk
 from .toxicity import op4_toxicity
 from .warc import op8_warc
+from .whitening import op11_whitening
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
@@ -30,6 +31,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc": op8_warc,
     "op9_pii": op9_pii,
     "op10_embedding_near_dedup": op10_embedding_near_dedup,
+    "op11_whitening": op11_whitening,
     "op13_periodic_runs": op13_periodic_runs,
 }
 
