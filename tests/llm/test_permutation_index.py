@@ -1,0 +1,113 @@
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from utterflow.llm import permutation_index as P
+from utterflow.llm.queries import LLM_QUERIES
+
+SF = "/root/testdata/sf0.01"
+SCHEMA = "vec_id long, embedding array<float>"
+
+
+def brute(rows, asks, k):
+    """query id -> all candidates (id, score) of other rows, nearest first."""
+    x = {(i, tuple(v)): np.array(v, dtype=np.float32).astype(float) for i, v in rows
+         if i is not None and v and all(c is not None and np.isfinite(c) for c in v) and any(v)}
+    return {q: sorted(((i, float(y @ x[q])) for (i, v), y in x.items() if (i, v) != q and len(y) == len(x[q])),
+                      key=lambda r: (-r[1], r[0])) for q in x if asks(q[0])}
+
+
+def recall(got, want, k):
+    """Share of the true neighbours found; scores, ranks and ties are checked on the way."""
+    hit = total = 0
+    per = {}
+    for r in got:
+        per.setdefault(r.query_id, []).append(r)
+    assert set(per) == {q[0] for q in want if want[q]}
+    for (q, _), near in want.items():
+        mine = sorted(per.get(q, []), key=lambda r: r.rank)
+        assert [r.rank for r in mine] == list(range(1, min(k, len(near)) + 1))
+        score = {}
+        for i, s in near:
+            score.setdefault(i, []).append(s)
+        assert all(min(abs(r.score - s) for s in score[r.vec_id]) < 1e-12 for r in mine)
+        assert all((-a.score, a.vec_id) <= (-b.score, b.vec_id) for a, b in zip(mine, mine[1:], strict=False))
+        least = near[:k][-1][1] if near else 0
+        hit += sum(r.score >= least - 1e-12 for r in mine)
+        total += min(k, len(near))
+    return hit / total
+
+
+def test_footrule_is_what_agreement_counts():
+    rng = np.random.default_rng(0)
+    m, p = 8, 20
+    prefix = np.stack([rng.permutation(p)[:m] for _ in range(50)]).astype(np.int32)
+    for order in (rng.permutation(p) for _ in range(10)):
+        rank = np.argsort(order)
+        place = np.full((50, p), m)
+        np.put_along_axis(place, prefix, np.arange(m)[None, :], 1)
+        footrule = np.abs(place - np.minimum(rank, m)[None, :]).sum(1)
+        assert (footrule == m * (m + 1) - 2 * P.agreement(rank, prefix)).all()
+
+
+def test_files_are_dealt_whole_and_blocks_cover_their_queries(monkeypatch):
+    monkeypatch.setattr(P, "QUERY_BLOCK", 10)
+    f = P.Files(np.array([5, 0, 300, 7]), 50)
+    assert f.touched(np.array([0, 3])).tolist() == [0, 6] and f.touched(np.array([1])).tolist() == []
+    assert f.touched(np.array([2])).tolist() == [0, 1, 2, 3, 4, 5, 6]
+    every = f.shard(np.full(300, 2), np.arange(300))
+    assert np.bincount(every).tolist() == [45, 50, 50, 50, 50, 50, 5]
+    looks = np.array([25, 0, 40, 1])
+    assert f.blocks_of(np.array([0, 1, 6]), looks).tolist() == [7, 4, 5]
+
+
+@pytest.mark.parametrize("scaled", [False, True])
+def test_recall_and_exact_scores(spark, monkeypatch, scaled):
+    """Clusters, copies, and vectors of very different lengths; small blocks."""
+    rng = np.random.default_rng(1)
+    centre = rng.normal(size=(30, 16))
+    v = centre[rng.integers(30, size=1500)] + 0.4 * rng.normal(size=(1500, 16))
+    if scaled:
+        v *= np.exp(rng.normal(size=(1500, 1)))
+    v[500:1000] = v[7]                                  # a third of the rows
+    rows = [(int(i), np.float32(x).tolist()) for i, x in enumerate(v)]
+    for name, n in (("BLOCK", 200), ("QUERY_BLOCK", 16)):
+        monkeypatch.setattr(P, name, n)
+    got = P.nearest(spark.createDataFrame(rows, SCHEMA).repartition(5), F.col("vec_id") % 20 == 0).collect()
+    assert recall(got, brute(rows, lambda q: q % 20 == 0, 20), 20) >= 0.9
+
+
+def test_query_recall(spark):
+    rows = [tuple(r) for r in spark.read.parquet(f"{SF}/embeddings.parquet").select("vec_id", "embedding").collect()]
+    got = LLM_QUERIES["op12_permutation_index"](spark, SF).collect()
+    assert recall(got, brute(rows, lambda q: q % 20 == 0, 20), 20) >= 0.9
+
+
+def test_odd_vectors_and_columns(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [(0, [1.0, 2.0]), (1, None), (2, [nan, 1.0]), (3, [inf, 0.0]), (4, [None, 1.0]), (5, []), (6, [0.0, 0.0]),
+            (20, [1.0, -1.0]), (40, [3.0]), (60, [4.0]), (None, [9.0, 9.0]), (7, [1.0, 2.0]), (7, [1.0, 2.0]),
+            (80, [0.0, -0.0]), (100, [1.0, 1.0, 1.0]), (20, [5.0, 5.0]), (8, [0.0, 1.0]), (9, [-0.0, 1.0])]
+    df = spark.createDataFrame([(*r, 1, "x", 0, 1) for r in rows], SCHEMA + ", rank int, x string, h1 int, dim int")
+    got = P.nearest(df, F.col("vec_id") % 20 == 0).collect()
+    want = brute(rows, lambda q: q % 20 == 0, 20)
+    flat = sorted((q[0], r + 1, i, s) for q, near in want.items() for r, (i, s) in enumerate(near[:20]))
+    assert sorted(map(tuple, got)) == flat and not [r for r in got if r.query_id in (80, 100)]
+    assert [r.vec_id for r in sorted(got, key=lambda r: r.rank) if r.query_id == 0 and r.score == 2.0] == [8, 9]   # a tie
+    assert P.nearest(df.limit(0), F.col("vec_id") % 20 == 0).collect() == []
+    assert P.nearest(df.where("vec_id = 8"), F.col("vec_id") % 20 == 0).collect() == []
+    assert P.nearest(df.where("vec_id = 20 and embedding[0] = 1"), F.col("vec_id") % 20 == 0).collect() == []
+
+
+def test_copies_of_a_query_come_by_smallest_id(spark):
+    rows = [(i, [1.0, 0.0]) for i in range(0, 100)] + [(i, [0.0, 1.0]) for i in range(100, 130)]
+    got = P.nearest(spark.createDataFrame(rows, SCHEMA), F.col("vec_id") == 40, k=5).collect()
+    assert [(r.rank, r.vec_id, r.score) for r in sorted(got, key=lambda r: r.rank)] == [(n + 1, n, 1.0) for n in range(5)]
+    got = P.nearest(spark.createDataFrame(rows, SCHEMA), F.col("vec_id") == 2, k=5).collect()
+    assert sorted(r.vec_id for r in got) == [0, 1, 3, 4, 5]
+
+
+def test_shorter_vectors_are_padded():
+    column = pa.array([[1.0, 2.0], [3.0], [], [4.0, 5.0, 6.0]], pa.list_(pa.float32()))
+    assert P.padded(column.slice(1), 3).tolist() == [[3, 0, 0], [0, 0, 0], [4, 5, 6]]

@@ -12,6 +12,7 @@ from .embedding_dedup import op10_embedding_near_dedup
 from .line_dedup import op5_line_dedup
 from .packing import op1_best_fit_packing
 from .periodic_runs import op13_periodic_runs
+from .permutation_index import op12_permutation_index
 from .pii import op9_pii
 from .quality import op6_quality_classifier
 from .simhash import op3_simhash_near_dedup
@@ -32,6 +33,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_pii": op9_pii,
     "op10_embedding_near_dedup": op10_embedding_near_dedup,
     "op11_whitening": op11_whitening,
+    "op12_permutation_index": op12_permutation_index,
     "op13_periodic_runs": op13_periodic_runs,
 }
 
