@@ -11,10 +11,11 @@ from utterflow.plans import fixtures as fx
 
 
 def test_evaluate_report(spark):
-    r = evaluate.evaluate(fx.truths(spark, SF_SMALL), fx.predictions(spark, SF_SMALL))
+    r = evaluate.evaluate(fx.truths(spark, SF_SMALL), fx.predictions(spark, SF_SMALL), attempt_col="attempt")
     wer = {x.split: x for x in r.wer.collect()}
     assert set(wer) == {"train", "validation", "test"} and all(x.status == "ok" for x in wer.values())
     assert all(not x.ok and x.pred_only == 0 for x in r.check.collect())     # German rows have no prediction
+    assert {x.split for x in r.check.collect() if x.repeated} == {"train"}
     assert r.samples.count() == 0
     bad = spark.createDataFrame([("s", 1, "a b", "a b"), ("s", 2, "c", "c")], "split string, utt_id long, sentence string, pred string")
     rep = evaluate.evaluate(bad.select("split", "utt_id", "sentence"), bad.select("split", "utt_id", "pred"))

@@ -69,6 +69,31 @@ def test_checkpoints(spark):
     assert order.thin_steps(m, 100).count() == 2
 
 
+def test_checkpoints_without_a_wer(spark):
+    nan = float("nan")
+    m = spark.createDataFrame([(1, 1, None), (1, 2, 0.7), (1, 3, 0.5), (1, 4, nan), (2, 1, None), (2, 2, nan), (3, 5, 0.25)],
+                              "run int, step long, wer double")
+    assert {r.run: (r.best_step, r.best_wer) for r in order.best_checkpoint(m).collect()} == {1: (3, 0.5), 2: (None, None), 3: (5, 0.25)}
+    kept = {(r.run, r.step): (str(r.wer), r.is_best, r.keep_rank) for r in order.retain_checkpoints(m, 3).collect()}
+    assert kept == {(1, 3): ("0.5", True, 1), (1, 4): ("nan", False, 2), (1, 2): ("0.7", False, 3),
+                    (2, 2): ("nan", False, 1), (2, 1): ("None", False, 2), (3, 5): ("0.25", True, 1)}
+
+
+def test_a_whole_plane_of_characters_is_no_large_plan(spark):
+    import time
+    chars = [chr(c) for c in range(1, 0x10000) if not 0xD800 <= c <= 0xDFFF and chr(c) != " "] + [chr(0x1F600), chr(0x20000)]
+    vocab = {c: i for i, c in enumerate(chars, start=arrays.FIRST_CHAR_ID)}
+    text = "a\ufeff, b\u0001" + chr(0xFFFF) + chr(0x1F600) + chr(0x20000) + chr(0x20001)
+    df = spark.createDataFrame([(text,)], "text string")
+    start = time.time()
+    coded = arrays.encode_labels(df, vocab).withColumn("back", arrays.decode_labels(F.col("labels"), vocab))
+    coded.select("labels", "back")._jdf.queryExecution().executedPlan()
+    assert time.time() - start < 3                       # 40 s and more with a literal for every character
+    row = coded.first()
+    assert row.labels == [vocab.get(c, arrays.UNK_ID) if c != " " else arrays.DELIM_ID for c in text]
+    assert row.back == text[:-1]
+
+
 def test_pad_trim_unmask(spark):
     df = spark.createDataFrame([(0, [2, 5, 6]), (0, [2, 7, 8, 9, 10]), (1, [2, 5]), (1, [4])],
                                "batch long, labels array<int>")

@@ -7,6 +7,7 @@ from conftest import SF_SMALL
 from utterflow.functions.editdistance import edit_distance, reference_distance
 from utterflow.operators import score
 from utterflow.plans import fixtures as fx
+from utterflow.plans.evaluate import evaluate
 
 
 def pairs_df(spark, rows):
@@ -83,6 +84,26 @@ def test_pred_truth_match_and_row_gate(spark):
     p = spark.createDataFrame([("a", 1), ("b", 3), ("b", 4)], "split string, utt_id long")
     got = {r.split: (r.truth_only, r.pred_only, r.matched, r.ok) for r in score.pred_truth_match(t, p).collect()}
     assert got == {"a": (1, 0, 1, False), "b": (0, 1, 1, False)}
+    twice = spark.createDataFrame([("a", 1), ("a", 2), ("a", 2)], "split string, utt_id long")
+    row = score.pred_truth_match(t.where("split = 'a'"), twice).first()
+    assert (row.truth_only, row.pred_only, row.matched, row.repeated, row.ok) == (0, 0, 2, 1, False)
+    row = score.pred_truth_match(twice, t.where("split = 'a'")).first()
+    assert (row.matched, row.repeated, row.ok) == (2, 1, False)
+    assert score.pred_truth_match(t, t).where("not ok or repeated > 0").count() == 0
     exp = spark.createDataFrame([("a", 2), ("c", 1)], "split string, expected long")
     g = {r.split: (r.actual, r.expected, r.ok) for r in score.row_count_gate(t, exp).collect()}
     assert g == {"a": (2, 2, True), "b": (1, None, False), "c": (0, 1, False)}
+
+
+def test_repeated_predictions_are_never_scored_twice(spark):
+    t = spark.createDataFrame([("a", 1, "x y"), ("a", 2, "z")], "split string, utt_id long, sentence string")
+    p = spark.createDataFrame([("a", 1, 0, "x"), ("a", 1, 1, "x y"), ("a", 2, 0, None)],
+                              "split string, utt_id long, attempt int, pred string")
+    got = sorted(tuple(r) for r in score.join_pred_truth(t, p, order="attempt").collect())
+    assert got == [("a", 1, "x y", "x y"), ("a", 2, "z", None)]
+    with pytest.raises(Exception, match="repeated key: a, 1"):
+        score.join_pred_truth(t, p).collect()
+    with pytest.raises(Exception, match="repeated key: a, 2"):
+        score.join_pred_truth(t.union(t.where("utt_id = 2")), p, order="attempt").collect()
+    report = evaluate(t, p, attempt_col="attempt")
+    assert report.wer.first().n_pairs == 2 and report.check.first().repeated == 1

@@ -66,13 +66,3 @@ def decode_class(col: Column | str) -> list[Column]:
         ch = F.substring(c, i, 1)
         out.append(F.try_element_at(_map_literal(table), ch).alias(name))
     return out
-
-
-def decode_sql(col: str) -> str:
-    """DuckDB expression text for the oracle (CASE chains over the same tables)."""
-    parts = []
-    for i, (name, table) in enumerate(FIELDS, start=2):
-        whens = " ".join(
-            "WHEN '{}' THEN '{}'".format(k, v.replace("'", "''")) for k, v in table.items())
-        parts.append(f"CASE substr({col}, {i}, 1) {whens} END AS {name}")
-    return ", ".join(parts)

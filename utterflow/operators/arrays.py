@@ -46,13 +46,20 @@ def ids_of(vocab: DataFrame) -> dict[str, int]:
     return {r["char"]: int(r["id"]) for r in vocab.select("char", "id").collect()}
 
 
+def _int_array(values) -> Column:
+    """An array literal, as one string that constant folding splits."""
+    return F.split(F.lit(",".join(map(str, values))), ",").cast("array<int>")
+
+
 def encode_labels(df: DataFrame, vocab: DataFrame | dict[str, int], text_col: str = "text",
                   out: str = "labels") -> DataFrame:
     """Per character id; space -> delimiter id; unknown character -> unk id; null text -> no ids.
 
     Characters of the Basic Multilingual Plane are looked up in an int array
     indexed by code point (at most 65,536 entries), the few others in a
-    literal map: one array access per character, whatever the vocabulary.
+    map: one array access per character, whatever the vocabulary. Both are
+    literals that the optimizer folds from one string, so a large vocabulary
+    makes no large plan.
     """
     chars = vocab if isinstance(vocab, dict) else ids_of(vocab)
     chars = {**chars, " ": DELIM_ID}
@@ -60,14 +67,15 @@ def encode_labels(df: DataFrame, vocab: DataFrame | dict[str, int], text_col: st
     lut = [UNK_ID] * (max(plane) + 1)
     for c, i in plane.items():
         lut[c] = i
-    table = F.array(*[F.lit(v) for v in lut])
-    beyond = [F.lit(v) for c, i in sorted(chars.items()) if ord(c) > 0xFFFF for v in (ord(c), i)]
+    table = _int_array(lut)
+    beyond = sorted((ord(c), i) for c, i in chars.items() if ord(c) > 0xFFFF)
     pieces = F.when(F.coalesce(F.col(text_col), F.lit("")) == "", F.array().cast("array<string>")) \
         .otherwise(F.split(F.col(text_col), ""))
 
     def lookup(c: Column) -> Column:
         code = F.ascii(c)
-        found = [F.get(table, code)] + ([F.try_element_at(F.create_map(*beyond), code)] if beyond else [])
+        found = [F.get(table, code)] + ([F.try_element_at(F.map_from_arrays(*map(_int_array, zip(*beyond, strict=True))), code)]
+                                        if beyond else [])
         return F.coalesce(*found, F.lit(UNK_ID)).cast("int")
 
     return df.withColumn(out, F.transform(pieces, lookup))
@@ -86,7 +94,7 @@ def decode_labels(labels: Column, vocab: dict[str, int]) -> Column:
     vocabulary is an error, not a missing character.
     """
     chars = [c for c, _ in sorted(vocab.items(), key=lambda x: x[1])]
-    table = F.array(*[F.lit(c) for c in chars]) if chars else F.array().cast("array<string>")
+    table = F.split(F.lit("".join(chars)), "") if chars else F.array().cast("array<string>")
     kept = F.filter(labels, lambda x: x >= DELIM_ID)
     text = F.transform(kept, lambda x: F.when(x == DELIM_ID, F.lit(" ")).when(
         x < FIRST_CHAR_ID + len(chars), F.get(table, x - F.lit(FIRST_CHAR_ID)))
@@ -94,10 +102,10 @@ def decode_labels(labels: Column, vocab: dict[str, int]) -> Column:
     return F.array_join(text, "")
 
 
-def label_lengths(df: DataFrame, labels: str = "labels", n_samples: str = "n_samples") -> DataFrame:
-    """R2: input_length (samples) and label_length (ids)."""
+def label_lengths(df: DataFrame, text: str = "text", n_samples: str = "n_samples", bos: Column | bool = False) -> DataFrame:
+    """R2: input_length (samples) and label_length (ids that ``encode_labels`` gives the text, which need not be encoded)."""
     return df.withColumn("input_length", F.col(n_samples).cast("bigint")) \
-             .withColumn("label_length", F.size(labels))
+             .withColumn("label_length", label_count(F.col(text), bos))
 
 
 def assign_batches(df: DataFrame, batch_size: int, pos: str = "pos") -> DataFrame:

@@ -52,13 +52,14 @@ def unify(df: DataFrame, mode: int, audio: str = "audio") -> DataFrame:
 def cast_audio(df: DataFrame, audio: str = "audio", rate: int = TARGET_RATE) -> DataFrame:
     """P5: declare the audio at ``rate`` Hz; the sample count is rescaled.
 
-    n_samples_<rate> = round(n * rate / source_rate) in exact integer
-    arithmetic (half up); the stored samples are untouched.
+    n_samples_<rate> = round(n * rate / source_rate), half up; the stored
+    samples are untouched. A sampling rate of zero or less is no rate: its
+    count is null.
     """
     a = F.col(audio)
     n = a["n_samples"].cast("bigint")
     src = a["sampling_rate"].cast("bigint")
-    scaled = F.floor((n * F.lit(2 * rate) + src) / (F.lit(2) * src)).cast("bigint")
+    scaled = F.when(src > 0, F.floor(F.try_divide(n * F.lit(2 * rate) + src, F.lit(2) * src)).cast("bigint"))
     return df.withColumn(audio, F.struct(a["path"].alias("path"), n.alias("n_samples"),
                                          a["sampling_rate"].alias("source_rate"),
                                          F.lit(rate).alias("sampling_rate"),

@@ -104,34 +104,39 @@ def head_tail(df: DataFrame, group_cols: Sequence[str], order_col: str, k: int =
     return head.unionByName(tail).withColumnRenamed("_r", "rank_in_end")
 
 
+def _best(step_col: str, wer_col: str) -> Column:
+    """(wer, step) of the lowest WER, ties by step; a null or NaN WER (no reference words) never wins."""
+    known = F.col(wer_col).isNotNull() & ~F.isnan(F.col(wer_col).cast("double"))
+    return F.min(F.when(known, F.struct(F.col(wer_col).alias("wer"), F.col(step_col).alias("step"))))
+
+
 def best_checkpoint(metrics: DataFrame, run_col: str = "run", step_col: str = "step",
                     wer_col: str = "wer") -> DataFrame:
-    """Per run the step with the lowest WER; ties go to the earliest step."""
-    key = F.struct(F.col(wer_col), F.col(step_col))
-    return (metrics.groupBy(run_col)
-            .agg(F.min_by(F.col(step_col), key).alias("best_step"),
-                 F.min(F.col(wer_col)).alias("best_wer")))
+    """Per run the step with the lowest WER; ties go to the earliest step.
+
+    A null or NaN WER is no result; a run with no other has a null step and WER.
+    """
+    return (metrics.groupBy(run_col).agg(_best(step_col, wer_col).alias("_b"))
+            .select(run_col, F.col("_b.step").alias("best_step"), F.col("_b.wer").alias("best_wer")))
 
 
 def retain_checkpoints(metrics: DataFrame, limit: int, run_col: str = "run",
                        step_col: str = "step", wer_col: str = "wer") -> DataFrame:
     """Keep the best checkpoint plus the newest ones, ``limit`` in total per run.
 
+    Checkpoints are the distinct (step, WER) rows of the log; one without a WER
+    (null or NaN) can be among the newest but is never the best.
     The best step is a partial aggregate and the newest steps a rank-limited
     window (planned as WindowGroupLimit before and after the shuffle), so a
     run with a huge log never sorts more than ``limit`` rows per map task.
     """
-    best = best_checkpoint(metrics, run_col, step_col, wer_col).select(
-        F.col(run_col), F.col("best_step").alias(step_col), F.col("best_wer").alias(wer_col),
-        F.lit(True).alias("is_best"))
-    recent = F.row_number().over(Window.partitionBy(run_col).orderBy(F.col(step_col).desc()))
+    best = best_checkpoint(metrics, run_col, step_col, wer_col).where(F.col("best_step").isNotNull()).select(
+        F.col(run_col), F.col("best_step").alias(step_col), F.col("best_wer").alias(wer_col), F.lit(True).alias("is_best"))
+    recent = F.row_number().over(Window.partitionBy(run_col).orderBy(F.col(step_col).desc(), F.col(wer_col).asc_nulls_last()))
     newest = (metrics.select(run_col, step_col, wer_col).withColumn("_r", recent)
-              .where(F.col("_r") <= limit).drop("_r"))
-    cand = (newest.join(best.select(run_col, step_col, "is_best"), [run_col, step_col], "left")
-            .select(run_col, step_col, wer_col, F.coalesce("is_best", F.lit(False)).alias("is_best"))
-            .unionByName(best)
-            .groupBy(run_col, step_col, wer_col).agg(F.max("is_best").alias("is_best")))
-    order = Window.partitionBy(run_col).orderBy(F.col("is_best").desc(), F.col(step_col).desc())
+              .where(F.col("_r") <= limit).drop("_r").withColumn("is_best", F.lit(False)))
+    cand = newest.unionByName(best).groupBy(run_col, step_col, wer_col).agg(F.max("is_best").alias("is_best"))
+    order = Window.partitionBy(run_col).orderBy(F.col("is_best").desc(), F.col(step_col).desc(), F.col(wer_col).asc_nulls_last())
     return (cand.withColumn("keep_rank", F.row_number().over(order))
             .where(F.col("keep_rank") <= limit))
 

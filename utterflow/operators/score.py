@@ -135,24 +135,55 @@ def gate_samples(pairs: DataFrame, gate: DataFrame, k: int = 5, group_col: str =
         group_col, "end", "rank_in_end", order_col, F.col("ref").alias("reference"), F.col("hyp").alias("prediction"))
 
 
-def join_pred_truth(truth: DataFrame, pred: DataFrame, keys: Sequence[str] = ("split", "utt_id")) -> DataFrame:
-    """Align predictions with truths by key, never by position."""
-    return truth.join(pred, on=list(keys), how="inner")
+def one_per_key(df: DataFrame, keys: Sequence[str], order: str | None = None) -> DataFrame:
+    """One row per key: the one with the largest ``order``; without an order a repeated key is an error.
+
+    A partial aggregate, on the partitioning that a join on the keys uses.
+    """
+    rest = F.struct(*[c for c in df.columns if c not in keys])
+    if order is not None:
+        one = df.groupBy(*keys).agg(F.max_by(rest, order).alias("_row"))
+    else:
+        named = F.concat_ws(", ", *[F.col(k).cast("string") for k in keys])
+        one = df.groupBy(*keys).agg(F.first(rest).alias("_row"), F.count(F.lit(1)).alias("_n")).select(
+            *keys, F.when(F.col("_n") > 1, F.raise_error(F.concat(F.lit("repeated key: "), named)))
+            .otherwise(F.col("_row")).alias("_row"))
+    return one.select(*keys, "_row.*")
+
+
+def join_pred_truth(truth: DataFrame, pred: DataFrame, keys: Sequence[str] = ("split", "utt_id"),
+                    order: str | None = None) -> DataFrame:
+    """Align predictions with truths by key, never by position.
+
+    Of several predictions of a key the one with the largest ``order`` (e.g. the
+    attempt) counts; without an order, and for truths always, a repeated key is
+    an error, so no truth is scored twice.
+    """
+    k = list(keys)
+    mine = one_per_key(pred, k, order)
+    return one_per_key(truth, k).join(mine.drop(order) if order else mine, on=k, how="inner")
 
 
 def pred_truth_match(truth: DataFrame, pred: DataFrame, keys: Sequence[str] = ("split", "utt_id"),
                      group_col: str = "split") -> DataFrame:
-    """per split, rows only in truth, only in predictions, and matched."""
+    """per split, keys only in truth, only in predictions, and in both, and rows that repeat a key.
+
+    ``ok`` only if none is one-sided or repeated. Rows are counted per key, by
+    partial aggregates, before the two sides meet.
+    """
     k = list(keys)
-    t = truth.select(*k).withColumn("_t", F.lit(1))
-    p = pred.select(*k).withColumn("_p", F.lit(1))
-    j = t.join(p, on=k, how="full_outer")
+    t = truth.groupBy(*k).agg(F.count(F.lit(1)).alias("_t"))
+    p = pred.groupBy(*k).agg(F.count(F.lit(1)).alias("_p"))
+    j = t.join(p, on=k, how="full_outer").select(group_col, F.coalesce("_t", F.lit(0)).alias("t"), F.coalesce("_p", F.lit(0)).alias("p"))
+
+    def n(condition: Column) -> Column:
+        return F.sum(condition.cast("bigint"))
+
     return (j.groupBy(group_col)
-            .agg(F.sum(F.when(F.col("_p").isNull(), 1).otherwise(0)).cast("bigint").alias("truth_only"),
-                 F.sum(F.when(F.col("_t").isNull(), 1).otherwise(0)).cast("bigint").alias("pred_only"),
-                 F.sum(F.when(F.col("_t").isNotNull() & F.col("_p").isNotNull(), 1).otherwise(0))
-                 .cast("bigint").alias("matched"))
-            .withColumn("ok", (F.col("truth_only") == 0) & (F.col("pred_only") == 0)))
+            .agg(n(F.col("p") == 0).alias("truth_only"), n(F.col("t") == 0).alias("pred_only"),
+                 n((F.col("t") > 0) & (F.col("p") > 0)).alias("matched"),
+                 F.sum(F.greatest(F.col("t") - 1, F.lit(0)) + F.greatest(F.col("p") - 1, F.lit(0))).alias("repeated"))
+            .withColumn("ok", (F.col("truth_only") == 0) & (F.col("pred_only") == 0) & (F.col("repeated") == 0)))
 
 
 def row_count_gate(df: DataFrame, expected: DataFrame, group_col: str = "split") -> DataFrame:

@@ -348,8 +348,8 @@ def _labelled(spark, sf) -> DataFrame:
 
 @query("filter_label_length")
 def filter_label_length(spark, sf):
-    lab = _labelled(spark, sf)
-    return lab.where(mix.label_length_ok(F.col("labels"))).select("utt_id", F.size("labels").alias("label_length"))
+    u = arrays.label_lengths(fx.utt(spark, sf))
+    return u.where(F.col("label_length") < mix.MAX_LABEL_LENGTH).select("utt_id", "label_length")
 
 
 @query("filter_drop_helper")
@@ -481,7 +481,7 @@ def concat_sources(spark, sf):
 
 @query("join_pred_truth")
 def join_pred_truth(spark, sf):
-    return score.join_pred_truth(fx.truths(spark, sf), fx.predictions(spark, sf))
+    return score.join_pred_truth(fx.truths(spark, sf), fx.predictions(spark, sf), order="attempt")
 
 
 # ---------------------------------------------------------------- scalar functions
@@ -691,8 +691,7 @@ def encode_labels(spark, sf):
 
 @query("derive_lengths")
 def derive_lengths(spark, sf):
-    lab = arrays.label_lengths(_labelled(spark, sf))
-    return lab.select("utt_id", "input_length", "label_length")
+    return arrays.label_lengths(fx.utt(spark, sf)).select("utt_id", "input_length", "label_length")
 
 
 def _train_stream(spark, sf, bos: bool = False) -> DataFrame:

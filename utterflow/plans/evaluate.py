@@ -26,9 +26,11 @@ class EvalReport:
 
 def evaluate(truths: DataFrame, predictions: DataFrame, keys: Sequence[str] = ("split", "utt_id"),
              truth_col: str = "sentence", pred_col: str = "pred", order_col: str = "utt_id",
-             k: int = 5) -> EvalReport:
+             k: int = 5, attempt_col: str | None = None) -> EvalReport:
+    """A key predicted more than once is an error, unless ``attempt_col`` says which prediction counts (the largest)."""
     k_ = list(keys)
-    pairs = score.join_pred_truth(truths.select(*k_, truth_col), predictions.select(*k_, pred_col), k_)
+    attempt = [attempt_col] if attempt_col else []
+    pairs = score.join_pred_truth(truths.select(*k_, truth_col), predictions.select(*k_, *attempt, pred_col), k_, attempt_col)
     pairs = pairs.select(*k_, F.col(truth_col).alias("ref"), F.col(pred_col).alias("hyp"))
     edits = score.word_edits(pairs, keys=k_, pair_key=k_[-1])
     wer = score.wer_gate(score.corpus_wer(edits, [k_[0]]))

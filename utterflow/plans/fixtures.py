@@ -149,10 +149,13 @@ def truths(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stored hypothesis table; utterances in German are missing (no prediction)."""
-    u = utt(spark, sf_dir)
-    return (u.where(F.col("lang") != "de")
-            .select("split", "utt_id", hypothesis(F.col("utt_id"), F.col("text")).alias("pred")))
+    """Stored hypothesis table (split, utt_id, attempt, pred). Utterances in German have no prediction; of the
+    training split every fifth was predicted twice, first without its words' ends."""
+    u = utt(spark, sf_dir).where(F.col("lang") != "de")
+    again = (F.col("split") == "train") & (F.col("utt_id") % 5 == 0)
+    pred = hypothesis(F.col("utt_id"), F.col("text"))
+    tries = F.filter(F.array(F.when(again, F.left(pred, F.lit(20))), pred), lambda x: x.isNotNull())
+    return u.select("split", "utt_id", F.posexplode(tries).alias("attempt", "pred"))
 
 
 def files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -230,10 +233,11 @@ def frames(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def metric_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(run, event_id, wer_milli): one evaluation record per event; run = user."""
+    """(run, event_id, wer_milli): one evaluation record per event; run = user. Some evaluations have no WER, some runs none at all."""
     ev = read_table(spark, sf_dir, "events")
+    none = (F.col("event_id") % 13 == 0) | (F.col("user_id") % 50 == 7)
     return ev.select(F.col("user_id").alias("run"), F.col("event_id"),
-                     (F.floor(F.col("value") * 100).cast("bigint") % 1000).alias("wer_milli"))
+                     F.when(~none, F.floor(F.col("value") * 100).cast("bigint") % 1000).alias("wer_milli"))
 
 
 def make_rule_predictor():
