@@ -59,7 +59,7 @@ def test_files_are_dealt_whole_and_blocks_cover_their_queries(monkeypatch):
     every = f.shard(np.full(300, 2), np.arange(300))
     assert np.bincount(every).tolist() == [45, 50, 50, 50, 50, 50, 5]
     looks = np.array([25, 0, 40, 1])
-    assert f.blocks_of(np.array([0, 1, 6]), looks).tolist() == [7, 4, 5]
+    assert f.blocks_of(np.array([0, 1, 6]), looks, 100).tolist() == [7, 4, 5] and f.blocks_of(np.array([0]), looks, 41).tolist() == [5]
 
 
 @pytest.mark.parametrize("scaled", [False, True])

@@ -113,7 +113,6 @@ class Files:
     count: np.ndarray            # postings of each file
     block: int
     first: np.ndarray = None     # position of each file's first posting
-    parts: np.ndarray = None     # of each file: queries that look into the shards that it touches, in blocks
 
     def __post_init__(self):
         self.first = np.concatenate([[0], self.count.cumsum()[:-1]])
@@ -131,12 +130,12 @@ class Files:
         np.add.at(edge, b + 1, -1)
         return np.flatnonzero(edge.cumsum()[:n] > 0)
 
-    def blocks_of(self, shard: np.ndarray, looks: np.ndarray) -> np.ndarray:
-        """Blocks that a shard's queries are cut into; ``looks`` counts the queries that look into each file."""
+    def blocks_of(self, shard: np.ndarray, looks: np.ndarray, asked: int) -> np.ndarray:
+        """Blocks that a shard's queries are cut into; ``looks`` counts those of the ``asked`` queries that look into each file."""
         total = np.concatenate([[0], looks.cumsum()])
         low = np.searchsorted(self.first + self.count, shard * self.block, side="right")
         high = np.searchsorted(self.first, (shard + 1) * self.block, side="left")
-        return np.maximum(1, -(-(total[high] - total[np.minimum(low, high)]) // QUERY_BLOCK))
+        return np.maximum(1, -(-np.minimum(asked, total[high] - total[np.minimum(low, high)]) // QUERY_BLOCK))
 
 
 def _nodes(rows: DataFrame, k: int) -> DataFrame:
@@ -250,6 +249,7 @@ def _search(index: DataFrame, asked: DataFrame, pivots: Pivots, files: int, leas
     looks = np.zeros(p, np.int64)
     for r in asked.select("x").mapInArrow(look, "pivot long, n long").groupBy("pivot").agg(F.sum("n").alias("n")).collect():
         looks[r["pivot"]] = r["n"]
+    number = int(looks.sum()) // files               # of the queries: each looks into so many files
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -258,7 +258,7 @@ def _search(index: DataFrame, asked: DataFrame, pivots: Pivots, files: int, leas
             pivot = pivot.ravel()
             shard = counts.shard(pivot, b.column(0).to_numpy().view(np.uint64)[at] >> np.uint64(1))
             rows = b.take(pa.array(at))
-            yield pa.RecordBatch.from_arrays([pa.array(shard, pa.int64()), pa.array(counts.blocks_of(shard, looks), pa.int64()),
+            yield pa.RecordBatch.from_arrays([pa.array(shard, pa.int64()), pa.array(counts.blocks_of(shard, looks, number), pa.int64()),
                                               pa.array(pivot, pa.int32()), *rows.columns],
                                              ["shard", "blocks", "pivot", *rows.schema.names])
 
@@ -270,7 +270,7 @@ def _search(index: DataFrame, asked: DataFrame, pivots: Pivots, files: int, leas
                 to = [counts.touched(np.flatnonzero(r < files)) for r in rank]
                 rows = part.take(pa.array(np.repeat(np.arange(len(to)), [len(t) for t in to])))
                 shard = np.concatenate(to)
-                block = (rows.column(1).to_numpy().view(np.uint64) % counts.blocks_of(shard, looks).astype(np.uint64)).astype(np.int64)
+                block = (rows.column(1).to_numpy().view(np.uint64) % counts.blocks_of(shard, looks, number).astype(np.uint64)).astype(np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(shard, pa.int64()), pa.array(block), *rows.columns],
                                                  ["shard", "block", *rows.schema.names])
 
