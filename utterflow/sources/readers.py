@@ -14,6 +14,8 @@ from pyspark.sql import types as T
 
 from ..functions.paths import basename, stem
 from ..functions.text import clean_tsv_text
+from .listing import list_tree, read_contents
+from .quoted import read_records
 
 
 def load_split(spark: SparkSession, path: str, split: str | None = None,
@@ -68,35 +70,34 @@ class CorpusRegistry:
 
 
 def list_files(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
-    """Recursive listing (path, name, length); file contents are never read."""
-    df = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-          .option("pathGlobFilter", glob).load(root))
-    return df.select("path", basename(F.col("path")).alias("name"), "length")
+    """Recursive listing (path, name, length) by the executors; file contents are never read.
+
+    Paths are URIs of Spark's file system, names as they are (see ``sources.listing``).
+    """
+    return list_tree(spark, root, glob).select("path", "name", "length")
+
+
+# CSV fields as they are: " and "" stay apart, nothing is trimmed
+_FIELDS = {"quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
+           "emptyValue": "", "nullValue": "\u0000\u0001"}
 
 
 def read_pipe_manifest(spark: SparkSession, path: str, names: tuple[str, str] = ("file_name", "transcription"),
                        n_fields: int = 2) -> DataFrame:
     """Headerless '|' manifest, first two fields used (quoted with '"').
 
-    A quoted field may hold line breaks, so a file is read by one task; ship
-    large manifests as several files.
+    A quoted field may hold line breaks; a file is read by as many tasks as it has ranges (see ``sources.quoted``).
     """
-    schema = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(max(n_fields, 2))])
-    df = (spark.read.schema(schema).option("sep", "|").option("quote", '"').option("escape", '"')
-          .option("mode", "PERMISSIVE").option("ignoreLeadingWhiteSpace", "false")
-          .option("ignoreTrailingWhiteSpace", "false").option("emptyValue", "")
-          .option("nullValue", "\u0000\u0001").option("multiLine", "true").csv(path))
-    return df.select(F.col("_c0").alias(names[0]), F.col("_c1").alias(names[1]))
+    schema = ", ".join(f"_c{i} string" for i in range(max(n_fields, 2)))
+    rows = read_records(spark, path, "|").select(F.from_csv("value", schema, {"sep": "|", **_FIELDS}).alias("r"))
+    return rows.select(F.col("r._c0").alias(names[0]), F.col("r._c1").alias(names[1]))
 
 
 def read_indexed_csv(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
-    """CSV with a header whose first (index) column is dropped."""
-    schema = T.StructType([T.StructField("_index", T.StringType())] +
-                          [T.StructField(c, T.StringType()) for c in columns])
-    df = (spark.read.schema(schema).option("header", "true").option("quote", '"').option("escape", '"')
-          .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false")
-          .option("emptyValue", "").option("nullValue", "\u0000\u0001").option("multiLine", "true").csv(path))
-    return df.drop("_index")
+    """CSV with a header whose first (index) column is dropped; files are split as in S4."""
+    schema = ", ".join(f"`{c}` string" for c in ["_index", *columns])
+    rows = read_records(spark, path, ",", header=True).select(F.from_csv("value", schema, {"sep": ",", **_FIELDS}).alias("r"))
+    return rows.select(*(F.col(f"r.`{c}`").alias(c) for c in columns))
 
 
 def parse_tsv_transcripts(lines: DataFrame, line: str = "line", line_no: str = "line_no") -> DataFrame:
@@ -114,15 +115,24 @@ def parse_tsv_transcripts(lines: DataFrame, line: str = "line", line_no: str = "
 
 
 def read_tsv_transcripts(spark: SparkSession, path: str) -> DataFrame:
-    """S6 over files: lines in file order, files in name order.
+    """S6 over files: lines in file order, files in name order; a line ends at LF, CR LF or CR.
 
-    A file is one task, which numbers its lines as it splits them: the order is
+    Large files are split. A line's place is its file, where its split begins,
+    and its number within the task, which reads a split in order: the order is
     that of the file whatever the cluster does.
     """
-    files = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value")
-    # a final line break ends the last line and begins none
-    lines = files.select("file", F.posexplode(F.split(F.regexp_replace("value", "\n\\z", ""), "\n")).alias("n", "line"))
-    return parse_tsv_transcripts(lines.select(F.struct("file", "n").alias("line_no"), "line"))
+    place = F.struct(_file_path().alias("file"), F.col("_metadata.file_block_start").alias("start"),
+                     F.monotonically_increasing_id().alias("n"))
+    return parse_tsv_transcripts(spark.read.text(path).select(place.alias("line_no"), F.col("value").alias("line")))
+
+
+def _decoded(name: Column) -> Column:
+    """A file name or path as it is: Spark's metadata columns give it percent-encoded."""
+    return F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B")))
+
+
+def _file_path() -> Column:
+    return _decoded(F.col("_metadata.file_path"))
 
 
 JSONL_SCHEMA = T.StructType([T.StructField("key", T.StringType()), T.StructField("text", T.StringType())])
@@ -185,7 +195,7 @@ def _whole_files(spark: SparkSession, path: str) -> DataFrame:
     """One row per file (value = whole content, plus the file name): a
     whole-file JSON document is parsed inside the task that reads it."""
     df = spark.read.text(path, wholetext=True)
-    return df.select(F.col("_metadata.file_name").alias("source_file"), "value")
+    return df.select(_decoded(F.col("_metadata.file_name")).alias("source_file"), "value")
 
 
 def read_keyed_json(spark: SparkSession, path: str) -> DataFrame:
@@ -210,34 +220,37 @@ def read_path_list(spark: SparkSession, path: str) -> DataFrame:
 
 def read_sidecars(spark: SparkSession, root: str, glob: str = "*.txt") -> DataFrame:
     """One text file per audio file, whole content (trailing newline kept)."""
-    df = (spark.read.option("recursiveFileLookup", "true")
-          .option("pathGlobFilter", glob).text(root, wholetext=True))
-    return df.select(stem(F.col("_metadata.file_name")).alias("stem"),
-                     F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
+    files = read_contents(list_tree(spark, root, glob).select("name", "path", "length"), spark)
+    return files.select(stem(F.col("name")).alias("stem"), "path", F.decode("content", "UTF-8").alias("text"))
 
 
 def read_audiofolder(spark: SparkSession, root: str, audio_glob: str = "*.wav",
                      metadata_root: str | None = None) -> DataFrame:
     """S3: audio files joined to their split's metadata by (split, file_name).
 
-    The split is the first folder under ``root``. Metadata is either a
-    ``<split>/metadata.csv`` beside the audio, or (``metadata_root``) the
-    ``split=<name>/`` folders written by ``sinks.write_metadata_csv``.
-    Audio contents are never read.
+    The split is the first folder under ``root``; audio right under the root is
+    the split "train". Metadata is either a ``<split>/metadata.csv`` (or
+    ``metadata.csv``) beside the audio, or (``metadata_root``) the
+    ``split=<name>/`` folders written by ``sinks.write_metadata_csv``. Audio
+    contents are never read. Audio of which none has metadata is an error.
     """
     from .sinks import read_metadata_csv
-    root = root.rstrip("/")
-    files = list_files(spark, root, audio_glob)
-    rel = F.substring(F.col("path"), F.length(F.lit(_uri(root))) + 2, 1 << 30)
-    files = files.select("path", "length", F.get(F.split(rel, "/", 2), 0).alias("split"),
-                         F.get(F.split(rel, "/", 2), 1).alias("file_name"))
+    tree = list_tree(spark, root, f"{{{audio_glob},metadata.csv}}")
+    parts = F.split(F.col("rel"), "/", 2)
+    place = F.when(F.col("rel").contains("/"), F.struct(parts[0].alias("split"), parts[1].alias("file_name"))) \
+        .otherwise(F.struct(F.lit("train").alias("split"), F.col("rel").alias("file_name")))
+    placed = tree.select("path", "length", place.alias("at")).select("path", "length", "at.*")
+    files = placed.where(F.col("file_name") != "metadata.csv")
     if metadata_root is None:
-        meta = read_metadata_csv(spark, f"{root}/*/metadata.csv").withColumn(
-            "split", F.regexp_extract(F.col("_metadata.file_path"), r"/([^/]+)/metadata\.csv$", 1))
+        meta = None                                  # one file a split
+        for m in placed.where(F.col("file_name") == "metadata.csv").select("split", "path").collect():
+            one = read_metadata_csv(spark, m["path"]).withColumn("split", F.lit(m["split"]))
+            meta = one if meta is None else meta.unionByName(one, allowMissingColumns=True)
+        if meta is None:
+            raise FileNotFoundError(f"no metadata.csv below {root}")
     else:
         meta = read_metadata_csv(spark, metadata_root)
-    return files.join(meta, ["split", "file_name"], "inner")
-
-
-def _uri(path: str) -> str:
-    return path if ":" in path.split("/")[0] else "file:" + path
+    joined = files.join(meta, ["split", "file_name"], "inner")
+    if files.limit(1).count() and not joined.limit(1).count():
+        raise ValueError(f"none of the audio below {root} is in its metadata")
+    return joined
