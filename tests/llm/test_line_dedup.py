@@ -63,3 +63,37 @@ def test_query_digest(spark):
     docs = [tuple(r) for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text").collect()]
     want = [(i, n, d, hashlib.sha256(t.encode()).hexdigest()) for i, n, d, t in slow(docs)]
     assert sorted(map(tuple, LLM_QUERIES["op5_line_dedup"](spark, SF_SMALL).collect())) == want
+
+
+def test_time_is_linear_in_the_lines_of_a_document(spark):
+    import time
+
+    def seconds(n):
+        text = "\n".join(f"{LONG} {i}" for i in range(n))
+        df = spark.createDataFrame([(i, text) for i in range(3)], "doc_id long, text string")
+        start = time.time()
+        out = apply_bitmaps(df, keep_bitmaps(df)).select("doc_id", "_lines.n_lines", "_lines.n_dropped").collect()
+        assert sorted(map(tuple, out)) == [(0, n, n), (1, n, n), (2, n, 0)]
+        return time.time() - start
+
+    seconds(1000)
+    assert seconds(100_000) < 2.5 * seconds(50_000) + 2
+
+
+def test_a_very_long_line(spark):
+    docs = [(i, "a" * 3_000_000 + f"\n{LONG}\nrest {i}") for i in range(3)]
+    got = sorted((r.doc_id, r._lines.n_lines, r._lines.n_dropped, r._lines.text) for r in run(spark, docs).collect())
+    assert got == slow(docs)
+
+
+def test_a_line_of_a_third_of_all_documents_spans_ranges(spark):
+    """The occurrences of a hot line are dealt to several partitions, in order of the documents."""
+    from pyspark.sql import functions as F
+
+    from utterflow.llm.line_dedup import line_occurrences
+    df = spark.range(30_000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 == 0, F.lit(LONG)).otherwise(
+        F.concat(F.lit(LONG), F.col("id").cast("string"))).alias("text"))
+    occ = line_occurrences(df, "doc_id", "text", 20).repartitionByRange(8, "h1", "h2", "id")
+    sizes = [r["count"] for r in occ.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 2 * 30_000 / 8
+    assert keep_bitmaps(df).count() == 9_999

@@ -1,13 +1,13 @@
 """Line deduplication with DataFrame operations only.
 
-Line hashes are uniform, so equal ranges of the hash space are known without
-sampling. Occurrences go to tasks by hash range and by a slice of the documents
-(which spreads a line that a third of all documents hold) and are sorted by
-hash, document and position; the stream then yields each line's first
-occurrence in each document. Those are pre-aggregated to the documents and the
-last document of a line before they are shuffled again, and the occurrences of
-repeated lines outside the last document become the zeros of per-document keep
-bitmaps. Text is never shuffled to decide anything.
+Occurrences are range-partitioned by (line hash, document): Spark samples the
+borders, so a line that a third of all documents hold spans as many ranges as it
+has rows for. Each range is sorted by hash, document and position, and the
+stream yields each line's first occurrence in each document. Those are
+pre-aggregated to the documents and the last document of a line before they are
+shuffled again, and the occurrences of repeated lines outside the last document
+become the zeros of per-document keep bitmaps. Text is never shuffled to decide
+anything.
 """
 
 from __future__ import annotations
@@ -16,29 +16,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import UPPER, WHITE, ascii_lower, documents
-
-HASH_RANGES = 4096
-DOC_SLICES = 64
-
+from .common import UPPER, WHITE, ascii_lower, documents, spread_key
 
 def _text(c: str):
     return F.coalesce(F.col(c), F.lit(""))
 
 
-def _hash_range(h: str):
-    return F.shiftrightunsigned(h, 64 - (HASH_RANGES.bit_length() - 1))
-
-
 def line_occurrences(df: DataFrame, id_col: str, text_col: str, min_chars: int) -> DataFrame:
     """(id, rev, pos, h1, h2) of every line whose key has at least ``min_chars`` code points.
 
     ``rev`` (a hash of the text) tells apart different texts under one id;
     h1 and h2 are independent 64-bit hashes of the key.
     """
-    lines = df.where(F.col(id_col).isNotNull()).select(
-        F.col(id_col).alias("id"), F.xxhash64(_text(text_col)).alias("rev"),
-        F.posexplode(F.split(ascii_lower(_text(text_col)), "\n")).alias("pos", "line"))
+    # rev before the lines: beside the generator it would be taken once for every line
+    docs = df.where(F.col(id_col).isNotNull()).select(
+        F.col(id_col).alias("id"), F.xxhash64(_text(text_col)).alias("rev"), ascii_lower(_text(text_col)).alias("low"))
+    lines = docs.select("id", "rev", F.posexplode(F.split("low", "\n")).alias("pos", "line"))
     keys = lines.select("id", "rev", "pos", F.btrim("line", F.lit(WHITE)).alias("key")) \
         .where(F.char_length("key") >= min_chars)
     return keys.select("id", "rev", "pos", F.xxhash64("key").alias("h1"), F.xxhash64(F.lit(1), "key").alias("h2"))
@@ -56,18 +49,14 @@ def keep_bitmaps(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Documents are told apart by id: repeated rows count once, rows with a null
     id count for nothing and lose nothing.
     """
-    occ = line_occurrences(df, id_col, text_col, min_chars) \
-        .withColumn("hash_range", _hash_range("h1")) \
-        .withColumn("slice", F.pmod(F.hash("id"), F.lit(DOC_SLICES)))
-    order = ["hash_range", "slice", "h1", "h2", "id"]
-    sorted_occ = occ.repartition("hash_range", "slice").sortWithinPartitions(*order, "rev", "pos")
-    marked = sorted_occ.withColumn("nth", F.row_number().over(W.partitionBy(*order).orderBy("rev", "pos")))
+    order = ["h1", "h2", "id"]
+    occ = line_occurrences(df, id_col, text_col, min_chars).repartitionByRange(*order).sortWithinPartitions(*order, "rev", "pos")
+    marked = occ.withColumn("nth", F.row_number().over(W.partitionBy(*order).orderBy("rev", "pos"))) \
+        .withColumn("part", spread_key("h1"))
     repeated = marked.where("nth = 1").groupBy("h1", "h2") \
         .agg(F.count("*").alias("n_docs"), F.max("id").alias("last")).where(F.col("n_docs") >= min_docs)
-    # the hash range as a third key gives the small side an exchange of its own, without which
-    # a line with many occurrences could not be split by the skew join
-    last = repeated.select("h1", "h2", "last", _hash_range("h1").alias("hash_range"))
-    dropped = marked.join(last, ["hash_range", "h1", "h2"]).where("id < last") \
+    last = repeated.select("h1", "h2", "last", spread_key("h1").alias("part"))
+    dropped = marked.join(last, ["part", "h1", "h2"]).where("id < last") \
         .select("id", "rev", F.expr("pos div 64").cast("int").alias("word"), (F.col("pos") % 64).alias("bit")).distinct()
     words = dropped.groupBy("id", "rev", "word").agg(F.expr("bit_or(shiftleft(1L, bit))").alias("drop"))
     return words.groupBy("id", "rev").agg(
