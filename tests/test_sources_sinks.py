@@ -1,5 +1,6 @@
 import io
 import os
+import random
 import struct
 import tarfile
 
@@ -215,17 +216,132 @@ def test_file_and_shard_writers_publish_atomically(spark, tmpdir_fresh):
         assert sorted(m.name for m in tf.getmembers()) == sorted(f"m{i}.wav" for i in range(1, 30, 3))
     files = df.select(F.concat("shard", F.lit("/"), "member").alias("relpath"), "content")
     fout = os.path.join(tmpdir_fresh, "files")
-    assert sum(r.n_files for r in sinks.write_files(files, fout).collect()) == 30
+    assert sinks.write_files(files, fout).agg(F.count("*"), F.sum("n_bytes")).first() == (30, 80)
     written = sorted(os.path.join(d, f) for d in os.listdir(fout) for f in os.listdir(os.path.join(fout, d)))
-    assert len(written) == 30 and not any(".tmp-" in w for w in written)
-
-
-def test_listing_and_hidden_names(tmpdir_fresh):
-    fs, base = storage.open_root(f"file://{tmpdir_fresh}/shards")
-    for name in ("a/x-1.tar.gz", "a/x-2.tar.gz", "a/y.txt", "a/deep/x-3.tar.gz"):
-        storage.write_file(fs, f"{base}/{name}", b"1")
-    fs.create_dir(f"{base}/empty")
-    open(storage.hidden_name(f"{base}/a/x-4.tar.gz"), "wb").close()          # a task died while writing
+    assert len(written) == 30 and open(os.path.join(fout, "s1", "m10.wav")).read() == "x10"
+
+
+def _visible(root):
+    return sorted(os.path.relpath(os.path.join(d, f), root) for d, _, names in os.walk(root) for f in names)
+
+
+def test_a_failed_job_leaves_nothing_visible(spark, tmpdir_fresh):
+    rows = spark.range(100).repartition(4).select(F.concat(F.lit("f"), "id").alias("relpath"), F.encode(F.col("id").cast("string"), "UTF-8").alias("content"))
+    bad = rows.withColumn("content", F.when(F.col("relpath") == "f99", F.raise_error(F.lit("on purpose")).cast("binary")).otherwise(F.col("content")))
+    for write, df in ((sinks.write_files, bad), (sinks.write_tar_shards, bad.select(F.col("relpath").alias("member"), "content", F.lit("s").alias("shard")))):
+        with pytest.raises(Exception, match="on purpose"):
+            write(df, tmpdir_fresh)
+        assert os.listdir(tmpdir_fresh) == []
+    with pytest.raises(Exception, match="more than one row for f7"):
+        sinks.write_files(rows.union(rows.where("relpath = 'f7'")), tmpdir_fresh)
+    with pytest.raises(Exception, match="needs a path and content"):
+        sinks.write_files(rows.withColumn("content", F.lit(None).cast("binary")), tmpdir_fresh)
+    assert os.listdir(tmpdir_fresh) == []
+    sinks.write_files(rows, f"file://{tmpdir_fresh}")
+    sinks.write_files(rows.where("relpath = 'f7'").withColumn("content", F.lit(b"new")), tmpdir_fresh)
+    assert len(_visible(tmpdir_fresh)) == 100 == len(os.listdir(tmpdir_fresh)) and open(os.path.join(tmpdir_fresh, "f7")).read() == "new"
+    assert sinks.write_files(rows.limit(0), tmpdir_fresh).count() == 0 and len(os.listdir(tmpdir_fresh)) == 100
+
+
+def test_moves_of_lost_attempts_are_not_made_twice(spark, tmpdir_fresh):
+    """A row whose file has been moved already is done; one without any file is an error."""
+    root, hidden = sinks._staged(spark, tmpdir_fresh)
+    open(os.path.join(tmpdir_fresh, "a"), "w").write("moved before")
+    done = spark.createDataFrame([("a", "staged-a")], "relpath string, staged string")
+    assert sinks._published(done, root, hidden).collect() == [("a",)]
+    root, hidden = sinks._staged(spark, tmpdir_fresh)
+    with pytest.raises(Exception):
+        sinks._published(spark.createDataFrame([("b", "staged-b")], done.schema), root, hidden)
+    assert os.listdir(tmpdir_fresh) == ["a"]
+
+
+def _members(n, size=5000):
+    return [(f"audio/m{i:03}.wav", random.Random(i).randbytes(size + i)) for i in range(n)]
+
+
+def _plain_tar(path, mode, members):
+    with tarfile.open(path, mode, format=tarfile.PAX_FORMAT) as tf:
+        for name, data in members:
+            info = tarfile.TarInfo(name)
+            info.size, info.pax_headers = len(data), {"comment": "x" * 30}
+            tf.addfile(info, io.BytesIO(data))
+        tf.addfile(tarfile.TarInfo("empty"), io.BytesIO(b""))
+        folder = tarfile.TarInfo("folder")
+        folder.type = tarfile.DIRTYPE
+        tf.addfile(folder)
+
+
+def test_one_shard_is_read_by_several_partitions(spark, tmpdir_fresh):
+    members = _members(60)
+    df = spark.createDataFrame([("s", n, d) for n, d in members], "shard string, member string, content binary")
+    sinks.write_tar_shards(df, tmpdir_fresh, group_bytes=20_000)
+    _plain_tar(os.path.join(tmpdir_fresh, "p.tar"), "w", members)
+    _plain_tar(os.path.join(tmpdir_fresh, "q.tar.gz"), "w:gz", members)
+    _plain_tar(os.path.join(tmpdir_fresh, "r.tar.xz"), "w:xz", members)
+    want = dict(members)
+    with tarfile.open(os.path.join(tmpdir_fresh, "s.tar.gz")) as tf:                     # a usual archive to others
+        assert {m.name: tf.extractfile(m).read() for m in tf} == want
+    for name, spread in (("s.tar.gz", True), ("p.tar", True), ("q.tar.gz", False), ("r.tar.xz", False)):
+        got = tarshards.read_tar_shards(spark, os.path.join(tmpdir_fresh, name), rangebytes=30_000)
+        assert got.rdd.getNumPartitions() > 5
+        rows = got.withColumn("task", F.spark_partition_id()).collect()
+        assert sorted((r.member, bytes(r.content)) for r in rows if r.member != "empty") == sorted(want.items()), name
+        assert (len({r.task for r in rows}) > 5) == spread and all(r.size == len(r.content) and r.offset == 0 for r in rows)
+        assert [r.size for r in rows if r.member == "empty"] == ([] if name == "s.tar.gz" else [0])
+    for step in (701, 5000, 1 << 20):                                                    # every member once, whatever the ranges
+        reader = tarshards._TarShardsReader({"path": os.path.join(tmpdir_fresh, "*"), "rangebytes": str(step), "content": "false"})
+        names = [m for p in reader.partitions() for b in reader.read(p) for m in b.column(1).to_pylist()]
+        assert sorted(names) == sorted([*want] * 4 + ["empty"] * 3)
+
+
+def test_long_members_in_pieces(spark, tmpdir_fresh):
+    members = [("a", b"x" * 10), ("b", random.Random(1).randbytes(250_000)), ("c", b"")]
+    _plain_tar(os.path.join(tmpdir_fresh, "p.tar"), "w", members)
+    df = tarshards.read_tar_shards(spark, tmpdir_fresh + "/*.tar", piecebytes=100_000)
+    rows = sorted(df.collect())
+    assert [(r.member, r.offset, len(r.content)) for r in rows] == [("a", 0, 10), ("b", 0, 100_000), ("b", 100_000, 100_000), ("b", 200_000, 50_000),
+                                                                    ("c", 0, 0), ("empty", 0, 0)]
+    assert b"".join(bytes(r.content) for r in rows if r.member == "b") == members[1][1]
+
+
+def test_named_shards_and_members_are_read_alone(spark, tmpdir_fresh):
+    for k in range(3):
+        _plain_tar(os.path.join(tmpdir_fresh, f"t{k}.tar"), "w", _members(5))
+    pattern = f"file://{tmpdir_fresh}/*.tar"
+    some = tarshards.read_tar_shards(spark, pattern, ["t1.tar"], ["audio/m001.wav", "audio/m004.wav", "none"])
+    assert sorted((r.shard, r.member) for r in some.collect()) == [("t1.tar", "audio/m001.wav"), ("t1.tar", "audio/m004.wav")]
+    assert some.rdd.getNumPartitions() == 1                                               # the other shards are not opened
+    assert tarshards.read_tar_shards(spark, pattern, shards=["no"]).count() == 0
+    df = tarshards.read_tar_shards(spark, pattern)
+    assert df.where("shard = 't1.tar'").count() == 6 and df.where("member = 'empty'").count() == 3 and df.count() == 18
+    reader = tarshards._TarShardsReader({"path": f"{tmpdir_fresh}/t0.tar", "members": '["audio/m002.wav"]'})
+    tar = tarfile.open(f"{tmpdir_fresh}/t0.tar")
+    calls = []
+    tar.extractfile = lambda m, f=tar.extractfile: calls.append(m.name) or f(m)
+    assert [r[0] for r in reader._rows(tar, 0, 1 << 62)] == ["audio/m002.wav"] == calls
+
+
+def test_a_large_shard_is_not_held_whole(tmpdir_fresh):
+    import tracemalloc
+    path = os.path.join(tmpdir_fresh, "big.tar.gz")
+    with open(path, "wb") as out:
+        tar = tarshards.GroupWriter(out)
+        for i in range(60):
+            tar.add(f"m{i}", bytes([i]) * 2_000_000)
+        tar.close()
+    reader = tarshards._TarShardsReader({"path": path, "piecebytes": "500000"})
+    tracemalloc.start()
+    assert sum(b.num_rows for p in reader.partitions() for b in reader.read(p)) == 240
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 40_000_000                     # of 120 MB
+
+
+def test_listing_of_matching_names(tmpdir_fresh):
+    for name in ("a/x-1.tar.gz", "a/x-2.tar.gz", "a/y.txt", "a/deep/x-3.tar.gz", "a/.x-4.tar.gz"):
+        path = os.path.join(tmpdir_fresh, "shards", name)
+        os.makedirs(os.path.dirname(path), exist_ok=True)
+        open(path, "wb").close()
     for root in (f"file://{tmpdir_fresh}/shards", f"{tmpdir_fresh}/shards"):
         assert storage.list_matching(f"{root}/a/*.tar.gz") == [f"{root}/a/x-1.tar.gz", f"{root}/a/x-2.tar.gz"]
         assert storage.list_matching(f"{root}/*/x-1.tar.gz") == [f"{root}/a/x-1.tar.gz"]

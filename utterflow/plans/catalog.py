@@ -184,15 +184,14 @@ def _le(n: Column, nbytes: int) -> Column:
 @query("src_tar_shards")
 def src_tar_shards(spark, sf):
     """Header-only WAV members written as tar.gz shards (one per corpus shard),
-    read back through the tarshards DataSource (one task per shard), profiled by X17."""
+    read back through the tarshards DataSource (byte ranges of shards), profiled by X17."""
     from ..sources import tarshards
     u = fx.utt(spark, sf)
     out = _scratch(spark, "tarshards")
     members = u.select(F.concat(F.col("split"), F.lit("-"), F.col("shard")).alias("shard"),
                        paths.basename("path").alias("member"), _wav_headers(u).alias("content"))
-    sinks.write_tar_shards(members, out).write.format("noop").mode("overwrite").save()
-    tarshards.register(spark)
-    df = spark.read.format("tarshards").option("path", f"{out}/*.tar.gz").load()
+    sinks.write_tar_shards(members, out)
+    df = tarshards.read_tar_shards(spark, f"{out}/*.tar.gz")
     prof = df.select("member", "size", *wav.wav_profile("content"))
     return prof.select("member", "size", "n_samples", "sampling_rate")
 
@@ -204,7 +203,7 @@ def src_sidecar_text(spark, sf):
     out = _scratch(spark, "sidecars")
     files = u.select(F.concat(F.col("split"), F.lit("/"), paths.stem("path"), F.lit(".txt")).alias("relpath"),
                      F.encode(F.concat(F.col("text"), F.lit("\n")), "UTF-8").alias("content"))
-    sinks.write_files(files, out).write.format("noop").mode("overwrite").save()
+    sinks.write_files(files, out)
     return readers.read_sidecars(spark, out).select("stem", "text")
 
 
@@ -215,7 +214,7 @@ def src_audiofolder(spark, sf):
     base = _scratch(spark, "audiofolder")
     wavs = u.select(F.concat(F.col("split"), F.lit("/"), paths.basename("path")).alias("relpath"),
                     _wav_headers(u).alias("content"))
-    sinks.write_files(wavs, f"{base}/audio").write.format("noop").mode("overwrite").save()
+    sinks.write_files(wavs, f"{base}/audio")
     sinks.write_metadata_csv(_metadata_rows(u), f"{base}/meta")
     af = readers.read_audiofolder(spark, f"{base}/audio", metadata_root=f"{base}/meta")
     return af.select("split", "file_name", "transcription", "speaker", "length")
@@ -228,7 +227,7 @@ def src_list_files(spark, sf):
     out = _scratch(spark, "tree")
     files = u.select(F.concat(F.col("split"), F.lit("/"), F.col("source"), F.lit("/"), paths.stem("path"), F.lit(".txt")).alias("relpath"),
                      F.encode("text", "UTF-8").alias("content"))
-    sinks.write_files(files, out).write.format("noop").mode("overwrite").save()
+    sinks.write_files(files, out)
     return readers.list_files(spark, out, "*.txt").select("name", "length")
 
 

@@ -10,7 +10,6 @@ from __future__ import annotations
 import fnmatch
 import os
 import re
-import uuid
 from functools import lru_cache
 
 import pyarrow.fs as pafs
@@ -47,21 +46,6 @@ def open_root(root: str) -> tuple[pafs.FileSystem, str]:
     return fs, (base.rstrip("/") + (m[3] or "")).rstrip("/") or "/"
 
 
-def hidden_name(path: str) -> str:
-    """A name beside ``path`` that no listing matches, different for every attempt of a task."""
-    folder, _, name = path.rpartition("/")
-    return f"{folder}/.{name}.tmp-{uuid.uuid4().hex}"
-
-
-def write_file(fs: pafs.FileSystem, path: str, data: bytes) -> None:
-    """Write under a hidden name, then move: retried or speculative tasks never expose half a file."""
-    fs.create_dir(path.rpartition("/")[0], recursive=True)
-    tmp = hidden_name(path)
-    with fs.open_output_stream(tmp, compression=None) as f:
-        f.write(data)
-    fs.move(tmp, path)
-
-
 def patterns_of(glob: str) -> list[str]:
     """A file-name pattern with its ``{a,b}`` alternatives spelled out."""
     m = re.search(r"\{([^{}]*)\}", glob)
