@@ -1,10 +1,11 @@
 import json
 
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
-from utterflow.operators import arrays
+from utterflow.operators import arrays, reconcile, score
 from utterflow.plans import catalog as C
 from utterflow.plans import convert, evaluate, prepare
 from utterflow.plans import fixtures as fx
@@ -62,3 +63,31 @@ def test_evaluate_with_a_predictor(spark):
     want = {x.split: x.edits for x in C.QUERIES["wer_by_split"](spark, SF_SMALL).collect()}
     assert got == want
     assert all(x.ok for x in r.check.collect())
+
+
+def test_evaluation_reads_its_inputs_once(spark, tmpdir_fresh):
+    """WER and cardinality check come from one pass: counts are there without the inputs."""
+    fx.truths(spark, SF_SMALL).write.parquet(f"{tmpdir_fresh}/t")
+    fx.predictions(spark, SF_SMALL).write.parquet(f"{tmpdir_fresh}/p")
+    t, p = spark.read.parquet(f"{tmpdir_fresh}/t"), spark.read.parquet(f"{tmpdir_fresh}/p")
+    r = evaluate.evaluate(t, p, attempt_col="attempt")
+    plans = [f._jdf.queryExecution().executedPlan().toString() for f in (r.wer, r.check)]
+    assert not any(f"{tmpdir_fresh}/" in x for x in plans)
+    want = {x.split: x.asDict() for x in score.pred_truth_match(t, p).collect()}
+    assert {x.split: x.asDict() for x in r.check.collect()} == want
+    pairs = score.join_pred_truth(t, p, order="attempt").select("split", "utt_id", F.col("sentence").alias("ref"), F.col("pred").alias("hyp"))
+    assert sorted(map(tuple, r.wer.drop("status").collect())) == sorted(map(tuple, score.corpus_wer(score.word_edits(pairs), ["split"]).collect()))
+
+
+def test_counts_of_the_job_that_reads(spark):
+    """F9 and J7 counts as observations: no pass of their own."""
+    df = spark.createDataFrame([("train", 1), ("train", 2), ("test", 3), ("odd", 4), (None, 5)], "split string, utt_id long")
+    rows, seen = score.observed_counts(df, ["train", "validation", "test"])
+    assert rows.count() == 5 and seen.get == {"train": 2, "validation": 0, "test": 1, "other": 2}
+    members, transcripts, archives = fx.archive_members(spark, SF_SMALL), fx.split_transcripts(spark, SF_SMALL), fx.archives(spark)
+    skipped = Observation("skipped")
+    got = reconcile.shard_transcripts(members, transcripts, archives, seen=skipped)
+    want = reconcile.shard_transcripts(members, transcripts, archives)
+    assert sorted(map(tuple, got.select(*want.columns).collect())) == sorted(map(tuple, want.collect()))
+    counts = reconcile.shard_counts(members, transcripts, archives).agg(F.sum("n_matched"), F.sum("n_unmatched")).first()
+    assert (skipped.get["n_rows"], skipped.get["n_skipped"]) == tuple(counts)

@@ -47,9 +47,34 @@ def test_split_position_restarts(spark):
 
 
 def test_sample_budget_accumulation(spark):
-    df = spark.range(200).withColumnRenamed("id", "pos")
-    assert order.sample_budget(df, 10, 4).count() == 80      # batch 4 -> accumulate 2
-    assert order.sample_budget(df, 10, 16).count() == 160
+    assert order.budget_rows(10, 4) == 80 and order.budget_rows(10, 16) == 160      # batch 4 -> accumulate 2
+    df = spark.range(200).select(F.lit(0).alias("s"), F.col("id").alias("r"))
+    for rows_per_shard in (7, 1000):
+        got = order.sample_budget(df, 10, 4, ["s", "r"], rows_per_shard=rows_per_shard)
+        assert sorted((r.r, r.pos) for r in got.collect()) == [(i, i) for i in range(80)]
+
+
+def test_sample_budget_equals_positions(spark):
+    rows = [(s, r, r // 5) for s in (2, 1, 5) for r in range(0, 60, s)]
+    df = spark.createDataFrame(rows, "s int, r long, shard long").repartition(4)
+    want = {(s, r): k for k, (s, r, _) in enumerate(sorted(rows))}
+    for steps in (1, 3, 9, 50):
+        n = order.budget_rows(steps, 8)
+        got = {(r.s, r.r): r.pos for r in order.sample_budget(df, steps, 8, ["s", "r"]).collect()}
+        assert got == {k: v for k, v in want.items() if v < n}
+
+
+def test_sample_budget_numbers_the_kept_blocks_only(spark):
+    """The join with the kept blocks stands below the window, and rows that reach it are the budget's and one block's."""
+    df = spark.range(100_000).select((F.col("id") % 2).alias("s"), F.col("id").alias("r"))
+    out = order.sample_budget(df, 10, 16, ["s", "r"], rows_per_shard=1000)
+    out.collect()
+    plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    top = plan[:plan.index("BroadcastHashJoin")]
+    assert "Window [row_number()" in top and "_off" in top
+    kept = order._join_null_safe(df.withColumn("shard", F.floor(F.col("r") / 1000)),
+                                 out.select("s", F.floor(F.col("r") / 1000).alias("shard")).distinct(), ["s", "shard"])
+    assert kept.count() <= 160 + 1000
 
 
 def test_head_tail_overlap(spark):

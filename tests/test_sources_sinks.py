@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from utterflow.operators import reconcile
-from utterflow.sources import readers, sinks, storage, tarshards
+from utterflow.sources import generated, readers, sinks, storage, tarshards
 
 WAV = (b"RIFF" + struct.pack("<I", 36) + b"WAVEfmt " + struct.pack("<IHHIIHH", 16, 1, 1, 16000, 32000, 2, 16)
        + b"data" + struct.pack("<I", 0))
@@ -367,3 +367,33 @@ def test_no_scratch_folder_of_one_machine_on_a_cluster(monkeypatch):
                 return Conf()
     with pytest.raises(RuntimeError, match="all nodes share"):
         session.ensure_checkpoint_dir(Cluster())
+
+
+def test_rows_from_a_generator(spark):
+    import pyarrow as pa
+
+    def generate(unit):
+        first, n = unit
+        yield {"id": first, "text": f"row {first}"}
+        yield (first + 1, None)
+        yield pa.RecordBatch.from_pydict({"more": [0] * (n - 2), "text": ["b"] * (n - 2), "id": list(range(first + 2, first + n))})
+
+    df = generated.from_generator(spark, {"train": [(0, 3), (10, 5)], "test": [(20, 2)], "none": []}, generate, "id long, text string")
+    assert df.rdd.getNumPartitions() == 3 and df.columns == ["split", "id", "text"]
+    assert sorted((r.split, r.id, r.text) for r in df.collect() if r.id < 12) == [
+        ("train", 0, "row 0"), ("train", 1, None), ("train", 2, "b"), ("train", 10, "row 10"), ("train", 11, None)]
+    assert df.groupBy("split").count().orderBy("split").collect() == [("test", 2), ("train", 8)]
+    plain = generated.from_generator(spark, [(5, 2)], generate, T.StructType([T.StructField("id", T.LongType()), T.StructField("text", T.StringType())]))
+    assert plain.columns == ["id", "text"] and plain.count() == 2
+    assert generated.from_generator(spark, [], generate, "id long").count() == 0
+    with pytest.raises(Exception):
+        generated.from_generator(spark, [(0, 3)], generate, "id long, other string").collect()
+
+
+def test_row_groups_are_units(spark, tmpdir_fresh):
+    path = os.path.join(tmpdir_fresh, "t.parquet")
+    spark.range(1000).repartition(3).write.option("parquet.block.size", 1024).parquet(path)
+    units = generated.parquet_row_groups(spark, path)
+    assert len(units) >= 3 and units == generated.parquet_row_groups(spark, f"file://{path}")
+    df = generated.from_generator(spark, units, lambda u: generated.read_row_group(u, ["id"]), "id long")
+    assert df.rdd.getNumPartitions() == len(units) and sorted(r.id for r in df.collect()) == list(range(1000))

@@ -65,6 +65,53 @@ def test_running_wer_over_two_batches_and_a_restart(spark, tmpdir_fresh):
     assert spark.conf.get("spark.sql.shuffle.partitions") == width
 
 
+def test_stream_positions_equal_batch(spark):
+    got = C.QUERIES["stream_position"](spark, SF_SMALL)
+    assert _sorted(got.select("utt_id", "split", "pos")) == _sorted(C.QUERIES["split_position"](spark, SF_SMALL))
+
+
+def test_positions_go_on_over_batches_restarts_and_retries(spark, tmpdir_fresh):
+    import glob
+    import os
+    src, out, cp = (f"{tmpdir_fresh}/{n}" for n in ("in", "out", "cp"))
+    schema = "split string, s int, r long"
+    arrived = []
+
+    def arrive(rows):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(src)
+        arrived.append(rows)
+
+    def run():
+        rows = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(src)
+        return stream.numbered_stream(rows, out, cp, ["s", "r"], rows_per_shard=3, batch_size=4)
+
+    def want():
+        nxt, expected = {}, []
+        for rows in arrived:
+            for split, s, r in sorted(rows, key=lambda x: x[1:]):
+                pos = nxt.get(split, 0)
+                nxt[split] = pos + 1
+                expected.append((split, s, r, pos, pos // 4, pos % 4))
+        return sorted(expected, key=str)
+
+    def rows(df):
+        return sorted((tuple(r) for r in df.select("split", "s", "r", "pos", "batch", "slot").collect()), key=str)
+
+    arrive([("a" if i % 3 else None, i % 2, 100 - i) for i in range(20)])
+    arrive([("b" if i % 2 else "a", 0, i) for i in range(7)])
+    assert rows(run()) == want()
+    arrive([("a", 1, i) for i in range(5)] + [("new", 0, 0)])
+    assert rows(run()) == want()                                  # after a restart
+    assert rows(run()) == want()                                  # nothing new
+    last = max(glob.glob(f"{cp}/commits/[0-9]*"), key=lambda f: int(os.path.basename(f)))
+    os.replace(last, f"{tmpdir_fresh}/moved")                     # as if the last micro-batch had failed after its writing
+    for crc in glob.glob(f"{cp}/commits/.*.crc"):
+        os.replace(crc, f"{tmpdir_fresh}/moved-{os.path.basename(crc)}")
+    assert rows(run()) == want()
+    arrive([("b", 0, 9), ("a", 0, 9)])
+    assert rows(run()) == want()
+
+
 def test_wide_streams_do_not_shuffle_text(spark, monkeypatch, tmpdir_fresh):
     """A stream is spread only where its files yield fewer splits than there are cores."""
     seen = []

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 ROWS_PER_SHARD = 100_000         # rows in a block: one sort
 SHARDS_PER_GROUP = 1_024         # blocks in a group: one window over block sizes
+BROADCAST_ROWS = 100_000         # a budget's blocks are broadcast up to so many rows
 
 
 def global_position(df: DataFrame, order_cols: Sequence[str], shard_col: str = "shard",
@@ -81,13 +82,31 @@ def _block_offsets(counts: DataFrame, part: list[str], lead: list[str], shard_co
             .select(*part, *lead, shard_col, (F.col("_o1") + F.col("_o2")).alias("_off")))
 
 
-def sample_budget(df: DataFrame, steps: int, batch_size: int, pos_col: str = "pos") -> DataFrame:
-    """O3: keep the first steps * batch * accumulation rows of the ordered stream.
+def budget_rows(steps: int, batch_size: int) -> int:
+    """Rows that ``steps`` optimizer steps take: accumulation is 1 for batch >= 8, else 8 // batch (the reference's rule)."""
+    return steps * batch_size * (1 if batch_size >= 8 else 8 // batch_size)
 
-    Accumulation is 1 for batch >= 8, else 8 // batch (the reference's rule).
+
+def sample_budget(df: DataFrame, steps: int, batch_size: int, order_cols: Sequence[str], shard_col: str = "shard",
+                  name: str = "pos", rows_per_shard: int | None = None) -> DataFrame:
+    """O3: the first ``budget_rows`` rows of the ordered stream, with their positions.
+
+    Arguments as for ``global_position``. Block sizes are counted first; only
+    blocks that begin within the budget are kept, by a join before the window,
+    so rows are numbered of the budget and one block more, and no other row is
+    shuffled where the kept blocks are broadcast (there is a row in each, so
+    they are no more than the budget).
     """
-    accumulation = 1 if batch_size >= 8 else 8 // batch_size
-    return df.where(F.col(pos_col) < F.lit(steps * batch_size * accumulation))
+    n = budget_rows(steps, batch_size)
+    *lead, last = list(order_cols)
+    if rows_per_shard is not None:
+        df = df.withColumn(shard_col, F.floor(F.col(last) / F.lit(rows_per_shard)).cast("bigint"))
+    block = [*lead, shard_col]
+    counts = df.groupBy(*block).agg(F.count(F.lit(1)).alias("_n"))
+    kept = _block_offsets(counts, [], lead, shard_col).where(F.col("_off") < n)
+    rows = _join_null_safe(df, F.broadcast(kept) if n <= BROADCAST_ROWS else kept, block)
+    local = F.row_number().over(Window.partitionBy(*block).orderBy(last)) - 1
+    return rows.withColumn(name, (F.col("_off") + local).cast("bigint")).where(F.col(name) < n).drop("_off")
 
 
 def head_tail(df: DataFrame, group_cols: Sequence[str], order_col: str, k: int = 5) -> DataFrame:

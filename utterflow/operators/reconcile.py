@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.paths import stem
@@ -107,15 +107,22 @@ def strict_lookup(records: DataFrame, lookup: DataFrame, key: str, value: str,
 
 
 def shard_transcripts(members: DataFrame, transcripts: DataFrame, archives: DataFrame, member_path: str = "path",
-                      archive: str = "archive", key: str = "key") -> DataFrame:
+                      archive: str = "archive", key: str = "key", seen: Observation | None = None) -> DataFrame:
     """Every split's archive members joined to that split's transcripts by stem.
 
     ``members`` has (archive, path), ``archives`` (split, archive) says which
     archives a split reads, ``transcripts`` has (split, key, transcription). An
     id of one split found in another split's archive does not match. Members
-    without a transcript are left out here and counted by ``shard_counts``.
+    without a transcript are left out; with ``seen`` the join that skips them
+    counts them, too: the observation has ``n_skipped`` and ``n_rows`` when the job
+    has ended. ``shard_counts`` counts distinct members per split.
     """
-    return _split_members(members, archives, member_path, archive, key).join(transcripts, ["split", key], "inner")
+    mine = _split_members(members, archives, member_path, archive, key)
+    if seen is None:
+        return mine.join(transcripts, ["split", key], "inner")
+    both = mine.join(transcripts.withColumn("_t", F.lit(True)), ["split", key], "left")
+    return both.observe(seen, F.count_if(F.col("_t").isNull()).alias("n_skipped"), F.count("_t").alias("n_rows")) \
+        .where(F.col("_t").isNotNull()).drop("_t")
 
 
 def shard_counts(members: DataFrame, transcripts: DataFrame, archives: DataFrame, member_path: str = "path",

@@ -10,9 +10,10 @@ small row per (map task, split) crosses the shuffle.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.editdistance import word_edit_distance
@@ -108,12 +109,20 @@ def wer_ratio(edits: Column, words: Column) -> Column:
     return F.try_divide(edits * F.lit(100), words)
 
 
-def corpus_wer(edits: DataFrame, group_cols: Sequence[str] = ()) -> DataFrame:
-    """A2/A3: micro-averaged WER = 100 * sum(edits) / sum(reference words)."""
-    agg = [F.count(F.lit(1)).alias("n_pairs"),
-           F.sum("edits").alias("edits"),
-           F.sum("ref_words").alias("ref_words"),
-           F.sum(F.when(F.col("ref_words") == 0, 1).otherwise(0)).cast("bigint").alias("n_empty_ref")]
+def corpus_wer(edits: DataFrame, group_cols: Sequence[str] = (), pairs: str | None = None,
+               more: Sequence[Column] = ()) -> DataFrame:
+    """A2/A3: micro-averaged WER = 100 * sum(edits) / sum(reference words).
+
+    Of rows for which the column ``pairs`` holds, if given; ``more`` are further
+    aggregates over all rows.
+    """
+    def of(c: Column) -> Column:
+        return F.when(F.col(pairs), c) if pairs else c
+
+    agg = [F.count(of(F.lit(1))).alias("n_pairs"),
+           F.sum(of(F.col("edits"))).alias("edits"),
+           F.sum(of(F.col("ref_words"))).alias("ref_words"),
+           F.sum(of(F.when(F.col("ref_words") == 0, 1).otherwise(0))).cast("bigint").alias("n_empty_ref"), *more]
     g = edits.groupBy(*group_cols).agg(*agg) if group_cols else edits.agg(*agg)
     return g.withColumn("wer", wer_ratio(F.col("edits"), F.col("ref_words")))
 
@@ -135,20 +144,30 @@ def gate_samples(pairs: DataFrame, gate: DataFrame, k: int = 5, group_col: str =
         group_col, "end", "rank_in_end", order_col, F.col("ref").alias("reference"), F.col("hyp").alias("prediction"))
 
 
-def one_per_key(df: DataFrame, keys: Sequence[str], order: str | None = None) -> DataFrame:
-    """One row per key: the one with the largest ``order``; without an order a repeated key is an error.
+def one_per_key(df: DataFrame, keys: Sequence[str], order: str | None = None, count: str = "_n") -> DataFrame:
+    """One row per key, the one with the largest ``order``, and the key's number of rows; without an order a
+    repeated key is an error.
 
     A partial aggregate, on the partitioning that a join on the keys uses.
     """
     rest = F.struct(*[c for c in df.columns if c not in keys])
+    n = F.count(F.lit(1)).alias(count)
     if order is not None:
-        one = df.groupBy(*keys).agg(F.max_by(rest, order).alias("_row"))
+        one = df.groupBy(*keys).agg(F.max_by(rest, order).alias("_row"), n)
     else:
         named = F.concat_ws(", ", *[F.col(k).cast("string") for k in keys])
-        one = df.groupBy(*keys).agg(F.first(rest).alias("_row"), F.count(F.lit(1)).alias("_n")).select(
-            *keys, F.when(F.col("_n") > 1, F.raise_error(F.concat(F.lit("repeated key: "), named)))
-            .otherwise(F.col("_row")).alias("_row"))
-    return one.select(*keys, "_row.*")
+        one = df.groupBy(*keys).agg(F.first(rest).alias("_row"), n).withColumn(
+            "_row", F.when(F.col(count) > 1, F.raise_error(F.concat(F.lit("repeated key: "), named))).otherwise(F.col("_row")))
+    return one.select(*keys, "_row.*", count)
+
+
+def align(truth: DataFrame, pred: DataFrame, keys: Sequence[str] = ("split", "utt_id"),
+          order: str | None = None) -> DataFrame:
+    """J11 with what it leaves out: truths and predictions by key, ``_t`` and ``_p`` rows of a key on either side."""
+    k = list(keys)
+    mine = one_per_key(pred, k, order, "_p")
+    j = one_per_key(truth, k, count="_t").join(mine.drop(order) if order else mine, on=k, how="full_outer")
+    return j.fillna(0, ["_t", "_p"])
 
 
 def join_pred_truth(truth: DataFrame, pred: DataFrame, keys: Sequence[str] = ("split", "utt_id"),
@@ -159,9 +178,21 @@ def join_pred_truth(truth: DataFrame, pred: DataFrame, keys: Sequence[str] = ("s
     attempt) counts; without an order, and for truths always, a repeated key is
     an error, so no truth is scored twice.
     """
-    k = list(keys)
-    mine = one_per_key(pred, k, order)
-    return one_per_key(truth, k).join(mine.drop(order) if order else mine, on=k, how="inner")
+    return align(truth, pred, keys, order).where("_t > 0 and _p > 0").drop("_t", "_p")
+
+
+def match_counts() -> list[Column]:
+    """F10 over rows of ``align`` (or counts ``_t`` and ``_p`` per key)."""
+    def n(condition: Column) -> Column:
+        return F.sum(condition.cast("bigint"))
+
+    t, p = F.col("_t"), F.col("_p")
+    return [n(p == 0).alias("truth_only"), n(t == 0).alias("pred_only"), n((t > 0) & (p > 0)).alias("matched"),
+            F.sum(F.greatest(t - 1, F.lit(0)) + F.greatest(p - 1, F.lit(0))).alias("repeated")]
+
+
+def _match_ok() -> Column:
+    return (F.col("truth_only") == 0) & (F.col("pred_only") == 0) & (F.col("repeated") == 0)
 
 
 def pred_truth_match(truth: DataFrame, pred: DataFrame, keys: Sequence[str] = ("split", "utt_id"),
@@ -174,16 +205,29 @@ def pred_truth_match(truth: DataFrame, pred: DataFrame, keys: Sequence[str] = ("
     k = list(keys)
     t = truth.groupBy(*k).agg(F.count(F.lit(1)).alias("_t"))
     p = pred.groupBy(*k).agg(F.count(F.lit(1)).alias("_p"))
-    j = t.join(p, on=k, how="full_outer").select(group_col, F.coalesce("_t", F.lit(0)).alias("t"), F.coalesce("_p", F.lit(0)).alias("p"))
+    j = t.join(p, on=k, how="full_outer").fillna(0, ["_t", "_p"])
+    return j.groupBy(group_col).agg(*match_counts()).withColumn("ok", _match_ok())
 
-    def n(condition: Column) -> Column:
-        return F.sum(condition.cast("bigint"))
 
-    return (j.groupBy(group_col)
-            .agg(n(F.col("p") == 0).alias("truth_only"), n(F.col("t") == 0).alias("pred_only"),
-                 n((F.col("t") > 0) & (F.col("p") > 0)).alias("matched"),
-                 F.sum(F.greatest(F.col("t") - 1, F.lit(0)) + F.greatest(F.col("p") - 1, F.lit(0))).alias("repeated"))
-            .withColumn("ok", (F.col("truth_only") == 0) & (F.col("pred_only") == 0) & (F.col("repeated") == 0)))
+def evaluated(truth: DataFrame, pred: DataFrame, truth_col: str, pred_col: str, keys: Sequence[str] = ("split", "utt_id"),
+              order: str | None = None) -> DataFrame:
+    """A3 and F10 in one pass, one row per split: truths and predictions are read, joined and normalized once."""
+    k = list(keys)
+    both = F.col("_t") * F.col("_p") > 0
+    rows = align(truth, pred, k, order).select(*k, "_t", "_p", F.when(both, F.col(truth_col)).alias("ref"),
+                                               F.when(both, F.col(pred_col)).alias("hyp"))
+    edits = word_edits(rows, keys=[*k, "_t", "_p"], pair_key=k[-1])
+    out = corpus_wer(edits.withColumn("_pair", both), [k[0]], "_pair", match_counts())
+    return out.withColumn("ok", _match_ok())
+
+
+def observed_counts(df: DataFrame, splits: Sequence[str], group_col: str = "split") -> tuple[DataFrame, Observation]:
+    """F9 without a pass of its own: ``df``, and an observation that has the rows of each of ``splits`` and of
+    all others (``other``) when the job that ``df`` is part of has ended."""
+    seen = Observation(f"rows-{uuid.uuid4().hex}")
+    known = F.col(group_col).isin(*splits)
+    counts = [F.count_if(F.col(group_col) == s).alias(s) for s in splits]
+    return df.observe(seen, *counts, F.count_if(known.isNull() | ~known).alias("other")), seen
 
 
 def row_count_gate(df: DataFrame, expected: DataFrame, group_col: str = "split") -> DataFrame:

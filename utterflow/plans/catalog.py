@@ -231,6 +231,21 @@ def src_list_files(spark, sf):
     return readers.list_files(spark, out, "*.txt").select("name", "length")
 
 
+@query("src_generator")
+def src_generator(spark, sf):
+    """Rows generated from the row groups of the documents, one task each, under the split of their unit."""
+    from ..sources import generated
+    units = generated.parquet_row_groups(spark, f"{sf.rstrip('/')}/documents.parquet")
+
+    def generate(unit):
+        for b in generated.read_row_group(unit, ["doc_id", "text"]):
+            for i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                yield {"doc_id": i, "text": t, "n_chars_py": None if t is None else len(t)}
+
+    made = generated.from_generator(spark, {"all": units}, generate, "doc_id long, text string, n_chars_py long")
+    return made.select("split", "doc_id", "text", "n_chars_py")
+
+
 # ---------------------------------------------------------------- sinks
 
 def _metadata_rows(u: DataFrame) -> DataFrame:
@@ -633,10 +648,13 @@ def corpus_mix(spark, sf):
 
 # ---------------------------------------------------------------- ordering
 
-def _positions(spark, sf, partition=()) -> DataFrame:
+def _ordered(spark, sf) -> DataFrame:
     # narrow columns only: the scan is not spread, and the text is not read
-    u = fx.derive_utt(fx.read_table(spark, sf, "documents")).select("utt_id", "split", "source_ord", "row_ord")
-    return order.global_position(u, ["source_ord", "row_ord"], "block", partition, rows_per_shard=order.ROWS_PER_SHARD)
+    return fx.derive_utt(fx.read_table(spark, sf, "documents")).select("utt_id", "split", "source_ord", "row_ord")
+
+
+def _positions(spark, sf, partition=()) -> DataFrame:
+    return order.global_position(_ordered(spark, sf), ["source_ord", "row_ord"], "block", partition, rows_per_shard=order.ROWS_PER_SHARD)
 
 
 @query("global_position")
@@ -651,7 +669,8 @@ def split_position(spark, sf):
 
 @query("sample_budget")
 def sample_budget(spark, sf):
-    return order.sample_budget(_positions(spark, sf), BUDGET_STEPS, BUDGET_BATCH).select("utt_id", "pos")
+    return order.sample_budget(_ordered(spark, sf), BUDGET_STEPS, BUDGET_BATCH, ["source_ord", "row_ord"], "block",
+                               rows_per_shard=order.ROWS_PER_SHARD).select("utt_id", "pos")
 
 
 @query("head_tail_sample")
@@ -815,6 +834,16 @@ def stream_prepare(spark, sf):
     return prepare_stream(rows, f"{base}/out", f"{base}/checkpoint")
 
 
+@query("stream_position")
+def stream_position(spark, sf):
+    """T1 with O2 and R3: positions and batches given as rows stream in."""
+    from ..streaming.stream import numbered_stream
+    u = fx.derive_utt(fx.stream_documents(spark, sf)).select("utt_id", "split", "source_ord", "row_ord")
+    base = _scratch(spark, "stream-position")
+    rows = numbered_stream(u, f"{base}/out", f"{base}/checkpoint", ["source_ord", "row_ord"], batch_size=BATCH_SIZE)
+    return rows.select("utt_id", "split", "pos", "batch", "slot")
+
+
 @query("stream_wer")
 def stream_wer(spark, sf):
     from ..streaming.stream import running_wer, stream_session

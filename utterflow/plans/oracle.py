@@ -189,6 +189,7 @@ def oracle_sql() -> dict[str, str]:
     q: dict[str, str] = {}
     q["src_load_split"] = """SELECT doc_id AS utt_id, source, n_chars FROM documents
         WHERE lang = 'en' AND doc_id % 10 = 9"""
+    q["src_generator"] = "SELECT 'all' AS split, doc_id, text, CAST(length(text) AS BIGINT) AS n_chars_py FROM documents"
     q["src_list_files"] = _with(f"SELECT {_stem('path')} || '.txt' AS name, octet_length(encode(text)) AS length FROM utt")
     q["src_tsv_transcripts"] = _with("SELECT source AS id, arg_max(lower(trim(text, chr(10))), utt_id) AS text "
                                      "FROM utt GROUP BY source")
@@ -305,6 +306,8 @@ def oracle_sql() -> dict[str, str]:
         FROM (SELECT nullif(source, 'src3') AS source FROM documents) GROUP BY ROLLUP (source)"""
     q["global_position"] = _with(f"SELECT utt_id, {_positions()} AS pos FROM utt")
     q["split_position"] = _with(f"SELECT utt_id, split, {_positions('split')} AS pos FROM utt")
+    q["stream_position"] = _with(f"""SELECT utt_id, split, pos, pos // {C.BATCH_SIZE} AS batch, CAST(pos % {C.BATCH_SIZE} AS INTEGER) AS slot
+        FROM (SELECT utt_id, split, {_positions('split')} AS pos FROM utt)""")
     q["sample_budget"] = _with(f"""SELECT utt_id, pos FROM (SELECT utt_id, {_positions()} AS pos FROM utt)
         WHERE pos < {C.BUDGET_STEPS * C.BUDGET_BATCH * (1 if C.BUDGET_BATCH >= 8 else 8 // C.BUDGET_BATCH)}""")
     q["head_tail_sample"] = _with("""SELECT split, 'head' AS "end", r AS rank_in_end, utt_id

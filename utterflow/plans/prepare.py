@@ -39,9 +39,10 @@ def training_stream(corpora: Sequence[DataFrame], vocab: DataFrame, batch_size:
         df = df.withColumn("labels", F.concat(F.array(F.lit(arrays.BOS_ID)), F.col("labels")))
     if scratch is not None:
         df = sinks.materialize(df.drop(text), scratch)
-    df = order.global_position(df, ["source_ord", "row_ord"], "shard")
     if steps is not None:
-        df = order.sample_budget(df, steps, batch_size)
+        df = order.sample_budget(df, steps, batch_size, ["source_ord", "row_ord"], "shard")
+    else:
+        df = order.global_position(df, ["source_ord", "row_ord"], "shard")
     df = arrays.assign_batches(df, batch_size)
     df = arrays.pad_labels(df)
     if bos:

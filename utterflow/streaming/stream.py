@@ -1,4 +1,4 @@
-"""Structured Streaming variants.
+"""Structured Streaming variants (T1 with O2 and R3, T2).
 
 The reference pulls lazily from a bounded, ordered corpus; here the same
 stateless preparation and the running WER are streaming queries over a file
@@ -10,9 +10,12 @@ from __future__ import annotations
 
 import re
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ..operators import score
+from ..operators import arrays, order, score
 
 
 def prepare_stream(rows: DataFrame, out_path: str, checkpoint: str) -> DataFrame:
@@ -24,6 +27,46 @@ def prepare_stream(rows: DataFrame, out_path: str, checkpoint: str) -> DataFrame
     return rows.sparkSession.read.parquet(out_path)
 
 
+def numbered_stream(rows: DataFrame, out_path: str, checkpoint: str, order_cols: Sequence[str], partition_col: str = "split",
+                    rows_per_shard: int = order.ROWS_PER_SHARD, batch_size: int | None = None) -> DataFrame:
+    """O2 (and R3) in the stream: rows with their position in their split, counted on over micro-batches and restarts.
+
+    Rows of an earlier micro-batch come first; within one they are in the order
+    of ``order_cols``. A micro-batch is numbered as a table is (see
+    ``order.global_position``), so a split that holds most rows is still spread,
+    and begins where the one before it ended: that is a table of one row a
+    split, written with every micro-batch. A retried micro-batch begins at the same
+    place and rewrites its own folder, so no position is skipped or given twice.
+    With ``batch_size`` rows have ``batch`` and ``slot``, too.
+    """
+    base = out_path.rstrip("/")
+    spark = rows.sparkSession
+
+    def begun(epoch: int) -> DataFrame:
+        schema = f"_split {rows.schema[partition_col].dataType.simpleString()}, _next long"
+        if epoch == 0:
+            return spark.createDataFrame([], schema)
+        return spark.read.schema(schema).parquet(f"{base}/next/epoch={epoch - 1}")
+
+    def sink(batch: DataFrame, epoch: int) -> None:
+        before = begun(epoch)
+        local = order.global_position(batch, order_cols, "_block", [partition_col], "_in_batch", rows_per_shard).drop("_block")
+        at = F.coalesce("_next", F.lit(0)).cast("long")
+        placed = local.join(before, local[partition_col].eqNullSafe(before["_split"]), "left") \
+            .withColumn("pos", at + F.col("_in_batch")).drop("_split", "_next", "_in_batch")
+        if batch_size:
+            placed = arrays.assign_batches(placed, batch_size)
+        placed.write.mode("overwrite").parquet(f"{base}/rows/epoch={epoch}")
+        now = spark.read.parquet(f"{base}/rows/epoch={epoch}").groupBy(F.col(partition_col).alias("_split")) \
+            .agg((F.max("pos") + 1).alias("_next"))
+        now.unionByName(before).groupBy("_split").agg(F.max("_next").alias("_next")) \
+            .write.mode("overwrite").parquet(f"{base}/next/epoch={epoch}")
+
+    q = (rows.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.parquet(f"{base}/rows").drop("epoch")
+
+
 def stream_session(spark: SparkSession, state_partitions: int = 4) -> SparkSession:
     """A session of the same application for a query with small state.
 
