@@ -5,15 +5,20 @@ coarse and for fine segments. By Cauchy-Schwarz within every segment,
 
     |q - x|^2 >= sum_s  n_s * ((mean_q - mean_x)^2 + (dev_q - dev_x)^2),
 
-which with the exact squared lengths bounds the inner product from above. A
-block of vectors is filtered from coarse to fine against each query's k-th best
-score so far; only survivors get exact scores. Queries and vectors are cut into
-blocks, and each pair of blocks is a task's unit; k rows a query leave a block.
+which with the exact squared lengths bounds the inner product from above.
+
+A bounded sample of vectors gives every query a first threshold. Vectors are
+dealt to cells (nearest of a bounded set of pivots) and cells into blocks, whose
+statistics span boxes; a pair of a query block and a vector block is formed only
+if some query's bound with the box reaches its threshold. In a pair vectors are
+filtered from coarse to fine against each query's k-th best score so far; only
+survivors get exact scores, and k rows a query leave it.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from decimal import Decimal
 
 import numpy as np
 import pandas as pd
@@ -25,8 +30,12 @@ from pyspark.sql import functions as F
 from ..sources.tables import read_table
 from .common import written
 
-QUERY_BLOCK = 16384              # queries held together: vectors are shuffled once per query block
-VECTOR_BLOCK = 8192              # vectors filtered together
+QUERY_BLOCK, QUERY_BYTES = 16384, 8 << 20      # queries held together, and bound on their size
+VECTOR_BLOCK, VECTOR_BYTES = 8192, 4 << 20     # vectors filtered together, likewise
+PIVOTS = 256                     # bound on the pivots that cells are made from
+SAMPLE = 2048                    # vectors that give the first thresholds
+BOXES = 4096                     # boxes that a query block is compared with at once
+EXACT = 2.0 ** 53                # integers below it are exact in double precision
 LEVELS = (1, 4, 16)              # numbers of segments, coarse to fine
 DENSE = 0.05                     # above this share of survivors a level is one matrix product, else pair by pair
 
@@ -49,11 +58,32 @@ def statistics(x: np.ndarray, n: int) -> np.ndarray:
 class Block:
     """Integer vectors with exact squared lengths and the statistics of every level."""
 
-    def __init__(self, ids: np.ndarray, x: np.ndarray):
-        self.ids, self.x = ids, x
+    def __init__(self, rows: np.ndarray, ids: np.ndarray, x: np.ndarray):
+        self.rows, self.ids, self.x = rows, ids, x
         self.squares = (x * x).sum(1)
         self.levels = [statistics(x, n) for n in LEVELS]
 
+    def box(self) -> np.ndarray:
+        """Least and greatest of every statistic, and the greatest squared length."""
+        s = np.concatenate(self.levels, axis=1)
+        return np.concatenate([s.min(0), s.max(0), [self.squares.max()]])
+
+
+def box_bounds(q: Block, boxes: np.ndarray) -> np.ndarray:
+    """Upper bounds of every query's inner products with the vectors of each box."""
+    width = [x.shape[1] for x in q.levels]
+    total, out = sum(width), np.full((len(q.ids), len(boxes)), np.inf)
+    at = 0
+    for level, n in zip(q.levels, width, strict=True):
+        low, high = boxes[:, at:at + n], boxes[:, total + at:total + at + n]
+        for i in range(0, len(out), rows := max(1, (1 << 22) // max(1, len(boxes) * n))):
+            part = level[i:i + rows, None, :]
+            away = np.maximum(0.0, np.maximum(low[None] - part, part - high[None]))
+            bound = 0.5 * (q.squares[i:i + rows, None] + boxes[None, :, -1] - (away * away).sum(2))
+            np.minimum(out[i:i + rows], bound, out=out[i:i + rows])
+        at += n
+    return out
+
 
 def upper_bounds(q: Block, i: np.ndarray, x: Block, j: np.ndarray, level: int) -> np.ndarray:
     """Upper bounds of the inner products of query rows ``i`` with vector rows ``j`` (pairwise)."""
@@ -61,12 +91,40 @@ def upper_bounds(q: Block, i: np.ndarray, x: Block, j: np.ndarray, level: int) -
     return 0.5 * (q.squares[i] + x.squares[j] - (d * d).sum(1))
 
 
-def search_block(q: Block, x: Block, best: list[list[tuple[float, int]]], k: int) -> None:
+def slack(*blocks: Block) -> float:
+    """What rounding can take from a bound."""
+    return 1e-9 * (1.0 + sum(b.squares.max(initial=0.0) for b in blocks))
+
+
+def thresholds(q: Block, sample: Block, k: int) -> np.ndarray:
+    """Every query's k-th best score among the sample, itself left out; minus infinity where there are fewer."""
+    score = q.x @ sample.x.T
+    score[q.rows[:, None] == sample.rows[None, :]] = -np.inf
+    if score.shape[1] < k:
+        return np.full(len(q.ids), -np.inf)
+    return np.partition(score, score.shape[1] - k, axis=1)[:, score.shape[1] - k]
+
+
+def search_large(q: Block, x: Block, best: list[list[tuple[int, int]]], k: int) -> None:
+    """``search_block`` in Python's integers, for scores that may not be exact in double precision."""
+    vectors = [[int(c) for c in v] for v in x.x]
+    for i, v in enumerate(q.x):
+        mine = [int(c) for c in v]
+        found = [(-sum(a * b for a, b in zip(mine, other, strict=True)), int(x.ids[j]))
+                 for j, other in enumerate(vectors) if x.rows[j] != q.rows[i]]
+        best[i] = sorted(best[i] + found)[:k]
+
+
+def search_block(q: Block, x: Block, best: list[list[tuple[float, int]]], k: int, least: np.ndarray | None = None) -> None:
     """Merge the k best of ``x`` into ``best``, per query a list of (-score, id) in rank order.
 
-    Scores are sums of integers below 2**53 in double precision, so they are exact.
+    ``least`` is a score that each query's k-th best is known to reach. Scores
+    are sums of integers below 2**53 in double precision, so they are exact;
+    where they may be larger, all pairs are scored in Python's integers.
     """
-    slack = 1e-9 * (1.0 + q.squares.max(initial=0.0) + x.squares.max(initial=0.0))
+    if q.squares.max(initial=0.0) * x.squares.max(initial=0.0) >= EXACT ** 2:
+        search_large(q, x, best, k)
+        return
     rows = max(1, (1 << 22) // max(1, len(x.ids)))
     order = np.lexsort((x.ids, -x.squares))           # long vectors first: good thresholds early
     seed = order[:max(4 * k, 64)]
@@ -74,12 +132,15 @@ def search_block(q: Block, x: Block, best: list[list[tuple[float, int]]], k: int
         mine = np.arange(at, min(at + rows, len(q.ids)))
         # thresholds from a few exact scores
         first = q.x[mine] @ x.x[seed].T
-        first[q.ids[mine][:, None] == x.ids[seed][None, :]] = -np.inf
+        first[q.rows[mine][:, None] == x.rows[seed][None, :]] = -np.inf
         floor = np.full(len(mine), -np.inf)
         if first.shape[1] >= k:
             floor = np.partition(first, first.shape[1] - k, axis=1)[:, first.shape[1] - k]
         known = np.array([-best[i][k - 1][0] if len(best[i]) >= k else -np.inf for i in mine])
-        floor = np.maximum(floor, known) - slack
+        floor = np.maximum(floor, known)
+        if least is not None:
+            floor = np.maximum(floor, least[mine])
+        floor = floor - slack(q, x)
         i, j = None, None                # None: all pairs of the chunk
         for level in range(len(LEVELS)):
             if i is None or len(i) > DENSE * len(mine) * len(x.ids):
@@ -101,7 +162,7 @@ def search_block(q: Block, x: Block, best: list[list[tuple[float, int]]], k: int
         else:
             score = np.concatenate([np.einsum("ij,ij->i", q.x[mine[i[s]]], x.x[j[s]]) for s in _slices(len(i))]
                                    or [np.zeros(0)])
-        other = q.ids[mine[i]] != x.ids[j]
+        other = q.rows[mine[i]] != x.rows[j]
         i, j, score = i[other], j[other], score[other]
         by = np.lexsort((x.ids[j], -score, i))
         i, j, score = i[by], j[by], score[by]
@@ -129,83 +190,183 @@ def _matrix(column: pa.Array, dim: int) -> np.ndarray:
     return flat.reshape(-1, dim)
 
 
-def packed_blocks(df: DataFrame, rows: int, n: int, dim: int) -> DataFrame:
-    """(block, ids, x): about ``rows`` of the ``n`` rows (id, x) in a row, as bytes; dealt by a hash of id and vector."""
-    blocks = max(1, -(-n // rows))
+def block_rows(rows: int, size: int, dim: int) -> int:
+    """Rows of a block: at most ``rows``, and ``size`` bytes."""
+    return max(1, min(rows, size // (8 * max(1, dim))))
+
 
+def packed_blocks(df: DataFrame, blocks: int, dim: int) -> DataFrame:
+    """(block, rows, ids, x, box): the rows (row, id, x) of each block as bytes; ``df`` has the block."""
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         x = np.stack(pdf["x"].to_numpy()).astype(np.float64).reshape(len(pdf), dim)
-        return pd.DataFrame({"block": [int(pdf["block"].iloc[0])], "ids": [pdf["id"].to_numpy(np.int64).tobytes()],
-                             "x": [x.tobytes()]})
+        b = Block(pdf["row"].to_numpy(np.int64), pdf["id"].to_numpy(np.int64), x)
+        return pd.DataFrame({"block": [int(pdf["block"].iloc[0])], "rows": [b.rows.tobytes()], "ids": [b.ids.tobytes()],
+                             "x": [x.tobytes()], "box": [b.box().tobytes()]})
+
+    tasks = max(1, min(blocks, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    return df.repartition(tasks, "block").groupBy("block") \
+        .applyInPandas(run, "block int, rows binary, ids binary, x binary, box binary")
+
 
-    tasks = min(blocks, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    return df.withColumn("block", F.pmod(F.xxhash64("id", F.lit("block")), F.lit(blocks)).cast("int")) \
-        .repartition(tasks, "block").groupBy("block").applyInPandas(run, "block int, ids binary, x binary")
+def unpacked(rows: bytes, ids: bytes, x: bytes, dim: int) -> Block:
+    return Block(np.frombuffer(rows, np.int64), np.frombuffer(ids, np.int64), np.frombuffer(x, np.float64).reshape(-1, dim))
+
+
+def integers(vec_col: str, scale: int):
+    """floor(scale * component) in double precision, whatever its size."""
+    def one(v):
+        y = F.lit(float(scale)) * v.cast("double")
+        return F.when(F.abs(y) < EXACT, F.floor(y).cast("double")).otherwise(y)     # above, every double is an integer
+    return F.transform(vec_col, one)
 
 
 def top_k(df: DataFrame, queries, k: int = 10, id_col: str = "vec_id", vec_col: str = "embedding", scale: int = 1024) -> DataFrame:
-    """(query_id, rank, vec_id, score) of each query's ``k`` highest integer inner products.
+    """(query_id, rank, vec_id, score) of each query row's ``k`` highest integer inner products.
 
     ``queries`` is a condition on the columns of ``df``. Components are
     floor(scale * x). All other rows are candidates; ties go to the smaller id.
     Vectors that are null, empty, or hold null or non-finite components, and
     rows without an id, take no part; vectors of different lengths are never
-    compared; of rows with one id and one vector one takes part; other columns
-    are not read. Scores must stay below 2**53.
+    compared; of rows with one id and one vector one takes part; rows with one id
+    and different vectors are rows, and queries, each; other columns are not
+    read. Scores are exact and ranked whatever their size; one that does not fit
+    in a long is null. Squared lengths from 1e37 on are an error.
     """
+    square = F.expr("aggregate(x, 0D, (s, v) -> s + v * v)")
     rows = df.where(F.col(id_col).isNotNull() & valid(vec_col) & (F.size(vec_col) > 0)) \
-        .select(F.col(id_col).cast("long").alias("id"),
-                F.transform(vec_col, lambda v: F.floor(F.lit(float(scale)) * v.cast("double")).cast("double")).alias("x"),
-                F.coalesce(queries, F.lit(False)).alias("asks")) \
-        .distinct()
+        .select(F.col(id_col).cast("long").alias("id"), integers(vec_col, scale).alias("x"), F.coalesce(queries, F.lit(False)).alias("asks")) \
+        .distinct().withColumn("row", F.monotonically_increasing_id()).withColumn("large", square >= EXACT)
     rows = written(rows, "vectors")
-    sizes = rows.groupBy(F.size("x").alias("dim")).agg(F.count("*").alias("n"), F.sum(F.col("asks").cast("long")).alias("nq"),
-                                                      F.max(F.expr("aggregate(x, 0D, (s, v) -> s + v * v)")).alias("longest"))
+    sizes = rows.groupBy(F.size("x").alias("dim")).agg(F.count("*").alias("n"), F.max(square).alias("longest"))
     out = None
     for s in sizes.collect():              # one pass for each vector length in the table
-        if s["longest"] >= 2.0 ** 53:
-            raise ValueError("inner products beyond 2**53 are not exact in double precision")
-        part = _top_k_of(rows.where(F.size("x") == s["dim"]), s["dim"], s["n"], s["nq"], k)
+        if s["longest"] >= 1e37:
+            raise ValueError("squared lengths from 1e37 on")
+        part = _top_k_of(rows.where(F.size("x") == s["dim"]), s["dim"], k)
         out = part if out is None else out.union(part)
     if out is None:
         return df.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     return out
 
 
-def _top_k_of(rows: DataFrame, dim: int, n: int, nq: int, k: int) -> DataFrame:
-    asks = packed_blocks(rows.where("asks").select("id", "x"), QUERY_BLOCK, nq, dim) \
-        .select(F.col("block").alias("q_block"), F.col("ids").alias("q_ids"), F.col("x").alias("q_x"))
-    vectors = written(packed_blocks(rows.select("id", "x"), VECTOR_BLOCK, n, dim), "vector-blocks")
-    q_blocks, v_blocks = max(1, -(-nq // QUERY_BLOCK)), max(1, -(-n // VECTOR_BLOCK))
-    # both blocks of a pair meet under the pair's own key, so pairs spread over tasks however few query blocks there are
-    tasks = min(2 * q_blocks * v_blocks, 10_000)
-    every = lambda last: F.explode(F.sequence(F.lit(0), F.lit(last - 1)))
-    pairs = vectors.withColumn("q_block", every(q_blocks)).repartition(tasks, "q_block", "block") \
-        .join(asks.withColumn("block", every(v_blocks)).repartition(tasks, "q_block", "block"), ["q_block", "block"])
+def _cells(rows: DataFrame, dim: int, n: int) -> DataFrame:
+    """``rows`` (row, id, x) with a block: cut from the cell of the nearest pivot, a hash of the row within it."""
+    per = block_rows(VECTOR_BLOCK, VECTOR_BYTES, dim)
+    found = rows.orderBy(F.xxhash64("x", F.lit("pivot")), "row").limit(max(1, min(PIVOTS, -(-n // per)))).select("x").collect()
+    pivots = np.array([r.x for r in found], dtype=np.float64).reshape(-1, dim)
+    half = 0.5 * (pivots * pivots).sum(1)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, q, best = None, None, []
+    def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            cell = (_matrix(b.column(2), dim) @ pivots.T - half).argmax(1) if b.num_rows else np.zeros(0)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(cell, pa.int32())], ["row", "id", "x", "cell"])
+
+    celled = written(rows.select("row", "id", "x").mapInArrow(assign, "row long, id long, x array<double>, cell int"), "cells")
+    first, plan = 0, []
+    for c in celled.groupBy("cell").count().orderBy("cell").collect():           # at most PIVOTS rows
+        plan.append((c["cell"], first, -(-c["count"] // per)))
+        first += plan[-1][2]
+    plan = df_plan(rows.sparkSession, plan)
+    return celled.join(F.broadcast(plan), "cell").select(
+        "row", "id", "x", (F.col("first") + F.pmod(F.xxhash64("row", F.lit("block")), F.col("parts"))).cast("int").alias("block"))
+
+
+def df_plan(spark: SparkSession, plan: list[tuple[int, int, int]]) -> DataFrame:
+    return spark.createDataFrame(plan, "cell int, first int, parts int")
+
+
+def block_pairs(asks: DataFrame, boxes: DataFrame, dim: int) -> DataFrame:
+    """(q_block, block) of the pairs in which some query's bound reaches its threshold.
 
-        def found():
-            out = [(int(q.ids[i]), v, int(-s)) for i, b in enumerate(best) for s, v in b]
-            return pa.RecordBatch.from_arrays([pa.array([r[c] for r in out], pa.int64()) for c in range(3)],
-                                              ["query_id", "vec_id", "score"])
+    Boxes are compared ``BOXES`` at a time: each query block meets each chunk of boxes.
+    """
+    chunks = boxes.groupBy(F.expr(f"block div {BOXES}").cast("int").alias("chunk")).agg(
+        F.sort_array(F.collect_list(F.struct("block", "box"))).alias("boxes"))
+    n = chunks.count()
+    wide = asks.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(max(0, n - 1)))))
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for q_block, rows, ids, x, least, some in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                q, least = unpacked(rows, ids, x, dim), np.frombuffer(least)
+                box = np.stack([np.frombuffer(r["box"]) for r in some])
+                bound = box_bounds(q, box)
+                room = 1e-9 * (1.0 + q.squares.max() + box[:, -1])
+                near = (bound >= least[:, None] - room[None, :]).any(0)
+                at = [r["block"] for r, keep in zip(some, near, strict=True) if keep]
+                yield pa.RecordBatch.from_arrays([pa.array([q_block] * len(at), pa.int32()), pa.array(at, pa.int32())], ["q_block", "block"])
+
+    return wide.join(chunks, "chunk").select("q_block", "q_rows", "q_ids", "q_x", "least", "boxes") \
+        .mapInArrow(run, "q_block int, block int")
+
+
+def _top_k_of(rows: DataFrame, dim: int, k: int) -> DataFrame:
+    spark = rows.sparkSession
+    n = {r["large"]: r for r in rows.groupBy("large").agg(F.count("*").alias("n"), F.sum(F.col("asks").cast("long")).alias("nq")).collect()}
+    small, n_small = rows.where("not large"), n[False]["n"] if False in n else 0
+    taken = small.orderBy(F.xxhash64("row", F.lit("sample"))).limit(SAMPLE).select("row", "id", "x").collect() if n_small else []
+    sample = Block(np.array([r.row for r in taken], np.int64), np.array([r.id for r in taken], np.int64),
+                   np.array([r.x for r in taken], dtype=np.float64).reshape(-1, dim))
+
+    # query blocks with first thresholds; large queries have blocks of their own, and no threshold
+    per, parts, first = block_rows(QUERY_BLOCK, QUERY_BYTES, dim), [], 0
+    for large, r in sorted(n.items()):
+        if r["nq"]:
+            blocks = -(-r["nq"] // per)
+            parts.append(rows.where(F.col("asks") & (F.col("large") == large)).select(
+                "row", "id", "x", (first + F.pmod(F.xxhash64("row", F.lit("block")), F.lit(blocks))).cast("int").alias("block")))
+            first += blocks
+    if not parts:
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+    queries = parts[0] if len(parts) == 1 else parts[0].union(parts[1])
+
+    def begin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            least = []
+            for rows, ids, x in zip(*(b.column(c).to_pylist() for c in (1, 2, 3)), strict=True):
+                q = unpacked(rows, ids, x, dim)
+                known = q.squares.max() < EXACT and len(sample.ids)
+                least.append((thresholds(q, sample, k) if known else np.full(len(q.ids), -np.inf)).tobytes())
+            yield pa.RecordBatch.from_arrays([*b.columns[:4], pa.array(least, pa.binary())], ["q_block", "q_rows", "q_ids", "q_x", "least"])
+
+    asks = written(packed_blocks(queries, first, dim).mapInArrow(
+        begin, "q_block int, q_rows binary, q_ids binary, q_x binary, least binary"), "query-blocks")
+
+    # vector blocks; large vectors have blocks of their own, which are compared with every query
+    per_vector = block_rows(VECTOR_BLOCK, VECTOR_BYTES, dim)
+    pairs = vectors = None
+    if n_small:
+        vectors = written(packed_blocks(_cells(small, dim, n_small), -(-n_small // per_vector) + PIVOTS, dim), "vector-blocks")
+        pairs = block_pairs(asks, vectors.select("block", "box"), dim)
+    if True in n:
+        blocks = -(-n[True]["n"] // per_vector)
+        big = rows.where("large").select("row", "id", "x", (-1 - F.pmod(F.xxhash64("row"), F.lit(blocks))).cast("int").alias("block"))
+        big = written(packed_blocks(big, blocks, dim), "large-blocks")
+        all_big = asks.select("q_block", F.explode(F.sequence(F.lit(-blocks), F.lit(-1))).alias("block"))
+        vectors, pairs = (big, all_big) if vectors is None else (vectors.union(big), pairs.union(all_big))
+    pairs = written(pairs, "block-pairs")
+    # both blocks of a pair meet under the pair's own key, so pairs spread over tasks however few query blocks there are
+    tasks = max(1, min(2 * pairs.count(), 10_000))
+    mine = pairs.join(asks, "q_block").repartition(tasks, "q_block", "block")
+    other = pairs.join(vectors.select("block", "rows", "ids", "x"), "block").repartition(tasks, "q_block", "block")
+    both = mine.join(other, ["q_block", "block"])
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.decimal128(38, 0)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for block, q_ids, q_x, ids, x in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                if block != held:
-                    if held is not None:
-                        yield found()
-                    held, q = block, Block(np.frombuffer(q_ids, np.int64), np.frombuffer(q_x, np.float64).reshape(-1, dim))
-                    best = [[] for _ in q.ids]
-                search_block(q, Block(np.frombuffer(ids, np.int64), np.frombuffer(x, np.float64).reshape(-1, dim)), best, k)
-        if held is not None:
-            yield found()
-
-    near = pairs.select("q_block", "q_ids", "q_x", "ids", "x") \
-        .mapInArrow(run, "query_id long, vec_id long, score long")
-    rank = F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return near.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+            for q_rows, q_ids, q_x, least, rows, ids, x in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                q = unpacked(q_rows, q_ids, q_x, dim)
+                best = [[] for _ in q.ids]
+                search_block(q, unpacked(rows, ids, x, dim), best, k, np.frombuffer(least))
+                out = [(int(q.rows[i]), int(q.ids[i]), v, Decimal(-int(s))) for i, found in enumerate(best) for s, v in found]
+                yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in out], t) for c, t in enumerate(kinds)],
+                                                 ["q_row", "query_id", "vec_id", "exact"])
+
+    near = both.select("q_rows", "q_ids", "q_x", "least", "rows", "ids", "x") \
+        .mapInArrow(run, "q_row long, query_id long, vec_id long, exact decimal(38,0)")
+    rank = F.row_number().over(W.partitionBy("q_row").orderBy(F.desc("exact"), "vec_id"))
+    return near.withColumn("rank", rank).where(F.col("rank") <= k) \
+        .select("query_id", "rank", "vec_id", F.expr("try_cast(exact AS bigint)").alias("score"))
 
 
 def op7_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
