@@ -1,3 +1,5 @@
+import random
+
 import zstandard
 
 from utterflow.llm import warc
@@ -30,7 +32,7 @@ def test_bundles_are_plain_zstandard_with_independent_frames(spark, monkeypatch)
     folder, index, back = roundtrip(spark, spark.createDataFrame(rows, "page_id long, url string, html string"))
     assert back.count() == 900
     entries = index.collect()
-    fs, base = warc._filesystem(folder)
+    fs, base = warc.open_root(folder)
     for name in {r.bundle for r in entries}:
         with fs.open_input_file(f"{base}/{name}") as f:
             frames = warc.seek_table(f)
@@ -52,3 +54,34 @@ def test_nulls_repeats_empty_table_and_clashing_columns(spark):
     some = {r.page_id: r.record_type for r in roundtrip(spark, df, min_payload=1)[2].collect()}
     assert some[1] == some[2] == "response" and some[3] == "revisit"
     assert roundtrip(spark, spark.createDataFrame([], schema))[2].count() == 0
+
+
+def test_long_records_full_bundles_and_runs_of_frames(spark, monkeypatch):
+    """Records longer than a frame, several bundles a task, and tasks that read few frames each."""
+    for name, size in (("FRAME_BYTES", 20_000), ("BUNDLE_BYTES", 30_000), ("READ_FRAMES", 2)):
+        monkeypatch.setattr(warc, name, size)
+    rows = [(i, f"http://h/{i}", random.Random(i % 100).randbytes(80_000 if i % 20 == 0 else 1500).hex()) for i in range(1, 121)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(2)
+    folder, index, back = roundtrip(spark, df)
+    held = index.collect()
+    assert len({r.bundle for r in held}) > 4 and max(r.length for r in held) > 150_000
+    got = {r.page_id: (r.payload_bytes, r.payload_digest, r.record_type) for r in back.collect()}
+    last = {h: i for i, _, h in rows}
+    assert got == {i: (len(h), warc.payload_digest(h.encode()), "response" if last[h] == i else "revisit") for i, _, h in rows}
+    runs = {(r.bundle, r.frame // 2) for r in held}
+    assert warc.read_records(index, folder).rdd.getNumPartitions() == len(runs)
+
+
+def test_folders_without_a_scheme_are_on_sparks_file_system(spark, tmp_path):
+    import pytest
+    df = spark.createDataFrame([(1, "u", "x")], "page_id long, url string, html string")
+    index = warc.write_archives(df, str(tmp_path))
+    assert warc.read_records(index, f"file://{tmp_path}").count() == 1 and any(p.suffix == ".zst" for p in tmp_path.iterdir())
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    before = conf.get("fs.defaultFS")
+    conf.set("fs.defaultFS", "viewfs://store/")
+    try:
+        with pytest.raises(Exception):
+            warc.read_records(index, str(tmp_path)).count()        # not the executor's own disk
+    finally:
+        conf.set("fs.defaultFS", before) if before else conf.unset("fs.defaultFS")

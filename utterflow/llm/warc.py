@@ -17,33 +17,29 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
-import pyarrow.fs as pafs
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..sources.storage import open_root, qualified
 from ..sources.tables import read_table
 from .common import shared_path, small_batches, spread_key, written
 
 FRAME_BYTES = 256 * 1024         # uncompressed records in a frame before it is closed
 BUNDLE_BYTES = 64 * 1024 * 1024  # compressed bytes in a bundle before the next one is begun
-READ_BYTES = 32 * 1024 * 1024    # uncompressed bytes that a reading task gets
+READ_FRAMES = 128                # frames in a row that one task reads
 DATE = "1970-01-01T00:00:00Z"
 
 _SKIPPABLE, _SEEKABLE = 0x184D2A5E, 0x8F92EAB1
 
 
-def _filesystem(path: str):
-    return pafs.FileSystem.from_uri(path)
-
-
 class BundleWriter:
     """Appends frames to a bundle under a temporary name; ``close`` adds the seek table and names it."""
 
     def __init__(self, folder: str):
         self.name = f"{uuid.uuid4().hex}.warc.zst"
-        self.fs, base = _filesystem(folder)
+        self.fs, base = open_root(folder)
         self.fs.create_dir(base, recursive=True)
         self.path = f"{base}/{self.name}"
         self.out = self.fs.open_output_stream(f"{base}/_{self.name}", compression=None)
@@ -153,7 +149,7 @@ def write_archives(df: DataFrame, folder: str, id_col: str = "page_id", url_col:
     repeated rows are written each; rows with the same largest id, and rows with
     a null id, are responses.
     """
-    spark = df.sparkSession
+    folder = qualified(df.sparkSession, folder)
     pages = df.select(F.col(id_col).cast("long").alias("id"), F.col(url_col).alias("url"),
                       F.coalesce(F.col(html_col), F.lit("")).cast("binary").alias("payload"))
     again = revisits(pages, min_payload).toDF("sha1", "rid", "refers_to")
@@ -205,10 +201,14 @@ def read_records(index: DataFrame, folder: str) -> DataFrame:
     """(page_id, payload_bytes, payload_digest, record_type, refers_to) of the indexed records, from the archives.
 
     Frames are found by the bundles' seek tables and decompressed one at a time;
-    digests of responses are taken from the payload read.
+    a task gets runs of ``READ_FRAMES`` frames of a bundle, so it opens it, and
+    reads its footer, once a run. Digests of responses are taken from the payload
+    read.
     """
-    total = index.agg(F.sum("length")).first()[0] or 0
-    tasks = max(index.sparkSession.sparkContext.defaultParallelism, -(-total // READ_BYTES))
+    folder = qualified(index.sparkSession, folder)
+    run_of = F.expr(f"frame div {READ_FRAMES}").alias("run")
+    runs = index.select("bundle", run_of).distinct().count()
+    tasks = max(1, min(runs, 10_000))
     schema = T.StructType([T.StructField("page_id", T.LongType()), T.StructField("payload_bytes", T.LongType()),
                            T.StructField("payload_digest", T.StringType()), T.StructField("record_type", T.StringType()),
                            T.StructField("refers_to", T.LongType())])
@@ -216,7 +216,7 @@ def read_records(index: DataFrame, folder: str) -> DataFrame:
                        ("record_type", pa.string()), ("refers_to", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fs, base = _filesystem(folder)
+        fs, base = open_root(folder)
         unzip = zstandard.ZstdDecompressor()
         name, f, frames, at, plain = None, None, [], None, b""
         for b in small_batches(batches):
@@ -242,7 +242,7 @@ def read_records(index: DataFrame, folder: str) -> DataFrame:
         if f:
             f.close()
 
-    return index.select("bundle", "frame", "start", "length").repartition(int(tasks), "bundle", "frame") \
+    return index.select("bundle", "frame", "start", "length").repartition(tasks, "bundle", run_of) \
         .sortWithinPartitions("bundle", "frame", "start").mapInArrow(run, schema)
 
 
