@@ -1,9 +1,11 @@
 """Plan-shape checks: pushdown, pruning, broadcast of literal lookups, no Python on the native path."""
 
+import pytest
+
 from conftest import SF_SMALL
+from utterflow.operators import reconcile, score
 from utterflow.plans import catalog as C
 from utterflow.plans import fixtures as fx
-from utterflow.operators import score
 
 
 def plan(df):
@@ -108,3 +110,34 @@ def test_hot_lookup_keys_can_be_split(spark):
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)
+
+
+def test_stored_manifests_are_reconciled_without_an_exchange(spark, tmp_path):
+    """J2-J5 and J8 read buckets side by side; results are those of plain frames, also for a later session."""
+    from utterflow.sources.manifests import ManifestStore
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        store = C._manifest_store(spark, SF_SMALL, buckets=4)
+        later = ManifestStore(spark, store.root, 4)
+        for s in (store, later):
+            files, listed, lists = (s.get(n) for n in ("files", "listed", "lists"))
+            plain = fx.files(spark, SF_SMALL), fx.listed(spark, SF_SMALL), fx.split_lists(spark, SF_SMALL)
+            for got, want, exchanges in (
+                    (reconcile.listed_existing(listed, files), reconcile.listed_existing(plain[1], plain[0]), 0),
+                    (reconcile.complement(files, listed), reconcile.complement(plain[0], plain[1]), 0),
+                    (reconcile.assign_split(files, lists, bucketed=True), reconcile.assign_split(plain[0], plain[2]), 0),
+                    (reconcile.orphans(files, listed), reconcile.orphans(plain[0], plain[1]), 0),
+                    (reconcile.split_overlaps(lists), reconcile.split_overlaps(plain[2]), 1)):     # one: counts per pair of splits
+                assert sorted(map(tuple, got.select(*want.columns).collect())) == sorted(map(tuple, want.collect()))
+                p = got._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+                assert p.count("Exchange") - p.count("ReusedExchange") == exchanges, p
+                assert exchanges == 0 or "Exchange hashpartitioning(path" not in p
+        with pytest.raises(ValueError, match="4 buckets"):
+            ManifestStore(spark, store.root, 8).get("files")
+        old = store.get("files")
+        n = old.count()
+        store.put("files", old.limit(3))
+        assert store.get("files").count() == 3 and old.count() == n
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

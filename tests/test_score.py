@@ -107,3 +107,32 @@ def test_repeated_predictions_are_never_scored_twice(spark):
         score.join_pred_truth(t.union(t.where("utt_id = 2")), p, order="attempt").collect()
     report = evaluate(t, p, attempt_col="attempt")
     assert report.wer.first().n_pairs == 2 and report.check.first().repeated == 1
+
+
+def test_pairs_in_lockstep_equal_the_dynamic_program():
+    from utterflow.functions import editdistance as E
+    rnd = random.Random(3)
+    for _ in range(60):
+        pairs = []
+        for _ in range(rnd.randrange(1, 40)):
+            n, letters = rnd.choice([0, 1, 3, 20, 64, 65, 128, 200]), rnd.choice([2, 5, 100])
+            a = [rnd.randrange(letters) for _ in range(rnd.randrange(n + 1))]
+            b = [x for x in a if rnd.random() < 0.9] if rnd.random() < 0.5 else [rnd.randrange(letters) for _ in range(rnd.randrange(n + 1))]
+            pairs.append((a, b))
+        want = [reference_distance(a, b) for a, b in pairs]
+        assert E.distances(pairs).tolist() == want == [edit_distance(a, b) for a, b in pairs]
+        some = [p for p in (E.trimmed(a, b) for a, b in pairs) if len(p[1])]
+        assert not some or E._lockstep(some).tolist() == [reference_distance(*p) for p in some]
+    assert E.distances([]).tolist() == []
+
+
+def test_groups_are_bounded(monkeypatch):
+    """Groups of few lanes, and a table bound that every pair exceeds, change nothing."""
+    from utterflow.functions import editdistance as E
+    rnd = random.Random(4)
+    pairs = [([rnd.randrange(9) for _ in range(rnd.randrange(1, 300))], [rnd.randrange(9) for _ in range(rnd.randrange(1, 300))]) for _ in range(80)]
+    want = E.distances(pairs).tolist()
+    for lanes, table in ((7, 1 << 20), (1 << 14, 1)):
+        monkeypatch.setattr(E, "LANES", lanes)
+        monkeypatch.setattr(E, "TABLE_BYTES", table)
+        assert E.distances(pairs).tolist() == want == [edit_distance(a, b) for a, b in pairs]

@@ -67,18 +67,20 @@ def complement(all_files: DataFrame, subset: DataFrame, key: str = "path") -> Da
 
 
 def assign_split(ids: DataFrame, lists: DataFrame, key: str = "path", split: str = "split",
-                 priority: Sequence[str] = SPLIT_PRIORITY) -> DataFrame:
+                 priority: Sequence[str] = SPLIT_PRIORITY, bucketed: bool = False) -> DataFrame:
     """Split by membership, first in ``priority`` wins; unassigned -> "".
 
     Membership lists are reduced to one (key, best rank) row per key with a
-    partial aggregate before the join, so duplicated keys never fan out.
+    partial aggregate before the join, so duplicated keys never fan out. With
+    ``bucketed`` both sides are stored by the key (see ``sources.manifests``) and
+    are joined where they lie.
     """
     rank = F.lit(len(priority))
     for i, name in reversed(list(enumerate(priority))):
         rank = F.when(F.col(split) == name, F.lit(i)).otherwise(rank)
     best = lists.groupBy(key).agg(F.min(rank).alias("_r"))
     names = F.array(*[F.lit(p) for p in priority])
-    j = join_reduced(ids, best, key)
+    j = ids.join(best, key, "left") if bucketed else join_reduced(ids, best, key)
     return j.withColumn("assigned", F.coalesce(F.get(names, F.col("_r")), F.lit(""))).drop("_r")
 
 

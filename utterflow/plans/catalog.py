@@ -445,6 +445,31 @@ def join_split_assign(spark, sf):
     return reconcile.assign_split(ids, fx.split_lists(spark, sf))
 
 
+def _manifest_store(spark, sf, buckets: int = 16):
+    from ..sources.manifests import ManifestStore
+    store = ManifestStore(spark, _scratch(spark, "manifests"), buckets)
+    store.put("files", fx.files(spark, sf))
+    store.put("listed", fx.listed(spark, sf))
+    store.put("lists", fx.split_lists(spark, sf))
+    return store
+
+
+@query("manifest_reconcile")
+def manifest_reconcile(spark, sf):
+    """J2-J5 and J8 over manifests stored by path: what they say of every path, and no shuffle of paths."""
+    store = _manifest_store(spark, sf)
+    files, listed, lists = store.get("files"), store.get("listed"), store.get("lists")
+    existing = reconcile.listed_existing(listed, files)
+    parts = [existing.select(F.lit("existing").alias("kind"), "path", F.lit("").alias("split")),
+             reconcile.complement(files, existing).select(F.lit("remaining").alias("kind"), "path", F.lit("").alias("split")),
+             reconcile.assign_split(files, lists, bucketed=True).select(F.lit("assigned").alias("kind"), "path", F.col("assigned").alias("split")),
+             reconcile.orphans(files, listed).select(F.lit("orphan").alias("kind"), "path", "split")]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 @query("join_strict_lookup")
 def join_strict_lookup(spark, sf):
     rec = fx.utt(spark, sf).select("utt_id", paths.basename("path").alias("wav"))

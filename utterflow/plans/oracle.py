@@ -251,6 +251,13 @@ def oracle_sql() -> dict[str, str]:
           CASE min(CASE s.split WHEN 'train' THEN 0 WHEN 'validation' THEN 1 WHEN 'test' THEN 2 END)
             WHEN 0 THEN 'train' WHEN 1 THEN 'validation' WHEN 2 THEN 'test' END, '') AS assigned
         FROM utt u LEFT JOIN split_lists s ON s.path = u.path GROUP BY u.path""")
+    q["manifest_reconcile"] = _with("""SELECT 'existing' AS kind, path, '' AS split FROM files WHERE path IN (SELECT path FROM listed)
+        UNION ALL SELECT 'remaining', path, '' FROM files WHERE path NOT IN (SELECT path FROM listed)
+        UNION ALL SELECT 'orphan', path, 'orphan' FROM files WHERE path NOT IN (SELECT path FROM listed)
+        UNION ALL SELECT 'assigned', f.path, coalesce(
+          CASE min(CASE s.split WHEN 'train' THEN 0 WHEN 'validation' THEN 1 WHEN 'test' THEN 2 END)
+            WHEN 0 THEN 'train' WHEN 1 THEN 'validation' WHEN 2 THEN 'test' END, '')
+        FROM files f LEFT JOIN split_lists s ON s.path = f.path GROUP BY f.path""")
     q["join_strict_lookup"] = _with(f"""SELECT u.utt_id, {_basename('u.path')} AS wav, l.file_name FROM utt u
         LEFT JOIN (SELECT wav, arg_max(file_name, list) AS file_name FROM lookup_lists GROUP BY wav) l
         ON l.wav = {_basename('u.path')}""")
