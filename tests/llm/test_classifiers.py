@@ -26,6 +26,70 @@ def test_boosting_and_isotonic():
     assert toxicity.boost(x[:10], np.ones(10)).trees == []
 
 
+def test_trees_equal_an_exhaustive_split_search():
+    """Every split of the first tree has the largest gain of all features and thresholds."""
+    rng = np.random.default_rng(5)
+    x = np.stack([rng.permutation(np.repeat(np.arange(8.0), 16)) for _ in range(3)], axis=1)
+    y = ((x[:, 0] > 4) | (x[:, 2] < 2) & (rng.random(128) < 0.8)).astype(float)
+    ridge = 2.0
+    model = toxicity.boost(x, y, rounds=1, depth=2, ridge=ridge)
+    tree, p = model.trees[0], 1 / (1 + np.exp(-model.start))
+    g, h = y - p, np.full(len(y), p * (1 - p))
+
+    def value(rows):
+        return g[rows].sum() ** 2 / (h[rows].sum() + ridge)
+
+    def gain(rows, f, cut):
+        return value(rows & (x[:, f] <= cut)) + value(rows & (x[:, f] > cut)) - value(rows)
+
+    rows = {0: np.ones(len(y), bool)}
+    for node in range(3):
+        mine = rows[node]
+        best = max(gain(mine, f, cut) for f in range(3) for cut in np.arange(8))
+        f, cut = tree.feature[node], tree.cut[node]
+        assert abs(gain(mine, f, cut) - best) < 1e-9
+        rows[2 * node + 1], rows[2 * node + 2] = mine & (x[:, f] <= cut), mine & (x[:, f] > cut)
+    for leaf in range(4):
+        mine = rows[3 + leaf]
+        assert abs(tree.leaf[leaf] - g[mine].sum() / (h[mine].sum() + ridge)) < 1e-9
+    assert np.allclose(tree(x), sum(tree.leaf[k] * rows[3 + k] for k in range(4)))
+
+
+def test_isotonic_equals_a_quadratic_reference():
+    """Pooled means are the largest, over beginnings, of the smallest, over ends, of means around a place."""
+    rng = np.random.default_rng(2)
+    for n in (1, 2, 17, 60):
+        score, y = rng.permutation(n).astype(float), (rng.random(n) < np.linspace(0.1, 0.9, n)).astype(float)
+        y = y[np.argsort(np.argsort(score))] if n > 2 else y
+        order = np.argsort(score)
+        v = y[order]
+        want = [max(min(v[a:b].mean() for b in range(i + 1, n + 1)) for a in range(i + 1)) for i in range(n)]
+        at, p = toxicity.isotonic(score, y)
+        runs = [[i for i in range(n) if abs(want[i] - m) < 1e-12] for m in sorted(set(np.round(want, 12)))]
+        assert len(at) == len(runs)
+        for k, run in enumerate(runs):
+            assert abs(at[k] - score[order][run].mean()) < 1e-9
+            assert abs(p[k] - (v[run].sum() + 0.05) / (len(run) + 0.1)) < 1e-9
+
+
+def test_lexicons_have_no_cap_and_see_their_own_fold_only(spark):
+    toxic = [(" ".join([f"bad{k}" for k in range(3000)] + ["vile"]), 1.0, f) for f in (0, 1) for _ in range(8)]
+    clean = [(f"calm words number {i}", 0.0, i % 2) for i in range(300)]
+    only = [("grim tone", 1.0, 0)] * 9 + [("grim tone", 0.0, 1)] * 3
+    rows = [(f"{t} u{i}", y, f) for i, (t, y, f) in enumerate(toxic + clean + only)]
+    n = [[sum(y == p and f == k for _, y, f in rows) for p in (1.0, 0.0)] for k in (0, 1)]
+    counts = toxicity.count_terms(spark.createDataFrame(rows, "text string, y double, fold int"))
+    kept = toxicity.clear_terms(counts, n).collect()
+    every = counts.collect()
+    for some in (lambda r: (r.p0, r.n0, *n[0]), lambda r: (r.p1, r.n1, *n[1]),
+                 lambda r: (r.p0 + r.p1, r.n0 + r.n1, n[0][0] + n[1][0], n[0][1] + n[1][1])):
+        lexicons = [toxicity.lexicon([(r.term, *some(r)[:2]) for r in part], *some(part[0])[2:]) for part in (every, kept)]
+        assert lexicons[0] == lexicons[1] and len(lexicons[0]) > 3000
+    first = toxicity.lexicon([(r.term, r.p0, r.n0) for r in kept], *n[0])
+    other = toxicity.lexicon([(r.term, r.p1, r.n1) for r in kept], *n[1])
+    assert "grim" in first and "grim" not in other and "vile" in other and "calm" not in first
+
+
 def test_toxicity_held_out(spark):
     labels = spark.read.parquet(f"{SF}/labels.parquet").select("doc_id", "toxic")
     out = LLM_QUERIES["op4_toxicity"](spark, SF)
@@ -65,6 +129,32 @@ def test_ordinal_regression_orders_three_grades():
     assert (m.tails(margin)[:, 0] >= m.tails(margin)[:, 1]).all()
 
 
+def test_ordinal_regression_equals_a_plain_optimiser():
+    """The same penalised likelihood, minimised by gradient descent on numeric derivatives."""
+    rng = np.random.default_rng(7)
+    x = rng.normal(size=(60, 3))
+    z = x @ np.array([1.0, -0.5, 0.0]) + rng.logistic(size=60)
+    y = np.digitize(z, [-1.0, 0.2, 1.5]).astype(float)
+    ridge = 0.02
+
+    def loss(w, cuts):
+        t = 1 / (1 + np.exp(-(x @ w)[:, None] + cuts[None, :]))
+        full = np.concatenate([np.ones((60, 1)), t, np.zeros((60, 1))], axis=1)
+        i, g = np.arange(60), y.astype(int)
+        return -np.log(np.maximum(full[i, g] - full[i, g + 1], 1e-12)).mean() + ridge / 2 * (w * w).sum()
+
+    def at(p):
+        return loss(p[:3], np.concatenate([p[3:4], p[3] + np.cumsum(np.exp(p[4:]))]))
+
+    p = np.array([0.0, 0, 0, -1, 0, 0])
+    for _ in range(3000):
+        grad = np.array([(at(p + e) - at(p - e)) / 2e-5 for e in 1e-5 * np.eye(6)])
+        p = p - 0.5 * grad
+    m = quality.fit_ordinal([(np.array([4, 11, 30], np.int32), r) for r in x], y, steps=3000, rate=0.02, ridge=ridge)
+    assert abs(loss(m.weights[[4, 11, 30]], m.cuts) - at(p)) < 1e-4
+    assert np.abs(m.weights[[4, 11, 30]] - p[:3]).max() < 0.02 and not np.delete(m.weights, [4, 11, 30]).any()
+
+
 def test_quality_held_out(spark):
     labels = spark.read.parquet(f"{SF}/labels.parquet").select("doc_id", "quality")
     rows = LLM_QUERIES["op6_quality_classifier"](spark, SF).join(labels, "doc_id").where("held_out").collect()

@@ -2,8 +2,8 @@
 
 The lexicon is learnt from labelled rows: words and word beginnings found far
 more often in toxic texts. Lexicon counts and dense features are computed on
-the executors; the driver gets the bounded lexicon and the bounded sample's
-dense features, and sends back a model of a few kilobytes.
+the executors; the driver gets the terms of the bounded sample that are clearly
+toxic and the sample's dense features, and sends back a small model.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ from .common import documents, small_batches, written
 from .labelled import held_out, training_sample
 
 MAX_TRAIN_ROWS = 12_000          # bound on the training sample
-LEXICON_TERMS = 2_000            # bound on the lexicon
+SURE, LEAST_ODDS = 1.96, 1.0     # a term's log odds less so many standard errors must exceed the latter
 STEMS = (4, 5, 6, 7)             # lengths of word beginnings that count as terms
 NEAR = 6                         # words between a second person and a lexicon term
 MEMO = 300_000
@@ -74,14 +74,28 @@ def count_terms(sample: DataFrame) -> DataFrame:
 
 
 def lexicon(rows: list[tuple[str, float, float]], n_pos: float, n_neg: float) -> dict[str, float]:
-    """Terms with their log odds: at least two toxic texts, and clearly likelier there than elsewhere."""
+    """Terms with the lower confidence bound of their log odds: clearly likelier in toxic texts than elsewhere."""
     out = {}
     for term, p, n in rows:
-        if p >= 2:
-            w = np.log((p + 0.5) / (n_pos + 1)) - np.log((n + 0.5) / (n_neg + 1)) - 1.0 / np.sqrt(p)
-            if w > 1.0:
-                out[term] = float(w)
-    return dict(sorted(out.items(), key=lambda x: (-x[1], x[0]))[:LEXICON_TERMS])
+        w = np.log((p + 0.5) / (n_pos + 1)) - np.log((n + 0.5) / (n_neg + 1)) - SURE * np.sqrt(1 / (p + 0.5) + 1 / (n + 0.5))
+        if p and w > LEAST_ODDS:
+            out[term] = float(w)
+    return out
+
+
+def clear_terms(counts: DataFrame, n: list[list[int]]) -> DataFrame:
+    """The rows of ``count_terms`` that are in the lexicon of either fold or of both together.
+
+    The rule is ``lexicon``'s, a threshold and no number of terms; each fold is
+    judged by its own counts.
+    """
+    def weight(p, q, n_pos: int, n_neg: int):
+        p, q = p.cast("double") + 0.5, q.cast("double") + 0.5
+        return F.log(p / (n_pos + 1)) - F.log(q / (n_neg + 1)) - SURE * F.sqrt(1 / p + 1 / q)
+
+    p0, n0, p1, n1 = (F.col(c) for c in ("p0", "n0", "p1", "n1"))
+    clear = [(p0, n0, *n[0]), (p1, n1, *n[1]), (p0 + p1, n0 + n1, n[0][0] + n[1][0], n[0][1] + n[1][1])]
+    return counts.where(F.greatest(*(weight(*x) for x in clear)) > LEAST_ODDS - 1e-9)
 
 
 class _Weights(dict):
@@ -254,10 +268,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     if not totals:
         return ToxicityModel({}, Boosted(0.0, 0.0, []), (np.array([0.0]), np.array([0.0])))
     n = [[totals.get((f, True), 0), totals.get((f, False), 0)] for f in (0, 1)]
-    toxic, rest = F.col("p0") + F.col("p1"), F.col("n0") + F.col("n1")
-    odds = (toxic + 0.5) / (n[0][0] + n[1][0] + 1) / ((rest + 0.5) / (n[0][1] + n[1][1] + 1))
-    rows = count_terms(sample).where((toxic >= 2) & (odds > 2.0)) \
-        .orderBy(F.desc(F.log(odds) - 1.0 / F.sqrt(toxic)), "term").limit(2 * LEXICON_TERMS).collect()
+    rows = clear_terms(count_terms(sample), n).collect()
     lexicons = [lexicon([(r.term, r.p0, r.n0) for r in rows], *n[0]),
                 lexicon([(r.term, r.p1, r.n1) for r in rows], *n[1]),
                 lexicon([(r.term, r.p0 + r.p1, r.n0 + r.n1) for r in rows],
