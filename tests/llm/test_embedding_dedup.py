@@ -76,12 +76,54 @@ def test_tree_covers_and_nests():
     tree = D.CoverTree(u, 0.5)
     assert sorted(tree.order) == list(range(500))
     for level, (start, end, radius) in enumerate(tree.levels[:-1]):
-        assert start[0] == 0 and (start[1:] == end[:-1]).all() and end[-1] == 500 and (radius <= 0.5 / 2 ** level + 1e-9).all()
+        most = 0.5 * 2.0 ** (D.CoverTree.above(0.5) - level)
+        assert start[0] == 0 and (start[1:] == end[:-1]).all() and end[-1] == 500 and (radius <= most + 1e-9).all()
         for a, b, r in zip(start, end, radius):
             p = tree.order[a:b]
             assert np.sqrt(np.maximum(0, 2 - 2 * u[p] @ u[p[0]])).max() <= r + 1e-6
 
 
+def test_trees_are_pruned_from_their_roots(monkeypatch):
+    """Of far clusters only the upper levels meet: points compared are few, and the links are those of all pairs."""
+    rng = np.random.default_rng(3)
+    centre = D.unit(rng.normal(size=(12, 16)))
+    u = D.unit(centre[rng.integers(12, size=3000)] + 0.01 * rng.normal(size=(3000, 16)))
+    assert [len(lv[0]) for lv in D.CoverTree(u, 0.05).levels][0] <= 12 and len(D.CoverTree(u, 0.05).levels) == 5 + D.LEVELS + 1
+    compared = []
+    real = D.Join._dense
+    monkeypatch.setattr(D.Join, "_dense", lambda self, level, a, ea, b, eb, m: (compared.append((ea - a) * (eb - b)), real(self, level, a, ea, b, eb, m))[1])
+    data = {"ids": np.arange(3000), "n": np.ones(3000, np.int64), "x": u, "tree": D.CoverTree(u, 0.05)}
+    join = D.Join(data, data, 1 - 0.05 ** 2 / 2, True)
+    join.run()
+    want = (u @ u.T >= 1 - 0.05 ** 2 / 2).sum(1) - 1
+    assert (join.wa == want[data["tree"].order]).all() and sum(compared) < 0.2 * 3000 ** 2
+
+
+def test_cells_that_are_far_apart_never_meet(spark, monkeypatch):
+    """The share of block pairs that are formed falls as a clustered table grows."""
+    share = []
+    real = D.written
+
+    def seen(df, name):
+        out = real(df, name)
+        if name == "blocks":
+            share.append(out.count())
+        if name == "block-pairs":
+            n = share.pop()
+            share.append(out.count() / (n * (n + 1) / 2))
+        return out
+
+    monkeypatch.setattr(D, "written", seen)
+    monkeypatch.setattr(D, "BLOCK", 25)
+    rng = np.random.default_rng(4)
+    for n, clusters in ((200, 4), (1000, 20)):
+        centre = rng.normal(size=(clusters, 8))
+        x = centre[np.arange(n) % clusters] + 0.01 * rng.normal(size=(n, 8))
+        rows = [(int(i), [float(np.float32(c)) for c in v]) for i, v in enumerate(x)]
+        assert run(spark, rows) == slow(rows)
+    assert share[1] < share[0] and share[1] < 0.6
+
+
 def test_blocks_cells_copies_and_dense_groups(spark, monkeypatch):
     rng = np.random.default_rng(7)
     x = clustered(rng, 500, 6, 0.2)

@@ -4,11 +4,12 @@ Vectors are scaled to length one, so cosine >= t is Euclidean distance <=
 eps = sqrt(2 - 2t). Equal vectors are one node first. Nodes are dealt to cells
 (nearest of a bounded set of pivots) and cells into blocks; cells further apart
 than their covering radii plus eps are never paired. Every block has a cover
-tree with nested levels of radius eps, eps/2, eps/4 ... down to points; two
-trees are traversed together, dropping node pairs whose centres are further
-apart than both covering radii plus eps, and taking node pairs as linked whole
-whose centres and radii together stay within eps. A pair of blocks returns link
-counts and a spanning forest, never all pairs of a dense group.
+tree with nested levels whose radii halve from one that covers the sphere down to
+eps, eps/2, eps/4 ... and points; two trees are traversed together from their
+roots, dropping node pairs whose centres are further apart than both covering
+radii plus eps, and taking node pairs as linked whole whose centres and radii
+together stay within eps. A pair of blocks returns link counts and a spanning
+forest, never all pairs of a dense group.
 """
 
 from __future__ import annotations
@@ -26,11 +27,11 @@ from pyspark.sql import functions as F
 from ..sources.tables import read_table
 from .common import connected_components, written
 
-BLOCK = 16384                    # vectors in a block (on average): a block is shuffled once per other block
-PIVOTS = 256                     # bound on the pivots that cells are made from
-LEVELS = 4                       # radii eps, eps/2, ... and then the points
+BLOCK, BLOCK_BYTES = 16384, 16 << 20     # vectors in a block (on average), and bound on their size
+PIVOTS = 2048                    # bound on the pivots that cells are made from
+LEVELS = 4                       # radii eps, eps/2, ... and then the points; above them eps doubles up to the sphere's
 SLACK = 1e-4                     # for single precision in bounds; links are verified in double precision
-CHUNK = 1 << 20                  # node pairs expanded together
+CHUNK_BYTES = 64 << 20           # of the vectors of node pairs expanded together
 
 
 def unit(x: np.ndarray) -> np.ndarray:
@@ -69,7 +70,7 @@ class CoverTree:
         order = np.arange(len(u))
         spans = [(0, len(u))] if len(u) else []
         self.levels = []                     # (start, end, radius) of every node, by start
-        for level in range(LEVELS):
+        for level in range(-self.above(eps), LEVELS):
             nodes, radius = [], []
             for a, b in spans:
                 if b - a == 1:
@@ -77,7 +78,7 @@ class CoverTree:
                     radius.append(0.0)
                     continue
                 at = a
-                for rows, r in _cover(u, order[a:b].copy(), eps / 2 ** level):
+                for rows, r in _cover(u, order[a:b].copy(), eps * 2.0 ** -level):
                     order[at:at + len(rows)] = rows
                     nodes.append((at, at + len(rows)))
                     radius.append(r)
@@ -88,6 +89,11 @@ class CoverTree:
         self.levels.append((points, points + 1, np.zeros(len(u))))
         self.order = order
 
+    @staticmethod
+    def above(eps: float) -> int:
+        """Levels above eps: the radius of the highest is at least 1, so it has few nodes."""
+        return max(0, math.ceil(math.log2(1 / eps))) if eps > 1e-6 else 0
+
     @staticmethod
     def _level(nodes, radius):
         n = np.array(nodes, dtype=np.int64).reshape(-1, 2)
@@ -127,25 +133,37 @@ class Join:
         self.label = np.arange(self.shift + len(self.nb))
 
     def run(self) -> None:
-        (sa, _, ra), (sb, _, rb) = self.ta.levels[0], self.tb.levels[0]
+        (sa, _, _), (sb, _, _) = self.ta.levels[0], self.tb.levels[0]
         if not len(sa) or not len(sb):
             return
-        fa, fb = self.ua[sa].astype(np.float32), self.ub[sb].astype(np.float32)
-        # cosines of all pairs of top nodes, first against a bound with the other tree's largest radius
-        low = 1 - (ra + rb.max() + self.eps + SLACK) ** 2 / 2
-        for at in range(0, len(sa), 512):
-            g = fa[at:at + 512] @ fb.T
-            i, j = np.nonzero(g >= low[at:at + 512, None].astype(np.float32))
-            i = i + at
-            if self.same:
+        self.above, self.last = CoverTree.above(self.eps), len(self.ta.levels) - 1
+        self.fa, self.fb = self.ua.astype(np.float32), self.ub.astype(np.float32)
+        self.chunk = max(1 << 12, CHUNK_BYTES // (16 * max(1, self.ua.shape[1])))
+        self._dense(0, 0, len(sa), 0, len(sb), self.same)
+
+    def _dense(self, level: int, a: int, ea: int, b: int, eb: int, mirrored: bool) -> None:
+        """All pairs of the nodes [a, ea) and [b, eb) of a level: a matrix product at a time, then the bound of each pair."""
+        (sa, _, ra), (sb, _, rb) = self.ta.levels[level], self.tb.levels[level]
+        reach = self.eps + SLACK
+        wide = np.flatnonzero(rb[b:eb] > 0)              # points need no bound of their own
+        for at in range(a, ea, 512):
+            mine = ra[at:min(at + 512, ea), None]
+            g = self.fa[sa[at:at + len(mine)]] @ self.fb[sb[b:eb]].T + 1e-5
+            near = g >= (1 - np.minimum(2.0, mine + reach) ** 2 / 2).astype(np.float32)
+            if len(wide):
+                bound = 1 - np.minimum(2.0, mine + (rb[b:eb][wide] + reach)[None, :]) ** 2 / 2
+                near[:, wide] = g[:, wide] >= bound.astype(np.float32)
+            i, j = np.nonzero(near)
+            i, j = i + at, j + b
+            if mirrored:
                 i, j = i[j >= i], j[j >= i]
-            for k in range(0, len(i), CHUNK):
-                self._descend(0, i[k:k + CHUNK], j[k:k + CHUNK])
+            for k in range(0, len(i), self.chunk):
+                self._descend(level, i[k:k + self.chunk], j[k:k + self.chunk])
 
     def _descend(self, level: int, i: np.ndarray, j: np.ndarray) -> None:
         """Node pairs of one level: prune, take whole, or expand to the next level."""
         (sa, ea, ra), (sb, eb, rb) = self.ta.levels[level], self.tb.levels[level]
-        if level == LEVELS:
+        if level == self.last:
             if self.same:
                 i, j = i[i < j], j[i < j]
             self._link(i, j)
@@ -155,11 +173,25 @@ class Join:
         near = d <= reach + self.eps + SLACK
         i, j, d, reach = i[near], j[near], d[near], reach[near]
         single = (ea[i] - sa[i] == 1) & (eb[j] - sb[j] == 1)
-        self._descend(LEVELS, sa[i[single]], sb[j[single]])
+        self._descend(self.last, sa[i[single]], sb[j[single]])
         whole = ~single & (d + reach <= self.eps - SLACK)
         self._take(sa[i[whole]], ea[i[whole]], sb[j[whole]], eb[j[whole]])
         rest = ~single & ~whole
-        self._expand(level, i[rest], j[rest])
+        if level < self.above:
+            self._expand_dense(level, i[rest], j[rest])
+        else:
+            self._expand(level, i[rest], j[rest])
+
+    def _expand_dense(self, level: int, i: np.ndarray, j: np.ndarray) -> None:
+        """The few node pairs of an upper level have many children: pair by pair; small ones together."""
+        (sa, ea, _), (sb, eb, _) = self.ta.levels[level], self.tb.levels[level]
+        na, nb = self.ta.levels[level + 1][0], self.tb.levels[level + 1][0]
+        la, lb = np.searchsorted(na, sa[i]), np.searchsorted(nb, sb[j])
+        ka, kb = np.searchsorted(na, ea[i]) - la, np.searchsorted(nb, eb[j]) - lb
+        few = ka * kb < 4096
+        self._expand(level, i[few], j[few])
+        for t in np.flatnonzero(~few).tolist():
+            self._dense(level + 1, la[t], la[t] + ka[t], lb[t], lb[t] + kb[t], self.same and i[t] == j[t])
 
     def _expand(self, level: int, i: np.ndarray, j: np.ndarray) -> None:
         (sa, ea, _), (sb, eb, _) = self.ta.levels[level], self.tb.levels[level]
@@ -169,7 +201,7 @@ class Join:
         total = ka * kb
         at = 0
         while at < len(i):
-            end = at + max(1, int(np.searchsorted(np.cumsum(total[at:]), CHUNK, side="right")))
+            end = at + max(1, int(np.searchsorted(np.cumsum(total[at:]), self.chunk, side="right")))
             for lo, n in self._slices(at, end, ka):
                 t = (n * kb[at:end]) if end - at == 1 else total[at:end]
                 which = np.repeat(np.arange(at, end), t)
@@ -191,8 +223,8 @@ class Join:
 
     def _link(self, i: np.ndarray, j: np.ndarray) -> None:
         """Pairs of points: verify in double precision."""
-        for at in range(0, len(i), CHUNK):
-            p, q = i[at:at + CHUNK], j[at:at + CHUNK]
+        for at in range(0, len(i), self.chunk):
+            p, q = i[at:at + self.chunk], j[at:at + self.chunk]
             good = np.einsum("ij,ij->i", self.ua[p], self.ub[q]) >= self.t
             p, q = p[good], q[good]
             np.add.at(self.wa, p, self.nb[q])
@@ -237,9 +269,9 @@ def linked_nodes(nodes: DataFrame, cosine: float, dim: int) -> DataFrame:
     spark = nodes.sparkSession
     eps = math.sqrt(max(0.0, 2 - 2 * cosine))
     kind = "f4" if dict(nodes.dtypes)["x"] == "array<float>" else "f8"
-    total = nodes.count()
+    total, per = nodes.count(), max(1, min(BLOCK, BLOCK_BYTES // (8 * max(1, dim))))
     pivots = unit(np.array([r.x for r in nodes.orderBy(F.xxhash64("node", F.lit("pivot")), "node")
-                            .limit(min(PIVOTS, max(1, -(-total // BLOCK)))).collect()], dtype=np.float64).reshape(-1, dim))
+                            .limit(min(PIVOTS, max(1, -(-total // per)))).collect()], dtype=np.float64).reshape(-1, dim))
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -255,22 +287,32 @@ def linked_nodes(nodes: DataFrame, cosine: float, dim: int) -> DataFrame:
     cells = celled.groupBy("cell").agg(F.count("*").alias("rows"), F.max("far").alias("radius")).orderBy("cell").collect()
     plan, first = [], 0                      # at most PIVOTS rows
     for c in cells:
-        k = -(-c["rows"] // BLOCK)
+        k = -(-c["rows"] // per)
         plan.append((c["cell"], first, k))
         first += k
-    near = [(a["cell"], b["cell"]) for a in cells for b in cells if a["cell"] <= b["cell"] and
-            _distance(float(pivots[a["cell"]] @ pivots[b["cell"]])) <= a["radius"] + b["radius"] + eps + SLACK]
+    number, radius = np.array([c["cell"] for c in cells], int), np.array([c["radius"] for c in cells])
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """(ca, cb) of a cell and those after it that are near enough."""
+        for b in batches:
+            for cell in b.column(0).to_pylist():
+                at = int(np.searchsorted(number, cell))
+                apart = _distance(pivots[number[at:]] @ pivots[cell])
+                near = number[at:][apart <= radius[at:] + radius[at] + eps + SLACK]
+                yield pa.RecordBatch.from_arrays([pa.array([cell] * len(near), pa.int32()), pa.array(near, pa.int32())], ["ca", "cb"])
+
     dealt = celled.join(F.broadcast(spark.createDataFrame(plan, "cell int, first int, k int")), "cell") \
         .withColumn("block", (F.col("first") + F.pmod(F.xxhash64("node", F.lit("block")), F.col("k"))).cast("int"))
     tasks = min(first, int(spark.conf.get("spark.sql.shuffle.partitions")))
     blocks = written(dealt.repartition(tasks, "block").groupBy("block")
                      .applyInPandas(lambda pdf: build_block(pdf, cosine, kind), "block int, cell int, data binary"), "blocks")
-    pairs = written(spark.createDataFrame(near, "ca int, cb int")
+    near = spark.createDataFrame([(int(c),) for c in number], "ca int").mapInArrow(meet, "ca int, cb int")
+    pairs = written(near
                     .join(blocks.select(F.col("block").alias("ba"), F.col("cell").alias("ca")), "ca")
                     .join(blocks.select(F.col("block").alias("bb"), F.col("cell").alias("cb")), "cb")
                     .where("ba <= bb").select("ba", "bb"), "block-pairs")
     # both blocks of a pair meet under the pair's own key, so pairs spread over tasks however few blocks there are
-    wide = min(first * (first + 1), 10_000)
+    wide = max(1, min(2 * pairs.count(), 10_000))
     one = pairs.join(blocks.select(F.col("block").alias("ba"), F.col("data").alias("a")), "ba")
     other = pairs.join(blocks.select(F.col("block").alias("bb"), F.col("data").alias("b")), "bb")
     both = one.repartition(wide, "ba", "bb").join(other.repartition(wide, "ba", "bb"), ["ba", "bb"]).select("ba", "bb", "a", "b")
