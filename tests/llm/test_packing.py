@@ -1,4 +1,5 @@
 import random
+import re
 
 from utterflow.llm.packing import best_fit, pack
 from utterflow.llm.queries import LLM_QUERIES
@@ -58,6 +59,24 @@ def test_query_places_every_character_without_conflict(spark):
     check(LLM_QUERIES["op1_best_fit_packing"](spark, SF).collect(), docs, 8192)
 
 
+def test_query_keeps_near_copies_apart(spark, tmp_path):
+    """No bin of the query's result holds two documents of one component by all pairs of fingerprints."""
+    import test_simhash
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    long = [r for r in docs.collect() if 600 < len((r.text or "").split()) < 1200][:12]
+    near = [r.asDict() | {"doc_id": 10_000 + k, "text": " ".join(["changed", *r.text.split()[1:]]), "source": f"near{k}"} for k, r in enumerate(long)]
+    docs.union(spark.createDataFrame(near, docs.schema)).write.parquet(f"{tmp_path}/documents.parquet")
+    rows = spark.read.parquet(f"{tmp_path}/documents.parquet").collect()
+    folded = [re.sub(r"[ \t\n\x0b\f\r]+", " ", (r.text or "").lower()).strip(" ") for r in rows]
+    ids = [r.doc_id for r in rows]
+    component = dict(zip(ids, test_simhash.groups(ids, [test_simhash.slow_fingerprint(t) for t in folded]), strict=True))
+    assert len(set(component.values())) < len(set(folded))               # there are near copies that are no copies
+    bins = {}
+    for r in LLM_QUERIES["op1_best_fit_packing"](spark, str(tmp_path)).collect():
+        bins.setdefault(r.bin_id, set()).add(r.doc_id)
+    assert all(len({component[i] for i in b}) == len(b) for b in bins.values())
+
+
 def test_shards_capacity_and_layout(spark):
     rng = random.Random(1)
     docs = {i: ("x" * rng.randint(0, 90) + str(i), rng.choice(["hot", "hot", "a", "b", None])) for i in range(600)}
