@@ -14,10 +14,13 @@ from utterflow.plans.catalog import QUERIES  # noqa: E402
 from utterflow.plans.oracle import oracle_sql  # noqa: E402
 
 MODULES = ("mix", "reconcile", "order", "arrays", "score", "batch", "readers", "sinks", "paths", "text",
-           "codes", "wav", "tarshards", "fx")
+           "codes", "wav", "tarshards", "generated", "fx")
 CALL = re.compile(r"\b(" + "|".join(MODULES) + r")\.([A-Za-z_][A-Za-z0-9_]*)\(")
 NOTES = {
-    "S14": ("`filter_excluded_sources`", "`readers.from_columns`", "DuckDB oracle (via that key)"),
+    "S14": ("`src_generator`", "`generated.from_generator`, `generated.parquet_row_groups`; `readers.from_columns` for small lists",
+            "DuckDB oracle"),
+    "U4": ("`src_generator`, `src_tar_shards`", "`generated.from_generator`, `tarshards.read_tar_shards`", "DuckDB oracles"),
+    "T1": ("`stream_prepare`, `stream_position`", "`stream.prepare_stream`, `stream.numbered_stream`", "DuckDB oracles"),
     "A6": ("`src_tsv_transcripts`", "`readers.parse_tsv_transcripts` (`max_by` per id)", "DuckDB oracle (via that key)"),
     "U1": ("every X/P/R key", "native Column expressions in `functions/*`", "DuckDB oracles of those keys"),
     "U3": ("`filter_audio_length`, `filter_label_length`", "`mix.audio_length_ok`, `mix.label_length_ok`",
@@ -33,7 +36,7 @@ def functions_of(fn, seen=None) -> list[str]:
     seen.add(fn)
     src = inspect.getsource(fn)
     out = [f"{m}.{f}" for m, f in CALL.findall(src) if not f.startswith("_")]
-    out += [f"stream.{f}" for f in re.findall(r"\b(running_wer|prepare_stream)\(", src)]
+    out += [f"stream.{f}" for f in re.findall(r"\b(running_wer|prepare_stream|numbered_stream)\(", src)]
     for helper in re.findall(r"\b(_[a-z][a-z0-9_]*)\(", src):       # catalog helpers
         h = getattr(sys.modules[fn.__module__], helper, None)
         if callable(h) and getattr(h, "__module__", "") == fn.__module__:
