@@ -25,7 +25,11 @@ def _counted(df: DataFrame) -> DataFrame:
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier, fitted on the rated ones among them, does not reject."""
+    """Documents that the classifier, fitted on the rated ones among them, does not reject.
+
+    Every row is judged by its own text: null and empty texts as empty ones, repeated rows and rows without an
+    id each; without ratings, or rows, all stay. Further columns are carried under names of their own.
+    """
     model = fit(docs, read_table(spark, sf_dir, "labels"))
     out = judged(docs.toDF(*(f"d_{c}" for c in docs.columns)), model, "d_doc_id", "d_text",
                  carry=[f"d_{c}" for c in docs.columns])
@@ -33,7 +37,11 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the lines that a later document repeats; null texts stay null."""
+    """Documents without the lines that a later document repeats; null texts stay null.
+
+    No row goes, empty texts and empty tables stay so; rows with one id are one document, rows without an id
+    count for nothing and lose nothing; the working column takes a name that is free.
+    """
     lines = free_name(docs, "lines")
     out = apply_bitmaps(docs, keep_bitmaps(docs), out=lines)
     return _counted(out.withColumn("text", F.when(F.col("text").isNotNull(), F.col(f"{lines}.text")))).select(*docs.columns)
@@ -53,12 +61,20 @@ def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with personal data replaced by its kind and disclosing terms generalised or removed."""
+    """Documents with personal data replaced by its kind and disclosing terms generalised or removed.
+
+    No row goes; null texts stay null; every repeated row, with or without an id, is treated by its text and
+    counts as a document; all columns stay, whatever their names.
+    """
     return _counted(sanitise(docs, disclosures(docs)))
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The place of every kept document in the training sequences."""
+    """The place of every kept document in the training sequences.
+
+    Repeated rows, rows without an id and null or empty texts have a place each; an empty table has none; columns
+    that are not packed are not read.
+    """
     return pack(docs)
 
 
