@@ -269,9 +269,7 @@ def with_terms(df: DataFrame, terms: DataFrame, text_col: str) -> DataFrame:
 
 def _may_hold(text_col: str):
     """False only for texts without an entity: those without an @ and with fewer than four digits."""
-    text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
-    digits = F.length(text) - F.length(F.translate(text, "0123456789", ""))
-    return (F.instr(text, "@") > 0) | (digits >= 4)
+    return F.coalesce(F.col(f"`{text_col}`"), F.lit("")).rlike("@|(?:[0-9][^0-9]*+){4}")
 
 
 def _told(column: pa.Array, terms: dict[str, float] | None) -> list[dict[str, float] | None]:
