@@ -104,6 +104,10 @@ def words_outside(text: str, merged: list[tuple[str, int, int]]) -> list[tuple[s
 def terms_outside(text: str, merged: list[tuple[str, int, int]]) -> set[str]:
     """The distinct terms of ``words_outside``."""
     if not merged:
+        low = text.lower()
+        # but for these two, letters are lowered one by one, and stay letters
+        if "\u0130" not in text and "\u03a3" not in text:
+            return set(_WORD.findall(low))
         return {w.lower() for w in set(_WORD.findall(text))}
     found, last = set(), 0
     for _, a, b in [*merged, ("", len(text), len(text))]:
