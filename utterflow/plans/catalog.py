@@ -732,6 +732,15 @@ def encode_labels(spark, sf):
     return _labelled(spark, sf).select("utt_id", _ints("labels").alias("labels"))
 
 
+@query("encode_raw_labels")
+def encode_raw_labels(spark, sf):
+    """R1, R7 over noisy transcripts: byte-order marks, line breaks and backslashes are characters like others."""
+    u = fx.utt(spark, sf)
+    vocab = arrays.char_ids(u.where(F.col("split") == "train"), "raw")
+    lab = arrays.encode_labels(u, vocab, "raw", "labels")
+    return lab.select("utt_id", _ints("labels").alias("labels"), arrays.decode_labels(F.col("labels"), vocab).alias("text"))
+
+
 @query("derive_lengths")
 def derive_lengths(spark, sf):
     return arrays.label_lengths(fx.utt(spark, sf)).select("utt_id", "input_length", "label_length")

@@ -337,6 +337,11 @@ def oracle_sql() -> dict[str, str]:
         WHERE keep_rank <= {C.RETAIN_LIMIT}"""
     q["thin_steps"] = "WITH " + _METRICS + f" SELECT run, step, wer FROM metrics WHERE step % {C.THIN_EVERY} = 0"
     q["encode_labels"] = _with(f"SELECT utt_id, {_ints('labels')} AS labels FROM labelled", _VOCAB)
+    raw = _VOCAB.replace("text", "raw")
+    q["encode_raw_labels"] = _with(f"""SELECT utt_id, {_ints('labels')} AS labels,
+        array_to_string(list_transform(list_filter(labels, lambda x: x >= 3),
+          lambda x: CASE WHEN x = 3 THEN ' ' ELSE vl[x - 3] END), '') AS text
+        FROM labelled, (SELECT list(char ORDER BY id) AS vl FROM vocab) v""", raw)
     q["derive_lengths"] = _with("SELECT utt_id, n_samples AS input_length, CAST(len(labels) AS INTEGER) AS label_length "
                                 "FROM labelled", _VOCAB)
     q["assign_batches"] = _with("SELECT utt_id, pos, batch, slot FROM batched", _VOCAB + ",\n" + _STREAM)
