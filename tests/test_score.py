@@ -136,3 +136,25 @@ def test_groups_are_bounded(monkeypatch):
         monkeypatch.setattr(E, "LANES", lanes)
         monkeypatch.setattr(E, "TABLE_BYTES", table)
         assert E.distances(pairs).tolist() == want == [edit_distance(a, b) for a, b in pairs]
+
+
+def test_gate_samples_shuffle_no_pair_by_its_group(spark):
+    """The samples' keys are broadcast, however few of the gate's partitions hold a row; repeated and null keys are sampled, too."""
+    pairs = spark.range(2000).select(F.lit("bad").alias("split"), F.when(F.col("id") > 3, F.floor(F.col("id") / 2)).alias("utt_id"),
+                                     F.col("id").cast("string").alias("ref"), F.lit("x").alias("hyp"))
+    pairs = pairs.union(pairs.withColumn("split", F.lit("good")).withColumn("hyp", F.col("ref")))
+    partitions = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        gate = pairs.groupBy("split").agg(F.when(F.max("hyp") == "x", "suspicious").otherwise("ok").alias("status"))
+        df = score.gate_samples(pairs, gate)
+        got = df.collect()
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    ends = {end: [r.utt_id for r in sorted(got, key=lambda r: r.rank_in_end) if r.end == end] for end in ("head", "tail")}
+    assert ends == {"head": [None] * 4 + [2], "tail": [999, 999, 998, 998, 997]}
+    assert {r.split for r in got} == {"bad"} and len({r.reference for r in got}) == 10
+    final = plan[:plan.index("== Initial Plan ==")]
+    semi = [x for x in final.splitlines() if "LeftSemi" in x]
+    assert semi and all("BroadcastHashJoin" in x for x in semi)
