@@ -192,3 +192,47 @@ def test_paths_without_a_scheme_are_sparks(spark, tmpdir_fresh):
 
 def test_alternatives_in_names():
     assert storage.patterns_of("*.{a,b{c,d}}") in (["*.a", "*.bc", "*.bd"], ["*.a", "*.bc", "*.a", "*.bd"]) and storage.patterns_of("x") == ["x"]
+
+
+def test_ranges_are_held_in_pieces(monkeypatch, tmpdir_fresh):
+    """Pieces of any size give the records and states of a whole range; a range of 8 MB is never held whole."""
+    import random
+    import tracemalloc
+
+    from utterflow.sources import quoted as Q
+    rnd = random.Random(8)
+    scanner = Q.Scanner("|")
+    for ending in ("\n", "\r\n"):
+        rows = ['a|"b' + rnd.choice(["", "\n", '""', "|", "é" * 9]) * rnd.randrange(6) + '"|c' + rnd.choice(["", '"', "d"]) for _ in range(60)]
+        data = ("\ufeff" + ending.join([*rows, "", *rows[:3]])).encode()
+        with open(f"{tmpdir_fresh}/f.csv", "wb") as f:
+            f.write(data)
+        found = []
+        for piece in (1 << 20, 1, 7, 100):
+            monkeypatch.setattr(Q, "BATCH_BYTES", piece)
+            got, fs_file = [], Q.open_root(f"{tmpdir_fresh}/f.csv")
+            with fs_file[0].open_input_file(fs_file[1]) as f:
+                for step in (50, 301, len(data)):
+                    state, seen = Q.RECORD, []
+                    for start in range(0, len(data), step):
+                        end = min(len(data), start + step)
+                        seen += [(b["start"][i].as_py(), b["value"][i].as_py()) for b in Q._cut(scanner, f, "f", start, end, state, False)
+                                 for i in range(b.num_rows)]
+                        assert Q._ends(scanner, f, start, end) == scanner.ends(data[start:end])
+                        state = scanner.ends(data[start:end])[state]
+                    got.append(seen)
+            found.append(got)
+            assert got[0] == got[1] == got[2] and len(got[0]) == 63
+        assert all(x == found[0] for x in found)
+    monkeypatch.setattr(Q, "BATCH_BYTES", 1 << 16)
+    with open(f"{tmpdir_fresh}/g.csv", "w") as f:
+        f.write('a|"some text"|en\n' * 500_000)
+    fs, name = Q.open_root(f"{tmpdir_fresh}/g.csv")
+    with fs.open_input_file(name) as f:
+        tracemalloc.start()
+        try:
+            n = sum(b.num_rows for b in Q._cut(scanner, f, "g", 0, f.size(), Q.RECORD, False))
+            peak = tracemalloc.get_traced_memory()[1]
+        finally:
+            tracemalloc.stop()
+    assert n == 500_000 and peak < 4 << 20
