@@ -158,3 +158,50 @@ def test_gate_samples_shuffle_no_pair_by_its_group(spark):
     final = plan[:plan.index("== Initial Plan ==")]
     semi = [x for x in final.splitlines() if "LeftSemi" in x]
     assert semi and all("BroadcastHashJoin" in x for x in semi)
+
+
+def test_bands_equal_the_dynamic_program():
+    """Every band's score is the distance, or more than the band holds; bands of several words carry."""
+    from utterflow.functions import editdistance as E
+    rnd = random.Random(5)
+    for _ in range(20):
+        pairs = []
+        for _ in range(20):
+            n, letters = rnd.choice([1, 5, 64, 130, 300]), rnd.choice([2, 5, 100])
+            a = [rnd.randrange(letters) for _ in range(rnd.randrange(1, n + 1))]
+            b = [x for x in a if rnd.random() < 0.9] if rnd.random() < 0.6 else [rnd.randrange(letters) for _ in range(rnd.randrange(1, n + 1))]
+            pairs.append(E.trimmed(a, b))
+        pairs = sorted((p for p in pairs if len(p[1])), key=lambda p: -len(p[1]))
+        want = [reference_distance(*p) for p in pairs]
+        assert [E._alone(*p) for p in pairs] == want
+        for margin in (0, 3, 40):
+            for p, w in zip(pairs, want, strict=True):
+                assert E._banded(*p, margin) == (w if w <= len(p[0]) - len(p[1]) + 2 * margin + 1 else None)
+        for wide in (1, 2, 5):
+            some = [(p, w) for p, w in zip(pairs, want, strict=True) if len(p[0]) - len(p[1]) < 64 * wide - 2]
+            found, most = E._bands([p for p, _ in some], wide)
+            for (_, w), x, y in zip(some, found, most, strict=True):
+                assert x == w if w <= y else x > y
+
+
+def test_words_of_a_batch_are_not_held_at_once():
+    """A batch of 2 MB of text takes a few MB for its words, by pieces; one piece of it all would take some 40 MB."""
+    import tracemalloc
+
+    from utterflow.functions import editdistance as E
+    rnd = random.Random(6)
+    texts = [" ".join(str(rnd.randrange(10_000)) for _ in range(100)) for _ in range(4000)]
+    pairs = list(zip(texts, [t[3:] for t in texts], strict=True))
+    plain = E.distances((a.split(" "), b.split(" ")) for a, b in pairs[:300])
+    assert E.text_distances(pairs[:300]).tolist() == plain.tolist()
+    peak = []
+    for chars in (200_000, 1 << 30):
+        E.PIECE_CHARS, was = chars, E.PIECE_CHARS
+        try:
+            tracemalloc.start()
+            E.text_distances(pairs)
+            peak.append(tracemalloc.get_traced_memory()[1])
+        finally:
+            tracemalloc.stop()
+            E.PIECE_CHARS = was
+    assert peak[0] < peak[1] / 3
