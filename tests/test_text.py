@@ -62,3 +62,11 @@ def test_clean_tsv_text(spark):
 def test_json_transcript(spark):
     doc = '{"results":{"transcripts":[{"transcript":"xin chào"}]}}'
     assert one(spark, text.json_transcript(F.col("x")), doc) == "xin chào"
+
+
+def test_quick_classes_hold_every_code_point(spark):
+    from utterflow.functions.charclass import jvm_whitespace_class
+    s = "".join(chr(c) for c in range(1, 0x110000) if not 0xD800 <= c <= 0xDFFF)
+    assert one(spark, F.regexp_replace("x", jvm_whitespace_class(), ""), s) == "".join(c for c in s if not c.isspace())
+    assert one(spark, F.regexp_replace("x", jvm_punctuation_class(spark), ""), s) == \
+        "".join(c for c in s if not unicodedata.category(c).startswith("P"))
